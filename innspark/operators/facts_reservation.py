@@ -164,7 +164,7 @@ def fact_revenue_los_daily(m):
 
 
 @model("fact_revenue_gop_impact_monthly", "fact", """WITH mp AS (
-  SELECT property_id, date_trunc('month', date) AS period_date, avg(applied_rate - base_rate) AS dev
+  SELECT property_id, cast(date_trunc('month', date) AS date) AS period_date, avg(applied_rate - base_rate) AS dev
   FROM pricing_history GROUP BY 1, 2),
 mg AS (
   SELECT property_id, cast(strptime(period, '%Y-%m') AS date) AS period_date,
