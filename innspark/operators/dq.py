@@ -1 +1,344 @@
-"""placeholder"""
+"""Data-quality checks G1-G13.
+
+Every table's suite is evaluated in a single aggregation pass (not-null,
+accepted-values and row predicates are ``count_if`` columns of one ``agg``);
+uniqueness and the rules that need another table run as grouped counts or
+anti/semi joins. Results come back as rows of
+(suite, type, detail, success, unexpected count/percent), the schema of the
+reference's result table.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from innspark.plans.registry import DEFAULT_AS_OF, model
+
+NOT_NULL = "expect_column_values_to_not_be_null"
+UNIQUE = "expect_column_values_to_be_unique"
+IN_SET = "expect_column_values_to_be_in_set"
+ROWS = "unexpected_rows_expectation"
+
+EMAIL_RE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+
+
+@dataclass
+class Custom:
+    name: str
+    spark: str            # violation predicate, Spark SQL
+    duck: str | None = None  # DuckDB text when it differs
+
+
+@dataclass
+class Suite:
+    schema: str
+    table: str
+    not_null: list[str] = field(default_factory=list)
+    unique: list[str] = field(default_factory=list)
+    accepted: dict[str, list] = field(default_factory=dict)
+    custom: list[Custom] = field(default_factory=list)
+    joined: list[str] = field(default_factory=list)   # names of join-based rules (JOIN_RULES)
+
+    @property
+    def name(self):
+        return f"{self.schema}.{self.table}"
+
+
+# The expectation suites of the 23 source tables.
+SUITES = [
+    Suite("corporate_master", "properties", ["property_id", "property_name", "city", "region"], ["property_id"],
+          {"region": ["Bali", "Jawa", "Nusa Tenggara"]}, [Custom("total_rooms_non_negative", "total_rooms < 0")]),
+    Suite("corporate_master", "employees", ["employee_id", "property_id", "access_level", "status"], ["employee_id"],
+          {"access_level": ["staff", "manager", "corporate"], "status": ["active", "resigned", "terminated"]},
+          joined=["role_title_exists_in_rbac_when_filled"]),
+    Suite("corporate_master", "guests", ["guest_id"], [], {"loyalty_tier": ["none", "Silver", "Gold", "Platinum"]},
+          [Custom("email_format_when_filled", f"email IS NOT NULL AND email != '' AND NOT (email rlike '{EMAIL_RE}')",
+                  f"email IS NOT NULL AND email != '' AND NOT regexp_matches(email, '{EMAIL_RE}')")]),
+    Suite("corporate_master", "role_permissions", ["role_title", "data_domain", "access_scope", "permission_type"], [],
+          {"access_scope": ["own_property", "all_properties"], "permission_type": ["read"],
+           "data_domain": ["reservation", "fnb", "facility", "spa_event", "hr", "financial", "properties_ref",
+                           "employees_directory", "guests_pii", "guests_profile"]},
+          joined=["role_domain_combo_unique"]),
+    Suite("reservation_revenue", "bookings", ["booking_id", "property_id", "guest_id", "status"], ["booking_id"],
+          {"room_type": ["Standard", "Deluxe", "Suite", "Villa"],
+           "status": ["confirmed", "cancelled", "no-show", "completed"]},
+          [Custom("total_amount_matches_rate_x_nights", "total_amount != room_rate * nights"),
+           Custom("check_out_after_check_in", "check_out_date <= check_in_date"),
+           Custom("booking_date_before_check_in", "booking_date > check_in_date"),
+           Custom("room_rate_non_negative", "room_rate < 0 OR total_amount < 0"),
+           Custom("villa_only_in_p01_p04_p05", "room_type = 'Villa' AND property_id NOT IN ('P01', 'P04', 'P05')")]),
+    Suite("reservation_revenue", "daily_occupancy", ["property_id", "room_type", "date", "occupancy_rate"], [], {},
+          [Custom("occupancy_rate_between_0_and_1", "occupancy_rate < 0 OR occupancy_rate > 1"),
+           Custom("rooms_sold_not_exceed_available", "rooms_sold > total_rooms_available")]),
+    Suite("reservation_revenue", "pricing_history", ["property_id", "room_type", "date", "base_rate", "applied_rate"],
+          [], {"reason": ["manual", "promo", "dynamic-pricing-AI"]},
+          [Custom("rates_non_negative", "base_rate < 0 OR applied_rate < 0")]),
+    Suite("fnb_operations", "fnb_outlets", ["outlet_id", "property_id", "outlet_name", "outlet_type"], ["outlet_id"],
+          {"outlet_type": ["Restaurant", "Bar", "Room Service"]}),
+    Suite("fnb_operations", "recipe_bom", ["item_name", "ingredient_id", "qty_per_portion"], [], {},
+          [Custom("qty_per_portion_positive", "qty_per_portion <= 0")]),
+    Suite("fnb_operations", "ingredient_price_history", ["ingredient_id", "date", "unit_cost"], [], {},
+          [Custom("unit_cost_positive", "unit_cost <= 0")]),
+    Suite("fnb_operations", "fnb_transactions",
+          ["transaction_id", "outlet_id", "customer_type", "transaction_datetime", "item_name"], [],
+          {"customer_type": ["inhouse", "walk-in"], "category": ["Food", "Beverage", "Dessert"]},
+          [Custom("total_price_matches_unit_price_x_qty", "total_price != unit_price * quantity"),
+           Custom("inhouse_must_have_guest_id", "customer_type = 'inhouse' AND (guest_id IS NULL OR guest_id = '')"),
+           Custom("quantity_positive", "quantity <= 0"),
+           Custom("unit_price_non_negative", "unit_price < 0")]),
+    Suite("fnb_operations", "fnb_waste_log", ["waste_id", "outlet_id", "date", "ingredient_id", "reason"],
+          ["waste_id"], {"reason": ["overproduction", "expired", "spillage"]},
+          [Custom("quantity_wasted_positive", "quantity_wasted <= 0")]),
+    Suite("fnb_operations", "fnb_inventory", ["ingredient_id", "outlet_id", "ingredient_name", "unit"], [],
+          {"unit": ["kg", "liter", "pcs"]}, [Custom("stock_current_non_negative", "stock_current < 0")]),
+    Suite("facility_maintenance", "rooms", ["room_id", "property_id", "room_type"], ["room_id"],
+          {"room_type": ["Standard", "Deluxe", "Suite", "Villa"],
+           "status": ["available", "occupied", "cleaning", "maintenance", "out-of-order"]}),
+    Suite("facility_maintenance", "housekeeping_log", ["log_id", "room_id", "date", "staff_id", "status"], ["log_id"],
+          {"status": ["completed", "delayed"]},
+          [Custom("cleaning_end_after_start", "cleaning_end_time <= cleaning_start_time")]),
+    Suite("facility_maintenance", "maintenance_tickets",
+          ["ticket_id", "property_id", "facility_area", "issue_type", "reported_date", "status", "priority"],
+          ["ticket_id"], {"status": ["open", "in-progress", "resolved"],
+                          "priority": ["low", "medium", "high", "critical"]},
+          [Custom("cost_non_negative", "cost < 0"),
+           Custom("resolved_date_after_reported", "resolved_date IS NOT NULL AND resolved_date < reported_date")]),
+    Suite("spa_event", "venues", ["venue_id", "property_id", "venue_name", "venue_type", "max_capacity"], ["venue_id"],
+          {"venue_type": ["Ballroom", "Meeting Room", "Outdoor"]},
+          [Custom("max_capacity_positive", "max_capacity <= 0")]),
+    Suite("spa_event", "spa_bookings", ["spa_booking_id", "property_id", "customer_type", "service_name", "status"],
+          ["spa_booking_id"], {"customer_type": ["inhouse", "walk-in"],
+                               "status": ["confirmed", "cancelled", "completed"],
+                               "duration_minutes": [45, 60, 90, 120]},
+          [Custom("service_date_not_before_booking_date", "service_date < booking_date")]),
+    Suite("spa_event", "event_bookings", ["event_id", "property_id", "venue_id", "event_type", "event_date", "status"],
+          ["event_id"], {"event_type": ["Wedding", "Corporate Meeting", "Conference", "Gala Dinner",
+                                        "Product Launch", "Training/Workshop"],
+                         "status": ["completed", "cancelled", "confirmed"]},
+          joined=["capacity_not_exceed_venue_max", "no_duplicate_venue_per_day"]),
+    Suite("hr_finance", "staff_shifts", ["shift_id", "employee_id", "date", "shift_type", "status"], ["shift_id"],
+          {"shift_type": ["Morning", "Afternoon", "Night"], "status": ["present", "late", "absent", "leave"]}),
+    Suite("hr_finance", "employee_performance", ["review_id", "employee_id", "review_period", "score"],
+          ["review_id"], {}, [Custom("score_in_valid_range", "score < 1.0 OR score > 5.0")]),
+    Suite("hr_finance", "payroll", ["payroll_id", "employee_id", "period", "base_salary", "net_salary"],
+          ["payroll_id"], {},
+          [Custom("base_salary_positive", "base_salary <= 0"),
+           Custom("net_salary_matches_formula",
+                  "net_salary != base_salary + service_charge + overtime_pay + thr - deduction")]),
+    Suite("hr_finance", "financial_summary",
+          ["property_id", "period", "department", "departmental_revenue", "departmental_expense"], [],
+          {"department": ["Room", "F&B", "Spa&Event", "Overall", "Corporate Overhead"]},
+          [Custom("gop_zero_except_overall_and_corporate_overhead",
+                  "department NOT IN ('Overall', 'Corporate Overhead') AND (gop != 0 OR undistributed_expense != 0)")]),
+]
+SUITES_BY_TABLE = {s.table: s for s in SUITES}
+
+RESULT_COLS = ["suite_name", "schema_name", "table_name", "expectation_type", "expectation_detail", "success",
+               "unexpected_count", "unexpected_percent"]
+
+
+def _lit_list(vals) -> str:
+    return ", ".join(repr(v) if not isinstance(v, str) else "'" + v.replace("'", "''") + "'" for v in vals)
+
+
+def _in_set_detail(col, vals):
+    return f"{col} in {vals!r}"
+
+
+def _row(suite: Suite, etype: str, detail: str, unexpected: F.Column, denom: F.Column | None) -> F.Column:
+    pct = (F.round(unexpected.cast("double") * 100.0 / F.nullif(denom, F.lit(0)).cast("double"), 6)
+           if denom is not None else F.lit(None).cast("double"))
+    return F.struct(F.lit(suite.name).alias("suite_name"), F.lit(suite.schema).alias("schema_name"),
+                    F.lit(suite.table).alias("table_name"), F.lit(etype).alias("expectation_type"),
+                    F.lit(detail).alias("expectation_detail"), (unexpected == 0).alias("success"),
+                    unexpected.cast("bigint").alias("unexpected_count"), pct.alias("unexpected_percent"))
+
+
+def single_pass_checks(df: DataFrame, suite: Suite) -> DataFrame | None:
+    """All null / in-set / row-predicate counts in one aggregation."""
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    rows = []
+    for i, c in enumerate(suite.not_null):
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"__nn{i}"))
+        rows.append((NOT_NULL, c, f"__nn{i}", "__n"))
+    for i, (c, vals) in enumerate(suite.accepted.items()):
+        aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(vals)).alias(f"__in{i}"))
+        aggs.append(F.count(F.col(c)).alias(f"__inn{i}"))
+        rows.append((IN_SET, _in_set_detail(c, vals), f"__in{i}", f"__inn{i}"))
+    for i, r in enumerate(suite.custom):
+        aggs.append(F.count_if(F.expr(r.spark)).alias(f"__cu{i}"))
+        rows.append((ROWS, r.name, f"__cu{i}", None))
+    if not rows:
+        return None
+    one = df.agg(*aggs)
+    structs = [_row(suite, t, d, F.col(u), F.col(n) if n else None) for t, d, u, n in rows]
+    return one.select(F.inline(F.array(*structs)))
+
+
+def unique_check(df: DataFrame, suite: Suite, col: str) -> DataFrame:
+    """Rows whose non-null key occurs more than once (map-side combined count)."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__c"))
+    one = counts.agg(F.coalesce(F.sum(F.when(F.col("__c") > 1, F.col("__c"))), F.lit(0)).alias("__u"),
+                     F.coalesce(F.sum("__c"), F.lit(0)).alias("__nn"))
+    return one.select(F.inline(F.array(_row(suite, UNIQUE, col, F.col("__u"), F.col("__nn")))))
+
+
+# ---- rules that read another table (subqueries in the reference) -----------
+def _role_title_in_rbac(t):
+    e = t["src_employees"].where(F.col("role_title").isNotNull() & (F.col("role_title") != ""))
+    roles = t["src_role_permissions"].select("role_title").distinct()
+    return e.join(roles, "role_title", "left_anti")
+
+
+def _role_domain_dup(t):
+    rp = t["src_role_permissions"]
+    dup = rp.groupBy("role_title", "data_domain").count().where("count > 1").drop("count")
+    return rp.join(dup, ["role_title", "data_domain"], "left_semi")
+
+
+def _capacity_over_max(t):
+    v = t["src_venues"].select("venue_id", "max_capacity")
+    return t["src_event_bookings"].join(v, "venue_id").where(F.col("capacity_booked") > F.col("max_capacity"))
+
+
+def _venue_day_dup(t):
+    eb = t["src_event_bookings"]
+    dup = eb.groupBy("venue_id", "event_date").count().where("count > 1").drop("count")
+    return eb.join(dup, ["venue_id", "event_date"], "left_semi")
+
+
+JOIN_RULES = {
+    "role_title_exists_in_rbac_when_filled": (
+        _role_title_in_rbac,
+        "role_title IS NOT NULL AND role_title != '' AND role_title NOT IN "
+        "(SELECT DISTINCT role_title FROM src_role_permissions)"),
+    "role_domain_combo_unique": (
+        _role_domain_dup,
+        "(role_title, data_domain) IN (SELECT role_title, data_domain FROM src_role_permissions "
+        "GROUP BY role_title, data_domain HAVING count(*) > 1)"),
+    "capacity_not_exceed_venue_max": (
+        _capacity_over_max,
+        "capacity_booked > (SELECT max_capacity FROM src_venues v WHERE v.venue_id = x.venue_id)"),
+    "no_duplicate_venue_per_day": (
+        _venue_day_dup,
+        "(venue_id, event_date) IN (SELECT venue_id, event_date FROM src_event_bookings "
+        "GROUP BY venue_id, event_date HAVING count(*) > 1)"),
+}
+
+
+def join_rule_check(t, suite: Suite, name: str) -> DataFrame:
+    viol = JOIN_RULES[name][0](t)
+    one = viol.agg(F.count(F.lit(1)).alias("__v"))
+    return one.select(F.inline(F.array(_row(suite, ROWS, name, F.col("__v"), None))))
+
+
+def run_suite(t, suite: Suite, prefix: str = "src_") -> DataFrame:
+    df = t[f"{prefix}{suite.table}"]
+    parts = [p for p in [single_pass_checks(df, suite)] if p is not None]
+    parts += [unique_check(df, suite, c) for c in suite.unique]
+    parts += [join_rule_check(t, suite, r) for r in suite.joined]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_all(t, suites=SUITES) -> DataFrame:
+    """One result row per expectation over all suites."""
+    return reduce(DataFrame.unionByName, [run_suite(t, s) for s in suites])
+
+
+# ---- oracle text of the same suites ----------------------------------------
+def _sql_row(s: Suite, etype, detail, unexpected, denom, src):
+    pct = (f"round(cast({unexpected} AS double) * 100.0 / nullif({denom}, 0), 6)" if denom
+           else "cast(NULL AS double)")
+    d = detail.replace("'", "''")
+    return (f"SELECT '{s.name}' AS suite_name, '{s.schema}' AS schema_name, '{s.table}' AS table_name, "
+            f"'{etype}' AS expectation_type, '{d}' AS expectation_detail, ({unexpected}) = 0 AS success, "
+            f"cast({unexpected} AS bigint) AS unexpected_count, {pct} AS unexpected_percent FROM {src}")
+
+
+def suite_sql(s: Suite) -> list[str]:
+    src = f"src_{s.table} x"
+    out = [_sql_row(s, NOT_NULL, c, f"count_if({c} IS NULL)", "count(*)", src) for c in s.not_null]
+    out += [_sql_row(s, IN_SET, _in_set_detail(c, v), f"count_if({c} IS NOT NULL AND {c} NOT IN ({_lit_list(v)}))",
+                     f"count({c})", src) for c, v in s.accepted.items()]
+    out += [_sql_row(s, ROWS, r.name, f"count_if({r.duck or r.spark})", None, src) for r in s.custom]
+    for c in s.unique:
+        out.append(_sql_row(
+            s, UNIQUE, c, "coalesce(sum(CASE WHEN n > 1 THEN n END), 0)", "sum(n)",
+            f"(SELECT {c}, count(*) AS n FROM src_{s.table} WHERE {c} IS NOT NULL GROUP BY {c}) g"))
+    for r in s.joined:
+        out.append(_sql_row(s, ROWS, r, f"count_if({JOIN_RULES[r][1]})", None, src))
+    return out
+
+
+def results_sql(suites=SUITES) -> str:
+    return "\nUNION ALL\n".join(q for s in suites for q in suite_sql(s))
+
+
+@model("dq_results", "ops", results_sql(), tags=("dq",))
+def dq_results(m):
+    return run_all(m)
+
+
+# ---- singular tests G7-G10: rows returned are failures ---------------------
+@model("dq_assert_bookings_total_amount_non_negative", "ops",
+       "SELECT * FROM bookings WHERE total_amount < 0", tags=("dq",))
+def dq_assert_bookings_total_amount_non_negative(m):
+    return m["bookings"].where(F.col("total_amount") < 0)
+
+
+@model("dq_assert_daily_occupancy_rate_valid_range", "ops",
+       "SELECT * FROM daily_occupancy WHERE occupancy_rate < 0 OR occupancy_rate > 1", tags=("dq",))
+def dq_assert_daily_occupancy_rate_valid_range(m):
+    return m["daily_occupancy"].where((F.col("occupancy_rate") < 0) | (F.col("occupancy_rate") > 1))
+
+
+@model("dq_assert_payroll_net_salary_positive", "ops", "SELECT * FROM payroll WHERE net_salary <= 0", tags=("dq",))
+def dq_assert_payroll_net_salary_positive(m):
+    return m["payroll"].where(F.col("net_salary") <= 0)
+
+
+@model("dq_assert_gop_no_double_counting", "ops", """SELECT f.property_id, f.period_date,
+  f.gop_margin_pct AS fact_gop_margin_pct, round(s.m, 6) AS source_gop_margin_pct,
+  round(abs(f.gop_margin_pct - s.m), 6) AS diff
+FROM fact_financial_overall_monthly f JOIN (
+  SELECT property_id, cast(strptime(period, '%Y-%m') AS date) AS period_date, gop / nullif(departmental_revenue, 0) AS m
+  FROM financial_summary WHERE department IN ('Overall', 'Corporate Overhead')) s
+  ON f.property_id = s.property_id AND f.period_date = s.period_date
+WHERE abs(f.gop_margin_pct - s.m) > 0.001""", tags=("dq",))
+def dq_assert_gop_no_double_counting(m):
+    f = m["fact_financial_overall_monthly"]
+    src = (m["financial_summary"].where(F.col("department").isin("Overall", "Corporate Overhead"))
+           .select("property_id", F.to_date("period", "yyyy-MM").alias("period_date"),
+                   F.try_divide(F.col("gop").cast("double"), F.col("departmental_revenue").cast("double"))
+                   .alias("__m")))
+    j = f.join(src, ["property_id", "period_date"])
+    diff = F.abs(F.col("gop_margin_pct") - F.col("__m"))
+    return j.where(diff > 0.001).select("property_id", "period_date",
+                                        F.col("gop_margin_pct").alias("fact_gop_margin_pct"),
+                                        F.round("__m", 6).alias("source_gop_margin_pct"),
+                                        F.round(diff, 6).alias("diff"))
+
+
+def dq_failure_alerts(results: DataFrame, run_date) -> DataFrame:
+    """One alert per failed expectation; critical when rows violate it."""
+    failed = results.where(~F.col("success"))
+    return failed.select(
+        "schema_name", "table_name", F.lit("dq_test_failure").alias("alert_type"),
+        F.when(F.coalesce(F.col("unexpected_count"), F.lit(0)) > 0, "critical").otherwise("warning").alias("severity"),
+        F.concat(F.col("expectation_type"), F.lit(" :: "), F.col("expectation_detail"), F.lit(" (unexpected="),
+                 F.coalesce(F.col("unexpected_count").cast("string"), F.lit("None")), F.lit(")")).alias("detail"),
+        F.lit(run_date).alias("snapshot_date"))
+
+
+@model("dq_alerts", "ops", """SELECT schema_name, table_name, 'dq_test_failure' AS alert_type,
+  CASE WHEN coalesce(unexpected_count, 0) > 0 THEN 'critical' ELSE 'warning' END AS severity,
+  expectation_type || ' :: ' || expectation_detail || ' (unexpected=' || coalesce(cast(unexpected_count AS varchar), 'None')
+    || ')' AS detail,
+  DATE '""" + DEFAULT_AS_OF.isoformat() + """' AS snapshot_date
+FROM dq_results WHERE NOT success""", tags=("dq",))
+def dq_alerts(m):
+    return dq_failure_alerts(m["dq_results"], m.as_of)
