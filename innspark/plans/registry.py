@@ -89,6 +89,7 @@ def _load_all():
                                     facts_fnb, facts_hr, facts_reservation, facts_spa_event,
                                     ml, monitor, views)
     from innspark.sources import sources  # noqa: F401
+    from innspark.streaming import streams  # noqa: F401
 
 
 def models(layer: str | None = None) -> dict[str, Model]:
