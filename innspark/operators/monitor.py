@@ -647,24 +647,41 @@ def latest_run_per_stage(run_log: DataFrame, run_date) -> DataFrame:
             .withColumn("ran_today", F.to_date("started_at") == F.lit(run_date)))
 
 
-# Alert type -> pipeline stage (observation point) it belongs to.
-ALERT_STAGE = {"volume_anomaly": 1, "freshness": 1, "dq_test_failure": 3, "dirty_drift": 3, "value_outlier": 3,
-               "schema_drift": 1, "ml_output_stale": 5, "ml_output_incomplete": 5, "warehouse_volume": 6,
-               "parity_mismatch": 10, "swap_duration": 10, "orphan_table": 10}
+# Fixed values: (alert type, schema or None for any, pipeline stage it belongs to).
+ALERT_STAGE = [
+    ("warehouse_volume_anomaly", "raw_production", 1), ("warehouse_volume_anomaly", "mart_cleaned", 2),
+    ("warehouse_volume_anomaly", "mart_aggregated", 6), ("dbt_test_failure", "mart_cleaned", 3),
+    ("dbt_test_failure", "mart_aggregated", 7), ("ml_output_incomplete_scoring", None, 4),
+    ("ml_output_freshness_delay", None, 5), ("serving_swap_slow", "mart_aggregated", 8),
+    ("serving_swap_slow", "mart_cleaned", 9), ("reverse_etl_mismatch", None, 10),
+    ("serving_swap_orphan_table", None, 10), ("pipeline_dependency_gap", None, 1),
+]
+# The stage dependency edges (stage, depends on).
+STAGE_EDGES = [(2, 1), (3, 2), (4, 2), (5, 4), (6, 2), (6, 5), (7, 6), (8, 6), (9, 2), (10, 8), (10, 9)]
+
+
+def stage_of_alert():
+    m = None
+    for a, sch, st in ALERT_STAGE:
+        cond = F.col("alert_type") == a
+        if sch is not None:
+            cond = cond & (F.col("schema_name") == sch)
+        m = F.when(cond, st) if m is None else m.when(cond, st)
+    return m
 
 
 def stage_events(alerts: DataFrame, runs: DataFrame, tests: DataFrame, as_of) -> DataFrame:
     """today's events per stage: mapped alerts, failed runs, failed tests."""
-    m = None
-    for k, v in ALERT_STAGE.items():
-        m = F.when(F.col("alert_type") == k, v) if m is None else m.when(F.col("alert_type") == k, v)
     a = alerts.where(F.col("snapshot_date") == F.lit(as_of)).select(
-        m.alias("titik_id"), F.lit("alert").alias("source"), F.col("alert_type").alias("detail"))
+        stage_of_alert().alias("titik_id"), F.lit("alert").alias("event_source"),
+        F.col("alert_type").alias("detail"))
     r = runs.where((F.to_date("started_at") == F.lit(as_of)) & (F.col("status") == "failure")).select(
-        "titik_id", F.lit("run_failed").alias("source"), F.col("step_name").alias("detail"))
+        "titik_id", F.lit("pipeline_run").alias("event_source"),
+        F.concat(F.lit("stage "), F.col("titik_id").cast("string"), F.lit(" failed: "), F.col("workflow_name"))
+        .alias("detail"))
     t = tests.where((F.to_date("captured_at") == F.lit(as_of)) & F.col("status").isin("fail", "error")).select(
-        F.when(F.col("layer") == "aggregated", 7).otherwise(3).alias("titik_id"),
-        F.lit("test_failed").alias("source"), F.col("test_name").alias("detail"))
+        F.when(F.col("layer") == "mart_cleaned", 3).when(F.col("layer") == "mart_aggregated", 7).alias("titik_id"),
+        F.lit("dbt_test").alias("event_source"), F.col("test_name").alias("detail"))
     return a.unionByName(r).unionByName(t).where(F.col("titik_id").isNotNull())
 
 
