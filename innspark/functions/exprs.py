@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,14 +132,51 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def group_total(df: DataFrame, keys: list[str], value: str, alias: str, fn=F.sum) -> DataFrame:
-    """Attach ``fn(value)`` over the group ``keys`` to every row.
-
-    Same result as ``fn(value).over(Window.partitionBy(keys))`` but computed as
-    a partial aggregation joined back, so a hot group never lands in a single
-    window task; nulls in ``keys`` form one group as in a window partition.
-    """
-    totals = df.groupBy(*keys).agg(fn(value).alias(alias))
-    return null_safe_join(df, totals, keys, "left")
+    """Attach ``fn(value)`` over the group ``keys`` to every row (a window
+    partition aggregate; nulls in ``keys`` form one group).
+
+    Used on already-aggregated rows only (facts at day/outlet grain), where a
+    partition holds one row per dimension member, so it costs one small
+    exchange and never re-reads the input — a groupBy joined back would
+    evaluate the whole upstream plan twice."""
+    return df.withColumn(alias, fn(value).over(Window.partitionBy(*keys)))
+
+
+def shift_values(df: DataFrame, keys: list[str], date_col: str, values: list[str],
+                 shifts: dict[str, int]) -> DataFrame:
+    """Attach, for every row, ``values`` of the row exactly N months earlier
+    (S4: month ends clamp, 31 Mar -> 29 Feb; gaps give null; null keys never
+    match), for several N at once — e.g. {"mom_": 1, "yoy_": 12}.
+
+    Same result as a self join per shift on (keys, add_months(date, -N)), but
+    in ONE shuffle: each row is also emitted at the future dates whose
+    N-months-earlier day it is (one date, or up to four for a month end), the
+    copies are unioned with the current rows and grouped by (keys, date).
+    The input is evaluated once instead of once per join side. Requires one
+    row per (keys, date) among rows with non-null keys — true for the
+    aggregated facts this is used on."""
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys + [date_col]])
+    cur = df.where(keyed)
+    out_cols = [f"{p}{v}" for p in shifts for v in values]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    parts = [cur.select(*keys, F.col(date_col).alias("__d"), F.struct(*df.columns).alias("__row"),
+                        *[F.lit(None).cast(types[v]).alias(f"{p}{v}") for p in shifts for v in values])]
+    for p, n in shifts.items():
+        first = F.add_months(F.col(date_col), n)
+        cand = F.when(F.col(date_col) == F.last_day(F.col(date_col)),
+                      F.sequence(first, F.last_day(first))).otherwise(F.array(first))
+        target = F.filter(cand, lambda t: F.add_months(t, -n) == F.col(date_col))
+        parts.append(cur.select(*keys, F.explode(target).alias("__d"), F.lit(None).alias("__row"),
+                                *[(F.col(v) if q == p else F.lit(None).cast(types[v])).alias(f"{q}{v}")
+                                  for q in shifts for v in values]))
+    parts[1:] = [x.withColumn("__row", F.col("__row").cast(parts[0].schema["__row"].dataType)) for x in parts[1:]]
+    u = reduce(DataFrame.unionByName, parts)
+    g = u.groupBy(*keys, "__d").agg(F.first("__row", ignorenulls=True).alias("__row"),
+                                    *[F.first(c, ignorenulls=True).alias(c) for c in out_cols])
+    matched = g.where(F.col("__row").isNotNull()).select("__row.*", *out_cols)
+    rest = df.where(~keyed).select("*", *[F.lit(None).cast(types[c[len(p):]]).alias(c)
+                                          for p in shifts for c in [f"{p}{v}" for v in values]])
+    return matched.unionByName(rest)
 
 
 def shift_join(cur: DataFrame, keys: list[str], date_col: str, values: list[str], months: int,

@@ -102,8 +102,7 @@ def fact_maintenance_cost_daily(m):
         F.sum(F.when(has_parts, F.col("cost")).otherwise(0)).alias("cost_with_parts"),
         F.sum(F.when(~has_parts, F.col("cost")).otherwise(0)).alias("cost_without_parts"))
     keys = ["property_id", "issue_type_id"]
-    g = X.shift_join(a, keys, "period_date", ["total_cost"], 1, "mom_")
-    g = X.shift_join(g, keys, "period_date", ["total_cost"], 12, "yoy_")
+    g = X.shift_values(a, keys, "period_date", ["total_cost"], {"mom_": 1, "yoy_": 12})
     return X.finish(g.select("property_id", "issue_type_id", "period_date", "total_cost", "cost_with_parts",
                              "cost_without_parts",
                              (F.col("total_cost") - F.col("mom_total_cost")).alias("mom_cost_growth"),

@@ -88,19 +88,25 @@ LEFT JOIN rg ON r.property_id = rg.property_id AND r.period_date = rg.period_dat
 LEFT JOIN lt ON r.property_id = lt.property_id AND r.period_date = lt.period_date"""
 
 
-def repeat_guest_rate(bookings):
-    """Share of a day's bookings that are not the guest's first booking.
-
-    Equivalent to ``row_number() over (partition by guest order by
-    booking_date, booking_id) > 1`` but skew-proof: each guest's first booking
-    is a partial aggregation (min of a struct), joined back by guest id.
-    """
-    b = bookings.where(F.col("guest_id").isNotNull())
-    first = b.groupBy("guest_id").agg(F.min(F.struct("booking_date", "booking_id")).alias("__first"))
-    b = b.join(first, "guest_id")
-    is_repeat = F.struct("booking_date", "booking_id") != F.col("__first")
+def booking_day_stats(bookings):
+    """Per (property, check-in day): repeat-guest share and lead times, in one
+    pass over the bookings.
+
+    "Repeat" = not the guest's first booking in (booking_date, booking_id)
+    order, i.e. ``row_number() over (partition by guest ...) > 1`` — computed
+    skew-proof: each guest's first booking is a partial aggregation (min of a
+    struct) joined back by guest id, so a guest with millions of bookings is
+    never one window partition. Bookings without a guest stay out of the
+    repeat share but count for lead times."""
+    g = bookings.where(F.col("guest_id").isNotNull())
+    first = g.groupBy("guest_id").agg(F.min(F.struct("booking_date", "booking_id")).alias("__first"))
+    b = X.left_join_skip_null_keys(bookings, first, "guest_id")
+    has_guest = F.col("guest_id").isNotNull()
+    is_repeat = has_guest & (F.struct("booking_date", "booking_id") != F.col("__first"))
+    lead = F.datediff("check_in_date", "booking_date")
     return (b.groupBy("property_id", F.col("check_in_date").alias("period_date"))
-            .agg(X.safe_div(F.count_if(is_repeat), F.count(F.lit(1))).alias("repeat_guest_rate")))
+            .agg(X.safe_div(F.count_if(is_repeat), F.count_if(has_guest)).alias("repeat_guest_rate"),
+                 F.avg(lead).alias("avg_lead_time_days"), X.median(lead).alias("median_lead_time_days")))
 
 
 @model("fact_revenue_property_daily", "fact", D2_SQL, tags=("reservation",))
@@ -111,8 +117,7 @@ def fact_revenue_property_daily(m):
         X.safe_div(F.sum("revenue"), F.sum("rooms_sold")).alias("adr"),
         X.safe_div(F.sum("revenue"), F.sum("total_rooms_available")).alias("revpar"))
     vals = ["occupancy_rate", "adr", "revpar"]
-    g = X.shift_join(pd, ["property_id"], "period_date", vals, 1, "mom_")
-    g = X.shift_join(g, ["property_id"], "period_date", vals, 12, "yoy_")
+    g = X.shift_values(pd, ["property_id"], "period_date", vals, {"mom_": 1, "yoy_": 12})
     for v, short in (("occupancy_rate", "occupancy"), ("adr", "adr"), ("revpar", "revpar")):
         g = (g.withColumn(f"mom_{short}_growth", F.col(v) - F.col(f"mom_{v}"))
               .withColumn(f"yoy_{short}_growth", F.col(v) - F.col(f"yoy_{v}")))
@@ -120,12 +125,8 @@ def fact_revenue_property_daily(m):
     g = (g.withColumn("revpar_rank_group", F.rank().over(day.orderBy(F.desc_nulls_last("revpar"))))
           .withColumn("adr_rank_group", F.rank().over(day.orderBy(F.desc_nulls_last("adr"))))
           .withColumn("occupancy_rank_group", F.rank().over(day.orderBy(F.desc_nulls_last("occupancy_rate")))))
-    sold = sold_bookings(m)
-    rg = repeat_guest_rate(sold)
-    lead = F.datediff("check_in_date", "booking_date")
-    lt = (sold.groupBy("property_id", F.col("check_in_date").alias("period_date"))
-          .agg(F.avg(lead).alias("avg_lead_time_days"), X.median(lead).alias("median_lead_time_days")))
-    out = g.join(rg, ["property_id", "period_date"], "left").join(lt, ["property_id", "period_date"], "left")
+    stats = booking_day_stats(sold_bookings(m))
+    out = g.join(stats, ["property_id", "period_date"], "left")
     return X.finish(out.select(
         "property_id", "period_date", "avg_lead_time_days", "median_lead_time_days",
         "mom_occupancy_growth", "yoy_occupancy_growth", "mom_adr_growth", "yoy_adr_growth",
