@@ -342,3 +342,141 @@ def dq_failure_alerts(results: DataFrame, run_date) -> DataFrame:
 FROM dq_results WHERE NOT success""", tags=("dq",))
 def dq_alerts(m):
     return dq_failure_alerts(m["dq_results"], m.as_of)
+
+
+# ---------------------------------------------------------------------------
+# Mart test declarations, derived by rule from the model registry
+# ---------------------------------------------------------------------------
+RELATIONSHIP = "relationships"
+# FK column -> (parent dimension, parent key)
+FOREIGN_KEYS = {"property_id": ("dim_property", "property_id"),
+                "department_id": ("dim_department", "department_id"),
+                "access_level_id": ("dim_access_level", "access_level_id"),
+                "outlet_type_id": ("dim_outlet_type", "outlet_type_id"),
+                "room_type_id": ("dim_room_type", "room_type_id"),
+                "venue_type_id": ("dim_venue_type", "venue_type_id")}
+# The canonical departments after cleaning.
+CANONICAL_DEPARTMENTS = ["Corporate", "F&B", "Facility", "Finance", "Housekeeping", "HR", "Revenue", "Spa&Event"]
+_PERIOD_COLS = ("period_date", "stay_date", "year", "review_period", "target_date")
+
+
+@dataclass
+class MartTest:
+    model: str
+    kind: str          # not_null | unique | accepted | relationship
+    column: str
+    arg: object = None
+
+
+def mart_tests(columns_of: dict[str, list[str]]) -> list[MartTest]:
+    """Dimensions: key unique + not null, FKs related to their parents;
+    facts: grain entity + period not null, property related to dim_property."""
+    out = []
+    for name, cols in columns_of.items():
+        key = cols[0]
+        if name.startswith("dim_"):
+            out += [MartTest(name, "unique", key), MartTest(name, "not_null", key)]
+            for c in cols[1:]:
+                if c in FOREIGN_KEYS and FOREIGN_KEYS[c][0] != name:
+                    out.append(MartTest(name, RELATIONSHIP, c, FOREIGN_KEYS[c]))
+            if name == "dim_department":
+                out.append(MartTest(name, "accepted", "department_name", CANONICAL_DEPARTMENTS))
+        else:
+            out.append(MartTest(name, "not_null", key))
+            period = next((c for c in _PERIOD_COLS if c in cols), None)
+            if period and period != key:
+                out.append(MartTest(name, "not_null", period))
+            if "property_id" in cols:
+                out.append(MartTest(name, RELATIONSHIP, "property_id", FOREIGN_KEYS["property_id"]))
+    return out
+
+
+def _mart_row(t: MartTest, unexpected: F.Column) -> F.Column:
+    detail = t.column if t.kind != RELATIONSHIP else f"{t.column} -> {t.arg[0]}.{t.arg[1]}"
+    if t.kind == "accepted":
+        detail = _in_set_detail(t.column, t.arg)
+    return F.struct(F.lit(t.model).alias("model"), F.lit(t.kind).alias("test"), F.lit(detail).alias("detail"),
+                    (unexpected == 0).alias("success"), unexpected.cast("bigint").alias("failures"))
+
+
+def run_mart_tests(t, tests: list[MartTest]) -> DataFrame:
+    """G1-G4 over published models: one aggregation per model for null and
+    accepted-value checks, grouped counts for uniqueness, anti joins for
+    relationships (non-null child keys missing from the parent)."""
+    parts = []
+    by_model: dict[str, list[MartTest]] = {}
+    for x in tests:
+        by_model.setdefault(x.model, []).append(x)
+    for name, ts in by_model.items():
+        df = t[name]
+        simple = [x for x in ts if x.kind in ("not_null", "accepted")]
+        if simple:
+            aggs = [F.count_if(F.col(x.column).isNull()) if x.kind == "not_null" else
+                    F.count_if(F.col(x.column).isNotNull() & ~F.col(x.column).isin(x.arg)) for x in simple]
+            one = df.agg(*[a.alias(f"__c{i}") for i, a in enumerate(aggs)])
+            parts.append(one.select(F.inline(F.array(*[_mart_row(x, F.col(f"__c{i}"))
+                                                        for i, x in enumerate(simple)]))))
+        for x in ts:
+            if x.kind == "unique":
+                c = df.where(F.col(x.column).isNotNull()).groupBy(x.column).agg(F.count(F.lit(1)).alias("__n"))
+                one = c.agg(F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("__u"))
+                parts.append(one.select(F.inline(F.array(_mart_row(x, F.col("__u"))))))
+            elif x.kind == RELATIONSHIP:
+                parent, pkey = x.arg
+                keys = t[parent].select(F.col(pkey).alias(x.column)).distinct()
+                orphans = df.where(F.col(x.column).isNotNull()).join(keys, x.column, "left_anti")
+                one = orphans.agg(F.count(F.lit(1)).alias("__o"))
+                parts.append(one.select(F.inline(F.array(_mart_row(x, F.col("__o"))))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def mart_tests_sql(tests: list[MartTest]) -> str:
+    qs = []
+    for x in tests:
+        detail = x.column if x.kind != RELATIONSHIP else f"{x.column} -> {x.arg[0]}.{x.arg[1]}"
+        if x.kind == "not_null":
+            cnt, src = f"count_if({x.column} IS NULL)", x.model
+        elif x.kind == "accepted":
+            detail = _in_set_detail(x.column, x.arg)
+            cnt, src = f"count_if({x.column} IS NOT NULL AND {x.column} NOT IN ({_lit_list(x.arg)}))", x.model
+        elif x.kind == "unique":
+            cnt = "coalesce(sum(CASE WHEN n > 1 THEN n END), 0)"
+            src = f"(SELECT {x.column}, count(*) AS n FROM {x.model} WHERE {x.column} IS NOT NULL GROUP BY 1) g"
+        else:
+            cnt = "count(*)"
+            src = (f"{x.model} c WHERE c.{x.column} IS NOT NULL AND c.{x.column} NOT IN "
+                   f"(SELECT {x.arg[1]} FROM {x.arg[0]} WHERE {x.arg[1]} IS NOT NULL)")
+        d = detail.replace("'", "''")
+        qs.append(f"SELECT '{x.model}' AS model, '{x.kind}' AS test, '{d}' AS detail, ({cnt}) = 0 AS success, "
+                  f"cast({cnt} AS bigint) AS failures FROM {src}")
+    return "\nUNION ALL\n".join(qs)
+
+
+# dimension columns (output order) of the published dims, for the rule above
+DIM_COLUMNS = {
+    "dim_property": ["property_id", "property_name", "region", "opening_date"],
+    "dim_employee": ["employee_id", "property_id", "full_name", "department_id", "access_level_id"],
+    "dim_outlet": ["outlet_id", "outlet_name", "property_id", "outlet_type_id"],
+    "dim_room": ["room_id", "property_id", "room_type_id"],
+    "dim_venue": ["venue_id", "venue_name", "property_id", "venue_type_id", "max_capacity"],
+    "dim_ingredient": ["ingredient_id"], "dim_menu_item": ["item_name"],
+    "dim_customer_type": ["customer_type_id", "customer_type_name"],
+}
+
+
+def _dim_columns():
+    from innspark.operators.dims import SURROGATE_DIMS
+    cols = dict(DIM_COLUMNS)
+    for d, _src, _c, idc, nm in SURROGATE_DIMS:
+        cols[d] = [idc, nm]
+    return cols
+
+
+DIM_TESTS = mart_tests(_dim_columns())
+
+
+@model("dq_mart_dimension_results", "ops", mart_tests_sql(DIM_TESTS), tags=("dq",))
+def dq_mart_dimension_results(m):
+    """G12 over the 26 data-derived dimensions (the fixed two-row
+    nationality-group literal has no data to test)."""
+    return run_mart_tests(m, DIM_TESTS)

@@ -875,3 +875,119 @@ def alert_rule_counts(alerts: DataFrame, drift: DataFrame, as_of) -> DataFrame:
     a = alerts.where(F.col("snapshot_date") == F.lit(as_of)).agg(F.count(F.lit(1)).alias("alerts_last_day"))
     d = drift.where(F.col("status") == "pending").agg(F.count(F.lit(1)))
     return a.select("alerts_last_day", d.scalar().alias("pending_drift"))
+
+
+# ---------------------------------------------------------------------------
+# H32 alert log, H33/H34 dashboard panels (all over monitoring tables)
+# ---------------------------------------------------------------------------
+ALERT_LOG_SCHEMA = ("schema_name string, table_name string, alert_type string, severity string, detail string, "
+                    "snapshot_date date, triggered_at timestamp, is_simulated boolean")
+
+
+def alert_rows(spark, rows: list[tuple]) -> DataFrame:
+    """Alerts in the log's fixed schema (append-only table)."""
+    return spark.createDataFrame(rows, ALERT_LOG_SCHEMA)
+
+
+def _latest_per(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Latest row per key as a partial aggregation (max of an ordered struct)."""
+    rest = [c for c in df.columns if c not in keys and c != order]
+    s = df.groupBy(*keys).agg(F.max(F.struct(order, *rest)).alias("__l"))
+    return s.select(*keys, "__l.*")
+
+
+def panel_pending_drift(drift: DataFrame) -> DataFrame:
+    return drift.where(F.col("status") == "pending").groupBy("schema_name", "table_name").agg(
+        F.count(F.lit(1)).alias("pending_events"), F.max("severity").alias("max_severity"))
+
+
+def panel_status_by_priority(status: DataFrame, spark, tables=MON_TABLES) -> DataFrame:
+    pr = spark.createDataFrame([(s, t, p) for s, t, p, *_ in tables], "schema_name string, table_name string, "
+                                                                       "priority string")
+    return (status.join(F.broadcast(pr), ["schema_name", "table_name"], "left")
+            .groupBy("priority", "baseline_status").agg(F.count(F.lit(1)).alias("tables")))
+
+
+def panel_dq_last_run(results: DataFrame) -> DataFrame:
+    """Pass/fail per table on each table's latest DQ run."""
+    last = results.groupBy("schema_name", "table_name").agg(F.max("run_date").alias("run_date"))
+    r = results.join(last, ["schema_name", "table_name", "run_date"])
+    return r.groupBy("schema_name", "table_name", "run_date").agg(
+        F.count_if(F.col("success")).alias("passed"), F.count_if(~F.col("success")).alias("failed"))
+
+
+def panel_dq_failures(results: DataFrame) -> DataFrame:
+    last = results.groupBy("schema_name", "table_name").agg(F.max("run_date").alias("run_date"))
+    return results.join(last, ["schema_name", "table_name", "run_date"]).where(~F.col("success"))
+
+
+def panel_latest_dirty(history: DataFrame) -> DataFrame:
+    return _latest_per(history, ["schema_name", "table_name", "column_name"], "snapshot_date")
+
+
+def panel_latest_outlier(history: DataFrame) -> DataFrame:
+    latest = _latest_per(history, ["schema_name", "table_name", "column_name"], "snapshot_date")
+    return latest.withColumn("outlier_pct", F.round(F.col("outlier_count") * 100.0 / F.col("row_count"), 3))
+
+
+def panel_stage_status(run_log: DataFrame, run_date) -> DataFrame:
+    return latest_run_per_stage(run_log, run_date).select("titik_id", "status", "started_at", "ran_today")
+
+
+def panel_gate_last_run(tests: DataFrame) -> DataFrame:
+    last = tests.groupBy("layer").agg(F.max("captured_at").alias("captured_at"))
+    return tests.join(last, ["layer", "captured_at"]).groupBy("layer", "captured_at").agg(
+        F.count_if(F.col("status") == "pass").alias("passed"),
+        F.count_if(F.col("status").isin("fail", "error")).alias("failed"))
+
+
+def panel_volume_alerts(alerts: DataFrame, limit: int = 20) -> DataFrame:
+    return (alerts.where(F.col("alert_type").isin("volume_anomaly", "warehouse_volume_anomaly"))
+            .orderBy(F.desc("snapshot_date"), F.desc_nulls_last("triggered_at"), "table_name").limit(limit))
+
+
+def panel_ml_health(freshness: DataFrame, missing: DataFrame, versions: DataFrame) -> DataFrame:
+    f = freshness.select(F.lit("freshness").alias("check"), "model_name",
+                         F.col("severity"), F.col("lag_hours").cast("string").alias("detail"))
+    m = missing.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("completeness").alias("check"), F.lit(None).cast("string").alias("model_name"),
+        F.when(F.col("n") > 0, "critical").alias("severity"), F.col("n").cast("string").alias("detail"))
+    v = versions.where("is_most_recent").select(
+        F.lit("model_version").alias("check"), "model_name", F.lit(None).cast("string").alias("severity"),
+        F.col("model_version").alias("detail"))
+    return f.unionByName(m).unionByName(v)
+
+
+def panel_swap_top(sync_log: DataFrame, limit: int = 30) -> DataFrame:
+    return sync_log.orderBy(F.desc_nulls_last("swap_duration_ms"), "table_name").limit(limit)
+
+
+def panel_storage_per_schema(storage: DataFrame) -> DataFrame:
+    return storage.groupBy("schema_name").agg(F.sum("total_size_bytes").alias("total_size_bytes"),
+                                              F.count(F.lit(1)).alias("tables"),
+                                              F.count_if(F.col("is_orphan")).alias("orphans"))
+
+
+def panel_latency_24h(log: DataFrame, now: dt.datetime) -> DataFrame:
+    since = F.lit(now - dt.timedelta(hours=24)).cast("timestamp_ntz")
+    recent = log.where((F.col("requested_at") >= since) & F.col("duration_ms").isNotNull())
+    return recent.agg(F.count(F.lit(1)).alias("requests"),
+                      F.percentile(F.col("duration_ms"), [0.5, 0.95, 0.99]).alias("p50_p95_p99"))
+
+
+# ---------------------------------------------------------------------------
+# H13 warehouse volume over the layers, table list taken from the registry
+# ---------------------------------------------------------------------------
+def _layer_tables():
+    from innspark.operators.clean import CLEANED_TABLES
+    from innspark.sources.fixtures import SOURCE_TABLES
+    return {"raw_production": [f"src_{t}" for t in SOURCE_TABLES], "mart_cleaned": list(CLEANED_TABLES)}
+
+
+@model("monitor_warehouse_volume", "ops", lambda: "\nUNION ALL\n".join(
+    f"SELECT '{layer}' AS dataset_name, '{t}' AS table_name, DATE '{_AS_OF}' AS snapshot_date, "
+    f"count(*) AS row_count, cast(dayofweek(DATE '{_AS_OF}') AS bigint) AS day_of_week FROM {t}"
+    for layer, ts in _layer_tables().items() for t in ts), tags=("monitor",))
+def monitor_warehouse_volume(m):
+    """Row counts of every raw and cleaned table."""
+    return X.finish(layer_volume(m, _layer_tables(), m.as_of))

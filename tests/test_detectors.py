@@ -137,3 +137,27 @@ def test_orphans_and_rule_counts(spark):
         "schema_name string, table_name string, snapshot_date date"))
     a = M.orphan_alerts(st).collect()
     assert len(a) == 1 and a[0].orphan_count == 2 and a[0].detail == "s.a__old, s.b__old"
+
+
+def test_dashboard_panels(spark):
+    alerts = M.alert_rows(spark, [
+        ("s", "a", "volume_anomaly", "critical", "x", TEST_DATE, dt.datetime(2026, 8, 3, 1), False),
+        ("s", "b", "freshness_delay", "warning", "y", TEST_DATE, dt.datetime(2026, 8, 3, 2), False),
+        ("s", "c", "volume_anomaly", "warning", "z", TEST_DATE - dt.timedelta(days=1), None, False)])
+    act = M.panel_active_alerts(alerts, TEST_DATE).collect()
+    assert [r.table_name for r in act] == ["a", "b"]
+    assert [r.table_name for r in M.panel_volume_alerts(alerts).collect()] == ["a", "c"]
+    dq = spark.createDataFrame([("s", "t", TEST_DATE, True), ("s", "t", TEST_DATE, False),
+                                ("s", "t", TEST_DATE - dt.timedelta(days=1), False)],
+                               "schema_name string, table_name string, run_date date, success boolean")
+    r = M.panel_dq_last_run(dq).collect()
+    assert (r[0].passed, r[0].failed) == (1, 1)
+    assert M.panel_dq_failures(dq).count() == 1
+    hist = spark.createDataFrame([("s", "t", "c", TEST_DATE - dt.timedelta(days=1), 5, 100),
+                                  ("s", "t", "c", TEST_DATE, 7, 100)],
+                                 "schema_name string, table_name string, column_name string, snapshot_date date, "
+                                 "outlier_count long, row_count long")
+    assert M.panel_latest_outlier(hist).first().outlier_pct == 7.0
+    counts = M.alert_rule_counts(alerts, spark.createDataFrame([("pending",), ("acknowledged",)], "status string"),
+                                 TEST_DATE).first()
+    assert (counts.alerts_last_day, counts.pending_drift) == (2, 1)
