@@ -158,7 +158,7 @@ def fact_maintenance_technician_daily(m):
   pr.priority_id, t.reported_date AS period_date, count(*) AS new_ticket_count,
   round(avg(CASE WHEN t.status = 'resolved' THEN date_diff('hour', cast(t.reported_date AS timestamp),
     cast(t.resolved_date AS timestamp)) END), 6) AS avg_sla_duration_hours,
-  count_if(t.status IN ('open', 'in-progress')) AS pending_count
+  cast(count_if(t.status IN ('open', 'in-progress')) AS bigint) AS pending_count
 FROM maintenance_tickets t
 LEFT JOIN dim_facility_area fa ON t.facility_area = fa.facility_area_name
 LEFT JOIN dim_issue_type it ON t.issue_type = it.issue_type_name

@@ -24,9 +24,9 @@ def _shifts_with_employee(m, cols):
   SELECT e.property_id, d.department_id, s.date AS period_date, s.status, {OVERTIME_SQL} AS overtime_hours
   FROM staff_shifts s LEFT JOIN employees e ON s.employee_id = e.employee_id
   LEFT JOIN dim_department d ON e.department = d.department_name)
-SELECT property_id, department_id, period_date, count_if(status = 'present') AS present_count,
-  count_if(status = 'late') AS late_count, count_if(status = 'leave') AS leave_count,
-  count_if(status = 'absent') AS absent_count, round(sum(overtime_hours), 6) AS overtime_hours_total
+SELECT property_id, department_id, period_date, cast(count_if(status = 'present') AS bigint) AS present_count,
+  cast(count_if(status = 'late') AS bigint) AS late_count, cast(count_if(status = 'leave') AS bigint) AS leave_count,
+  cast(count_if(status = 'absent') AS bigint) AS absent_count, round(sum(overtime_hours), 6) AS overtime_hours_total
 FROM s GROUP BY 1, 2, 3""", tags=("hr",))
 def fact_hr_attendance_daily(m):
     s = _shifts_with_employee(m, ["property_id", "department"])

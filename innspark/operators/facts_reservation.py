@@ -136,8 +136,8 @@ def fact_revenue_property_daily(m):
 
 @model("fact_revenue_channel_daily", "fact", f"""SELECT b.property_id, c.channel_id, b.check_in_date AS period_date,
   cast(sum(CASE WHEN b.status IN ('completed', 'confirmed') THEN b.total_amount ELSE 0 END) AS bigint) AS revenue,
-  count(*) AS bookings_count, count_if(b.status = 'cancelled') AS cancellations_count,
-  count_if(b.status = 'no-show') AS no_shows_count
+  count(*) AS bookings_count, cast(count_if(b.status = 'cancelled') AS bigint) AS cancellations_count,
+  cast(count_if(b.status = 'no-show') AS bigint) AS no_shows_count
 FROM bookings b LEFT JOIN dim_channel c ON b.booking_channel = c.channel_name GROUP BY 1, 2, 3""",
        tags=("reservation",))
 def fact_revenue_channel_daily(m):

@@ -388,7 +388,7 @@ def dirty_proportion(t, snapshot_date, columns=DIRTY_COLUMNS, prefix="src_") ->
 
 @model("monitor_dirty_proportion", "ops", "\nUNION ALL\n".join(
     f"SELECT '{sc}' AS schema_name, '{tb}' AS table_name, '{c}' AS column_name, DATE '{_AS_OF}' AS snapshot_date, "
-    f"count(*) AS total_rows, count_if({p}) AS dirty_rows, "
+    f"count(*) AS total_rows, cast(count_if({p}) AS bigint) AS dirty_rows, "
     f"round(CASE WHEN count(*) > 0 THEN count_if({p}) * 100.0 / count(*) ELSE 0.0 END, 2) AS dirty_pct FROM src_{tb}"
     for sc, tb, c, p, _b in DIRTY_COLUMNS), tags=("monitor",))
 def monitor_dirty_proportion(m):
@@ -439,7 +439,8 @@ _DD_SQL = "\nUNION ALL\n".join(
     f"SELECT '{sc}' AS schema_name, '{tb}' AS table_name, '{c}' AS column_name, cast({d} AS date) AS snapshot_date, "
     f"round(count_if({_dirty_pred(tb, c)}) * 100.0 / count(*), 2) AS dirty_pct FROM src_{tb} GROUP BY 4"
     for sc, tb, c, d in DIRTY_DAILY)
-_BOOT_VALUES = ", ".join(f"('{sc}', '{tb}', '{c}', {_bootstrap(tb, c)})" for sc, tb, c, _d in DIRTY_DAILY)
+_BOOT_VALUES = ", ".join(f"('{sc}', '{tb}', '{c}', cast({_bootstrap(tb, c)} AS double))"
+                        for sc, tb, c, _d in DIRTY_DAILY)
 
 
 @model("monitor_dirty_drift", "ops", f"""WITH h AS ({_DD_SQL}),
@@ -817,7 +818,7 @@ def monitor_slowest_requests(m):
 
 
 @model("monitor_daily_requests", "ops", """SELECT cast(requested_at AS date) AS request_date, count(*) AS request_count,
-  count_if(status = 'denied') AS denied_count, round(count_if(status = 'denied') * 100.0 / count(*), 2) AS denied_pct
+  cast(count_if(status = 'denied') AS bigint) AS denied_count, round(count_if(status = 'denied') * 100.0 / count(*), 2) AS denied_pct
 FROM src_chatbot_query_log GROUP BY 1""", tags=("monitor",))
 def monitor_daily_requests(m):
     """Daily request volume and denied share."""

@@ -87,7 +87,7 @@ _CLOSED = "window_end <= (SELECT max(requested_at) - INTERVAL 1 HOUR FROM src_ch
 
 model("stream_daily_requests", "ops", f"""SELECT * FROM (
   SELECT date_trunc('day', requested_at) AS window_start, date_trunc('day', requested_at) + INTERVAL 1 DAY AS window_end,
-    count(*) AS request_count, count_if(status = 'denied') AS denied_count
+    count(*) AS request_count, cast(count_if(status = 'denied') AS bigint) AS denied_count
   FROM src_chatbot_query_log GROUP BY 1, 2) x WHERE {_CLOSED}""", tags=("stream",))(
     lambda m: run_daily_requests(m.spark, m.sf_dir))
 
