@@ -170,7 +170,7 @@ def shift_values(df: DataFrame, keys: list[str], date_col: str, values: list[str
                                 *[(F.col(v) if q == p else F.lit(None).cast(types[v])).alias(f"{q}{v}")
                                   for q in shifts for v in values]))
     parts[1:] = [x.withColumn("__row", F.col("__row").cast(parts[0].schema["__row"].dataType)) for x in parts[1:]]
-    u = reduce(DataFrame.unionByName, parts)
+    u = union_all(parts)
     g = u.groupBy(*keys, "__d").agg(F.first("__row", ignorenulls=True).alias("__row"),
                                     *[F.first(c, ignorenulls=True).alias(c) for c in out_cols])
     matched = g.where(F.col("__row").isNotNull()).select("__row.*", *out_cols)
@@ -220,3 +220,18 @@ def left_join_skip_null_keys(df: DataFrame, other: DataFrame, key: str) -> DataF
     for c in right_cols:
         unmatched = unmatched.withColumn(c, F.lit(None).cast(other.schema[c].dataType))
     return matched.unionByName(unmatched.select(*matched.columns))
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """Union by name as a balanced tree: each DataFrame call re-analyses its
+    whole plan, so a left-deep chain of n unions costs O(n^2) analysis while a
+    balanced one costs O(n log n). The executed plan is the same flat Union."""
+    parts = list(parts)
+    if not parts:
+        raise ValueError("nothing to union")
+    while len(parts) > 1:
+        nxt = [parts[i].unionByName(parts[i + 1]) for i in range(0, len(parts) - 1, 2)]
+        if len(parts) % 2:
+            nxt.append(parts[-1])
+        parts = nxt
+    return parts[0]

@@ -11,11 +11,12 @@ reference's result table.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from innspark.functions import exprs as X
+
 from innspark.plans.registry import DEFAULT_AS_OF, model
 
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -149,34 +150,42 @@ def _in_set_detail(col, vals):
     return f"{col} in {vals!r}"
 
 
-def _row(suite: Suite, etype: str, detail: str, unexpected: F.Column, denom: F.Column | None) -> F.Column:
-    pct = (F.round(unexpected.cast("double") * 100.0 / F.nullif(denom, F.lit(0)).cast("double"), 6)
-           if denom is not None else F.lit(None).cast("double"))
-    return F.struct(F.lit(suite.name).alias("suite_name"), F.lit(suite.schema).alias("schema_name"),
-                    F.lit(suite.table).alias("table_name"), F.lit(etype).alias("expectation_type"),
-                    F.lit(detail).alias("expectation_detail"), (unexpected == 0).alias("success"),
-                    unexpected.cast("bigint").alias("unexpected_count"), pct.alias("unexpected_percent"))
+def _sql_lit(v) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _row(suite: Suite, etype: str, detail: str, unexpected: str, denom: str | None) -> str:
+    """One result row as a SQL ``named_struct`` over the aggregate's columns
+    (built as text: one expression per suite instead of dozens of Column calls)."""
+    pct = (f"round(cast({unexpected} AS double) * 100.0 / cast(nullif({denom}, 0) AS double), 6)"
+           if denom is not None else "cast(NULL AS double)")
+    return (f"named_struct('suite_name', {_sql_lit(suite.name)}, 'schema_name', {_sql_lit(suite.schema)}, "
+            f"'table_name', {_sql_lit(suite.table)}, 'expectation_type', {_sql_lit(etype)}, "
+            f"'expectation_detail', {_sql_lit(detail)}, 'success', {unexpected} = 0, "
+            f"'unexpected_count', cast({unexpected} AS bigint), 'unexpected_percent', {pct})")
+
+
+def _inline(rows: list[str]) -> str:
+    return f"inline(array({', '.join(rows)}))"
 
 
 def single_pass_checks(df: DataFrame, suite: Suite) -> DataFrame | None:
     """All null / in-set / row-predicate counts in one aggregation."""
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs = ["count(1) AS __n"]
     rows = []
     for i, c in enumerate(suite.not_null):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"__nn{i}"))
-        rows.append((NOT_NULL, c, f"__nn{i}", "__n"))
+        aggs.append(f"count_if({c} IS NULL) AS __nn{i}")
+        rows.append(_row(suite, NOT_NULL, c, f"__nn{i}", "__n"))
     for i, (c, vals) in enumerate(suite.accepted.items()):
-        aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(vals)).alias(f"__in{i}"))
-        aggs.append(F.count(F.col(c)).alias(f"__inn{i}"))
-        rows.append((IN_SET, _in_set_detail(c, vals), f"__in{i}", f"__inn{i}"))
+        aggs.append(f"count_if({c} IS NOT NULL AND NOT {c} IN ({_lit_list(vals)})) AS __in{i}")
+        aggs.append(f"count({c}) AS __inn{i}")
+        rows.append(_row(suite, IN_SET, _in_set_detail(c, vals), f"__in{i}", f"__inn{i}"))
     for i, r in enumerate(suite.custom):
-        aggs.append(F.count_if(F.expr(r.spark)).alias(f"__cu{i}"))
-        rows.append((ROWS, r.name, f"__cu{i}", None))
+        aggs.append(f"count_if({r.spark}) AS __cu{i}")
+        rows.append(_row(suite, ROWS, r.name, f"__cu{i}", None))
     if not rows:
         return None
-    one = df.agg(*aggs)
-    structs = [_row(suite, t, d, F.col(u), F.col(n) if n else None) for t, d, u, n in rows]
-    return one.select(F.inline(F.array(*structs)))
+    return df.agg(*[F.expr(a) for a in aggs]).selectExpr(_inline(rows))
 
 
 def unique_check(df: DataFrame, suite: Suite, col: str) -> DataFrame:
@@ -184,7 +193,7 @@ def unique_check(df: DataFrame, suite: Suite, col: str) -> DataFrame:
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__c"))
     one = counts.agg(F.coalesce(F.sum(F.when(F.col("__c") > 1, F.col("__c"))), F.lit(0)).alias("__u"),
                      F.coalesce(F.sum("__c"), F.lit(0)).alias("__nn"))
-    return one.select(F.inline(F.array(_row(suite, UNIQUE, col, F.col("__u"), F.col("__nn")))))
+    return one.selectExpr(_inline([_row(suite, UNIQUE, col, "__u", "__nn")]))
 
 
 # ---- rules that read another table (subqueries in the reference) -----------
@@ -233,7 +242,7 @@ JOIN_RULES = {
 def join_rule_check(t, suite: Suite, name: str) -> DataFrame:
     viol = JOIN_RULES[name][0](t)
     one = viol.agg(F.count(F.lit(1)).alias("__v"))
-    return one.select(F.inline(F.array(_row(suite, ROWS, name, F.col("__v"), None))))
+    return one.selectExpr(_inline([_row(suite, ROWS, name, "__v", None)]))
 
 
 def run_suite(t, suite: Suite, prefix: str = "src_") -> DataFrame:
@@ -241,12 +250,12 @@ def run_suite(t, suite: Suite, prefix: str = "src_") -> DataFrame:
     parts = [p for p in [single_pass_checks(df, suite)] if p is not None]
     parts += [unique_check(df, suite, c) for c in suite.unique]
     parts += [join_rule_check(t, suite, r) for r in suite.joined]
-    return reduce(DataFrame.unionByName, parts)
+    return X.union_all(parts)
 
 
 def run_all(t, suites=SUITES) -> DataFrame:
     """One result row per expectation over all suites."""
-    return reduce(DataFrame.unionByName, [run_suite(t, s) for s in suites])
+    return X.union_all([run_suite(t, s) for s in suites])
 
 
 # ---- oracle text of the same suites ----------------------------------------
@@ -427,7 +436,7 @@ def run_mart_tests(t, tests: list[MartTest]) -> DataFrame:
                 orphans = df.where(F.col(x.column).isNotNull()).join(keys, x.column, "left_anti")
                 one = orphans.agg(F.count(F.lit(1)).alias("__o"))
                 parts.append(one.select(F.inline(F.array(_mart_row(x, F.col("__o"))))))
-    return reduce(DataFrame.unionByName, parts)
+    return X.union_all(parts)
 
 
 def mart_tests_sql(tests: list[MartTest]) -> str:

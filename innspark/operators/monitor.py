@@ -82,7 +82,7 @@ _AS_OF = DEFAULT_AS_OF.isoformat()
 
 
 def _union(parts):
-    return reduce(DataFrame.unionByName, parts)
+    return X.union_all(parts)
 
 
 def _dow(c):

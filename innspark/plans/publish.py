@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 import fnmatch
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from innspark.functions import exprs as X
 from innspark.plans import storage
 from innspark.plans.registry import Mart, models
 
@@ -103,7 +103,7 @@ def not_null_gate(columns: dict[str, list[str]]):
         if not parts:
             return next(iter(staged.values())).sparkSession.createDataFrame(
                 [], "model string, column string, success boolean")
-        return reduce(DataFrame.unionByName, parts)
+        return X.union_all(parts)
     return gate
 
 

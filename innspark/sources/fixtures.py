@@ -22,8 +22,16 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                "benchmark", "labels", "conversations")
 
 
+_BASE_CACHE: dict[tuple, DataFrame] = {}
+
+
 def read_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. The DataFrame (file listing + footer schema) is reused per
+    session and folder; plans built on it stay lazy."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _BASE_CACHE:
+        _BASE_CACHE[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _BASE_CACHE[key]
 
 
 @dataclass(frozen=True)
