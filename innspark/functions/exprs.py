@@ -142,40 +142,49 @@ def group_total(df: DataFrame, keys: list[str], value: str, alias: str, fn=F.sum
     return df.withColumn(alias, fn(value).over(Window.partitionBy(*keys)))
 
 
+def _lands_on(d: Column, n: int):
+    # one-argument lambdas only: PySpark reads a second parameter as the index
+    return lambda t: F.add_months(t, -n) == d
+
+
+def _tagged(i: int):
+    return lambda t: F.struct(t.alias("d"), F.lit(i).alias("tag"))
+
+
 def shift_values(df: DataFrame, keys: list[str], date_col: str, values: list[str],
                  shifts: dict[str, int]) -> DataFrame:
     """Attach, for every row, ``values`` of the row exactly N months earlier
     (S4: month ends clamp, 31 Mar -> 29 Feb; gaps give null; null keys never
     match), for several N at once — e.g. {"mom_": 1, "yoy_": 12}.
 
-    Same result as a self join per shift on (keys, add_months(date, -N)), but
-    in ONE shuffle: each row is also emitted at the future dates whose
-    N-months-earlier day it is (one date, or up to four for a month end), the
-    copies are unioned with the current rows and grouped by (keys, date).
-    The input is evaluated once instead of once per join side. Requires one
-    row per (keys, date) among rows with non-null keys — true for the
-    aggregated facts this is used on."""
+    Same result as one self join per shift on (keys, add_months(date, -N)),
+    but the input is evaluated ONCE and shuffled ONCE: every row is exploded
+    into itself plus copies dated at the future days whose N-months-earlier
+    day it is (one date, up to four for a month end), and the copies are
+    grouped by (keys, date). A self join would evaluate the whole upstream
+    plan once per join side. Requires one row per (keys, date) among rows
+    with non-null keys — true for the aggregated facts it is used on."""
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys + [date_col]])
-    cur = df.where(keyed)
-    out_cols = [f"{p}{v}" for p in shifts for v in values]
+    d = F.col(date_col)
+    entries = [F.array(F.struct(d.alias("d"), F.lit(0).alias("tag")))]
+    for i, (_p, n) in enumerate(shifts.items(), start=1):
+        first = F.add_months(d, n)
+        cand = F.when(d == F.last_day(d), F.sequence(first, F.last_day(first))).otherwise(F.array(first))
+        hits = F.filter(cand, _lands_on(d, n))
+        entries.append(F.transform(hits, _tagged(i)))
     types = {f.name: f.dataType for f in df.schema.fields}
-    parts = [cur.select(*keys, F.col(date_col).alias("__d"), F.struct(*df.columns).alias("__row"),
-                        *[F.lit(None).cast(types[v]).alias(f"{p}{v}") for p in shifts for v in values])]
-    for p, n in shifts.items():
-        first = F.add_months(F.col(date_col), n)
-        cand = F.when(F.col(date_col) == F.last_day(F.col(date_col)),
-                      F.sequence(first, F.last_day(first))).otherwise(F.array(first))
-        target = F.filter(cand, lambda t: F.add_months(t, -n) == F.col(date_col))
-        parts.append(cur.select(*keys, F.explode(target).alias("__d"), F.lit(None).alias("__row"),
-                                *[(F.col(v) if q == p else F.lit(None).cast(types[v])).alias(f"{q}{v}")
-                                  for q in shifts for v in values]))
-    parts[1:] = [x.withColumn("__row", F.col("__row").cast(parts[0].schema["__row"].dataType)) for x in parts[1:]]
-    u = union_all(parts)
-    g = u.groupBy(*keys, "__d").agg(F.first("__row", ignorenulls=True).alias("__row"),
+    out_cols = [f"{p}{v}" for p in shifts for v in values]
+    e = df.where(keyed).select(F.struct(*df.columns).alias("__row"), *keys, *values,
+                               F.explode(F.concat(*entries)).alias("__e"))
+    tag = F.col("__e.tag")
+    shifted = [F.when(tag == i, F.col(v)).alias(f"{p}{v}")
+               for i, p in enumerate(shifts, start=1) for v in values]
+    e = e.select(*keys, F.col("__e.d").alias("__d"), F.when(tag == 0, F.col("__row")).alias("__row"), *shifted)
+    g = e.groupBy(*keys, "__d").agg(F.first("__row", ignorenulls=True).alias("__row"),
                                     *[F.first(c, ignorenulls=True).alias(c) for c in out_cols])
     matched = g.where(F.col("__row").isNotNull()).select("__row.*", *out_cols)
-    rest = df.where(~keyed).select("*", *[F.lit(None).cast(types[c[len(p):]]).alias(c)
-                                          for p in shifts for c in [f"{p}{v}" for v in values]])
+    rest = df.where(~keyed).select("*", *[F.lit(None).cast(types[v]).alias(f"{p}{v}")
+                                          for p in shifts for v in values])
     return matched.unionByName(rest)
 
 
