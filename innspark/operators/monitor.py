@@ -759,8 +759,8 @@ def monitor_ml_model_version(m):
     v = m["ml_predictions"].groupBy("model_name", "model_version").agg(
         F.min("scored_at").alias("first_scored_at"), F.max("scored_at").alias("last_scored_at"),
         F.count(F.lit(1)).alias("prediction_count"))
-    latest = v.groupBy("model_name").agg(F.max("last_scored_at").alias("__latest"))
-    v = v.join(latest, "model_name", "left")
+    # one row per model version: the per-model max is a small window
+    v = v.withColumn("__latest", F.max("last_scored_at").over(Window.partitionBy("model_name")))
     return v.select("model_name", "model_version", "first_scored_at", "last_scored_at", "prediction_count",
                     F.datediff(F.lit(m.as_of), F.to_date("first_scored_at")).cast("bigint")
                     .alias("days_since_first_score"),
@@ -992,3 +992,32 @@ def _layer_tables():
 def monitor_warehouse_volume(m):
     """Row counts of every raw and cleaned table."""
     return X.finish(layer_volume(m, _layer_tables(), m.as_of))
+
+
+# ---------------------------------------------------------------------------
+# H13/H19-H21 detectors over the monitoring logs (thin, keyed rolling_z)
+# ---------------------------------------------------------------------------
+def warehouse_volume_anomaly(history: DataFrame) -> DataFrame:
+    """Layer table counts against the previous 8 same-weekday snapshots."""
+    return rolling_z(history, ["dataset_name", "table_name", "day_of_week"], "snapshot_date", "row_count",
+                     VOLUME_WINDOW)
+
+
+def sensor_duration_anomaly(run_log: DataFrame, stage: int = 5) -> DataFrame:
+    """The ML sensor stage's run duration against its previous 8 runs."""
+    runs = run_log.where(F.col("titik_id") == stage).withColumn("duration_seconds",
+                                                               F.col("duration_seconds").cast("double"))
+    return rolling_z(runs, ["titik_id"], "started_at", "duration_seconds", VOLUME_WINDOW)
+
+
+def swap_duration_anomaly(sync_log: DataFrame) -> DataFrame:
+    """Swap duration per (dataset, table) against its previous 8 swaps."""
+    s = sync_log.where(F.col("swap_duration_ms").isNotNull())
+    return rolling_z(s, ["dataset_name", "table_name"], "synced_at", "swap_duration_ms", VOLUME_WINDOW,
+                     digits=2, scale=100)
+
+
+def connection_spike(snapshots: DataFrame) -> DataFrame:
+    """Concurrent connections against the previous 8 samples."""
+    return rolling_z(snapshots.withColumn("__series", F.lit("serving")), ["__series"], "snapshot_time",
+                     "active_connection_count", VOLUME_WINDOW).drop("__series")

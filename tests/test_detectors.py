@@ -161,3 +161,26 @@ def test_dashboard_panels(spark):
     counts = M.alert_rule_counts(alerts, spark.createDataFrame([("pending",), ("acknowledged",)], "status string"),
                                  TEST_DATE).first()
     assert (counts.alerts_last_day, counts.pending_drift) == (2, 1)
+
+
+def test_keyed_rolling_detectors(spark):
+    base = dt.datetime(2026, 8, 1)
+    sync = spark.createDataFrame(
+        [("mart", "t", "synced", base + dt.timedelta(hours=h), float(900 + (h % 3) * 10)) for h in range(8)]
+        + [("mart", "t", "synced", base + dt.timedelta(hours=9), 10518.7)],
+        "dataset_name string, table_name string, status string, synced_at timestamp, swap_duration_ms double")
+    last = M.swap_duration_anomaly(sync).orderBy(F.desc("synced_at")).first()
+    assert last.severity == "critical" and last.history_points == 8
+    conn = spark.createDataFrame([(base + dt.timedelta(minutes=5 * i), c) for i, c in
+                                  enumerate([2, 3, 2, 3, 2, 3, 2, 3, 30])],
+                                 "snapshot_time timestamp, active_connection_count int")
+    assert M.connection_spike(conn).orderBy(F.desc("snapshot_time")).first().severity == "critical"
+    runs = spark.createDataFrame([(5, base + dt.timedelta(days=i), d) for i, d in
+                                  enumerate([60, 62, 61, 59, 60, 61, 600])],
+                                 "titik_id int, started_at timestamp, duration_seconds int")
+    assert M.sensor_duration_anomaly(runs).orderBy(F.desc("started_at")).first().severity == "critical"
+    hist = spark.createDataFrame(
+        [("raw", "t", TEST_DATE - dt.timedelta(weeks=i), 1000 + i, 1) for i in range(1, 9)]
+        + [("raw", "t", TEST_DATE, 10000, 1)],
+        "dataset_name string, table_name string, snapshot_date date, row_count long, day_of_week int")
+    assert M.warehouse_volume_anomaly(hist).orderBy(F.desc("snapshot_date")).first().severity == "critical"
