@@ -217,18 +217,23 @@ def lookup(df: DataFrame, dim: DataFrame, on: str, dim_name: str, dim_id: str) -
 
 
 def left_join_skip_null_keys(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """Left join on ``key`` where rows with a null key bypass the shuffle.
-
-    Null keys can never match, but a hash-partitioned join would send all of
-    them (e.g. every walk-in with no guest id) to one task. They are unioned
-    back with null right-side columns instead.
-    """
-    right_cols = [c for c in other.columns if c != key]
-    matched = df.where(F.col(key).isNotNull()).join(other, key, "left")
-    unmatched = df.where(F.col(key).isNull())
-    for c in right_cols:
-        unmatched = unmatched.withColumn(c, F.lit(None).cast(other.schema[c].dataType))
-    return matched.unionByName(unmatched.select(*matched.columns))
+    """Left join on ``key`` where rows with a null key cannot pile up in one task.
+
+    Null keys never match, but hash partitioning would send all of them (e.g.
+    every walk-in without a guest id) to the same reducer. Each null key is
+    replaced by a distinct value no right-side key can equal (a NUL-prefixed
+    row id), which spreads those rows evenly and still matches nothing — one
+    pass over ``df``, no extra branch."""
+    if not isinstance(df.schema[key].dataType, T.StringType):
+        right_cols = [c for c in other.columns if c != key]
+        matched = df.where(F.col(key).isNotNull()).join(other, key, "left")
+        unmatched = df.where(F.col(key).isNull()).select(
+            "*", *[F.lit(None).cast(other.schema[c].dataType).alias(c) for c in right_cols])
+        return matched.unionByName(unmatched.select(*matched.columns))
+    salt = F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string"))
+    left = df.withColumn("__jk", F.coalesce(F.col(key), salt))
+    right = other.withColumnRenamed(key, "__jk")
+    return left.join(right, "__jk", "left").drop("__jk")
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

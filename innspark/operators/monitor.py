@@ -468,28 +468,31 @@ def monitor_dirty_drift(m):
 def value_anomaly(t, snapshot_date, columns=VALUE_COLUMNS, prefix="src_", accuracy=QUANTILE_ACCURACY) -> DataFrame:
     """Quartiles from a mergeable quantile sketch (bounded memory per column,
     partial aggregation on every task), then a second pass counting values
-    outside q1 - k*iqr .. q3 + k*iqr."""
+    outside q1 - k*iqr .. q3 + k*iqr. The quartiles are one scalar subquery,
+    referenced once and carried through the second aggregation, so each
+    column costs exactly two scans."""
     parts = []
     for sc, tb, c, flt in columns:
         df = t[f"{prefix}{tb}"]
         if flt:
             df = df.where(flt)
-        qs = df.agg(F.count(F.lit(1)).alias("row_count"),
-                    F.percentile_approx(F.col(c), [0.25, 0.5, 0.75], accuracy).alias("__q"))
-        qs = qs.select("row_count", F.col("__q")[0].cast("double").alias("q1"),
-                       F.col("__q")[1].cast("double").alias("median"), F.col("__q")[2].cast("double").alias("q3"))
-        qs = (qs.withColumn("iqr", F.col("q3") - F.col("q1"))
-              .withColumn("lower_fence", F.col("q1") - IQR_K * F.col("iqr"))
-              .withColumn("upper_fence", F.col("q3") + IQR_K * F.col("iqr")))
-        # the fences are a single row: read them as a scalar subquery
-        fence = qs.select(F.struct("lower_fence", "upper_fence")).scalar()
-        v = F.col(c)
-        outl = df.agg(F.count_if((v < fence.getField("lower_fence")) | (v > fence.getField("upper_fence"))))
-        parts.append(qs.select(
+        q = F.percentile_approx(F.col(c), [0.25, 0.5, 0.75], accuracy)
+        stats = df.agg(F.struct(F.count(F.lit(1)).alias("row_count"), q[0].cast("double").alias("q1"),
+                                q[1].cast("double").alias("median"), q[2].cast("double").alias("q3"))).scalar()
+        x = df.select(F.col(c).alias("__v"), stats.alias("__s"))
+        q1, q3 = F.col("__s.q1"), F.col("__s.q3")
+        lo, hi = q1 - IQR_K * (q3 - q1), q3 + IQR_K * (q3 - q1)
+        outl = x.agg(F.count_if((F.col("__v") < lo) | (F.col("__v") > hi)).alias("outlier_count"),
+                     F.max("__s").alias("__s"))
+        parts.append(outl.select(
             F.lit(sc).alias("schema_name"), F.lit(tb).alias("table_name"), F.lit(c).alias("column_name"),
-            F.lit(snapshot_date).alias("snapshot_date"), "q1", "median", "q3", "iqr", "lower_fence", "upper_fence",
-            outl.scalar().alias("outlier_count"), "row_count"))
-    return _union(parts)
+            F.lit(snapshot_date).alias("snapshot_date"), F.col("__s.q1").alias("q1"),
+            F.col("__s.median").alias("median"), F.col("__s.q3").alias("q3"),
+            (F.col("__s.q3") - F.col("__s.q1")).alias("iqr"),
+            (F.col("__s.q1") - IQR_K * (F.col("__s.q3") - F.col("__s.q1"))).alias("lower_fence"),
+            (F.col("__s.q3") + IQR_K * (F.col("__s.q3") - F.col("__s.q1"))).alias("upper_fence"),
+            "outlier_count", F.coalesce(F.col("__s.row_count"), F.lit(0)).alias("row_count")))
+    return X.union_all(parts)
 
 
 def _value_sql(sc, tb, c, flt):
