@@ -49,10 +49,11 @@ class Mart:
     """One build of the warehouse over one source folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF,
-                 overrides: dict[str, DataFrame] | None = None):
+                 overrides: dict[str, DataFrame] | None = None, published: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
+        self.published = published.rstrip("/") if published else None
         self._cache: dict[str, DataFrame] = dict(overrides or {})
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -60,9 +61,19 @@ class Mart:
             _load_all()
             if name not in MODELS:
                 raise KeyError(f"unknown model {name!r}")
-            self._cache[name] = MODELS[name].build(self)
+            self._cache[name] = self._published(name) or MODELS[name].build(self)
         return self._cache[name]
 
+    def _published(self, name: str) -> DataFrame | None:
+        """With ``published`` set, models already published under
+        ``<published>/live/<name>`` are read from storage instead of rebuilt —
+        the serving path: views and governed queries start at the published
+        fact scan, with their filters pushed into it."""
+        if not self.published or MODELS[name].layer not in ("dim", "fact", "cleaned"):
+            return None
+        from innspark.plans import storage
+        return storage.read_or_none(self.spark, f"{self.published}/live/{name}")
+
     def get(self, name: str) -> DataFrame:
         return self[name]
 

@@ -115,3 +115,29 @@ def test_read_run_results(spark, tmp_base):
     rows = P.read_run_results(spark, p, "mart_cleaned", NOW).collect()
     assert [(r.test_name, r.status, r.failures) for r in rows] == [
         ("not_null_bookings_booking_id", "pass", 0), ("unique_guests_guest_id", "fail", 3)]
+
+
+def test_views_read_published_tables(mart, tmp_base):
+    from innspark.plans.registry import Mart
+    names = ["dim_property", "dim_room_type", "fact_revenue_room_type_daily"]
+    assert P.publish(mart, names, tmp_base)["published"] == names
+    served = Mart(mart.spark, mart.sf_dir, published=tmp_base)
+    files = served["v_revenue_room_type_daily"].inputFiles()
+    assert any("live/fact_revenue_room_type_daily" in f for f in files)
+    assert not any(f.endswith("orders.parquet") for f in files)
+    a = sorted(tuple(r) for r in served["v_revenue_room_type_daily"].collect())
+    b = sorted(tuple(r) for r in mart["v_revenue_room_type_daily"].collect())
+    assert a == b
+
+
+def test_rule_derived_mart_tests_gate_facts(mart):
+    from innspark.operators import dq
+    cols = {n: mart[n].columns for n in ["fact_revenue_room_type_daily", "fact_fnb_outlet_daily"]}
+    tests = dq.mart_tests(cols)
+    kinds = {(t.model, t.kind, t.column) for t in tests}
+    assert ("fact_revenue_room_type_daily", "relationships", "property_id") in kinds
+    assert ("fact_fnb_outlet_daily", "not_null", "outlet_id") in kinds
+    res = {(r.model, r.test, r.detail): r.failures for r in dq.run_mart_tests(mart, tests).collect()}
+    assert res[("fact_revenue_room_type_daily", "not_null", "property_id")] == 0
+    # transactions of an outlet missing from the outlet master surface as null outlet ids
+    assert res[("fact_fnb_outlet_daily", "not_null", "outlet_id")] > 0
