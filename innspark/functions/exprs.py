@@ -163,7 +163,8 @@ def shift_values(df: DataFrame, keys: list[str], date_col: str, values: list[str
     day it is (one date, up to four for a month end), and the copies are
     grouped by (keys, date). A self join would evaluate the whole upstream
     plan once per join side. Requires one row per (keys, date) among rows
-    with non-null keys — true for the aggregated facts it is used on."""
+    with non-null keys — true for the aggregated facts it is used on; rows
+    with a null key or date pass through with null shifted values."""
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys + [date_col]])
     d = F.col(date_col)
     entries = [F.array(F.struct(d.alias("d"), F.lit(0).alias("tag")))]
@@ -172,20 +173,21 @@ def shift_values(df: DataFrame, keys: list[str], date_col: str, values: list[str
         cand = F.when(d == F.last_day(d), F.sequence(first, F.last_day(first))).otherwise(F.array(first))
         hits = F.filter(cand, _lands_on(d, n))
         entries.append(F.transform(hits, _tagged(i)))
-    types = {f.name: f.dataType for f in df.schema.fields}
     out_cols = [f"{p}{v}" for p in shifts for v in values]
-    e = df.where(keyed).select(F.struct(*df.columns).alias("__row"), *keys, *values,
-                               F.explode(F.concat(*entries)).alias("__e"))
+    # rows with a null key only pass through (their own one-row group, tagged
+    # by a row id); keyed rows also emit their shifted copies
+    uid = F.when(keyed, F.lit(None).cast("long")).otherwise(F.monotonically_increasing_id())
+    all_entries = F.when(keyed, F.concat(*entries)).otherwise(entries[0])
+    e = df.select(F.struct(*df.columns).alias("__row"), *keys, *values, uid.alias("__uid"),
+                  F.explode(all_entries).alias("__e"))
     tag = F.col("__e.tag")
     shifted = [F.when(tag == i, F.col(v)).alias(f"{p}{v}")
                for i, p in enumerate(shifts, start=1) for v in values]
-    e = e.select(*keys, F.col("__e.d").alias("__d"), F.when(tag == 0, F.col("__row")).alias("__row"), *shifted)
-    g = e.groupBy(*keys, "__d").agg(F.first("__row", ignorenulls=True).alias("__row"),
-                                    *[F.first(c, ignorenulls=True).alias(c) for c in out_cols])
-    matched = g.where(F.col("__row").isNotNull()).select("__row.*", *out_cols)
-    rest = df.where(~keyed).select("*", *[F.lit(None).cast(types[v]).alias(f"{p}{v}")
-                                          for p in shifts for v in values])
-    return matched.unionByName(rest)
+    e = e.select(*keys, "__uid", F.col("__e.d").alias("__d"), F.when(tag == 0, F.col("__row")).alias("__row"),
+                 *shifted)
+    g = e.groupBy(*keys, "__d", "__uid").agg(F.first("__row", ignorenulls=True).alias("__row"),
+                                             *[F.first(c, ignorenulls=True).alias(c) for c in out_cols])
+    return g.where(F.col("__row").isNotNull()).select("__row.*", *out_cols)
 
 
 def shift_join(cur: DataFrame, keys: list[str], date_col: str, values: list[str], months: int,
