@@ -30,10 +30,30 @@ def read_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     session and folder; plans built on it stay lazy."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _BASE_CACHE:
-        _BASE_CACHE[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        _BASE_CACHE[key] = spread(spark, spark.read.parquet(path), path)
     return _BASE_CACHE[key]
 
 
+# Inputs smaller than this are never redistributed.
+SPREAD_MIN_BYTES = 4 << 20
+
+
+def spread(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Guard against under-split inputs: a big file written as one Parquet row
+    group is read by ONE task, serialising every expression and partial
+    aggregate on top of it. When a non-trivial input yields fewer splits than
+    the cluster's parallelism, it is redistributed round-robin once. Inputs
+    with enough splits (any large table) are left untouched."""
+    par = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return df.repartition(par) if size >= SPREAD_MIN_BYTES else df
+
+
 @dataclass(frozen=True)
 class Derived:
     """One source table = projection (+ filter) of one test table."""
