@@ -109,13 +109,23 @@ def period_to_date(c) -> Column:
     return F.to_date(col(c), "yyyy-MM")
 
 
+def dround(c, digits: int) -> Column:
+    """Round a double to ``digits`` decimals as ``round(x * 10^d) / 10^d``
+    (half away from zero on the scaled binary value). Spark's ``round``
+    rounds the shortest decimal text instead, which differs on exact
+    decimal ties (0.4421875): published numbers use this one form so they
+    are bit-identical wherever they are recomputed."""
+    m = 10.0 ** digits
+    return F.round(col(c).cast("double") * m) / m
+
+
 def finish(df: DataFrame, scale: int = 6) -> DataFrame:
     """Published-column conventions: ratios rounded to ``scale`` decimals,
     integral columns widened to bigint (ids from row_number/rank, hours...)."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f.name), scale).alias(f.name))
+            out.append(dround(F.col(f.name), scale).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             out.append(F.col(f.name).cast("bigint").alias(f.name))
         else:

@@ -157,8 +157,8 @@ def _sql_lit(v) -> str:
 def _row(suite: Suite, etype: str, detail: str, unexpected: str, denom: str | None) -> str:
     """One result row as a SQL ``named_struct`` over the aggregate's columns
     (built as text: one expression per suite instead of dozens of Column calls)."""
-    pct = (f"round(cast({unexpected} AS double) * 100.0 / cast(nullif({denom}, 0) AS double), 6)"
-           if denom is not None else "cast(NULL AS double)")
+    pct = (f"round(cast({unexpected} AS double) * 100.0 / cast(nullif({denom}, 0) AS double) * 1000000.0) "
+           f"/ 1000000.0" if denom is not None else "cast(NULL AS double)")
     return (f"named_struct('suite_name', {_sql_lit(suite.name)}, 'schema_name', {_sql_lit(suite.schema)}, "
             f"'table_name', {_sql_lit(suite.table)}, 'expectation_type', {_sql_lit(etype)}, "
             f"'expectation_detail', {_sql_lit(detail)}, 'success', {unexpected} = 0, "
@@ -328,8 +328,8 @@ def dq_assert_gop_no_double_counting(m):
     diff = F.abs(F.col("gop_margin_pct") - F.col("__m"))
     return j.where(diff > 0.001).select("property_id", "period_date",
                                         F.col("gop_margin_pct").alias("fact_gop_margin_pct"),
-                                        F.round("__m", 6).alias("source_gop_margin_pct"),
-                                        F.round(diff, 6).alias("diff"))
+                                        X.dround("__m", 6).alias("source_gop_margin_pct"),
+                                        X.dround(diff, 6).alias("diff"))
 
 
 def dq_failure_alerts(results: DataFrame, run_date) -> DataFrame:

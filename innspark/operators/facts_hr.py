@@ -116,17 +116,27 @@ def fact_hr_turnover_snapshot(m):
         X.safe_div(F.count_if(F.col("status") != "active"), F.count(F.lit(1))).alias("turnover_rate")))
 
 
+def _expanding_mean(c: str, w):
+    """Mean of the previous months' rates, summed in 1e-12 fixed point so the
+    result does not depend on summation order (engine, partitioning)."""
+    fixed = F.round(F.col(c) * 1e12).cast("bigint")
+    return F.try_divide(F.sum(fixed).over(w), F.count(fixed).over(w)) / 1e12
+
+
 @model("fact_hr_watchlist_monthly", "fact", """WITH mo AS (
   SELECT employee_id, cast(date_trunc('month', date) AS date) AS period_date,
     count_if(status = 'absent') / count(*) AS absence_rate, count_if(status = 'late') / count(*) AS late_rate
   FROM staff_shifts GROUP BY 1, 2),
-b AS (SELECT employee_id, period_date, absence_rate AS ca,
-  avg(absence_rate) OVER (PARTITION BY employee_id ORDER BY period_date
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ba,
-  late_rate AS cl,
-  avg(late_rate) OVER (PARTITION BY employee_id ORDER BY period_date
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS bl
-  FROM mo)
+w AS (SELECT *,
+  sum(cast(round(absence_rate * 1e12) AS bigint)) OVER (PARTITION BY employee_id ORDER BY period_date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sa,
+  sum(cast(round(late_rate * 1e12) AS bigint)) OVER (PARTITION BY employee_id ORDER BY period_date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sl,
+  count(*) OVER (PARTITION BY employee_id ORDER BY period_date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS k
+  FROM mo),
+b AS (SELECT employee_id, period_date, absence_rate AS ca, sa / nullif(k, 0) / 1e12 AS ba,
+  late_rate AS cl, sl / nullif(k, 0) / 1e12 AS bl FROM w)
 SELECT employee_id, period_date, round(ca, 6) AS current_absence_rate, round(ba, 6) AS baseline_absence_rate,
   round(cl, 6) AS current_late_rate, round(bl, 6) AS baseline_late_rate,
   round(ca / nullif(ba, 0), 6) AS absence_deviation_ratio, round(cl / nullif(bl, 0), 6) AS late_deviation_ratio,
@@ -140,8 +150,9 @@ def fact_hr_watchlist_monthly(m):
     # expanding mean of the previous months; one employee's partition holds one
     # row per month, however many shift rows fed it
     prior = Window.partitionBy("employee_id").orderBy("period_date").rowsBetween(Window.unboundedPreceding, -1)
-    b = (mo.withColumn("baseline_absence_rate", F.avg("current_absence_rate").over(prior))
-           .withColumn("baseline_late_rate", F.avg("current_late_rate").over(prior)))
+    b = mo.select("*", *[_expanding_mean(c, prior).alias(o) for c, o in
+                         (("current_absence_rate", "baseline_absence_rate"),
+                          ("current_late_rate", "baseline_late_rate"))])
     ar = X.safe_div("current_absence_rate", "baseline_absence_rate")
     lr = X.safe_div("current_late_rate", "baseline_late_rate")
     return X.finish(b.select(

@@ -144,7 +144,7 @@ def freshness_snapshot(t, snapshot_date: dt.date, now: dt.datetime, tables=MON_T
         if colname is None:
             continue
         sig = _latest_signal(t[f"{prefix}{tb}"], colname, kind)
-        lag = F.round((now_s - F.col("latest_value").cast("timestamp").cast("long")) / 3600.0, 1)
+        lag = X.dround((now_s - F.col("latest_value").cast("timestamp").cast("long")) / 3600.0, 1)
         parts.append(sig.select(F.lit(sc).alias("schema_name"), F.lit(tb).alias("table_name"),
                                 F.lit(snapshot_date).alias("snapshot_date"), F.lit(colname).alias("freshness_column"),
                                 "latest_value", lag.alias("lag_hours")))
@@ -250,12 +250,12 @@ def rolling_z(df: DataFrame, keys: list[str], order: str, value: str, n: int,
     z = (F.col("__x").cast("double") - F.col("__mean")) / sd_eff
     enough = cnt >= min_points
     shift = digits - (len(str(scale)) - 1)
-    return (out.withColumn("z_score", F.when(enough, F.round(z, 2)))
+    return (out.withColumn("z_score", F.when(enough, X.dround(z, 2)))
             .withColumn("severity", F.when(enough & (F.abs(z) >= crit), "critical")
                         .when(enough & (F.abs(z) >= warn), "warning"))
             .withColumn("status", F.when(enough, "evaluated").otherwise("insufficient_history"))
-            .withColumn("baseline_mean", F.when(enough, F.round("__mean", shift) / scale))
-            .withColumn("baseline_stdev", F.when(enough, F.round(sd_eff, shift) / scale))
+            .withColumn("baseline_mean", F.when(enough, X.dround("__mean", shift) / scale))
+            .withColumn("baseline_stdev", F.when(enough, X.dround(sd_eff, shift) / scale))
             .drop("__x", "__s1", "__s2", "__mean", "__sd"))
 
 
@@ -325,15 +325,15 @@ def current_status(volume: DataFrame, fresh: DataFrame) -> DataFrame:
                          F.col("row_count").alias("__rc"))
     base = (latest.join(hist, keys, "left")
             .where(F.col("__d").isNull() | ((F.col("__hd") == F.col("__dow")) & (F.col("__d") < F.col("as_of_date"))))
-            .groupBy(*keys).agg(F.round(F.avg("__rc"), 1).alias("baseline_mean"),
-                                F.round(F.stddev_pop("__rc"), 1).alias("baseline_stdev"),
+            .groupBy(*keys).agg(X.dround(F.avg("__rc"), 1).alias("baseline_mean"),
+                                X.dround(F.stddev_pop("__rc"), 1).alias("baseline_stdev"),
                                 F.count("__rc").alias("baseline_points")))
     lf = fresh.groupBy(*keys).agg(F.max_by("freshness_column", "snapshot_date").alias("freshness_column"),
                                   F.max_by("latest_value", "snapshot_date").alias("last_data_event_at"),
                                   F.max_by("lag_hours", "snapshot_date").alias("freshness_lag_hours"))
     out = latest.join(base, keys, "left").join(lf, keys, "left")
     pct = F.when((F.col("baseline_points") >= 3) & (F.col("baseline_mean") > 0),
-                 F.round((F.col("rows_today") - F.col("baseline_mean")) / F.col("baseline_mean") * 100, 1))
+                 X.dround((F.col("rows_today") - F.col("baseline_mean")) / F.col("baseline_mean") * 100, 1))
     return out.select(*keys, "as_of_date", "rows_today", "baseline_mean", "baseline_stdev",
                       F.coalesce("baseline_points", F.lit(0)).alias("baseline_points"),
                       pct.alias("pct_diff_from_baseline"),
@@ -382,7 +382,7 @@ def dirty_proportion(t, snapshot_date, columns=DIRTY_COLUMNS, prefix="src_") ->
     out = _union(parts)
     return out.select("schema_name", "table_name", "column_name", F.lit(snapshot_date).alias("snapshot_date"),
                       "total_rows", "dirty_rows",
-                      F.round(F.when(F.col("total_rows") > 0, F.col("dirty_rows") * 100.0 / F.col("total_rows"))
+                      X.dround(F.when(F.col("total_rows") > 0, F.col("dirty_rows") * 100.0 / F.col("total_rows"))
                               .otherwise(0.0), 2).alias("dirty_pct"))
 
 
@@ -428,7 +428,7 @@ def _bootstrap(tb, c):
 
 def daily_dirty(t, series=DIRTY_DAILY, prefix="src_") -> DataFrame:
     return _union([t[f"{prefix}{tb}"].groupBy(F.to_date(dcol).alias("snapshot_date"))
-                   .agg(F.round(F.count_if(F.expr(_dirty_pred(tb, c))) * 100.0 / F.count(F.lit(1)), 2)
+                   .agg(X.dround(F.count_if(F.expr(_dirty_pred(tb, c))) * 100.0 / F.count(F.lit(1)), 2)
                         .alias("dirty_pct"))
                    .select(F.lit(sc).alias("schema_name"), F.lit(tb).alias("table_name"),
                            F.lit(c).alias("column_name"), "snapshot_date", "dirty_pct")
@@ -515,7 +515,7 @@ def outlier_drift(history: DataFrame, n: int = DRIFT_WINDOW) -> DataFrame:
     """H9: outlier share of each snapshot against the previous ``n`` snapshots."""
     h = history.where(F.col("row_count") > 0).withColumn(
         "outlier_pct", F.col("outlier_count") * 100.0 / F.col("row_count"))
-    h = h.withColumn("outlier_pct", F.round("outlier_pct", 3))
+    h = h.withColumn("outlier_pct", X.dround("outlier_pct", 3))
     return rolling_z(h, ["schema_name", "table_name", "column_name"], "snapshot_date", "outlier_pct", n, digits=3,
                      scale=1000)
 
@@ -590,7 +590,7 @@ def profile(df: DataFrame, table_name: str, exact_distinct: bool = False) -> Dat
                     else F.lit(None).cast("string").alias(f"__max{i}"))
         aggs.append(F.count_if(c < 0).alias(f"__neg{i}") if is_num else F.lit(None).cast("long").alias(f"__neg{i}"))
         rows.append(F.struct(F.lit(f.name).alias("column_name"),
-                             F.round(F.col(f"__nul{i}") * 100.0 / F.col("__n"), 2).alias("null_pct"),
+                             X.dround(F.col(f"__nul{i}") * 100.0 / F.col("__n"), 2).alias("null_pct"),
                              F.col(f"__dis{i}").cast("long").alias("distinct_count"),
                              F.col(f"__ws{i}").alias("whitespace_count"),
                              F.col(f"__min{i}").alias("min_value"), F.col(f"__max{i}").alias("max_value"),
@@ -728,7 +728,7 @@ def monitor_ml_freshness(m):
     """Lag of the newest score per model against 48 h / 96 h."""
     now_s = F.lit(_now(m)).cast("timestamp_ntz").cast("timestamp").cast("long")
     g = m["ml_predictions"].groupBy("model_name").agg(F.max("scored_at").alias("latest_scored_at"))
-    lag = F.round((now_s - F.col("latest_scored_at").cast("timestamp").cast("long")) / 3600.0, 1)
+    lag = X.dround((now_s - F.col("latest_scored_at").cast("timestamp").cast("long")) / 3600.0, 1)
     g = g.withColumn("lag_hours", lag)
     return g.withColumn("severity", F.when(F.col("lag_hours") >= ML_FRESHNESS_HOURS[1], "critical")
                         .when(F.col("lag_hours") >= ML_FRESHNESS_HOURS[0], "warning"))
@@ -795,8 +795,8 @@ def storage_snapshot(tables: DataFrame) -> DataFrame:
 
 
 @model("monitor_latency_percentiles", "ops", """SELECT
-  quantile_cont(duration_ms, 0.5) AS p50_ms, quantile_cont(duration_ms, 0.95) AS p95_ms,
-  quantile_cont(duration_ms, 0.99) AS p99_ms, count(duration_ms) AS sample_count
+  round(quantile_cont(duration_ms, 0.5), 6) AS p50_ms, round(quantile_cont(duration_ms, 0.95), 6) AS p95_ms,
+  round(quantile_cont(duration_ms, 0.99), 6) AS p99_ms, count(duration_ms) AS sample_count
 FROM src_chatbot_query_log WHERE duration_ms IS NOT NULL""", tags=("monitor",))
 def monitor_latency_percentiles(m):
     """p50/p95/p99 of request durations (nulls excluded)."""
@@ -828,7 +828,7 @@ def monitor_daily_requests(m):
     q = m["src_chatbot_query_log"]
     return q.groupBy(F.to_date("requested_at").alias("request_date")).agg(
         F.count(F.lit(1)).alias("request_count"), F.count_if(F.col("status") == "denied").alias("denied_count"),
-        F.round(F.count_if(F.col("status") == "denied") * 100.0 / F.count(F.lit(1)), 2).alias("denied_pct"))
+        X.dround(F.count_if(F.col("status") == "denied") * 100.0 / F.count(F.lit(1)), 2).alias("denied_pct"))
 
 
 QUERY_STATS_TOP = 10
@@ -931,7 +931,7 @@ def panel_latest_dirty(history: DataFrame) -> DataFrame:
 
 def panel_latest_outlier(history: DataFrame) -> DataFrame:
     latest = _latest_per(history, ["schema_name", "table_name", "column_name"], "snapshot_date")
-    return latest.withColumn("outlier_pct", F.round(F.col("outlier_count") * 100.0 / F.col("row_count"), 3))
+    return latest.withColumn("outlier_pct", X.dround(F.col("outlier_count") * 100.0 / F.col("row_count"), 3))
 
 
 def panel_stage_status(run_log: DataFrame, run_date) -> DataFrame:
