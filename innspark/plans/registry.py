@@ -80,10 +80,19 @@ class Mart:
     def as_of_lit(self) -> str:
         return f"date '{self.as_of.isoformat()}'"
 
-    def persist_shared(self, names=("bookings", "fnb_transactions", "fact_revenue_room_type_daily")):
-        """Cache inputs with several consumers for the duration of a full build."""
+    def persist_shared(self, names=("bookings", "fnb_transactions", "fact_revenue_room_type_daily"),
+                       reliable: bool = False):
+        """Reuse inputs with several consumers during a full build.
+
+        ``reliable=False`` caches them (lost blocks are recomputed from
+        lineage); ``reliable=True`` checkpoints them to the cluster's shared
+        ``spark.checkpoint.dir``, cutting the lineage so a lost executor only
+        re-reads the checkpoint instead of replaying the sources."""
+        from innspark.session import ensure_checkpoint_dir
+        if reliable:
+            ensure_checkpoint_dir(self.spark)
         for n in names:
-            self._cache[n] = self[n].persist()
+            self._cache[n] = self[n].checkpoint(eager=True) if reliable else self[n].persist()
         return self
 
 
