@@ -45,12 +45,15 @@ def spread(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     aggregate on top of it. When a non-trivial input yields fewer splits than
     the cluster's parallelism, it is redistributed round-robin once. Inputs
     with enough splits (any large table) are left untouched."""
-    par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
+    try:
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= par:
+            return df
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    except Exception:  # no split/size information (e.g. a remote session): read as is
         return df
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
     return df.repartition(par) if size >= SPREAD_MIN_BYTES else df
 
 
