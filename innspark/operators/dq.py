@@ -283,13 +283,15 @@ def suite_sql(s: Suite) -> list[str]:
     return out
 
 
-def results_sql(suites=SUITES) -> str:
-    return "\nUNION ALL\n".join(q for s in suites for q in suite_sql(s))
+def results_sql(suites=SUITES, run_date=DEFAULT_AS_OF) -> str:
+    body = "\nUNION ALL\n".join(q for s in suites for q in suite_sql(s))
+    return f"SELECT *, DATE '{run_date.isoformat()}' AS run_date FROM (\n{body}\n) r"
 
 
 @model("dq_results", "ops", results_sql(), tags=("dq",))
 def dq_results(m):
-    return run_all(m)
+    """Every expectation of the 23 suites for one run date."""
+    return run_all(m).withColumn("run_date", F.lit(m.as_of))
 
 
 # ---- singular tests G7-G10: rows returned are failures ---------------------

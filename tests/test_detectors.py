@@ -184,3 +184,10 @@ def test_keyed_rolling_detectors(spark):
         + [("raw", "t", TEST_DATE, 10000, 1)],
         "dataset_name string, table_name string, snapshot_date date, row_count long, day_of_week int")
     assert M.warehouse_volume_anomaly(hist).orderBy(F.desc("snapshot_date")).first().severity == "critical"
+
+
+def test_dq_results_feed_the_panels(mart):
+    res = mart["dq_results"]
+    last = {(r.schema_name, r.table_name): (r.passed, r.failed) for r in M.panel_dq_last_run(res).collect()}
+    assert len(last) == 23
+    assert sum(f for _, f in last.values()) == res.where(~F.col("success")).count()
