@@ -77,9 +77,6 @@ class Mart:
     def get(self, name: str) -> DataFrame:
         return self[name]
 
-    def as_of_lit(self) -> str:
-        return f"date '{self.as_of.isoformat()}'"
-
     def persist_shared(self, names=("bookings", "fnb_transactions", "fact_revenue_room_type_daily"),
                        reliable: bool = False):
         """Reuse inputs with several consumers during a full build.
