@@ -168,3 +168,27 @@ def read_run_results(spark: SparkSession, path: str, layer: str, captured_at: dt
                     F.col("r.status").alias("status"), F.col("r.execution_time").cast("double").alias("execution_time"),
                     F.col("r.failures").cast("int").alias("failures"),
                     F.lit(captured_at).cast("timestamp").alias("captured_at"))
+
+
+# ---------------------------------------------------------------------------
+# Build and publish the mart in one call
+# ---------------------------------------------------------------------------
+def mart_tests_gate(staged: dict[str, DataFrame]) -> DataFrame:
+    """The rule-derived mart tests (G12) over the staged tables: keys unique
+    and not null for dimensions, grain not null and property related for
+    facts. Relationships to dimensions outside this publish are skipped."""
+    from innspark.operators import dq
+    tests = [t for t in dq.mart_tests({n: df.columns for n, df in staged.items()})
+             if t.kind != dq.RELATIONSHIP or t.arg[0] in staged]
+    return dq.run_mart_tests(staged, tests)
+
+
+def publish_mart(mart: Mart, base: str, select: list[str] | None = None, exclude: list[str] | None = None,
+                 reliable: bool = True, gate=mart_tests_gate) -> dict:
+    """Build the selected dimensions and facts (default: all but ML), stage
+    them, gate them with the mart tests and publish only if every test passed.
+    Inputs shared by many models are checkpointed once (``reliable``) so a lost
+    executor replays from the checkpoint, not from the sources."""
+    mart.persist_shared(reliable=reliable)
+    names = select_models(select, exclude)
+    return publish(mart, names, base, gate=gate)

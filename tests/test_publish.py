@@ -170,3 +170,12 @@ def test_ml_readiness(mart):
     assert ml.is_ready(preds, ml.MODEL_NAME, at + dt.timedelta(minutes=30))
     assert not ml.is_ready(preds, ml.MODEL_NAME, at + dt.timedelta(minutes=120))
     assert not ml.is_ready(preds, "other_model", at)
+
+
+def test_publish_mart_with_rule_gate(spark, tmp_base):
+    from innspark.plans.registry import Mart
+    m = Mart(spark, "/root/testdata/sf0.001")
+    res = P.publish_mart(m, tmp_base, select=["dim_property", "dim_event_type", "tag:spa_event"])
+    # the spa facts and their dimensions pass the grain and key tests, so all are published
+    assert res["failed_checks"] == 0 and "fact_spa_daily" in res["published"]
+    assert spark.read.parquet(f"{tmp_base}/live/fact_spa_daily").count() == m["fact_spa_daily"].count()
