@@ -34,62 +34,33 @@ HEADLINE = [
     "dq_results", "monitor_volume_anomaly", "monitor_value_anomaly", "ml_predictions",
 ]
 
-# Serving lookups, one per lookup of the reference's published serving
-# timings: (table, entity column, entity value, period column, period).
-# A period is a month "YYYY-MM" (date columns), a year (int), or an exact
-# text value (semester / period strings).
-LOOKUPS = [
-    ("fact_revenue_room_type_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_revenue_channel_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_revenue_los_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_revenue_property_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_revenue_pricing_deviation", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_revenue_loyalty_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_revenue_nationality_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("bookings", "property_id", "P01", "check_in_date", "1998-07"),
-    ("pricing_history", "property_id", "P01", "date", "1998-07"),
-    ("fact_fnb_outlet_daily", "outlet_id", "OUT001", "period_date", "1998-07"),
-    ("fact_fnb_category_daily", "outlet_id", "OUT001", "period_date", "1998-07"),
-    ("fact_fnb_hourly", "outlet_id", "OUT001", "period_date", "1998-07"),
-    ("fact_fnb_customer_type_daily", "outlet_id", "OUT001", "period_date", "1998-07"),
-    ("fact_fnb_menu_item_daily", "outlet_id", "OUT001", "period_date", "1998-07"),
-    ("fact_fnb_waste_daily", "outlet_id", "OUT001", "period_date", "1998-07"),
-    ("fact_fnb_ingredient_price_daily", "ingredient_id", "ING002", "period_date", "1998-07"),
-    ("fnb_transactions", "outlet_id", "OUT001", "transaction_datetime", "1998-07"),
-    ("fact_housekeeping_room_type_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_housekeeping_property_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_housekeeping_staff_daily", "staff_id", "E000007", "period_date", "1998-07"),
-    ("fact_maintenance_ticket_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_maintenance_cost_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_maintenance_technician_daily", "assigned_staff_id", "E000007", "period_date", "1998-07"),
-    ("fact_maintenance_room_recurrence_yearly", "room_id", "RM0007", "year", 1998),
-    ("maintenance_tickets", "property_id", "P01", "reported_date", "1998-07"),
-    ("fact_spa_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_spa_customer_type_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_spa_service_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_event_venue_daily", "venue_id", "VN001", "period_date", "1998-07"),
-    ("fact_event_property_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_event_type_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("event_bookings", "property_id", "P01", "event_date", "1998-07"),
-    ("fact_hr_attendance_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_hr_employee_monthly", "employee_id", "E000007", "period_date", "1998-07"),
-    ("fact_hr_employee_performance_semester", "employee_id", "E000007", "review_period", "2024-S1"),
-    ("fact_hr_watchlist_monthly", "employee_id", "E000007", "period_date", "1998-07"),
-    ("dim_employee", "property_id", "P01", None, None),
-    ("staff_shifts", "employee_id", "E000007", "date", "1998-07"),
-    ("employee_performance", "employee_id", "E000007", "review_period", "2024-S1"),
-    ("fact_financial_business_line_monthly", "property_id", "P01", "period_date", "1997-07"),
-    ("fact_financial_overall_monthly", "property_id", "P01", "period_date", "1997-07"),
-    ("fact_financial_revenue_runrate_daily", "property_id", "P01", "period_date", "1998-07"),
-    ("fact_payroll_department_monthly", "property_id", "P01", "period_date", "1996-07"),
-    ("fact_financial_service_charge_monthly", "property_id", "P01", "period_date", "1996-07"),
-    ("fact_financial_labor_cost_monthly", "property_id", "P01", "period_date", "1996-07"),
-    ("fact_payroll_access_level_monthly", "property_id", "P01", "period_date", "1996-07"),
-    ("fact_financial_business_line_group_monthly", "business_line_id", 1, "period_date", "1997-07"),
-    ("fact_financial_property_benchmark_monthly", "property_id", "P01", "period_date", "1997-07"),
-    ("financial_summary", "property_id", "P01", "period", "1997-07"),
-    ("payroll", "employee_id", "E000007", "period", "1996-07"),
-]
+# Serving lookups, one per access path of the serving store (one per lookup
+# of the reference's published serving timings). A period is a month
+# "YYYY-MM" (date columns), a year (int), or an exact text value.
+LOOKUP_PERIODS = {"year": 1998, "review_period": "2024-S1"}
+LOOKUP_ENTITIES = {"property_id": "P01", "outlet_id": "OUT001", "ingredient_id": "ING002", "staff_id": "E000007",
+                   "assigned_staff_id": "E000007", "room_id": "RM0007", "venue_id": "VN001",
+                   "employee_id": "E000007", "business_line_id": 1}
+
+
+def _lookups():
+    """(table, entity col, entity value, period col, period) for every serving
+    access path of the library (publish.SERVING_LAYOUTS)."""
+    from innspark.plans.publish import SERVING_LAYOUTS
+    out = []
+    for tbl, (ent, dcol) in SERVING_LAYOUTS.items():
+        if dcol in LOOKUP_PERIODS:
+            period = LOOKUP_PERIODS[dcol]
+        elif dcol == "period":
+            period = "1996-07" if tbl == "payroll" else "1997-07"
+        elif tbl.startswith(("fact_financial_", "fact_payroll_")) and tbl != "fact_financial_revenue_runrate_daily":
+            period = "1996-07" if tbl in ("fact_payroll_department_monthly", "fact_financial_service_charge_monthly",
+                                          "fact_financial_labor_cost_monthly",
+                                          "fact_payroll_access_level_monthly") else "1997-07"
+        else:
+            period = "1998-07"
+        out.append((tbl, ent, LOOKUP_ENTITIES[ent], dcol, period))
+    return out
 
 
 def _period_filter(F, col, period):
@@ -132,7 +103,7 @@ def main():
     base = scratch_dir(spark, f"bench-{uuid.uuid4().hex[:8]}")
     mart = Mart(spark, sf_dir)
     lookups = {}
-    for tbl, ent, val, dcol, period in LOOKUPS:
+    for tbl, ent, val, dcol, period in _lookups():
         path = f"{base}/{tbl}"
         serving_layout(mart[tbl], ent, dcol or ent).write.mode("overwrite").parquet(path)
         pred = (F.col(ent) == val) & _period_filter(F, dcol, period)

@@ -27,6 +27,62 @@ def partition_table(df: DataFrame, column: str, path: str, part_col: str = "part
     return storage.replace(df.withColumn(part_col, F.to_date(column)), path, partition_by=[part_col])
 
 
+# Serving access paths: table -> (entity column, period column); the
+# lookups the serving store answers (one entity, one period).
+SERVING_LAYOUTS = {
+    "fact_revenue_room_type_daily": ("property_id", "period_date"),
+    "fact_revenue_channel_daily": ("property_id", "period_date"),
+    "fact_revenue_los_daily": ("property_id", "period_date"),
+    "fact_revenue_property_daily": ("property_id", "period_date"),
+    "fact_revenue_pricing_deviation": ("property_id", "period_date"),
+    "fact_revenue_loyalty_daily": ("property_id", "period_date"),
+    "fact_revenue_nationality_daily": ("property_id", "period_date"),
+    "bookings": ("property_id", "check_in_date"),
+    "pricing_history": ("property_id", "date"),
+    "fact_fnb_outlet_daily": ("outlet_id", "period_date"),
+    "fact_fnb_category_daily": ("outlet_id", "period_date"),
+    "fact_fnb_hourly": ("outlet_id", "period_date"),
+    "fact_fnb_customer_type_daily": ("outlet_id", "period_date"),
+    "fact_fnb_menu_item_daily": ("outlet_id", "period_date"),
+    "fact_fnb_waste_daily": ("outlet_id", "period_date"),
+    "fact_fnb_ingredient_price_daily": ("ingredient_id", "period_date"),
+    "fnb_transactions": ("outlet_id", "transaction_datetime"),
+    "fact_housekeeping_room_type_daily": ("property_id", "period_date"),
+    "fact_housekeeping_property_daily": ("property_id", "period_date"),
+    "fact_housekeeping_staff_daily": ("staff_id", "period_date"),
+    "fact_maintenance_ticket_daily": ("property_id", "period_date"),
+    "fact_maintenance_cost_daily": ("property_id", "period_date"),
+    "fact_maintenance_technician_daily": ("assigned_staff_id", "period_date"),
+    "fact_maintenance_room_recurrence_yearly": ("room_id", "year"),
+    "maintenance_tickets": ("property_id", "reported_date"),
+    "fact_spa_daily": ("property_id", "period_date"),
+    "fact_spa_customer_type_daily": ("property_id", "period_date"),
+    "fact_spa_service_daily": ("property_id", "period_date"),
+    "fact_event_venue_daily": ("venue_id", "period_date"),
+    "fact_event_property_daily": ("property_id", "period_date"),
+    "fact_event_type_daily": ("property_id", "period_date"),
+    "event_bookings": ("property_id", "event_date"),
+    "fact_hr_attendance_daily": ("property_id", "period_date"),
+    "fact_hr_employee_monthly": ("employee_id", "period_date"),
+    "fact_hr_employee_performance_semester": ("employee_id", "review_period"),
+    "fact_hr_watchlist_monthly": ("employee_id", "period_date"),
+    "dim_employee": ("property_id", None),
+    "staff_shifts": ("employee_id", "date"),
+    "employee_performance": ("employee_id", "review_period"),
+    "fact_financial_business_line_monthly": ("property_id", "period_date"),
+    "fact_financial_overall_monthly": ("property_id", "period_date"),
+    "fact_financial_revenue_runrate_daily": ("property_id", "period_date"),
+    "fact_payroll_department_monthly": ("property_id", "period_date"),
+    "fact_financial_service_charge_monthly": ("property_id", "period_date"),
+    "fact_financial_labor_cost_monthly": ("property_id", "period_date"),
+    "fact_payroll_access_level_monthly": ("property_id", "period_date"),
+    "fact_financial_business_line_group_monthly": ("business_line_id", "period_date"),
+    "fact_financial_property_benchmark_monthly": ("property_id", "period_date"),
+    "financial_summary": ("property_id", "period"),
+    "payroll": ("employee_id", "period"),
+}
+
+
 def serving_layout(df: DataFrame, entity: str, date_col: str, partitions: int | None = None) -> DataFrame:
     """Range-partition by (entity, date) and sort within partitions, so
     Parquet row-group min/max stats skip everything but the requested
@@ -138,6 +194,18 @@ def export_with_parity(df: DataFrame, live_path: str, dataset: str, table: str,
     return row
 
 
+def export_serving(mart: Mart, base: str, now: dt.datetime, tables=None) -> DataFrame:
+    """A10 + A13: export tables to the serving store in their (entity, period)
+    layout, each behind the row-count parity gate; returns the sync log."""
+    rows = []
+    for name in tables or SERVING_LAYOUTS:
+        entity, period = SERVING_LAYOUTS[name]
+        df = serving_layout(mart[name], entity, period or entity)
+        layer = "mart_aggregated" if name.startswith(("fact_", "dim_")) else "mart_cleaned"
+        rows.append(export_with_parity(df, f"{base}/{name}", layer, name, now))
+    return sync_log_rows(mart.spark, rows)
+
+
 def sync_log_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """Sync outcomes as rows of the sync log (append to the log table)."""
     cols = [c.split()[0] for c in SYNC_LOG_SCHEMA.split(", ")]

@@ -179,3 +179,12 @@ def test_publish_mart_with_rule_gate(spark, tmp_base):
     # the spa facts and their dimensions pass the grain and key tests, so all are published
     assert res["failed_checks"] == 0 and "fact_spa_daily" in res["published"]
     assert spark.read.parquet(f"{tmp_base}/live/fact_spa_daily").count() == m["fact_spa_daily"].count()
+
+
+def test_export_serving_layout_and_parity(mart, tmp_base):
+    log = P.export_serving(mart, f"{tmp_base}/serving", NOW, tables=["fact_spa_daily", "staff_shifts"])
+    rows = {r.table_name: r for r in log.collect()}
+    assert {r.status for r in rows.values()} == {"synced"}
+    assert rows["staff_shifts"].dataset_name == "mart_cleaned"
+    served = mart.spark.read.parquet(f"{tmp_base}/serving/fact_spa_daily")
+    assert served.count() == rows["fact_spa_daily"].source_row_count
