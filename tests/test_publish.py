@@ -139,7 +139,7 @@ def test_rule_derived_mart_tests_gate_facts(mart):
     assert ("fact_fnb_outlet_daily", "not_null", "outlet_id") in kinds
     res = {(r.model, r.test, r.detail): r.failures for r in dq.run_mart_tests(mart, tests).collect()}
     assert res[("fact_revenue_room_type_daily", "not_null", "property_id")] == 0
-    # transactions of an outlet missing from the outlet master surface as null outlet ids
+    # an outlet missing from the outlet master would surface as a null outlet id; the test counts them
     nulls = mart["fact_fnb_outlet_daily"].where(F.col("outlet_id").isNull()).count()
     assert res[("fact_fnb_outlet_daily", "not_null", "outlet_id")] == nulls
 
