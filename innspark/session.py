@@ -76,3 +76,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def size_for(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20) -> int:
+    """Spill-aware sizing for a cluster run over ``input_bytes`` of input:
+    scan splits of ``partition_bytes`` and enough shuffle partitions that each
+    holds about that much before AQE coalesces the small ones. Returns the
+    shuffle partition count it set (at least the default parallelism)."""
+    n = max(spark.sparkContext.defaultParallelism, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

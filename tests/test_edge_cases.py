@@ -40,3 +40,15 @@ def test_rank_ties_share_a_rank(mart):
 def test_null_dimension_keys_never_match_growth(mart):
     f = mart["fact_fnb_outlet_daily"]
     assert f.where(F.col("outlet_id").isNull() & F.col("mom_revenue_growth").isNotNull()).count() == 0
+
+
+def test_size_for_scales_partitions(spark):
+    from innspark.session import size_for
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_for(spark, 100 * (1 << 40)) == 100 * (1 << 40) // (256 << 20)   # 100 TB -> 409600
+        assert size_for(spark, 1 << 20) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(64 << 20))
