@@ -32,6 +32,12 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               # the status store keeps job/stage/SQL history in driver memory even
+               # without a UI; a long-running job session only needs recent entries
+               .config("spark.ui.retainedJobs", "100")
+               .config("spark.ui.retainedStages", "200")
+               .config("spark.ui.retainedTasks", "20000")
+               .config("spark.sql.ui.retainedExecutions", "50")
                .config("spark.driver.memory", os.environ.get("INNSPARK_DRIVER_MEM", "16g"))
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
     for k, v in SQL_DEFAULTS.items():
