@@ -491,3 +491,15 @@ def dq_mart_dimension_results(m):
     """G12 over the 26 data-derived dimensions (the fixed two-row
     nationality-group literal has no data to test)."""
     return run_mart_tests(m, DIM_TESTS)
+
+
+def _fact_tests():
+    from innspark.operators.mart_columns import FACT_COLUMNS
+    return mart_tests(FACT_COLUMNS)
+
+
+@model("dq_mart_fact_results", "ops", lambda: mart_tests_sql(_fact_tests()), tags=("dq",))
+def dq_mart_fact_results(m):
+    """G12 over the 50 facts: grain entity and period not null, property
+    related to dim_property (rules as for the publish gate)."""
+    return run_mart_tests(m, _fact_tests())

@@ -1,0 +1,132 @@
+"""Output columns of the published facts (generated from their Spark schemas;
+tests/test_catalog.py fails if a fact's schema drifts from this list). The
+rule-derived fact tests (G12) and their oracle text are built from it."""
+
+FACT_COLUMNS = {
+    "fact_event_property_daily": ["property_id", "period_date", "cancellation_rate"],
+    "fact_event_type_daily": ["property_id", "event_type_id", "period_date", "event_count", "revenue"],
+    "fact_event_venue_daily": [
+        "venue_id", "period_date", "bookings_pipeline_count", "revenue_pipeline", "utilization_rate",
+        "mom_revenue_growth", "yoy_revenue_growth", "low_utilization_days_last_30",
+    ],
+    "fact_facility_room_status_daily": ["room_id", "period_date", "status", "is_out_of_order"],
+    "fact_financial_business_line_group_monthly": [
+        "business_line_id", "period_date", "group_revenue", "revenue_share_pct",
+    ],
+    "fact_financial_business_line_monthly": [
+        "property_id", "business_line_id", "period_date", "revenue", "expense", "profit", "margin_pct",
+    ],
+    "fact_financial_labor_cost_monthly": ["property_id", "period_date", "labor_cost_pct_revenue"],
+    "fact_financial_overall_monthly": [
+        "property_id", "period_date", "gop", "gop_margin_pct", "mom_gop_growth", "yoy_gop_growth",
+        "undistributed_expense_total", "overhead_ratio",
+    ],
+    "fact_financial_property_benchmark_monthly": ["property_id", "period_date", "gop_margin_rank"],
+    "fact_financial_revenue_runrate_daily": ["property_id", "period_date", "revenue_runrate"],
+    "fact_financial_service_charge_monthly": ["property_id", "period_date", "service_charge_pool", "occupancy_rate"],
+    "fact_fnb_category_daily": ["outlet_id", "category_id", "period_date", "revenue"],
+    "fact_fnb_customer_type_daily": [
+        "outlet_id", "customer_type_id", "period_date", "revenue", "visit_count", "revenue_per_visit",
+    ],
+    "fact_fnb_hourly": ["outlet_id", "period_date", "hour_of_day", "transaction_count"],
+    "fact_fnb_ingredient_price_daily": ["ingredient_id", "period_date", "avg_unit_cost"],
+    "fact_fnb_inventory_status": ["outlet_id", "period_date", "low_stock_item_count"],
+    "fact_fnb_menu_item_daily": [
+        "outlet_id", "item_name", "period_date", "revenue", "quantity_sold", "food_cost_ratio_actual",
+        "food_cost_ratio_target", "food_cost_deviation",
+    ],
+    "fact_fnb_outlet_daily": [
+        "outlet_id", "period_date", "revenue", "transaction_count", "avg_check", "mom_revenue_growth",
+        "yoy_revenue_growth", "capture_rate", "walk_in_ratio", "revenue_rank_vs_outlet_type_avg",
+    ],
+    "fact_fnb_waste_daily": ["outlet_id", "reason_id", "period_date", "waste_value", "waste_quantity", "waste_ratio"],
+    "fact_housekeeping_property_daily": ["property_id", "period_date", "delayed_rate", "occupancy_rate"],
+    "fact_housekeeping_room_type_daily": [
+        "property_id", "room_type_id", "period_date", "avg_cleaning_duration_minutes", "baseline_duration_minutes",
+    ],
+    "fact_housekeeping_staff_daily": [
+        "staff_id", "period_date", "avg_cleaning_duration_minutes", "team_avg_duration_minutes",
+    ],
+    "fact_hr_attendance_daily": [
+        "property_id", "department_id", "period_date", "present_count", "late_count", "leave_count", "absent_count",
+        "overtime_hours_total",
+    ],
+    "fact_hr_employee_monthly": [
+        "employee_id", "period_date", "overtime_hours", "overtime_vs_dept_avg", "late_rate", "late_vs_dept_avg",
+    ],
+    "fact_hr_employee_performance_semester": ["employee_id", "review_period", "score", "notes"],
+    "fact_hr_headcount_status_daily": ["property_id", "department_id", "status_id", "period_date", "employee_count"],
+    "fact_hr_performance_by_status_semester": ["property_id", "status_id", "review_period", "avg_performance_score"],
+    "fact_hr_performance_department_semester": [
+        "property_id", "department_id", "review_period", "avg_performance_score",
+    ],
+    "fact_hr_turnover_snapshot": ["property_id", "department_id", "period_date", "turnover_rate"],
+    "fact_hr_watchlist_monthly": [
+        "employee_id", "period_date", "current_absence_rate", "baseline_absence_rate", "current_late_rate",
+        "baseline_late_rate", "absence_deviation_ratio", "late_deviation_ratio", "in_watchlist",
+    ],
+    "fact_maintenance_cost_daily": [
+        "property_id", "issue_type_id", "period_date", "total_cost", "cost_with_parts", "cost_without_parts",
+        "mom_cost_growth", "yoy_cost_growth",
+    ],
+    "fact_maintenance_property_benchmark_yearly": [
+        "property_id", "year", "tickets_per_room", "building_age_years", "tickets_per_room_normalized",
+    ],
+    "fact_maintenance_room_recurrence_yearly": ["room_id", "year", "ticket_count", "vs_median_ratio"],
+    "fact_maintenance_technician_daily": ["assigned_staff_id", "period_date", "ticket_count", "labor_hours"],
+    "fact_maintenance_ticket_daily": [
+        "property_id", "facility_area_id", "issue_type_id", "priority_id", "period_date", "new_ticket_count",
+        "avg_sla_duration_hours", "pending_count",
+    ],
+    "fact_ml_occupancy_forecast_property_room_type": [
+        "property_id", "room_type_id", "target_date", "prediction_id", "model_name", "model_version",
+        "prediction_type", "predicted_occupancy_rate", "confidence_score", "scored_at", "feature_snapshot_at",
+        "actual_occupancy_rate", "forecast_error_abs",
+    ],
+    "fact_payroll_access_level_monthly": [
+        "property_id", "access_level_id", "period_date", "service_charge_total", "base_salary_total",
+        "service_charge_to_base_ratio",
+    ],
+    "fact_payroll_department_monthly": [
+        "property_id", "department_id", "period_date", "base_salary_total", "service_charge_total",
+        "overtime_pay_total", "thr_total", "deduction_total", "net_salary_total", "mom_growth",
+    ],
+    "fact_revenue_channel_daily": [
+        "property_id", "channel_id", "period_date", "revenue", "bookings_count", "cancellations_count",
+        "no_shows_count",
+    ],
+    "fact_revenue_gop_impact_monthly": ["property_id", "period_date", "avg_pricing_deviation", "gop_margin"],
+    "fact_revenue_los_daily": [
+        "property_id", "room_type_id", "channel_id", "period_date", "avg_los_nights", "median_los_nights",
+    ],
+    "fact_revenue_loyalty_daily": ["property_id", "loyalty_tier_id", "period_date", "bookings_count", "revenue"],
+    "fact_revenue_nationality_daily": [
+        "property_id", "nationality_group_id", "period_date", "bookings_count", "revenue",
+    ],
+    "fact_revenue_pace_booking_snapshot": [
+        "property_id", "room_type_id", "stay_date", "snapshot_date", "rooms_sold_asof", "rooms_available_asof",
+    ],
+    "fact_revenue_pricing_deviation": [
+        "property_id", "reason_id", "period_date", "avg_applied_rate", "avg_base_rate", "avg_deviation_pct",
+        "day_share_pct",
+    ],
+    "fact_revenue_property_daily": [
+        "property_id", "period_date", "avg_lead_time_days", "median_lead_time_days", "mom_occupancy_growth",
+        "yoy_occupancy_growth", "mom_adr_growth", "yoy_adr_growth", "mom_revpar_growth", "yoy_revpar_growth",
+        "repeat_guest_rate", "revpar_rank_group", "adr_rank_group", "occupancy_rank_group",
+    ],
+    "fact_revenue_room_type_daily": [
+        "property_id", "room_type_id", "period_date", "rooms_sold", "total_rooms_available", "occupancy_rate", "adr",
+        "revpar", "revenue", "room_type_revenue_share_pct",
+    ],
+    "fact_spa_customer_type_daily": [
+        "property_id", "customer_type_id", "period_date", "revenue", "visit_count", "revenue_per_visit",
+    ],
+    "fact_spa_daily": [
+        "property_id", "period_date", "revenue", "booking_count", "walk_in_ratio", "avg_lead_time_days",
+        "median_lead_time_days", "cancellation_rate",
+    ],
+    "fact_spa_service_daily": [
+        "property_id", "service_id", "period_date", "booking_count", "revenue", "revenue_share_pct",
+    ],
+}

@@ -14,3 +14,10 @@ def test_model_inventory_counts():
 def test_every_model_has_oracle_sql_except_seeds_and_literals():
     missing = sorted(n for n, m in models().items() if m.sql is None)
     assert missing == []
+
+
+def test_fact_columns_match_the_built_facts(mart):
+    from innspark.operators.mart_columns import FACT_COLUMNS
+    assert set(FACT_COLUMNS) == {n for n, m in models().items() if m.layer == "fact"}
+    for name, cols in FACT_COLUMNS.items():
+        assert mart[name].columns == cols, name
