@@ -260,3 +260,21 @@ def publish_mart(mart: Mart, base: str, select: list[str] | None = None, exclude
     mart.persist_shared(reliable=reliable)
     names = select_models(select, exclude)
     return publish(mart, names, base, gate=gate)
+
+
+def register_published(spark: SparkSession, base: str, names: list[str], database: str = "mart",
+                       analyze: bool = True) -> list[str]:
+    """Expose published tables in the catalog as external Parquet tables
+    and compute their statistics, so the cost-based optimiser and the
+    broadcast threshold work from measured sizes and row counts (the checked
+    size a broadcast decision needs) instead of file-size guesses."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    out = []
+    for n in names:
+        path = f"{base}/live/{n}"
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{n}")
+        spark.sql(f"CREATE TABLE {database}.{n} USING parquet LOCATION '{path}'")
+        if analyze:
+            spark.sql(f"ANALYZE TABLE {database}.{n} COMPUTE STATISTICS FOR ALL COLUMNS")
+        out.append(f"{database}.{n}")
+    return out

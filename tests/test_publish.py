@@ -188,3 +188,15 @@ def test_export_serving_layout_and_parity(mart, tmp_base):
     assert rows["staff_shifts"].dataset_name == "mart_cleaned"
     served = mart.spark.read.parquet(f"{tmp_base}/serving/fact_spa_daily")
     assert served.count() == rows["fact_spa_daily"].source_row_count
+
+
+def test_register_and_analyze_published(mart, tmp_base):
+    import uuid
+    names = ["dim_room_type", "dim_channel"]
+    P.publish(mart, names, tmp_base)
+    db = f"mart_{uuid.uuid4().hex[:6]}"
+    tables = P.register_published(mart.spark, tmp_base, names, database=db)
+    stats = mart.spark.sql(f"DESCRIBE TABLE EXTENDED {tables[0]}").where("col_name = 'Statistics'").first()
+    assert stats is not None and "rows" in stats.data_type
+    assert mart.spark.table(tables[0]).count() == mart["dim_room_type"].count()
+    mart.spark.sql(f"DROP DATABASE {db} CASCADE")
