@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,11 @@ from innspark.llm.common import scratch
 MAGIC = b"DAC1"
 BLOCK = 512  # bits of a rank block
 SEGMENT_TOKENS = 1 << 18  # a segment is closed at this size, after a whole document
-CACHE_WORDS = 400_000  # words of which a worker remembers the ids
+# fixed values: the split of byte-level BPE, as published with the vocabulary
+PIECE = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+SPACED = regex.compile(r" (?:\s|$)")
+CACHE_WORDS = 1_000_000  # words of which a worker remembers the ids
 
 
 # --- directly addressable codes -------------------------------------------------
@@ -106,11 +111,11 @@ def decode_codes(codes: bytes) -> np.ndarray:
 class WordEncoder:
     """Ids of whole texts through the tokenizers library, remembered by word.
 
-    A byte-level BPE vocabulary splits a text before merging, and a space
-    between two other characters that aren't white space always starts a piece.
-    So a text falls into parts that begin with such a space, each encoded by the
-    library once. Texts with two spaces in a row or with an added token's string
-    go to the library whole.
+    A byte-level BPE vocabulary splits a text into pieces before merging, and a
+    space before a character that isn't white space always starts one. So a
+    text falls into parts that begin with such a space, and the library encodes
+    each part once. Texts in which white space follows a space, and those with
+    an added token's string, go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -125,43 +130,36 @@ class WordEncoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _learn(self, missing: list[str]) -> None:
-        """Encode words in one call; the library numbers the pieces of a text."""
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        odd = [w for w in missing if w[0] != " " or not w[1:2].strip() or w[-1].isspace()]
-        for w in odd:
-            self.words[w] = self._ids(w)
-        even = [w for w in missing if w not in self.words]
-        pieces = self.tokenizer.pre_tokenizer
-        for k in range(0, len(even), 2000):
-            part = even[k:k + 2000]
+    def _learn(self, missing: list[str], words: dict[str, bytes]) -> None:
+        """Encode words in long texts; the library numbers each text's pieces."""
+        joined = [w for w in missing if w[0] == " "]
+        for w in missing:
+            if w[0] != " ":  # a text's first word
+                words[w] = self._ids(w)
+        for k in range(0, len(joined), 2000):
+            part = joined[k:k + 2000]
             e = self.tokenizer.encode("".join(part), add_special_tokens=False)
             ids, piece = np.array(e.ids, dtype="<u4"), np.array(e.word_ids, dtype=np.int64)
-            ends = np.cumsum([len(pieces.pre_tokenize_str(w)) for w in part])
-            cuts = [0, *np.searchsorted(piece, ends, "left").tolist()]
-            for w, a, b in zip(part, cuts, cuts[1:]):
-                self.words[w] = ids[a:b].tobytes()
+            ends = np.cumsum([w[1:].isalpha() or len(PIECE.findall(w)) for w in part])
+            cuts = (4 * np.searchsorted(piece, ends, "left")).tolist()
+            raw = ids.tobytes()
+            words.update((w, raw[a:b]) for w, a, b in zip(part, [0, *cuts], cuts))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         parts = []
         for t in texts:
-            if not t:
-                parts.append([])
-            elif "  " in t or any(a in t for a in self.added):
+            if SPACED.search(t) or any(a in t for a in self.added):
                 parts.append(None)
-            else:
-                first, *rest = t.split(" ")
-                if not first:  # a leading space belongs to the word after it
-                    first, rest = (" " + rest[0], rest[1:]) if rest else ("", [])
-                parts.append([first] + [" " + w for w in rest])
+                continue
+            first, *rest = t.split(" ")
+            parts.append([first] * bool(first) + [" " + w for w in rest])
         missing = set().union(*(p for p in parts if p)) - self.words.keys()
-        if len(missing) + len(self.words) > CACHE_WORDS:
-            missing = set().union(*(p for p in parts if p))
-            self.words.clear()
-        self._learn(sorted(missing))
-        return [self._ids(t) if p is None else b"".join(map(self.words.__getitem__, p))
+        words = self.words
+        if len(words) + len(missing) > CACHE_WORDS:  # what is common is known by now
+            words = {w: words[w] for p in parts if p for w in p if w in words}
+        self._learn(list(missing), words)
+        return [self._ids(t) if p is None else b"".join(map(words.__getitem__, p))
                 for t, p in zip(texts, parts)]
 
 
@@ -192,8 +190,8 @@ def _segments(path: str, end_id: int) -> Callable[[Iterator[pd.DataFrame]], Iter
 
         size = 0
         for batch in batches:
-            for at in range(0, len(batch), 64):
-                part = batch.iloc[at:at + 64]
+            for at in range(0, len(batch), 256):
+                part = batch.iloc[at:at + 256]
                 for doc, ids in zip(part["doc_id"], encoder(path).encode(part["text"].tolist())):
                     doc_ids.append(None if pd.isna(doc) else int(doc))
                     lengths.append(len(ids) // 4 + 1)
