@@ -30,7 +30,17 @@ def _windows(benchmark: DataFrame, n: int) -> DataFrame:
     return (w.select("item_id", "len", F.explode(F.expr(
         "transform(sequence(0, size(w) - len), i -> slice(w, i + 1, len))")).alias("window"))
         .groupBy("len", "window").agg(F.collect_set("item_id").alias("items"))
-        .withColumn("hash", F.xxhash64("window")))
+        .withColumn("hash", _hash(F.col("window"), F.lit(0), F.col("len"), range(1, n + 1))))
+
+
+def _hash(w: Column, pos: Column, length: Column, lens) -> Column:
+    """Hash of the ``length`` words of ``w`` from ``pos``. Plain expressions on
+    array items stay in generated code; a slice or a lambda for each window
+    would be made as an object."""
+    out = F.lit(None).cast("long")
+    for k in lens:
+        out = F.when(length == k, F.xxhash64(*(F.get(w, pos + j) for j in range(k)))).otherwise(out)
+    return out
 
 
 def _matches(docs: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:
@@ -42,20 +52,24 @@ def _matches(docs: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:
     lens = sorted(k for k, _ in sizes)
     small = sum(k * c for k, c in sizes) <= BROADCAST_WORDS
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("w"))
-    none = "array(struct(0 as len, -1 as pos, 0L as hash))"
-    marks = [f"if(size(w) >= {k}, transform(sequence(0, size(w) - {k}), i -> struct({k} as len, "
-             f"i as pos, xxhash64(slice(w, i + 1, {k})) as hash)), array())" for k in lens]
+    # -1 stands for the document itself, pos * (n + 1) + len for a window
+    marks = [f"if(size(w) >= {k}, sequence({k}, (size(w) - {k}) * {n + 1} + {k}, {n + 1}), array())"
+             for k in lens]
     spread = rows.select("doc_id", "th", F.size("w").alias("n_words"), "w",
-                         F.explode(F.expr(f"concat({', '.join([none, *marks])})")).alias("x"))
-    spread = spread.select("doc_id", "th", "n_words", "w", "x.*")
+                         F.explode(F.expr(f"concat({', '.join(['array(-1)', *marks])})")).alias("x"))
+    spread = spread.select(
+        "doc_id", "th", "n_words", "w", F.floor(F.col("x") / (n + 1)).cast("int").alias("pos"),
+        F.pmod(F.col("x"), F.lit(n + 1)).alias("len"))
+    spread = spread.withColumn("hash", _hash(F.col("w"), F.col("pos"), F.col("len"), lens))
     here = F.expr("slice(w, greatest(pos, 0) + 1, greatest(len, 1))")
     if not small:  # a shuffled row carries its own window, not the document's words
         spread = spread.withColumn("w", F.when(F.col("pos") >= 0, here))
         here = F.col("w")
-    b = bench.select(F.col("hash").alias("b_hash"), F.col("len").alias("b_len"), "window", "items")
-    met = (spread.join(F.broadcast(b) if small else b,
-                       (F.col("hash") == F.col("b_hash")) & (F.col("len") == F.col("b_len"))
-                       & (F.col("pos") >= 0) & (here == F.col("window")), "left")
+    b = bench.select(F.col("hash").alias("b_hash"), "window", "items")
+    # the words are compared as an order, which isn't taken for a join key: it is
+    # evaluated where hashes agree only
+    met = (spread.join(F.broadcast(b) if small else b, (F.col("hash") == F.col("b_hash"))
+                       & (here >= F.col("window")) & (here <= F.col("window")), "left")
            .where("pos < 0 or items is not null"))
     found = met.groupBy("doc_id", "th", "n_words").agg(
         F.sum(F.when(F.col("pos") < 0, 1).otherwise(0)).cast("int").alias("copies"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innspark.llm import decontaminate, line_dedup, token_store
+from innspark.llm import decontaminate, line_dedup, secret_scan, token_store
 from innspark.llm.common import table
 from innspark.session import ensure_checkpoint_dir
 
@@ -31,6 +31,7 @@ def _over(operator: Callable, *tables: str, **parameters: Callable) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_token_store": _over(token_store.op1_token_store, "documents", tokenizer=byte_bpe),
+    "op5_secrets": _over(secret_scan.op5_secrets, "documents"),
     "op6_decontaminate": _over(decontaminate.op6_decontaminate, "documents", "benchmark"),
     "op7_line_dedup": _over(line_dedup.op7_line_dedup, "documents"),
 }
