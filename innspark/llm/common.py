@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,3 +73,24 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
         state = now
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the executors' Python workers import this package, once per session.
+
+    What ``spark-submit --py-files`` does: Spark copies the archive to each
+    executor, also to those that join later.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_innspark_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    # Spark's file server reads the archive from the driver as long as the session lasts
+    folder = tempfile.mkdtemp(prefix="innspark-py-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = f"{folder}/innspark.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(path)
+    context._innspark_shipped = True

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innspark.llm import decontaminate, line_dedup, secret_scan, token_store
-from innspark.llm.common import table
+from innspark.llm import decontaminate, langid, line_dedup, mixing, secret_scan, token_store
+from innspark.llm.common import ship, table
 from innspark.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,9 +19,16 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def _over(operator: Callable, *tables: str, **parameters: Callable) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
+        ship(spark)
         return operator(*(table(spark, sf_dir, t) for t in tables),
                         **{k: v() for k, v in parameters.items()})
 
@@ -31,6 +38,8 @@ def _over(operator: Callable, *tables: str, **parameters: Callable) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_token_store": _over(token_store.op1_token_store, "documents", tokenizer=byte_bpe),
+    "op2_mixing": _over(mixing.op2_mixing, "documents"),
+    "op4_language": _over(langid.op4_language, "documents", vocab=piece_bpe),
     "op5_secrets": _over(secret_scan.op5_secrets, "documents"),
     "op6_decontaminate": _over(decontaminate.op6_decontaminate, "documents", "benchmark"),
     "op7_line_dedup": _over(line_dedup.op7_line_dedup, "documents"),
