@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innspark.llm import decontaminate, langid, line_dedup, mixing, secret_scan, token_store
+from innspark.llm import decontaminate, html_extract, langid, line_dedup, mixing, secret_scan, token_store
 from innspark.llm.common import ship, table
 from innspark.session import ensure_checkpoint_dir
 
@@ -43,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "op5_secrets": _over(secret_scan.op5_secrets, "documents"),
     "op6_decontaminate": _over(decontaminate.op6_decontaminate, "documents", "benchmark"),
     "op7_line_dedup": _over(line_dedup.op7_line_dedup, "documents"),
+    "op10_html": _over(html_extract.op10_html, "pages"),
 }
 
 ORACLE_SQL: dict[str, str] = {
