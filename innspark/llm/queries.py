@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innspark.llm import decontaminate, html_extract, langid, line_dedup, mixing, secret_scan, token_store
+from innspark.llm import decontaminate, html_extract, langid, line_dedup, minhash, mixing, secret_scan, token_store
 from innspark.llm.common import ship, table
 from innspark.session import ensure_checkpoint_dir
 
@@ -39,6 +39,7 @@ def _over(operator: Callable, *tables: str, **parameters: Callable) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_token_store": _over(token_store.op1_token_store, "documents", tokenizer=byte_bpe),
     "op2_mixing": _over(mixing.op2_mixing, "documents"),
+    "op3_near_duplicates": _over(minhash.op3_near_duplicates, "documents"),
     "op4_language": _over(langid.op4_language, "documents", vocab=piece_bpe),
     "op5_secrets": _over(secret_scan.op5_secrets, "documents"),
     "op6_decontaminate": _over(decontaminate.op6_decontaminate, "documents", "benchmark"),
