@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from innspark.llm import (
     decontaminate, embedding_dedup, html_extract, langid, line_dedup, minhash, mixing, secret_scan,
-    token_store)
+    substring_dedup, token_store)
 from innspark.llm.common import ship, table
 from innspark.session import ensure_checkpoint_dir
 
@@ -46,6 +46,7 @@ QUERIES: dict[str, Query] = {
     "op5_secrets": _over(secret_scan.op5_secrets, "documents"),
     "op6_decontaminate": _over(decontaminate.op6_decontaminate, "documents", "benchmark"),
     "op7_line_dedup": _over(line_dedup.op7_line_dedup, "documents"),
+    "op8_substrings": _over(substring_dedup.op8_substrings, "documents"),
     "op9_embeddings": _over(embedding_dedup.op9_embeddings, "embeddings"),
     "op10_html": _over(html_extract.op10_html, "pages"),
 }
