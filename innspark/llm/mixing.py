@@ -22,7 +22,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from innspark.llm.common import written
@@ -103,22 +103,21 @@ def _fly(seed: int, turn: int):
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST,
-        block: int = BLOCK, seed: int = 1, keep: tuple = ()) -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken, *keep) for every row of ``docs``
-    (doc_id, text, source): how often the mix takes the document.
+        block: int = BLOCK, seed: int = 1) -> DataFrame:
+    """(doc_id, row, size, source_size, target, copies, taken) for every row of ``docs``
+    (doc_id, text, source): how often the mix takes the document. ``row`` is a hash
+    of doc_id and text.
 
     ``size`` counts the words of the text (null: 0). The null source is a source
     of its own, the last in order. A source without words has target 0. Rows that
-    repeat a doc_id are documents of their own. Other columns are ignored but for
-    those named in ``keep``. The same input gives the same mix: blocks, their
-    order and their random numbers come from hashes.
+    repeat a doc_id are documents of their own. Other columns are ignored. The same
+    input gives the same mix: blocks, their order and their random numbers come
+    from hashes.
     """
-    extra = [F.col(c).alias(f"_keep{k}") for k, c in enumerate(keep)]
     sized = written(docs.select(
         F.col("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64("doc_id", F.coalesce(F.hash("text"), F.lit(0)), F.lit(seed)).alias("h"), *extra),
-        "sizes")
+        _row().alias("row"), F.xxhash64(_row(), F.lit(seed)).alias("h")), "sizes")
     by_source = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
     sources = by_source.limit(MAX_SOURCES + 1).collect()
     if len(sources) > MAX_SOURCES:
@@ -151,9 +150,25 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
         most_blocks, turn = -(-2 * most_blocks // block), turn + 1
     out = reduce(DataFrame.unionByName, [d.select(*state.columns) for d in done])
     copies = F.col("whole") + F.col("p").cast("int")
-    return out.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"),
-                      (F.col("size") * copies).cast("long").alias("taken"),
-                      *(F.col(f"_keep{k}").alias(c) for k, c in enumerate(keep)))
+    return out.select("doc_id", "row", "size", "source_size", "target",
+                      copies.cast("long").alias("copies"),
+                      (F.col("size") * copies).cast("long").alias("taken"))
+
+
+def _row() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
+def take(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mixed`` (from ``mix``) takes it."""
+    copies = (mixed.where("copies > 0")
+              .select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "copies")
+              .groupBy("_id", "_row").agg(F.sort_array(F.collect_list("copies"), False).alias("_copies")))
+    same = Window.partitionBy("_id", "_row").orderBy("_row")  # rows that repeat a document
+    return (docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (_row() == F.col("_row")))
+            .withColumn("_n", F.get("_copies", F.row_number().over(same) - 1)).where("_n > 0")
+            .withColumn("_copy", F.explode(F.expr("sequence(1, cast(_n as int))")))
+            .select(*docs.columns))
 
 
 def op2_mixing(docs: DataFrame) -> DataFrame:

@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 from innspark.llm.common import scratch
 
 MAGIC = b"DAC1"
+SEGMENTS = ("shard int, seg int, first long, n_tokens long, doc_ids array<long>, "
+            "lengths array<long>, codes binary")
+SHARDS = "shard int, base long, n_tokens long"
 BLOCK = 512  # bits of a rank block
 SEGMENT_TOKENS = 1 << 18  # a segment is closed at this size, after a whole document
 # fixed values: the split of byte-level BPE, as published with the vocabulary
@@ -221,11 +224,8 @@ def write_store(docs: DataFrame, store: str, tokenizer: str, end_id: int = 0) ->
     # repeated ids fall apart by their text, so no key can fill a shard
     ranged = (docs.withColumn("th", F.xxhash64("text")).repartitionByRange("doc_id", "th")
               .sortWithinPartitions("doc_id", "th", "text").drop("th"))
-    ranged.mapInPandas(
-        _segments(tokenizer, end_id),
-        "shard int, seg int, first long, n_tokens long, doc_ids array<long>, "
-        "lengths array<long>, codes binary").write.parquet(f"{store}/segments")
-    segments = spark.read.parquet(f"{store}/segments")
+    ranged.mapInPandas(_segments(tokenizer, end_id), SEGMENTS).write.parquet(f"{store}/segments")
+    segments = spark.read.schema(SEGMENTS).parquet(f"{store}/segments")
     # one row for each write task: its count is that of the shuffle partitions
     sizes = sorted((r["shard"], r["n"]) for r in
                    segments.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect())
@@ -233,13 +233,13 @@ def write_store(docs: DataFrame, store: str, tokenizer: str, end_id: int = 0) ->
     for shard, n in sizes:
         rows.append((shard, base, n))
         base += n
-    spark.createDataFrame(rows, "shard int, base long, n_tokens long").coalesce(1).write.parquet(
-        f"{store}/shards")
+    spark.createDataFrame(rows, SHARDS).coalesce(1).write.parquet(f"{store}/shards")
 
 
 def _read(spark: SparkSession, store: str) -> DataFrame:
-    return (spark.read.parquet(f"{store}/segments")
-            .join(F.broadcast(spark.read.parquet(f"{store}/shards").select("shard", "base")), "shard")
+    shards = spark.read.schema(SHARDS).parquet(f"{store}/shards").select("shard", "base")
+    return (spark.read.schema(SEGMENTS).parquet(f"{store}/segments")
+            .join(F.broadcast(shards), "shard")
             .withColumn("start", F.col("base") + F.col("first")))
 
 
