@@ -224,7 +224,7 @@ def _runs(doc: np.ndarray, start: np.ndarray, length: int) -> pd.DataFrame:
     new = np.ones(len(doc), dtype=bool)
     new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
     begin = np.flatnonzero(new)
-    last = np.append(begin[1:], len(doc)) - 1
+    last = np.append(begin[1:], len(doc))[:len(begin)] - 1
     return pd.DataFrame({"doc_id": doc[begin], "start": start[begin], "end": start[last] + length})
 
 

@@ -25,7 +25,7 @@ def test_page():
 
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("just text", "just text"), ("<p>a<p>b", "a\nb"), ("<p>a < b & c</p>", "a < b & c"),
-    ("<article><p>x</article>tail", "x"), ("<div><p>open <b>bold<p>next</div>", "open bold\nnext"),
+    ("<article><p>some words</article>tail", "some words"), ("<div><p>open <b>bold<p>next</div>", "open bold\nnext"),
     ("<nav>only a menu</nav>", ""), ("<p title='a>b'>q</p>", "q"), ('<p><a href="x>y</a> z</p>', "y z"),
     ("<script>never closed <p>x", ""), ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
     ("<article><header><h1>Head</h1></header><p>Body</p></article>", "Head\nBody"), ("<p></p>" * 50, ""),

@@ -58,7 +58,7 @@ def test_equals_brute_force(docs_of, hot):
 
 def test_long_texts_and_small_chunks(docs_of, monkeypatch):
     # no worker: the chunk size is that of this process
-    rows = [(1, "abc" * 30 + "".join(random.Random(1).choice("ab") for _ in range(5000))), (2, "z" * 700)]
+    rows = [(1, "abc" * 30 + "".join(random.Random(1).choices("ab", k=5000))), (2, "z" * 700)]
     import pandas as pd
     monkeypatch.setattr(sd, "CHUNK", 257)
     batch = pd.DataFrame(rows + [(3, rows[0][1])], columns=["doc_id", "text"])
@@ -89,6 +89,7 @@ def test_odd_rows(docs_of, odd_rows):
 
 
 def test_kept_bytes(docs_of):
-    text = "".join(random.Random(8).choice("abcdef ") for _ in range(300))
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdef ") for _ in range(300))
     got = {r.doc_id: bytes(r.kept) for r in sd.remove_repeats(docs_of([(1, text), (2, "new" + text + "end")])).collect()}
     assert got == {1: text.encode(), 2: b"newend"}
