@@ -31,32 +31,10 @@ def read_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _BASE_CACHE:
         path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        _BASE_CACHE[key] = spread(spark, spark.read.parquet(path), path)
+        _BASE_CACHE[key] = spark.read.parquet(path)
     return _BASE_CACHE[key]
 
 
-# Inputs smaller than this are never redistributed.
-SPREAD_MIN_BYTES = 4 << 20
-
-
-def spread(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Guard against under-split inputs: a big file written as one Parquet row
-    group is read by ONE task, serialising every expression and partial
-    aggregate on top of it. When a non-trivial input yields fewer splits than
-    the cluster's parallelism, it is redistributed round-robin once. Inputs
-    with enough splits (any large table) are left untouched."""
-    try:
-        par = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= par:
-            return df
-        jvm = spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-    except Exception:  # no split/size information (e.g. a remote session): read as is
-        return df
-    return df.repartition(par) if size >= SPREAD_MIN_BYTES else df
-
-
 @dataclass(frozen=True)
 class Derived:
     """One source table = projection (+ filter) of one test table."""
@@ -82,7 +60,16 @@ class Derived:
 
 
 def _lp(expr: str, n: int) -> str:
-    return f"lpad(cast({expr} as string), {n}, '0')"
+    """Zero-padded to ``n`` digits; a longer number keeps all of its digits
+    (``lpad`` would cut it, and different keys would become one)."""
+    text = f"cast({expr} as string)"
+    return f"repeat('0', cast(greatest({n} - length({text}), 0) as int)) || {text}"
+
+
+def _per(key: str, n: int) -> str:
+    """A key of a smaller table: ``n`` neighbouring values of ``key`` share one, so
+    its range grows with the data."""
+    return f"cast(floor({key} / {n}) as bigint)"
 
 
 # ---------------------------------------------------------------------------
@@ -158,15 +145,15 @@ DERIVED: dict[str, Derived] = {d.name: d for d in [
         ("property_id", "'P0' || cast((s_suppkey % 5 + 1) as string)"),
         ("outlet_name", "s_name"),
         ("outlet_type", "case s_suppkey % 3 when 0 then 'Restaurant' when 1 then 'Bar' else 'Room Service' end"),
-    ), where="s_suppkey < 10"),
+    )),
     Derived("fnb_transactions", "lineitem", (
-        ("transaction_id", "'TX' || " + _lp("l_orderkey", 7)),
-        ("outlet_id", "'OUT' || " + _lp("l_orderkey % 10", 3)),
-        ("guest_id", "case when l_orderkey % 3 = 0 then null else 'G' || " + _lp("l_orderkey % 150", 6) + " end"),
+        ("transaction_id", "'TX' || " + _lp("l_orderkey", 7) + " || '-' || cast(l_suppkey as string)"),
+        ("outlet_id", "'OUT' || " + _lp("l_suppkey", 3)),
+        ("guest_id", "case when l_orderkey % 3 = 0 then null else 'G' || " + _lp(_per("l_orderkey", 10), 6) + " end"),
         ("customer_type", "case when l_orderkey % 3 = 0 then 'walk-in' else 'inhouse' end"),
         ("transaction_datetime", "l_shipdate + cast((l_orderkey + l_linenumber) % 24 as int) * interval '1' hour"),
-        ("item_name", "'Item ' || cast(l_partkey % 40 as string)"),
-        ("category", "case (l_partkey % 40) % 3 when 0 then 'Food' when 1 then 'Beverage' else 'Dessert' end"),
+        ("item_name", "'Item ' || cast(l_partkey as string)"),
+        ("category", "case l_partkey % 3 when 0 then 'Food' when 1 then 'Beverage' else 'Dessert' end"),
         ("quantity", "cast(l_quantity as bigint)"),
         ("unit_price", "cast(floor(l_extendedprice) as bigint)"),
         ("total_price", "cast(floor(l_extendedprice) as bigint) * cast(l_quantity as bigint)"),
@@ -174,9 +161,9 @@ DERIVED: dict[str, Derived] = {d.name: d for d in [
     Derived("fnb_waste_log", "lineitem", (
         ("waste_id", "'WS' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string) || '-' "
                      "|| cast(l_partkey as string) || '-' || cast(l_suppkey as string)"),
-        ("outlet_id", "'OUT' || " + _lp("l_orderkey % 10", 3)),
+        ("outlet_id", "'OUT' || " + _lp("l_suppkey", 3)),
         ("date", "cast(l_shipdate as date)"),
-        ("ingredient_id", "'ING' || " + _lp("l_partkey % 30 + 1", 3)),
+        ("ingredient_id", "'ING' || " + _lp("l_partkey + 1", 3)),
         ("quantity_wasted", "l_quantity / 8"),
         ("reason", "case l_linenumber % 3 when 0 then 'overproduction' when 1 then 'expired' else 'spillage' end"),
     ), where="l_returnflag = 'R'"),
@@ -189,23 +176,23 @@ DERIVED: dict[str, Derived] = {d.name: d for d in [
         ("floor", "cast(p_size % 10 + 1 as bigint)"),
         ("status", "case p_size % 5 when 0 then 'available' when 1 then 'occupied' when 2 then 'cleaning' "
                    "when 3 then 'maintenance' else 'out-of-order' end"),
-    ), where="p_partkey < 200"),
+    )),
     Derived("housekeeping_log", "lineitem", (
         ("log_id", "'HK' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string) || '-' "
                    "|| cast(l_partkey as string) || '-' || cast(l_suppkey as string)"),
-        ("room_id", "'RM' || " + _lp("l_orderkey % 200", 4)),
+        ("room_id", "'RM' || " + _lp("l_partkey", 4)),
         ("date", "cast(l_shipdate as date)"),
         ("cleaning_start_time", _lp("8 + l_orderkey % 8", 2) + " || ':' || " + _lp("l_orderkey % 60", 2)
          + " || ':' || " + _lp("l_orderkey * 7 % 60", 2)),
         ("cleaning_end_time", _lp("9 + l_orderkey % 8", 2) + " || ':' || " + _lp("l_partkey % 60", 2)
          + " || ':' || " + _lp("l_partkey * 7 % 60", 2)),
-        ("staff_id", "'E' || " + _lp("l_orderkey % 150", 6)),
+        ("staff_id", "'E' || " + _lp(_per("l_orderkey", 10), 6)),
         ("status", "case when l_orderkey % 9 = 0 then 'delayed' else 'completed' end"),
-    ), where="l_linenumber = 1"),
+    )),
     Derived("maintenance_tickets", "orders", (
         ("ticket_id", "'MT' || " + _lp("o_orderkey", 7)),
         ("property_id", "'P0' || cast((o_orderkey % 5 + 1) as string)"),
-        ("room_id", "case when o_orderkey % 4 = 0 then null else 'RM' || " + _lp("o_orderkey % 200", 4) + " end"),
+        ("room_id", "case when o_orderkey % 4 = 0 then null else 'RM' || " + _lp(_per("o_orderkey", 8), 4) + " end"),
         ("facility_area", "case when o_orderkey % 4 <> 0 then 'Room' when o_custkey % 2 = 0 then 'Pool' "
                           "else 'Lobby' end"),
         ("issue_type", "case o_custkey % 5 when 0 then 'AC' when 1 then 'Plumbing' when 2 then 'Electrical' "
@@ -221,12 +208,12 @@ DERIVED: dict[str, Derived] = {d.name: d for d in [
         ("parts_replaced", "case when o_orderkey % 2 = 0 then null else 'part' end"),
         ("cost", "cast(floor(o_totalprice) as bigint)"),
     )),
-    Derived("venues", "nation", (
-        ("venue_id", "'VN' || " + _lp("n_nationkey", 3)),
-        ("property_id", "'P0' || cast((n_nationkey % 5 + 1) as string)"),
-        ("venue_name", "n_name"),
-        ("venue_type", "case n_nationkey % 3 when 0 then 'Ballroom' when 1 then 'Meeting Room' else 'Outdoor' end"),
-        ("max_capacity", "cast(100 + n_nationkey * 10 as bigint)"),
+    Derived("venues", "supplier", (
+        ("venue_id", "'VN' || " + _lp("s_suppkey", 3)),
+        ("property_id", "'P0' || cast((s_suppkey % 5 + 1) as string)"),
+        ("venue_name", "s_name"),
+        ("venue_type", "case s_suppkey % 3 when 0 then 'Ballroom' when 1 then 'Meeting Room' else 'Outdoor' end"),
+        ("max_capacity", "cast(100 + s_suppkey * 10 as bigint)"),
     )),
     Derived("spa_bookings", "orders", (
         ("spa_booking_id", "'SP' || " + _lp("o_orderkey", 7)),
@@ -241,25 +228,25 @@ DERIVED: dict[str, Derived] = {d.name: d for d in [
                              "else 120 end as bigint)"),
         ("price", "cast(floor(o_totalprice) as bigint)"),
         ("status", "case o_orderstatus when 'F' then 'completed' when 'O' then 'confirmed' else 'cancelled' end"),
-    ), where="o_orderkey % 3 = 0"),
+    )),
     Derived("event_bookings", "orders", (
         ("event_id", "'EV' || " + _lp("o_orderkey", 7)),
-        ("property_id", "'P0' || cast((o_custkey % 25 % 5 + 1) as string)"),
-        ("venue_id", "'VN' || " + _lp("o_custkey % 25", 3)),
+        ("property_id", "'P0' || cast((" + _per("o_orderkey", 150) + " % 5 + 1) as string)"),
+        ("venue_id", "'VN' || " + _lp(_per("o_orderkey", 150), 3)),
         ("client_name", "'Client ' || cast(o_custkey as string)"),
         ("event_type", "case o_orderkey % 6 when 0 then 'Wedding' when 1 then 'Corporate Meeting' "
                        "when 2 then 'Conference' when 3 then 'Gala Dinner' when 4 then 'Product Launch' "
                        "else 'Training/Workshop' end"),
         ("event_date", "cast(o_orderdate as date)"),
-        ("venue_name", "'Venue ' || cast(o_custkey % 25 as string)"),
+        ("venue_name", "'Venue ' || cast(" + _per("o_orderkey", 150) + " as string)"),
         ("capacity_booked", "cast(o_orderkey % 100 + 1 as bigint)"),
         ("total_revenue", "cast(floor(o_totalprice) as bigint)"),
         ("status", "case o_orderstatus when 'F' then 'completed' when 'O' then 'confirmed' else 'cancelled' end"),
-    ), where="o_orderkey % 5 = 0"),
+    )),
     Derived("staff_shifts", "lineitem", (
         ("shift_id", "'SH' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string) || '-' "
                      "|| cast(l_partkey as string) || '-' || cast(l_suppkey as string)"),
-        ("employee_id", "'E' || " + _lp("l_orderkey % 150", 6)),
+        ("employee_id", "'E' || " + _lp(_per("l_orderkey", 10), 6)),
         ("date", "cast(l_shipdate as date)"),
         ("shift_type", "case l_linenumber % 3 when 0 then 'Night' when 1 then 'Morning' else 'Afternoon' end"),
         ("clock_in", f"case when {_M} < 2 then null else case l_linenumber % 3 when 0 then '23' "
@@ -269,7 +256,7 @@ DERIVED: dict[str, Derived] = {d.name: d for d in [
                       f"|| ':' || " + _lp("l_partkey % 60", 2) + " || ':00' end"),
         ("status", f"case {_M} when 0 then 'absent' when 1 then 'leave' when 2 then 'late' when 3 then 'late' "
                    f"else 'present' end"),
-    ), where="l_linenumber <= 3"),
+    )),
     Derived("chatbot_query_log", "events", (
         ("role_title", "case user_id % 3 when 0 then 'CEO' when 1 then 'F&B Staff' else 'HR Staff' end"),
         ("domain", "case event_id % 4 when 0 then 'reservation' when 1 then 'fnb' when 2 then 'hr' "
@@ -304,25 +291,30 @@ def _sql_properties():
             + " FROM region WHERE r_regionkey = 0")
 
 
-_OCC_COLS = ("property_id", "room_type", "check_in_date AS date",
-             "cast(least(n, 25) as bigint) AS rooms_sold",
-             "cast(25 as bigint) AS total_rooms_available",
-             "cast(least(n, 25) as double) / 25 AS occupancy_rate",
+_OCC_COLS = ("g.property_id", "g.room_type", "check_in_date AS date",
+             "n AS rooms_sold",
+             "cast(coalesce(capacity, 0) as bigint) AS total_rooms_available",
+             "cast(n as double) / nullif(capacity, 0) AS occupancy_rate",
              "adr",
-             "adr * (cast(least(n, 25) as double) / 25) AS revpar")
+             "adr * (cast(n as double) / nullif(capacity, 0)) AS revpar")
 
 
 def _spark_daily_occupancy(spark, sf_dir, get):
     b = get("src_bookings").filter("status in ('completed', 'confirmed')")
     g = b.groupBy("property_id", "room_type", "check_in_date").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("room_rate").alias("adr"))
-    return g.selectExpr(*_OCC_COLS)
+        F.count(F.lit(1)).alias("n"), F.avg("room_rate").alias("adr")).alias("g")
+    rooms = get("src_rooms").groupBy("property_id", "room_type").agg(
+        F.count(F.lit(1)).alias("capacity")).alias("c")
+    return g.join(rooms, F.expr("g.property_id = c.property_id and g.room_type = c.room_type"), "left"
+                  ).selectExpr(*_OCC_COLS)
 
 
 def _sql_daily_occupancy():
     return ("SELECT " + ", ".join(_OCC_COLS) + " FROM (SELECT property_id, room_type, check_in_date, "
             "count(*) AS n, avg(room_rate) AS adr FROM src_bookings WHERE status in ('completed', 'confirmed') "
-            "GROUP BY property_id, room_type, check_in_date) g")
+            "GROUP BY property_id, room_type, check_in_date) g LEFT JOIN (SELECT property_id, room_type, "
+            "count(*) AS capacity FROM src_rooms GROUP BY 1, 2) c "
+            "ON g.property_id = c.property_id AND g.room_type = c.room_type")
 
 
 _PRICE_COLS = ("property_id", "room_type", "check_in_date AS date", "b AS base_rate", "a AS applied_rate",
@@ -342,61 +334,55 @@ def _sql_pricing_history():
             "GROUP BY property_id, room_type, check_in_date) g")
 
 
-_IPH_COLS = ("'ING' || " + _lp("p_partkey + 1", 3) + " AS ingredient_id", "d AS date",
-             "cast(1000 + p_partkey * 100 + extract(day from d) as double) AS unit_cost")
-_IPH_KEEP = "(p_partkey + extract(day from d)) % 29 <> 0"
+_IPH_COLS = ("'ING' || " + _lp("l_partkey + 1", 3) + " AS ingredient_id", "d AS date",
+             "cast(1000 + l_partkey * 100 + extract(day from d) as double) AS unit_cost")
 
 
 def _spark_ingredient_price_history(spark, sf_dir, get):
-    # distinct ship dates, fanned out to the (< 30) price-listed parts via an
-    # equi-join on a generated key instead of a Cartesian product
-    days = (read_base(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d")).distinct()
-            .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(29)).cast("array<bigint>"))))
-    parts = read_base(spark, sf_dir, "part").filter("p_partkey < 30").select("p_partkey")
-    j = days.join(F.broadcast(parts), days.k == parts.p_partkey)
-    return j.filter(_IPH_KEEP).selectExpr(*_IPH_COLS)
+    # an ingredient has a price on the days on which it is delivered
+    days = read_base(spark, sf_dir, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("d"))
+    return days.distinct().selectExpr(*_IPH_COLS)
 
 
 def _sql_ingredient_price_history():
-    return ("SELECT " + ", ".join(_IPH_COLS) + " FROM (SELECT DISTINCT cast(l_shipdate as date) AS d "
-            "FROM lineitem) dd CROSS JOIN (SELECT p_partkey FROM part WHERE p_partkey < 30) pp WHERE " + _IPH_KEEP)
+    return ("SELECT " + ", ".join(_IPH_COLS)
+            + " FROM (SELECT DISTINCT l_partkey, cast(l_shipdate as date) AS d FROM lineitem) dd")
 
 
 _RB_COLS = ("'Item ' || cast(p_partkey as string) AS item_name",
-            "'ING' || " + _lp("(p_partkey + i * 7) % 30 + 1", 3) + " AS ingredient_id",
+            "'ING' || " + _lp("p_partkey + i * 7 + 1", 3) + " AS ingredient_id",
             "cast(i + 1 as double) / 8 AS qty_per_portion")
 
 
 def _spark_recipe_bom(spark, sf_dir, get):
-    p = read_base(spark, sf_dir, "part").filter("p_partkey < 40").select("p_partkey")
+    p = read_base(spark, sf_dir, "part").select("p_partkey")
     return p.withColumn("i", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).selectExpr(*_RB_COLS)
 
 
 def _sql_recipe_bom():
-    return ("SELECT " + ", ".join(_RB_COLS) + " FROM (SELECT p_partkey FROM part WHERE p_partkey < 40) p "
+    return ("SELECT " + ", ".join(_RB_COLS) + " FROM part "
             "CROSS JOIN (SELECT unnest([0, 1, 2]) AS i) ii")
 
 
-_INV_COLS = ("'ING' || " + _lp("p_partkey + 1", 3) + " AS ingredient_id",
-             "'OUT' || " + _lp("s_suppkey", 3) + " AS outlet_id",
+_INV_COLS = ("'ING' || " + _lp("l_partkey + 1", 3) + " AS ingredient_id",
+             "'OUT' || " + _lp("l_suppkey", 3) + " AS outlet_id",
              "p_name AS ingredient_name",
-             "case p_partkey % 3 when 0 then 'kg' when 1 then 'liter' else 'pcs' end AS unit",
-             "cast((p_partkey * 7 + s_suppkey) % 50 as double) AS stock_current",
+             "case l_partkey % 3 when 0 then 'kg' when 1 then 'liter' else 'pcs' end AS unit",
+             "cast((l_partkey * 7 + l_suppkey) % 50 as double) AS stock_current",
              "cast(p_size % 30 as double) AS stock_min_threshold",
              "p_retailprice AS unit_cost")
 
 
 def _spark_fnb_inventory(spark, sf_dir, get):
-    s = (read_base(spark, sf_dir, "supplier").filter("s_suppkey < 10").select("s_suppkey")
-         .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(29)).cast("array<bigint>"))))
-    p = read_base(spark, sf_dir, "part").filter("p_partkey < 30").select(
-        "p_partkey", "p_name", "p_size", "p_retailprice")
-    return s.join(F.broadcast(p), s.k == p.p_partkey).selectExpr(*_INV_COLS)
+    # an outlet stocks what it has been supplied with
+    stock = read_base(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    parts = read_base(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    return stock.join(parts, stock.l_partkey == parts.p_partkey).selectExpr(*_INV_COLS)
 
 
 def _sql_fnb_inventory():
-    return ("SELECT " + ", ".join(_INV_COLS) + " FROM (SELECT * FROM supplier WHERE s_suppkey < 10) s "
-            "CROSS JOIN (SELECT * FROM part WHERE p_partkey < 30) p")
+    return ("SELECT " + ", ".join(_INV_COLS) + " FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) s "
+            "JOIN part ON l_partkey = p_partkey")
 
 
 _PERIODS = ("2024-S1", "2024-S2", "2025-S1", "2025-S2")
@@ -444,37 +430,52 @@ def _sql_payroll():
             "(SELECT cast(range AS int) AS i FROM range(12)) ii")
 
 
-_FS_REV = "cast(1000000 * (k + 2) + i * 5000 * (j + 1) as bigint)"
-_FS_REV_J = f"(case when j = 4 then cast(0 as bigint) else {_FS_REV} end)"
-_FS_UND = "cast(400000 + i * 1000 as bigint)"
-_FS_COLS = ("'P0' || cast((k + 1) as string) AS property_id",
-            "cast(1996 + cast(floor(i / 12) as int) as string) || '-' || " + _lp("i % 12 + 1", 2) + " AS period",
+# one row for each booking, sale and treatment: property, month, department, revenue
+_FS_PARTS = (
+    ("src_bookings", "status in ('completed', 'confirmed')", "check_in_date", "0", "total_amount"),
+    ("src_fnb_transactions JOIN src_fnb_outlets USING (outlet_id)", "true",
+     "cast(transaction_datetime as date)", "1", "total_price"),
+    ("src_spa_bookings", "status in ('completed', 'confirmed')", "service_date", "2", "price"),
+    ("src_event_bookings", "status in ('completed', 'confirmed')", "event_date", "2", "total_revenue"),
+)
+_FS_EXP = "cast(floor(rev * 6 / 10) as bigint)"
+_FS_UND = "cast(400000 + cast(substr(period, 6, 2) as int) * 1000 as bigint)"
+_FS_COLS = ("property_id", "period",
             "case j when 0 then 'Room' when 1 then 'F&B' when 2 then 'Spa&Event' when 3 then 'Overall' "
             "else 'Corporate Overhead' end AS department",
-            f"case when j = 3 then {_FS_REV_J} * 3 else {_FS_REV_J} end AS departmental_revenue",
-            f"cast(floor({_FS_REV_J} * 6 / 10) as bigint) AS departmental_expense",
-            f"case when j = 3 then {_FS_REV_J} * 3 else {_FS_REV_J} end "
-            f"- cast(floor({_FS_REV_J} * 6 / 10) as bigint) AS departmental_profit",
+            "rev AS departmental_revenue",
+            f"{_FS_EXP} AS departmental_expense",
+            f"rev - {_FS_EXP} AS departmental_profit",
             f"case when j < 3 then cast(0 as bigint) else {_FS_UND} end AS undistributed_expense",
-            f"case when j < 3 then cast(0 as bigint) when j = 3 then {_FS_REV_J} * 3 "
-            f"- cast(floor({_FS_REV_J} * 6 / 10) as bigint) - {_FS_UND} else -{_FS_UND} end AS gop")
+            f"case when j < 3 then cast(0 as bigint) else rev - {_FS_EXP} - {_FS_UND} end AS gop")
 
 
 def _spark_financial_summary(spark, sf_dir, get):
-    r = read_base(spark, sf_dir, "region").select(F.col("r_regionkey").cast("int").alias("k"))
-    hotels = r.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(3))))
-    # head office (P06): one 'Corporate Overhead' line, derived from region 0
-    office = r.filter("k = 0").select(F.lit(5).alias("k"), F.lit(4).alias("j"))
-    lines = hotels.unionByName(office).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(23))))
-    return lines.selectExpr(*_FS_COLS)
+    fnb = get("src_fnb_transactions").join(get("src_fnb_outlets"), "outlet_id")
+    frames = (get("src_bookings"), fnb, get("src_spa_bookings"), get("src_event_bookings"))
+    parts = [df.where(keep).selectExpr("property_id", f"substr(cast({day} as string), 1, 7) AS period",
+                                       f"{j} AS j", f"{rev} AS rev").groupBy("property_id", "period", "j")
+             .agg(F.sum("rev").alias("rev"))
+             for df, (_, keep, day, j, rev) in zip(frames, _FS_PARTS)]
+    lines = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    lines = lines.groupBy("property_id", "period", "j").agg(F.sum("rev").alias("rev"))
+    overall = lines.groupBy("property_id", "period").agg(F.sum("rev").alias("rev")).select(
+        "property_id", "period", F.lit(3).alias("j"), "rev")
+    # head office (P06): one 'Corporate Overhead' line for each month
+    office = lines.select("period").distinct().select(
+        F.lit("P06").alias("property_id"), "period", F.lit(4).alias("j"), F.lit(0).cast("bigint").alias("rev"))
+    return lines.unionByName(overall).unionByName(office).selectExpr(*_FS_COLS)
 
 
 def _sql_financial_summary():
-    return ("SELECT " + ", ".join(_FS_COLS) + " FROM ("
-            "SELECT cast(r_regionkey AS int) AS k, cast(jj.range AS int) AS j FROM region "
-            "CROSS JOIN range(4) jj "
-            "UNION ALL SELECT 5 AS k, 4 AS j FROM region WHERE r_regionkey = 0) l "
-            "CROSS JOIN (SELECT cast(range AS int) AS i FROM range(24)) ii")
+    parts = " UNION ALL ".join(
+        f"SELECT property_id, substr(cast({day} as string), 1, 7) AS period, {j} AS j, {rev} AS rev "
+        f"FROM {source} WHERE {keep}" for source, keep, day, j, rev in _FS_PARTS)
+    return (f"SELECT {', '.join(_FS_COLS)} FROM (WITH lines AS (SELECT property_id, period, j, "
+            f"cast(sum(rev) as bigint) AS rev FROM ({parts}) x GROUP BY 1, 2, 3) "
+            "SELECT * FROM lines UNION ALL SELECT property_id, period, 3 AS j, cast(sum(rev) as bigint) AS rev "
+            "FROM lines GROUP BY 1, 2 UNION ALL SELECT DISTINCT 'P06' AS property_id, period, 4 AS j, "
+            "cast(0 as bigint) AS rev FROM lines) l")
 
 
 @dataclass(frozen=True)
@@ -487,14 +488,16 @@ class Special:
 
 SPECIAL: dict[str, Special] = {s.name: s for s in [
     Special("properties", _spark_properties, _sql_properties),
-    Special("daily_occupancy", _spark_daily_occupancy, _sql_daily_occupancy, ("src_bookings",)),
+    Special("daily_occupancy", _spark_daily_occupancy, _sql_daily_occupancy, ("src_bookings", "src_rooms")),
     Special("pricing_history", _spark_pricing_history, _sql_pricing_history, ("src_bookings",)),
     Special("ingredient_price_history", _spark_ingredient_price_history, _sql_ingredient_price_history),
     Special("recipe_bom", _spark_recipe_bom, _sql_recipe_bom),
     Special("fnb_inventory", _spark_fnb_inventory, _sql_fnb_inventory),
     Special("employee_performance", _spark_employee_performance, _sql_employee_performance),
     Special("payroll", _spark_payroll, _sql_payroll),
-    Special("financial_summary", _spark_financial_summary, _sql_financial_summary),
+    Special("financial_summary", _spark_financial_summary, _sql_financial_summary,
+            ("src_bookings", "src_fnb_transactions", "src_fnb_outlets", "src_spa_bookings",
+             "src_event_bookings")),
 ]}
 
 # the 22 derived source tables + the request log (role_permissions is a seed)
