@@ -31,6 +31,53 @@ def median(c) -> Column:
     return F.percentile_approx(col(c), 0.5)
 
 
+def exact_percentiles(values: DataFrame, keys: list[str], value: str, ps: list[float]) -> DataFrame:
+    """(keys, n, percentiles): exact interpolated percentiles of ``value`` by
+    ``keys``, distributed.
+
+    Equal values are counted first. Those counts are ranged by key and value over
+    the partitions, and running sums within a partition start at the sum of the
+    partitions before it, so no task holds a column. ``percentiles`` is an array in
+    the order of ``ps``; nulls are left out."""
+    return percentiles_of(counted_values(values, keys, value), keys, ps)
+
+
+def counted_values(values: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, value, n, part) as a table: each value's count, ranged over ``part``."""
+    import uuid
+
+    from innspark.session import scratch_dir
+    spark = values.sparkSession
+    counted = (values.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("value"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    ranged = counted.repartitionByRange(*keys, "value").withColumn("part", F.spark_partition_id())
+    path = scratch_dir(spark, f"values-{uuid.uuid4().hex}")
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
+
+
+def percentiles_of(counted: DataFrame, keys: list[str], ps: list[float]) -> DataFrame:
+    by_part = counted.groupBy(*keys, "part").agg(F.sum("n").alias("in_part"))
+    # as many rows as partitions for each key
+    order = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = by_part.select(*keys, "part", F.coalesce(F.sum("in_part").over(order), F.lit(0)).alias("start"),
+                            F.sum("in_part").over(Window.partitionBy(*keys)).alias("total"))
+    running = F.sum("n").over(Window.partitionBy(*keys, "part").orderBy("value")
+                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = (counted.join(starts, [*keys, "part"]).withColumn("upto", F.col("start") + running)
+              .withColumn("from", F.col("upto") - F.col("n")))
+    at = [(F.col("total") - 1) * p for p in ps]
+    here = lambda k: (F.col("from") <= k) & (k < F.col("upto"))
+    out = ranked.groupBy(*keys).agg(
+        F.max("total").alias("n"),
+        *[F.max(F.when(here(F.floor(a)), F.col("value"))).cast("double").alias(f"__lo{i}") for i, a in enumerate(at)],
+        *[F.max(F.when(here(F.ceil(a)), F.col("value"))).cast("double").alias(f"__hi{i}") for i, a in enumerate(at)])
+    part = [(F.col("n") - 1) * p - F.floor((F.col("n") - 1) * p) for p in ps]
+    return out.select(*keys, "n", F.array(*[
+        F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * x for i, x in enumerate(part)]
+    ).alias("percentiles"))
+
+
 def parse_mixed_date(c) -> Column:
     """B3: 'dd/MM/yyyy' when the text holds a '/', ISO otherwise."""
     c = col(c)
@@ -184,9 +231,10 @@ def shift_values(df: DataFrame, keys: list[str], date_col: str, values: list[str
         hits = F.filter(cand, _lands_on(d, n))
         entries.append(F.transform(hits, _tagged(i)))
     out_cols = [f"{p}{v}" for p in shifts for v in values]
-    # rows with a null key only pass through (their own one-row group, tagged
-    # by a row id); keyed rows also emit their shifted copies
-    uid = F.when(keyed, F.lit(None).cast("long")).otherwise(F.monotonically_increasing_id())
+    # rows with a null key only pass through, grouped by a hash of the whole row
+    # (a row id would change when a lost task runs again) and counted, so that
+    # equal rows stay as many; keyed rows also emit their shifted copies
+    uid = F.when(keyed, F.lit(None).cast("long")).otherwise(F.xxhash64(*df.columns))
     all_entries = F.when(keyed, F.concat(*entries)).otherwise(entries[0])
     e = df.select(F.struct(*df.columns).alias("__row"), *keys, *values, uid.alias("__uid"),
                   F.explode(all_entries).alias("__e"))
@@ -195,9 +243,13 @@ def shift_values(df: DataFrame, keys: list[str], date_col: str, values: list[str
                for i, p in enumerate(shifts, start=1) for v in values]
     e = e.select(*keys, "__uid", F.col("__e.d").alias("__d"), F.when(tag == 0, F.col("__row")).alias("__row"),
                  *shifted)
-    g = e.groupBy(*keys, "__d", "__uid").agg(F.first("__row", ignorenulls=True).alias("__row"),
-                                             *[F.first(c, ignorenulls=True).alias(c) for c in out_cols])
-    return g.where(F.col("__row").isNotNull()).select("__row.*", *out_cols)
+    g = e.groupBy(*keys, "__d", "__uid").agg(
+        F.first("__row", ignorenulls=True).alias("__row"), F.count("__row").alias("__n"),
+        *[F.first(c, ignorenulls=True).alias(c) for c in out_cols])
+    copies = F.when(F.col("__uid").isNull(), 1).otherwise(F.col("__n")).cast("int")
+    return (g.where(F.col("__row").isNotNull())
+            .withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies)))
+            .select("__row.*", *out_cols))
 
 
 def shift_join(cur: DataFrame, keys: list[str], date_col: str, values: list[str], months: int,
@@ -233,16 +285,16 @@ def left_join_skip_null_keys(df: DataFrame, other: DataFrame, key: str) -> DataF
 
     Null keys never match, but hash partitioning would send all of them (e.g.
     every walk-in without a guest id) to the same reducer. Each null key is
-    replaced by a distinct value no right-side key can equal (a NUL-prefixed
-    row id), which spreads those rows evenly and still matches nothing — one
-    pass over ``df``, no extra branch."""
+    replaced by a value no right-side key can equal (a NUL-prefixed hash of the
+    row, the same whenever the task runs), which spreads those rows evenly and
+    still matches nothing: one pass over ``df``, no extra branch."""
     if not isinstance(df.schema[key].dataType, T.StringType):
         right_cols = [c for c in other.columns if c != key]
         matched = df.where(F.col(key).isNotNull()).join(other, key, "left")
         unmatched = df.where(F.col(key).isNull()).select(
             "*", *[F.lit(None).cast(other.schema[c].dataType).alias(c) for c in right_cols])
         return matched.unionByName(unmatched.select(*matched.columns))
-    salt = F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string"))
+    salt = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
     left = df.withColumn("__jk", F.coalesce(F.col(key), salt))
     right = other.withColumnRenamed(key, "__jk")
     return left.join(right, "__jk", "left").drop("__jk")

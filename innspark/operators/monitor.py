@@ -75,8 +75,6 @@ VALUE_COLUMNS = [
     ("spa_event", "spa_bookings", "price", "status IN ('completed','confirmed')"),
     ("spa_event", "event_bookings", "total_revenue", "status IN ('completed','confirmed')"),
 ]
-# quantile sketch accuracy of the value monitor: rank error <= n / accuracy
-QUANTILE_ACCURACY = 1_000_000
 
 _AS_OF = DEFAULT_AS_OF.isoformat()
 
@@ -465,45 +463,49 @@ def monitor_dirty_drift(m):
 # ---------------------------------------------------------------------------
 # H8 value anomaly (Tukey fences), H9 outlier-share drift
 # ---------------------------------------------------------------------------
-def value_anomaly(t, snapshot_date, columns=VALUE_COLUMNS, prefix="src_", accuracy=QUANTILE_ACCURACY) -> DataFrame:
-    """Quartiles from a mergeable quantile sketch (bounded memory per column,
-    partial aggregation on every task), then a second pass counting values
-    outside q1 - k*iqr .. q3 + k*iqr. The quartiles are one scalar subquery,
-    referenced once and carried through the second aggregation, so each
-    column costs exactly two scans."""
+def value_anomaly(t, snapshot_date, columns=VALUE_COLUMNS, prefix="src_") -> DataFrame:
+    """Exact interpolated quartiles and the values outside q1 - k*iqr .. q3 + k*iqr.
+
+    All columns are counted by value in one pass each and ranged together; the
+    quartiles and, from the same counts, the outliers follow without another scan
+    of the tables."""
+    keys = ["schema_name", "table_name", "column_name"]
     parts = []
     for sc, tb, c, flt in columns:
         df = t[f"{prefix}{tb}"]
-        if flt:
-            df = df.where(flt)
-        q = F.percentile_approx(F.col(c), [0.25, 0.5, 0.75], accuracy)
-        stats = df.agg(F.struct(F.count(F.lit(1)).alias("row_count"), q[0].cast("double").alias("q1"),
-                                q[1].cast("double").alias("median"), q[2].cast("double").alias("q3"))).scalar()
-        x = df.select(F.col(c).alias("__v"), stats.alias("__s"))
-        q1, q3 = F.col("__s.q1"), F.col("__s.q3")
-        lo, hi = q1 - IQR_K * (q3 - q1), q3 + IQR_K * (q3 - q1)
-        outl = x.agg(F.count_if((F.col("__v") < lo) | (F.col("__v") > hi)).alias("outlier_count"),
-                     F.max("__s").alias("__s"))
-        parts.append(outl.select(
-            F.lit(sc).alias("schema_name"), F.lit(tb).alias("table_name"), F.lit(c).alias("column_name"),
-            F.lit(snapshot_date).alias("snapshot_date"), F.col("__s.q1").alias("q1"),
-            F.col("__s.median").alias("median"), F.col("__s.q3").alias("q3"),
-            (F.col("__s.q3") - F.col("__s.q1")).alias("iqr"),
-            (F.col("__s.q1") - IQR_K * (F.col("__s.q3") - F.col("__s.q1"))).alias("lower_fence"),
-            (F.col("__s.q3") + IQR_K * (F.col("__s.q3") - F.col("__s.q1"))).alias("upper_fence"),
-            "outlier_count", F.coalesce(F.col("__s.row_count"), F.lit(0)).alias("row_count")))
-    return X.union_all(parts)
+        df = df.where(flt) if flt else df
+        parts.append(df.select(F.lit(sc).alias("schema_name"), F.lit(tb).alias("table_name"),
+                               F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")))
+    values = X.union_all(parts)
+    rows = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))  # nulls count as rows
+    counted = X.counted_values(values, keys, "v")
+    q = X.percentiles_of(counted, keys, [0.25, 0.5, 0.75]).select(
+        *keys, *[F.col("percentiles")[i].alias(name) for i, name in enumerate(("q1", "median", "q3"))])
+    q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
+         .withColumn("lower_fence", F.col("q1") - IQR_K * F.col("iqr"))
+         .withColumn("upper_fence", F.col("q3") + IQR_K * F.col("iqr")))
+    outside = counted.join(q, keys).where((F.col("value") < F.col("lower_fence"))
+                                          | (F.col("value") > F.col("upper_fence")))
+    outliers = outside.groupBy(*keys).agg(F.sum("n").alias("outlier_count"))
+    # a column without rows still has its line
+    all_columns = t.spark.createDataFrame([c[:3] for c in columns], ", ".join(f"{k} string" for k in keys))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return (all_columns.join(q, keys, "left").join(rows, keys, "left").join(outliers, keys, "left")
+            .select(*keys, F.lit(snapshot_date).alias("snapshot_date"), "q1", "median", "q3", "iqr", "lower_fence",
+                    "upper_fence", zero("outlier_count"), zero("row_count")))
 
 
 def _value_sql(sc, tb, c, flt):
-    where = f" WHERE {flt}" if flt else ""
-    return f"""SELECT '{sc}' AS schema_name, '{tb}' AS table_name, '{c}' AS column_name, DATE '{_AS_OF}' AS snapshot_date,
-  q1, median, q3, q3 - q1 AS iqr, q1 - {IQR_K} * (q3 - q1) AS lower_fence, q3 + {IQR_K} * (q3 - q1) AS upper_fence,
-  (SELECT count(*) FROM src_{tb}{where}{' AND' if flt else ' WHERE'} ({c} < q1 - {IQR_K} * (q3 - q1) OR {c} > q3 + {IQR_K} * (q3 - q1))) AS outlier_count,
-  row_count
-FROM (SELECT count(*) AS row_count, cast(quantile_disc({c}, 0.25) AS double) AS q1,
-  cast(quantile_disc({c}, 0.5) AS double) AS median, cast(quantile_disc({c}, 0.75) AS double) AS q3
-  FROM src_{tb}{where}) s"""
+    """One line of the snapshot, from the sorted values themselves."""
+    keep = f" WHERE {flt}" if flt else ""
+    return f"""SELECT '{sc}' AS schema_name, '{tb}' AS table_name, '{c}' AS column_name,
+  DATE '{_AS_OF}' AS snapshot_date, f.q1, f.median, f.q3, f.iqr, f.low AS lower_fence, f.high AS upper_fence,
+  cast(count_if(v.x < f.low OR v.x > f.high) AS bigint) AS outlier_count, cast(count(v.present) AS bigint) AS row_count
+FROM (SELECT q[1] AS q1, q[2] AS median, q[3] AS q3, q[3] - q[1] AS iqr, q[1] - {IQR_K} * (q[3] - q[1]) AS low,
+        q[3] + {IQR_K} * (q[3] - q[1]) AS high
+      FROM (SELECT quantile_cont(cast({c} AS double), [0.25, 0.5, 0.75]) AS q FROM src_{tb}{keep}) a) f
+LEFT JOIN (SELECT cast({c} AS double) AS x, 1 AS present FROM src_{tb}{keep}) v ON true
+GROUP BY f.q1, f.median, f.q3, f.iqr, f.low, f.high"""
 
 
 @model("monitor_value_anomaly", "ops", "\nUNION ALL\n".join(_value_sql(*v) for v in VALUE_COLUMNS), tags=("monitor",))
@@ -524,9 +526,13 @@ def outlier_drift(history: DataFrame, n: int = DRIFT_WINDOW) -> DataFrame:
 # H10/H11 schema drift against an approved baseline
 # ---------------------------------------------------------------------------
 # Column-name fragments that make a schema change high severity.
-SENSITIVE_KEYWORDS = ["password", "passwd", "secret", "token", "api_key", "apikey", "ssn", "nik", "ktp", "npwp",
-                      "passport", "credit_card", "card_number", "cvv", "iban", "account_number", "salary",
-                      "email", "phone", "address", "birth", "dob"]
+SENSITIVE_KEYWORDS = [
+    "password", "passwd", "secret", "token", "api_key", "apikey", "credential",
+    "nik", "ktp", "passport", "paspor", "ssn", "ssn_", "national_id",
+    "email", "phone", "telepon", "no_hp", "hp_number", "whatsapp",
+    "salary", "gaji", "credit_card", "kartu_kredit", "rekening", "bank_account", "account_number", "iban", "cvv", "pin",
+    "medical", "kesehatan", "diagnosis",
+]
 
 
 def schema_frame(spark, schema_name: str, table_name: str, df: DataFrame) -> DataFrame:
@@ -551,7 +557,7 @@ def schema_diff(baseline: DataFrame, current: DataFrame, pending: DataFrame | No
           .select(*keys, "drift_type",
                   F.concat_ws(" -> ", F.coalesce("__bt", F.lit("(none)")), F.coalesce("__ct", F.lit("(none)")))
                   .alias("detail"),
-                  F.when(sens, "high").otherwise("medium").alias("severity"),
+                  F.when(sens, "high").otherwise("normal").alias("severity"),
                   F.lit("pending").alias("status")))
     if pending is not None:
         ev = ev.join(pending.where(F.col("status") == "pending").select(*keys, "drift_type"),
@@ -570,7 +576,7 @@ def acknowledge(baseline: DataFrame, current: DataFrame, tables: DataFrame) -> D
 # ---------------------------------------------------------------------------
 # H12 column profiling
 # ---------------------------------------------------------------------------
-def profile(df: DataFrame, table_name: str, exact_distinct: bool = False) -> DataFrame:
+def profile(df: DataFrame, table_name: str, exact_distinct: bool = True) -> DataFrame:
     """Scalar stats of every column in ONE aggregation; case-variant groups
     per text column and full-row duplicates as grouped counts."""
     from pyspark.sql import types as T
@@ -609,7 +615,7 @@ def profile(df: DataFrame, table_name: str, exact_distinct: bool = False) -> Dat
     else:
         out = out.withColumn("case_variant_groups", F.lit(None).cast("long"))
     dups = (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__c")).where("__c > 1")
-            .agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0))))
+            .agg(F.count(F.lit(1))))  # groups of equal rows
     return out.withColumn("duplicate_rows", dups.scalar())
 
 
@@ -617,7 +623,7 @@ def profile_sql(src: str, table_name: str, columns: list[tuple[str, str]]) -> st
     """DuckDB text of ``profile(..., exact_distinct=True)`` for (column, kind)
     pairs, kind in text / number / other."""
     allc = ", ".join(c for c, _ in columns)
-    dup = (f"(SELECT cast(coalesce(sum(k - 1), 0) AS bigint) AS dup FROM (SELECT count(*) AS k FROM {src} "
+    dup = (f"(SELECT count(*) AS dup FROM (SELECT count(*) AS k FROM {src} "
            f"GROUP BY {allc} HAVING count(*) > 1) d) dd")
     parts = []
     for c, kind in columns:
@@ -720,23 +726,26 @@ def stage_events(alerts: DataFrame, runs: DataFrame, tests: DataFrame, as_of) ->
     return a.unionByName(r).unionByName(t).where(F.col("titik_id").isNotNull())
 
 
-def root_cause(events: DataFrame, edges: DataFrame, max_depth: int = 10) -> DataFrame:
+def root_cause(events: DataFrame, edges: DataFrame) -> DataFrame:
     """For every stage with an event, climb to upstream stages that also
     have an event; the deepest such ancestor is the root (ties: smallest id).
 
-    The stage graph is a fixed, small DAG (12 edges), so the climb is an
-    iterated equi-join of the frontier with the edge list, bounded by the
-    DAG depth."""
+    The climb joins the frontier with the edges until it is empty, however deep
+    the graph. Only stages with an event stay on it, so it is as small as the
+    graph; a frontier that outlives the number of edges is a cycle and raises."""
     ev = events.select("titik_id").distinct()
-    e = edges.select(F.col("titik_id").alias("__child"), F.col("depends_on_titik_id").alias("__parent"))
+    e = (edges.select(F.col("titik_id").alias("__child"), F.col("depends_on_titik_id").alias("__parent"))
+         .join(ev.select(F.col("titik_id").alias("__parent")), "__parent", "left_semi"))
+    longest = edges.count()
     frontier = ev.select(F.col("titik_id").alias("start"), F.col("titik_id").alias("cur"), F.lit(0).alias("depth"))
-    reach = frontier
-    for _ in range(max_depth):
-        step = (frontier.join(e, frontier.cur == e.__child)
-                .join(ev.withColumnRenamed("titik_id", "__p"), F.col("__parent") == F.col("__p"))
-                .select("start", F.col("__parent").alias("cur"), (F.col("depth") + 1).alias("depth")))
-        reach = reach.unionByName(step)
-        frontier = step
+    reach, depth = frontier, 0
+    while not (step := frontier.join(e, frontier.cur == e.__child).select(
+            "start", F.col("__parent").alias("cur"), (F.col("depth") + 1).alias("depth")).distinct()
+            .checkpoint()).isEmpty():
+        depth += 1
+        if depth > longest:
+            raise ValueError("the dependency graph has a cycle")
+        reach, frontier = reach.unionByName(step), step
     best = reach.groupBy("start").agg(F.max(F.struct("depth", (-F.col("cur")).alias("neg"))).alias("__b"))
     return best.select(F.col("start").alias("titik_id"), (-F.col("__b.neg")).alias("root_titik_id"),
                        F.col("__b.depth").alias("depth"),
@@ -831,11 +840,10 @@ def storage_snapshot(tables: DataFrame) -> DataFrame:
 FROM src_chatbot_query_log WHERE duration_ms IS NOT NULL""", tags=("monitor",))
 def monitor_latency_percentiles(m):
     """p50/p95/p99 of request durations (nulls excluded)."""
-    d = m["src_chatbot_query_log"].where(F.col("duration_ms").isNotNull())
-    q = F.percentile(F.col("duration_ms"), [0.5, 0.95, 0.99])
-    return X.finish(d.agg(q.alias("__q"), F.count("duration_ms").alias("sample_count")).select(
-        F.col("__q")[0].alias("p50_ms"), F.col("__q")[1].alias("p95_ms"), F.col("__q")[2].alias("p99_ms"),
-        "sample_count"))
+    d = m["src_chatbot_query_log"].select(F.lit(0).alias("all"), "duration_ms")
+    q = X.exact_percentiles(d, ["all"], "duration_ms", [0.5, 0.95, 0.99])
+    return X.finish(q.select(*[F.col("percentiles")[i].alias(c) for i, c in enumerate(("p50_ms", "p95_ms", "p99_ms"))],
+                             F.col("n").alias("sample_count")))
 
 
 SLOWEST_N = 20
@@ -1005,9 +1013,10 @@ def panel_storage_per_schema(storage: DataFrame) -> DataFrame:
 
 def panel_latency_24h(log: DataFrame, now: dt.datetime) -> DataFrame:
     since = F.lit(now - dt.timedelta(hours=24)).cast("timestamp_ntz")
-    recent = log.where((F.col("requested_at") >= since) & F.col("duration_ms").isNotNull())
-    return recent.agg(F.count(F.lit(1)).alias("requests"),
-                      F.percentile(F.col("duration_ms"), [0.5, 0.95, 0.99]).alias("p50_p95_p99"))
+    recent = log.where(F.col("requested_at") >= since).select(F.lit(0).alias("all"), "duration_ms")
+    found = X.exact_percentiles(recent, ["all"], "duration_ms", [0.5, 0.95, 0.99])
+    # one row also when nothing was asked
+    return found.agg(F.coalesce(F.max("n"), F.lit(0)).alias("requests"), F.max("percentiles").alias("p50_p95_p99"))
 
 
 # ---------------------------------------------------------------------------
@@ -1016,7 +1025,10 @@ def panel_latency_24h(log: DataFrame, now: dt.datetime) -> DataFrame:
 def _layer_tables():
     from innspark.operators.clean import CLEANED_TABLES
     from innspark.sources.fixtures import SOURCE_TABLES
-    return {"raw_production": [f"src_{t}" for t in SOURCE_TABLES], "mart_cleaned": list(CLEANED_TABLES)}
+    from innspark.plans.registry import models
+    marts = [n for layer in ("dim", "fact") for n in models(layer)]
+    return {"raw_production": [f"src_{t}" for t in SOURCE_TABLES], "mart_cleaned": list(CLEANED_TABLES),
+            "mart_aggregated": marts}
 
 
 @model("monitor_warehouse_volume", "ops", lambda: "\nUNION ALL\n".join(

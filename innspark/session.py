@@ -59,8 +59,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local runs and tests) a fresh scratch folder is assigned.
+    ``spark.checkpoint.dir`` is read from the session. A ``local`` master (tests)
+    gets a fresh scratch folder when it is unset; on a cluster that folder would
+    be another one on each machine, so it must be set there.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
@@ -72,6 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     local = tempfile.mkdtemp(prefix="innspark-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

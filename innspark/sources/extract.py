@@ -2,8 +2,11 @@
 
 ``extract`` reads only rows past the stored cursor (a filter Catalyst pushes
 into the source scan), stamps the lineage column and returns the new cursor
-as a typed ``max`` (S2: never a string comparison). The cursor is advanced
-only after the load succeeded (A5).
+as a typed ``max`` (S2: never a string comparison). A cycle reads the source once,
+into a staged batch: count, cursor and load all come from it, so rows that arrive
+meanwhile wait for the next cycle. The cursor is advanced only after the load
+succeeded (A5); a batch whose load succeeded but whose cursor wasn't stored is
+not loaded twice.
 """
 
 from __future__ import annotations
@@ -26,13 +29,13 @@ class ExtractSpec:
     key: str | None = None          # primary key, used by the overlap mode
 
 
-def extract(src: DataFrame, spec: ExtractSpec, last_cursor, synced_at: dt.datetime,
-            overlap: bool = False, already_loaded: DataFrame | None = None) -> tuple[DataFrame, object]:
-    """A1/A2/A3: rows to load and the cursor to store after a successful load.
+def fetch(src: DataFrame, spec: ExtractSpec, last_cursor, synced_at: dt.datetime,
+          overlap: bool = False, already_loaded: DataFrame | None = None) -> DataFrame:
+    """A1/A2/A3: the rows past the cursor, stamped.
 
-    Default is the reference's strict ``> last`` (S1). With ``overlap`` the
-    boundary value is re-read (``>=``) and rows whose key is already loaded
-    are dropped, so late rows with an equal cursor are not lost."""
+    By default strictly past it (S1). With ``overlap`` the boundary value is read
+    again (``>=``) and rows whose key is already loaded are dropped, so late rows
+    with an equal cursor are not lost."""
     df = src
     if spec.strategy != "full_refresh" and last_cursor is not None:
         c = F.col(spec.cursor_column)
@@ -43,11 +46,17 @@ def extract(src: DataFrame, spec: ExtractSpec, last_cursor, synced_at: dt.dateti
                 df = df.join(seen, spec.key, "left_anti")
         else:
             df = df.where(c > F.lit(last_cursor))
-    df = df.withColumn("_synced_at", F.lit(synced_at).cast("timestamp"))
+    return df.withColumn("_synced_at", F.lit(synced_at).cast("timestamp"))
+
+
+def extract(src: DataFrame, spec: ExtractSpec, last_cursor, synced_at: dt.datetime,
+            overlap: bool = False, already_loaded: DataFrame | None = None) -> tuple[DataFrame, object]:
+    """``fetch`` and the cursor after it, for sources that don't change meanwhile."""
+    df = fetch(src, spec, last_cursor, synced_at, overlap, already_loaded)
     if spec.strategy == "full_refresh":
         return df, None
-    new_cursor = df.agg(F.max(spec.cursor_column)).first()[0]
-    return df, (new_cursor if new_cursor is not None else last_cursor)
+    top = df.agg(F.max(spec.cursor_column)).first()[0]
+    return df, (top if top is not None else last_cursor)
 
 
 def write_mode(spec: ExtractSpec, last_cursor) -> str:
@@ -85,15 +94,30 @@ def run_extract(spark: SparkSession, src: DataFrame, spec: ExtractSpec, target_p
     last = read_cursor(spark, state_path, spec) if spec.strategy != "full_refresh" else None
     if last is not None and spec.cursor_column:
         last = src.select(F.lit(last).cast(src.schema[spec.cursor_column].dataType)).first()[0]
-    loaded = storage.read_or_none(spark, target_path) if overlap else None
-    df, new_cursor = extract(src, spec, last, synced_at, overlap, loaded)
+    loaded = storage.read_or_none(spark, target_path)
+    rows = fetch(src, spec, last, synced_at, overlap, loaded if overlap else None)
     mode = write_mode(spec, last)
-    n = df.count()
-    if n:
-        if mode == "overwrite":
-            storage.replace(df, target_path)
-        else:
-            df.write.mode("append").parquet(target_path)
-        if spec.strategy != "full_refresh" and new_cursor is not None:
-            upsert_cursor(spark, state_path, spec, new_cursor, synced_at)
+    staging = f"{target_path}__batch"
+    rows.write.mode("overwrite").parquet(staging)
+    batch = spark.read.schema(rows.schema).parquet(staging)
+    new_cursor, n = None, 0
+    if spec.strategy != "full_refresh" and spec.cursor_column:
+        cursor = F.col(spec.cursor_column)
+        if mode == "append" and loaded is not None and not overlap:
+            # what a cycle has loaded whose cursor wasn't stored any more
+            done = loaded.agg(F.max(cursor)).first()[0]
+            if done is not None and done > last:
+                batch = batch.where(cursor > F.lit(done))
+                new_cursor = done
+        n, top = batch.agg(F.count(F.lit(1)), F.max(cursor)).first()
+        new_cursor = top if top is not None else new_cursor or last
+    else:
+        n = batch.count()
+    if n and mode == "overwrite":
+        storage.replace(batch, target_path)
+    elif n:
+        batch.write.mode("append").parquet(target_path)
+    if new_cursor is not None and new_cursor != last:
+        upsert_cursor(spark, state_path, spec, new_cursor, synced_at)
+    storage.delete(spark, staging)
     return {"table": spec.table, "rows": n, "mode": mode, "cursor": new_cursor}

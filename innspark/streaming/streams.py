@@ -22,12 +22,18 @@ from innspark.sources import fixtures
 WATERMARK = "1 hour"
 
 
-def request_log_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+def request_log_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The governed-request log as a stream: new ``events`` files as they land,
-    shaped into log rows, event time as a timestamp."""
+    shaped into log rows, event time as a timestamp.
+
+    The files of one run form one micro-batch unless a number is given: the
+    watermark moves between batches only, so files without time order lose no
+    row to it. A number is right where files arrive in the order of their events."""
     schema = fixtures.read_base(spark, sf_dir, "events").schema
-    raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-           .parquet(f"{sf_dir.rstrip('/')}/events*.parquet"))
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.parquet(f"{sf_dir.rstrip('/')}/events*.parquet")
     spec = fixtures.DERIVED["chatbot_query_log"]
     return raw.selectExpr(*[f"{e} AS {c}" for c, e in spec.cols]).withColumn(
         "event_time", F.col("requested_at").cast("timestamp"))
@@ -50,10 +56,15 @@ def five_minute_counts(stream: DataFrame) -> DataFrame:
 
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, mode: str = "append",
                       timeout_s: int | None = None) -> None:
-    """Drain the available input into a Parquet sink and stop."""
+    """Drain the available input into a Parquet sink and stop. A run that isn't done
+    after ``timeout_s`` is stopped and raises: its sink isn't a result."""
     q = (df.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
          .outputMode(mode).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"the stream to {sink} wasn't drained within {timeout_s} s")
 
 
 def incremental_extract_stream(spark: SparkSession, src_glob: str, schema, sink: str, checkpoint: str) -> None:

@@ -50,10 +50,10 @@ def chains(rng):
     return list(zip(rng.sample(range(10_000), len(rows)), rows))
 
 
-@pytest.mark.parametrize("words", [4, 5])
-def test_components_equal_all_pairs(docs_of, words):
+@pytest.mark.parametrize("words, block", [(4, minhash.BLOCK), (5, 4)])
+def test_components_equal_all_pairs(docs_of, words, block):
     rows = chains(random.Random(words))
-    got = [tuple(r) for r in near_duplicates(docs_of(rows), words=words).collect()]
+    got = [tuple(r) for r in near_duplicates(docs_of(rows), words=words, block=block).collect()]
     assert sorted(got) == sorted(brute(rows, words))
 
 
@@ -74,6 +74,13 @@ def test_shingles_of_long_and_chunked_texts(monkeypatch):
     assert [len(s) for s in got] == [len(shingles(t, 4)) for t in texts]
 
 
+def test_common_counts():
+    rng = np.random.default_rng(1)
+    xs, ys = ([np.unique(rng.integers(0, 6000, n).astype(np.uint64)) for n in sizes]
+              for sizes in ((0, 1, 900, 3000), (5000, 10, 0)))
+    assert minhash._common(xs, ys).tolist() == [[len(np.intersect1d(x, y)) for y in ys] for x in xs]
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(7)
     with np.errstate(over="ignore"):

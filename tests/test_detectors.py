@@ -88,8 +88,8 @@ def test_schema_drift_and_acknowledge(spark):
                                 "schema_name string, table_name string, column_name string, data_type string, "
                                 "is_nullable boolean, ordinal_position int")
     ev = {(r.column_name, r.drift_type): r.severity for r in M.schema_diff(base, cur).collect()}
-    assert ev == {("b", "type_changed"): "medium", ("c", "column_removed"): "medium",
-                  ("guest_email", "column_added"): "high", ("note", "column_added"): "medium"}
+    assert ev == {("b", "type_changed"): "normal", ("c", "column_removed"): "normal",
+                  ("guest_email", "column_added"): "high", ("note", "column_added"): "normal"}
     pending = M.schema_diff(base, cur)
     assert M.schema_diff(base, cur, pending).count() == 0        # still pending: not raised twice
     new_base = M.acknowledge(base, cur, spark.createDataFrame([("s", "t")], "schema_name string, table_name string"))

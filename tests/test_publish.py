@@ -152,17 +152,6 @@ def test_reliable_shared_inputs_cut_lineage(spark):
     assert m["fact_revenue_channel_daily"].count() > 0
 
 
-def test_spread_only_under_split_inputs(spark):
-    from innspark.sources import fixtures
-    small = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
-    assert fixtures.spread(spark, small, "/root/testdata/sf0.001/region.parquet") is small
-    big_path = "/root/testdata/sf0.1/lineitem.parquet"
-    big = spark.read.parquet(big_path)
-    spread = fixtures.spread(spark, big, big_path)
-    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    assert spread.count() == big.count()
-
-
 def test_ml_readiness(mart):
     from innspark.operators import ml
     preds = mart["ml_predictions"]
