@@ -123,25 +123,24 @@ def _expanding_mean(c: str, w):
     return F.try_divide(F.sum(fixed).over(w), F.count(fixed).over(w)) / 1e12
 
 
-@model("fact_hr_watchlist_monthly", "fact", """WITH mo AS (
-  SELECT employee_id, cast(date_trunc('month', date) AS date) AS period_date,
-    count_if(status = 'absent') / count(*) AS absence_rate, count_if(status = 'late') / count(*) AS late_rate
-  FROM staff_shifts GROUP BY 1, 2),
-w AS (SELECT *,
-  sum(cast(round(absence_rate * 1e12) AS bigint)) OVER (PARTITION BY employee_id ORDER BY period_date
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sa,
-  sum(cast(round(late_rate * 1e12) AS bigint)) OVER (PARTITION BY employee_id ORDER BY period_date
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sl,
-  count(*) OVER (PARTITION BY employee_id ORDER BY period_date
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS k
-  FROM mo),
-b AS (SELECT employee_id, period_date, absence_rate AS ca, sa / nullif(k, 0) / 1e12 AS ba,
-  late_rate AS cl, sl / nullif(k, 0) / 1e12 AS bl FROM w)
-SELECT employee_id, period_date, round(ca, 6) AS current_absence_rate, round(ba, 6) AS baseline_absence_rate,
-  round(cl, 6) AS current_late_rate, round(bl, 6) AS baseline_late_rate,
-  round(ca / nullif(ba, 0), 6) AS absence_deviation_ratio, round(cl / nullif(bl, 0), 6) AS late_deviation_ratio,
-  coalesce(ca / nullif(ba, 0) > 5, false) OR coalesce(cl / nullif(bl, 0) > 5, false) AS in_watchlist
-FROM b""", tags=("hr",))
+def _share_before(rate: str) -> str:
+    """Mean of a rate over the employee's earlier months, in fixed point."""
+    return (f"(SELECT sum(cast(round(past.{rate} * 1e12) AS bigint)) / count(*) / 1e12 FROM months past "
+            "WHERE past.employee_id = now.employee_id AND past.month < now.month)")
+
+
+@model("fact_hr_watchlist_monthly", "fact", f"""WITH months AS (
+  SELECT employee_id, cast(date_trunc('month', date) AS date) AS month, avg(cast(status = 'absent' AS int)) AS absent,
+    avg(cast(status = 'late' AS int)) AS late FROM staff_shifts GROUP BY ALL),
+compared AS (
+  SELECT employee_id, month, absent, {_share_before('absent')} AS absent_before, late, {_share_before('late')} AS late_before
+  FROM months now)
+SELECT employee_id, month AS period_date, round(absent, 6) AS current_absence_rate,
+  round(absent_before, 6) AS baseline_absence_rate, round(late, 6) AS current_late_rate,
+  round(late_before, 6) AS baseline_late_rate, round(absent / nullif(absent_before, 0), 6) AS absence_deviation_ratio,
+  round(late / nullif(late_before, 0), 6) AS late_deviation_ratio,
+  coalesce(greatest(absent / nullif(absent_before, 0), late / nullif(late_before, 0)) > 5, false) AS in_watchlist
+FROM compared""", tags=("hr",))
 def fact_hr_watchlist_monthly(m):
     n = F.count(F.lit(1))
     mo = m["staff_shifts"].groupBy("employee_id", X.month_start("date").alias("period_date")).agg(

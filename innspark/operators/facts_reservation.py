@@ -15,16 +15,18 @@ def sold_bookings(m):
     return m["bookings"].where(SOLD)
 
 
-D1_SQL = f"""WITH rr AS (
-  SELECT property_id, room_type, check_in_date AS period_date, sum(total_amount) AS revenue
-  FROM bookings WHERE {SOLD} GROUP BY 1, 2, 3),
-rs AS (SELECT *, revenue / nullif(sum(revenue) OVER (PARTITION BY property_id, period_date), 0) AS share FROM rr)
-SELECT o.property_id, rt.room_type_id, o.date AS period_date, o.rooms_sold, o.total_rooms_available,
-  round(o.occupancy_rate, 6) AS occupancy_rate, round(o.adr, 6) AS adr, round(o.revpar, 6) AS revpar,
-  cast(r.revenue AS bigint) AS revenue, round(r.share, 6) AS room_type_revenue_share_pct
-FROM daily_occupancy o
-LEFT JOIN rs r ON o.property_id = r.property_id AND o.room_type = r.room_type AND o.date = r.period_date
-LEFT JOIN dim_room_type rt ON o.room_type = rt.room_type_name"""
+# the amounts of each type and of the whole day come from one grouping
+D1_SQL = f"""WITH sold AS (
+  SELECT property_id, check_in_date AS day, room_type, sum(total_amount) AS amount, grouping(room_type) = 1 AS all_types
+  FROM bookings WHERE {SOLD}
+  GROUP BY GROUPING SETS ((property_id, check_in_date, room_type), (property_id, check_in_date)))
+SELECT occ.property_id, (SELECT k.room_type_id FROM dim_room_type k WHERE k.room_type_name = occ.room_type) AS room_type_id,
+  occ.date AS period_date, occ.rooms_sold, occ.total_rooms_available, round(occ.occupancy_rate, 6) AS occupancy_rate,
+  round(occ.adr, 6) AS adr, round(occ.revpar, 6) AS revpar, cast(own.amount AS bigint) AS revenue,
+  round(own.amount / nullif(whole.amount, 0), 6) AS room_type_revenue_share_pct
+FROM daily_occupancy occ
+LEFT JOIN sold own ON NOT own.all_types AND (own.property_id, own.day, own.room_type) = (occ.property_id, occ.date, occ.room_type)
+LEFT JOIN sold whole ON whole.all_types AND (whole.property_id, whole.day) = (occ.property_id, occ.date)"""
 
 
 @model("fact_revenue_room_type_daily", "fact", D1_SQL, tags=("reservation",))
@@ -42,50 +44,40 @@ def fact_revenue_room_type_daily(m):
                                "room_type_revenue_share_pct"))
 
 
-D2_SQL = f"""WITH pd AS (
-  SELECT property_id, period_date,
-    sum(rooms_sold) / nullif(sum(total_rooms_available), 0) AS occupancy_rate,
-    sum(revenue) / nullif(sum(rooms_sold), 0) AS adr,
-    sum(revenue) / nullif(sum(total_rooms_available), 0) AS revpar
-  FROM fact_revenue_room_type_daily GROUP BY 1, 2),
-g AS (
-  SELECT cur.*,
-    cur.occupancy_rate - mom.occupancy_rate AS mom_occupancy_growth,
-    cur.occupancy_rate - yoy.occupancy_rate AS yoy_occupancy_growth,
-    cur.adr - mom.adr AS mom_adr_growth, cur.adr - yoy.adr AS yoy_adr_growth,
-    cur.revpar - mom.revpar AS mom_revpar_growth, cur.revpar - yoy.revpar AS yoy_revpar_growth
-  FROM pd cur
-  LEFT JOIN pd mom ON cur.property_id = mom.property_id
-    AND mom.period_date = cast(cur.period_date - INTERVAL 1 MONTH AS date)
-  LEFT JOIN pd yoy ON cur.property_id = yoy.property_id
-    AND yoy.period_date = cast(cur.period_date - INTERVAL 1 YEAR AS date)),
-gr AS (
-  SELECT property_id, check_in_date AS period_date,
-    row_number() OVER (PARTITION BY guest_id ORDER BY booking_date, booking_id) AS seq
-  FROM bookings WHERE {SOLD} AND guest_id IS NOT NULL),
-rg AS (SELECT property_id, period_date, count_if(seq > 1) / count(*) AS repeat_guest_rate FROM gr GROUP BY 1, 2),
-lt AS (
-  SELECT property_id, check_in_date AS period_date,
-    avg(date_diff('day', booking_date, check_in_date)) AS avg_lead,
-    quantile_disc(date_diff('day', booking_date, check_in_date), 0.5) AS med_lead
-  FROM bookings WHERE {SOLD} GROUP BY 1, 2),
-rk AS (
-  SELECT *,
-    rank() OVER (PARTITION BY period_date ORDER BY revpar DESC NULLS LAST) AS revpar_rank_group,
-    rank() OVER (PARTITION BY period_date ORDER BY adr DESC NULLS LAST) AS adr_rank_group,
-    rank() OVER (PARTITION BY period_date ORDER BY occupancy_rate DESC NULLS LAST) AS occupancy_rank_group
-  FROM g)
-SELECT r.property_id, r.period_date, round(lt.avg_lead, 6) AS avg_lead_time_days,
-  cast(lt.med_lead AS bigint) AS median_lead_time_days,
-  round(r.mom_occupancy_growth, 6) AS mom_occupancy_growth, round(r.yoy_occupancy_growth, 6) AS yoy_occupancy_growth,
-  round(r.mom_adr_growth, 6) AS mom_adr_growth, round(r.yoy_adr_growth, 6) AS yoy_adr_growth,
-  round(r.mom_revpar_growth, 6) AS mom_revpar_growth, round(r.yoy_revpar_growth, 6) AS yoy_revpar_growth,
-  round(rg.repeat_guest_rate, 6) AS repeat_guest_rate,
-  cast(r.revpar_rank_group AS bigint) AS revpar_rank_group, cast(r.adr_rank_group AS bigint) AS adr_rank_group,
-  cast(r.occupancy_rank_group AS bigint) AS occupancy_rank_group
-FROM rk r
-LEFT JOIN rg ON r.property_id = rg.property_id AND r.period_date = rg.period_date
-LEFT JOIN lt ON r.property_id = lt.property_id AND r.period_date = lt.period_date"""
+def _growth_sql() -> str:
+    """Differences to the row one month and one year before, looked up by date."""
+    names = {"occupancy": "occupancy_rate", "adr": "adr", "revpar": "revpar"}
+    return ",\n  ".join(
+        f"round(x.{column} - (SELECT before.{column} FROM daily before WHERE before.property_id = x.property_id "
+        f"AND before.period_date = cast(x.period_date - INTERVAL 1 {step} AS date)), 6) AS {prefix}_{name}_growth"
+        for name, column in names.items() for prefix, step in (("mom", "MONTH"), ("yoy", "YEAR")))
+
+
+# a guest's first stay is the least (booking date, id); lead times and repeats
+# are counted in the same grouping of the stays
+D2_SQL = f"""WITH daily AS (
+  SELECT property_id, period_date, n_sold / nullif(n_rooms, 0) AS occupancy_rate, amount / nullif(n_sold, 0) AS adr,
+    amount / nullif(n_rooms, 0) AS revpar
+  FROM (SELECT property_id, period_date, sum(rooms_sold) AS n_sold, sum(total_rooms_available) AS n_rooms,
+          sum(revenue) AS amount FROM fact_revenue_room_type_daily GROUP BY ALL) sums),
+stays AS (
+  SELECT property_id, check_in_date, guest_id, date_diff('day', booking_date, check_in_date) AS lead_days,
+    (booking_date, booking_id) <> min((booking_date, booking_id)) OVER (PARTITION BY guest_id) AS came_before
+  FROM bookings WHERE {SOLD}),
+habits AS (
+  SELECT property_id, check_in_date, avg(lead_days) AS mean_lead, quantile_disc(lead_days, 0.5) AS mid_lead,
+    avg(CASE WHEN guest_id IS NOT NULL THEN cast(came_before AS int) END) AS repeat_share
+  FROM stays GROUP BY ALL)
+SELECT x.property_id, x.period_date, round(h.mean_lead, 6) AS avg_lead_time_days,
+  cast(h.mid_lead AS bigint) AS median_lead_time_days, {_growth_sql()},
+  round(h.repeat_share, 6) AS repeat_guest_rate,
+  1 + (SELECT count(*) FROM daily o WHERE o.period_date = x.period_date AND (o.revpar > x.revpar
+       OR x.revpar IS NULL AND o.revpar IS NOT NULL)) AS revpar_rank_group,
+  1 + (SELECT count(*) FROM daily o WHERE o.period_date = x.period_date AND (o.adr > x.adr
+       OR x.adr IS NULL AND o.adr IS NOT NULL)) AS adr_rank_group,
+  1 + (SELECT count(*) FROM daily o WHERE o.period_date = x.period_date AND (o.occupancy_rate > x.occupancy_rate
+       OR x.occupancy_rate IS NULL AND o.occupancy_rate IS NOT NULL)) AS occupancy_rank_group
+FROM daily x LEFT JOIN habits h ON h.property_id = x.property_id AND h.check_in_date = x.period_date"""
 
 
 def booking_day_stats(bookings):
