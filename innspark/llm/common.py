@@ -40,6 +40,23 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
+EDGES_A_FILE = 250_000
+_CACHE: dict = {}
+
+
+def worker_cache(key, make):
+    """What a Python worker keeps between tasks: one operator's cache at a time, as
+    the workers of an executor live on and their memory adds up."""
+    if key not in _CACHE:
+        _CACHE.clear()
+        _CACHE[key] = make()
+    return _CACHE[key]
+
+
+def release_cache() -> None:
+    _CACHE.clear()
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a long, b long; any direction).
 
@@ -64,9 +81,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     edges = edges.where("a != b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = written(edges, "edges")
+    # there are never more edges than now; files for few rows only cost time
+    files = 1 + edges.count() // EDGES_A_FILE
     state = None
     while True:
-        edges = written(stars(stars(edges, True), False).distinct(), "edges")
+        edges = written(stars(stars(edges, True), False).distinct().coalesce(files), "edges")
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")
                                                        ).alias("h")).first()
         if state == now:
@@ -75,6 +94,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         state = now
 
 
+ARROW_ROWS = 2000  # rows of a batch that a Python worker holds; texts are long
+
+
 def ship(spark: SparkSession) -> None:
     """Let the executors' Python workers import this package, once per session.
 
@@ -82,6 +104,7 @@ def ship(spark: SparkSession) -> None:
     executor, also to those that join later.
     """
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     if getattr(context, "_innspark_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]

@@ -8,10 +8,10 @@ are confirmed by exact Jaccard similarity on the full shingle sets.
 Copies with equal sets are one representative from the start. A bucket doesn't
 emit its pairs: each member is compared with the bucket's hub, its smallest
 doc_id, and links join components. Where a bucket still holds more than one
-component, the members outside the hub's are compared with those of every other
-component. Any pair that shares a bucket is so either compared or already in one
-component, without a cap on buckets, and a bucket of near copies costs as many
-comparisons as it has members.
+component, the members outside the hub's are compared with all others there. That
+is done by the hub's component, in blocks of both sides, each a task of bounded
+size that counts common shingles as a matrix product and returns links only. Any
+pair that shares a bucket is so either compared or already in one component.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innspark.llm.common import components, written
+from innspark.llm.common import components, release_cache, written
 
 WORDS = 4  # of a shingle
 PERCENT = 80  # 100 * intersection >= PERCENT * union
@@ -32,6 +32,7 @@ BANDS, ROWS = 32, 4  # a pair at 0.8 shares no band with a probability of 5e-8
 # of 0.8 fewer than 0.6 of 128 agree with a probability below 1e-7.
 AGREE = 0.6
 BATCH_BYTES = 1 << 21
+BLOCK = 512  # documents on each side of a task that compares two blocks
 
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -125,6 +126,7 @@ def signature(shingles: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
 
 def _describe(words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_cache()
         band = _mix(np.arange(1, BANDS + 1, dtype=_U))
         with np.errstate(over="ignore"):
             for batch in batches:
@@ -171,27 +173,92 @@ def _confirm(words: int, percent: int):
     return run
 
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int
-           ) -> DataFrame:
+def _common(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all ``xs`` with all ``ys``."""
+    out = np.zeros((len(xs), len(ys)), dtype=np.float32)
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    shared = np.intersect1d(x, y)
+
+    def cells(flat: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(shared, flat)
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        hit = at < len(shared)
+        hit[hit] = shared[at[hit]] == flat[hit]
+        order = np.argsort(at[hit], kind="stable")
+        return row[hit][order], at[hit][order]
+
+    (x_row, x_at), (y_row, y_at) = cells(x, xs), cells(y, ys)
+    for low in range(0, len(shared), 2048):
+        sides = []
+        for row, at, n in ((x_row, x_at, len(xs)), (y_row, y_at, len(ys))):
+            a, b = np.searchsorted(at, (low, low + 2048))
+            side = np.zeros((n, 2048), dtype=np.float32)
+            side[row[a:b], at[a:b] - low] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _across(words: int, percent: int):
+    """Links of one block of outer members with one of all members, as edges to
+    the others' components."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = rows[rows["outer"]], rows[~rows["outer"]]
+        none = pd.DataFrame({"a": [], "b": []}).astype("int64")
+        if left.empty or right.empty:
+            return none
+        with np.errstate(over="ignore"):
+            xs, ys = (shingle_sets(part["text"].tolist(), words) for part in (left, right))
+        both = _common(xs, ys).astype(np.int64)
+        total = np.array([len(s) for s in xs])[:, None] + np.array([len(s) for s in ys]) - both
+        near = (both > 0) & (100 * both >= percent * total)
+        near &= left["c"].to_numpy()[:, None] != right["c"].to_numpy()
+        a, b = np.nonzero(near)
+        return pd.DataFrame({"a": left["rep"].to_numpy()[a], "b": right["c"].to_numpy()[b]}
+                            ).drop_duplicates() if len(a) else none
+
+    return run
+
+
+def _hub_links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, words: int, percent: int
+               ) -> DataFrame:
     """The ``pairs`` (a, b) of representatives that are similar enough, as a table."""
-    spark = docs.sparkSession
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"),
                                  F.col("coords").alias(f"coords_{x}"))
     alike = F.pandas_udf(_alike, "double")
     near = (pairs.join(side("a"), "a").join(side("b"), "b")
             .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
             .where(alike("coords_a", "coords_b") >= AGREE).select("a", "b"))
-    near = written(near, "near")
-    ids = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = written(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "texts")
-    both = (near.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
-    kind = spark.createDataFrame([], "a long, b long").schema
+    both = (near.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
+            .join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a"))
     return written(both.select("a", "b", "text_a", "text_b").mapInPandas(
-        _confirm(words, percent), kind), "links")
-
-
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+        _confirm(words, percent), "a long, b long"), "links")
+
+
+def _split_links(left: DataFrame, texts: DataFrame, words: int, percent: int, block: int
+                 ) -> DataFrame:
+    """Edges that join components of buckets with several: ``left`` (rep, c, hc) has
+    their members with their own component and that of the bucket's hub."""
+    rows = left.withColumn("outer", F.col("c") != F.col("hc")).distinct()
+    sizes = rows.groupBy("hc").agg(
+        F.ceil(F.sum(F.col("outer").cast("int")) / block).cast("int").alias("nx"),
+        F.ceil(F.count("*") / block).cast("int").alias("ny"))
+    own = F.xxhash64("rep")
+    # each member is on the right side; the outer ones also on the left
+    sides = F.when(F.col("outer"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
+    placed = (rows.join(sizes, "hc").withColumn("outer", F.explode(sides))
+              .withColumn("i", F.when(F.col("outer"), F.pmod(own, "nx")).cast("int"))
+              .withColumn("j", F.when(~F.col("outer"), F.pmod(own, "ny")).cast("int"))
+              .withColumn("other", F.explode(F.when(F.col("outer"), F.sequence(F.lit(0), F.col("ny") - 1))
+                                             .otherwise(F.sequence(F.lit(0), F.col("nx") - 1))))
+              .select("hc", F.coalesce("i", "other").alias("i"), F.coalesce("j", "other").alias("j"),
+                      "rep", "c", "outer"))
+    return written(placed.join(texts, "rep").groupBy("hc", "i", "j").applyInPandas(
+        _across(words, percent), "a long, b long"), "links")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
+                    block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
 
     ``component_id`` is the smallest doc_id that links lead to, the document
@@ -213,24 +280,22 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     hubs = posted.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where(
         "size > 1").drop("size")
     members = written(posted.join(hubs, "key"), "buckets")
-    pairs = written(members.where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-                    .distinct(), "pairs")
-    links = _links(pairs, reps, docs, words, percent)
+    # the ids grow with the input: they are joined by a shuffle, never broadcast
+    ids = members.select("rep").distinct().hint("merge")
+    texts = written(docs.select(F.col("doc_id").alias("rep"), "text").join(ids, "rep", "left_semi"),
+                    "texts")
+    pairs = members.where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    links = _hub_links(pairs, reps, texts, words, percent)
     found = written(components(spark, links), "components")
     own = lambda x, c: F.coalesce(F.col(c), F.col(x))
-    placed = (members
-              .join(found.select(F.col("node").alias("rep"), F.col("component").alias("c")), "rep", "left")
-              .join(found.select(F.col("node").alias("hub"), F.col("component").alias("hc")), "hub", "left")
-              .select("key", "rep", own("rep", "c").alias("c"), own("hub", "hc").alias("hc")))
-    split = written(placed.select("key").where("c != hc").distinct(), "split")
-    left = written(placed.join(split, "key", "left_semi"), "left")
-    outer = left.where("c != hc").select("key", F.col("rep").alias("x"), F.col("c").alias("cx"))
-    more = (outer.join(left.select("key", F.col("rep").alias("y"), F.col("c").alias("cy")), "key")
-            .where("cx != cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            .distinct().join(pairs, ["a", "b"], "left_anti"))
-    more = _links(written(more, "pairs"), reps, docs, words, percent)
-    if not more.isEmpty():
-        found = written(components(spark, links.union(more)), "components")
+    placed = written(
+        members.join(found.select(F.col("node").alias("rep"), F.col("component").alias("c")), "rep", "left")
+        .join(found.select(F.col("node").alias("hub"), F.col("component").alias("hc")), "hub", "left")
+        .select("key", "rep", own("rep", "c").alias("c"), own("hub", "hc").alias("hc")), "placed")
+    split = placed.where("c != hc").select("key").distinct()
+    left = placed.join(split, "key", "left_semi").select("rep", "c", "hc")
+    more = _split_links(left, texts, words, percent, block)
+    found = components(spark, links.union(more))
     by_set = reps.select("f1", "f2", "n", "rep")
     return (described.select("doc_id", "n", "f1", "f2").join(by_set, ["f1", "f2", "n"], "left")
             .join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
