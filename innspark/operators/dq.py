@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innspark.functions import exprs as X
+from innspark.operators import mart_tests as D
 
 from innspark.plans.registry import DEFAULT_AS_OF, model
 
@@ -356,19 +357,9 @@ def dq_alerts(m):
 
 
 # ---------------------------------------------------------------------------
-# Mart test declarations, derived by rule from the model registry
+# Declared mart tests
 # ---------------------------------------------------------------------------
 RELATIONSHIP = "relationships"
-# FK column -> (parent dimension, parent key)
-FOREIGN_KEYS = {"property_id": ("dim_property", "property_id"),
-                "department_id": ("dim_department", "department_id"),
-                "access_level_id": ("dim_access_level", "access_level_id"),
-                "outlet_type_id": ("dim_outlet_type", "outlet_type_id"),
-                "room_type_id": ("dim_room_type", "room_type_id"),
-                "venue_type_id": ("dim_venue_type", "venue_type_id")}
-# The canonical departments after cleaning.
-CANONICAL_DEPARTMENTS = ["Corporate", "F&B", "Facility", "Finance", "Housekeeping", "HR", "Revenue", "Spa&Event"]
-_PERIOD_COLS = ("period_date", "stay_date", "year", "review_period", "target_date")
 
 
 @dataclass
@@ -379,27 +370,15 @@ class MartTest:
     arg: object = None
 
 
-def mart_tests(columns_of: dict[str, list[str]]) -> list[MartTest]:
-    """Dimensions: key unique + not null, FKs related to their parents;
-    facts: grain entity + period not null, property related to dim_property."""
-    out = []
-    for name, cols in columns_of.items():
-        key = cols[0]
-        if name.startswith("dim_"):
-            out += [MartTest(name, "unique", key), MartTest(name, "not_null", key)]
-            for c in cols[1:]:
-                if c in FOREIGN_KEYS and FOREIGN_KEYS[c][0] != name:
-                    out.append(MartTest(name, RELATIONSHIP, c, FOREIGN_KEYS[c]))
-            if name == "dim_department":
-                out.append(MartTest(name, "accepted", "department_name", CANONICAL_DEPARTMENTS))
-        else:
-            out.append(MartTest(name, "not_null", key))
-            period = next((c for c in _PERIOD_COLS if c in cols), None)
-            if period and period != key:
-                out.append(MartTest(name, "not_null", period))
-            if "property_id" in cols:
-                out.append(MartTest(name, RELATIONSHIP, "property_id", FOREIGN_KEYS["property_id"]))
-    return out
+def mart_tests(names) -> list[MartTest]:
+    """The declared tests of the models ``names``."""
+    names = set(names)
+    tests = [MartTest(n, kind, key) for n, key in D.DIMENSION_KEYS.items() for kind in ("unique", "not_null")]
+    tests += [MartTest(n, "not_null", c) for n, columns in D.NOT_NULL.items() for c in columns]
+    tests += [MartTest(n, "unique", c) for n, columns in D.UNIQUE.items() for c in columns]
+    tests += [MartTest(n, RELATIONSHIP, c, (parent, c)) for n, c, parent in D.RELATIONSHIPS]
+    tests += [MartTest(n, "accepted", c, values) for n, c, values in D.ACCEPTED]
+    return [t for t in tests if t.model in names]
 
 
 def _mart_row(t: MartTest, unexpected: F.Column) -> F.Column:
@@ -463,43 +442,17 @@ def mart_tests_sql(tests: list[MartTest]) -> str:
     return "\nUNION ALL\n".join(qs)
 
 
-# dimension columns (output order) of the published dims, for the rule above
-DIM_COLUMNS = {
-    "dim_property": ["property_id", "property_name", "region", "opening_date"],
-    "dim_employee": ["employee_id", "property_id", "full_name", "department_id", "access_level_id"],
-    "dim_outlet": ["outlet_id", "outlet_name", "property_id", "outlet_type_id"],
-    "dim_room": ["room_id", "property_id", "room_type_id"],
-    "dim_venue": ["venue_id", "venue_name", "property_id", "venue_type_id", "max_capacity"],
-    "dim_ingredient": ["ingredient_id"], "dim_menu_item": ["item_name"],
-    "dim_customer_type": ["customer_type_id", "customer_type_name"],
-}
-
-
-def _dim_columns():
-    from innspark.operators.dims import SURROGATE_DIMS
-    cols = dict(DIM_COLUMNS)
-    for d, _src, _c, idc, nm in SURROGATE_DIMS:
-        cols[d] = [idc, nm]
-    return cols
-
-
-DIM_TESTS = mart_tests(_dim_columns())
+DIM_TESTS = mart_tests(D.DIMENSION_KEYS)
+FACT_TESTS = mart_tests(D.NOT_NULL)
 
 
 @model("dq_mart_dimension_results", "ops", mart_tests_sql(DIM_TESTS), tags=("dq",))
 def dq_mart_dimension_results(m):
-    """G12 over the 26 data-derived dimensions (the fixed two-row
-    nationality-group literal has no data to test)."""
+    """G12 over the 27 dimensions."""
     return run_mart_tests(m, DIM_TESTS)
 
 
-def _fact_tests():
-    from innspark.operators.mart_columns import FACT_COLUMNS
-    return mart_tests(FACT_COLUMNS)
-
-
-@model("dq_mart_fact_results", "ops", lambda: mart_tests_sql(_fact_tests()), tags=("dq",))
+@model("dq_mart_fact_results", "ops", mart_tests_sql(FACT_TESTS), tags=("dq",))
 def dq_mart_fact_results(m):
-    """G12 over the 50 facts: grain entity and period not null, property
-    related to dim_property (rules as for the publish gate)."""
-    return run_mart_tests(m, _fact_tests())
+    """G12 over the 50 facts."""
+    return run_mart_tests(m, FACT_TESTS)

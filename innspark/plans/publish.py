@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import fnmatch
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from innspark.functions import exprs as X
@@ -27,7 +27,7 @@ def partition_table(df: DataFrame, column: str, path: str, part_col: str = "part
     return storage.replace(df.withColumn(part_col, F.to_date(column)), path, partition_by=[part_col])
 
 
-# Serving access paths: table -> (entity column, period column); the
+# Serving access paths, table -> (entity column, period column); the
 # lookups the serving store answers (one entity, one period).
 SERVING_LAYOUTS = {
     "fact_revenue_room_type_daily": ("property_id", "period_date"),
@@ -87,8 +87,9 @@ def serving_layout(df: DataFrame, entity: str, date_col: str, partitions: int |
     """Range-partition by (entity, date) and sort within partitions, so
     Parquet row-group min/max stats skip everything but the requested
     entity-period (the role the serving indexes play)."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(n, entity, date_col).sortWithinPartitions(entity, date_col)
+    ranged = (df.repartitionByRange(partitions, entity, date_col) if partitions
+              else df.repartitionByRange(entity, date_col))  # as many files as the data's size asks for
+    return ranged.sortWithinPartitions(entity, date_col)
 
 
 # ---------------------------------------------------------------------------
@@ -120,28 +121,56 @@ def select_models(select: list[str] | None = None, exclude: list[str] | None = N
     return out
 
 
+def _restore(spark: SparkSession, live: str, had_live: bool) -> None:
+    """Undo a swap whose old copy was kept."""
+    storage.delete(spark, live)
+    if had_live and not storage.rename(spark, f"{live}__old", live):
+        raise storage.SwapFailed(f"the old copy of {live} is at {live}__old")
+
+
 def publish(mart: Mart, names: list[str], base: str, gate=None) -> dict:
     """Build ``names`` into ``<base>/staging``, run the gate over the staged
-    tables, and only if every check passes swap each table into
-    ``<base>/live``. Returns the gate outcome; live is untouched on failure.
+    tables, and only if every check passes swap all of them into ``<base>/live``.
+    Each table is built once, from the staged tables before it and the live ones
+    that aren't built. If a swap fails, those before it are undone, so live is one
+    whole version or the other. Returns the gate outcome.
 
     ``gate(staged: dict[name, DataFrame]) -> DataFrame`` returns check rows
     with a boolean ``success`` column (e.g. the DQ suites)."""
     spark = mart.spark
+    layers = models()
+    # what isn't published now stays as it is live: facts take the ids of live dimensions
+    for n in layers:
+        if n not in names and layers[n].layer in ("dim", "fact"):
+            live = storage.read_or_none(spark, f"{base}/live/{n}")
+            if live is not None:
+                mart = mart.with_frame(n, live)
     staged = {}
-    for n in names:
+    for n in sorted(names, key=lambda n: layers[n].layer != "dim"):
         path = f"{base}/staging/{n}"
         storage.delete(spark, path)
         mart[n].write.mode("overwrite").parquet(path)
         staged[n] = spark.read.parquet(path)
+        mart = mart.with_frame(n, staged[n])  # its children read what is staged
     failures = 0
     if gate is not None:
-        checks = gate(staged)
-        failures = checks.where(~F.col("success")).count()
+        checks = gate(staged, mart) if gate is mart_tests_gate else gate(staged)
+        failures = checks.where(~F.coalesce(F.col("success"), F.lit(False))).count()
     if failures:
         return {"published": [], "failed_checks": failures}
-    for n in names:
-        storage.swap(spark, f"{base}/staging/{n}", f"{base}/live/{n}")
+    swapped: list[tuple[str, bool]] = []
+    try:
+        for n in names:
+            live = f"{base}/live/{n}"
+            had_live = storage.exists(spark, live)
+            storage.swap(spark, f"{base}/staging/{n}", live, keep_old=True)
+            swapped.append((live, had_live))
+    except Exception:
+        for live, had_live in reversed(swapped):
+            _restore(spark, live, had_live)
+        raise
+    for live, _ in swapped:
+        storage.delete(spark, f"{live}__old")
     return {"published": names, "failed_checks": 0}
 
 
@@ -180,9 +209,14 @@ def export_with_parity(df: DataFrame, live_path: str, dataset: str, table: str,
     spark = df.sparkSession
     staging = f"{live_path}__staging"
     storage.delete(spark, staging)
-    (write or (lambda p: df.write.mode("overwrite").parquet(p)))(staging)
-    src_n = df.count()
-    dst_n = spark.read.parquet(staging).count()
+    if write:
+        write(staging)
+        src_n = df.count()
+    else:  # the rows are counted as they are written: one evaluation
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(staging)
+        src_n = seen.get["n"]
+    dst_n = spark.read.schema(df.schema).parquet(staging).count()
     row = {"dataset_name": dataset, "table_name": table, "source_row_count": src_n, "target_row_count": dst_n,
            "is_simulated": False, "synced_at": now}
     if src_n != dst_n:
@@ -194,15 +228,30 @@ def export_with_parity(df: DataFrame, live_path: str, dataset: str, table: str,
     return row
 
 
-def export_serving(mart: Mart, base: str, now: dt.datetime, tables=None) -> DataFrame:
-    """A10 + A13: export tables to the serving store in their (entity, period)
-    layout, each behind the row-count parity gate; returns the sync log."""
+def export_tables(table: str | None = None, domain: str | None = None) -> dict[str, str]:
+    """Table -> dataset of what can be exported: the cleaned tables, dimensions and
+    facts; one of them by name, those of a domain (tag), or all."""
+    layers = {"cleaned": "mart_cleaned", "dim": "mart_aggregated", "fact": "mart_aggregated"}
+    out = {n: layers[mdl.layer] for n, mdl in models().items() if mdl.layer in layers
+           and table in (None, n) and (domain is None or domain in mdl.tags)}
+    if not out:
+        raise KeyError(f"nothing to export for table {table!r}, domain {domain!r}")
+    return out
+
+
+def export_serving(mart: Mart, base: str, now: dt.datetime, tables=None, domain: str | None = None) -> DataFrame:
+    """A10 + A13: export tables to the serving store, each behind the row-count
+    parity gate, in its (entity, period) layout if it has one; returns the sync
+    log. ``tables`` are names; without them a domain's, or all."""
+    chosen = export_tables(domain=domain) if tables is None else {
+        k: v for n in tables for k, v in export_tables(n).items()}
     rows = []
-    for name in tables or SERVING_LAYOUTS:
-        entity, period = SERVING_LAYOUTS[name]
-        df = serving_layout(mart[name], entity, period or entity)
-        layer = "mart_aggregated" if name.startswith(("fact_", "dim_")) else "mart_cleaned"
-        rows.append(export_with_parity(df, f"{base}/{name}", layer, name, now))
+    for name, dataset in chosen.items():
+        df = mart[name]
+        if name in SERVING_LAYOUTS:
+            entity, period = SERVING_LAYOUTS[name]
+            df = serving_layout(df, entity, period or entity)
+        rows.append(export_with_parity(df, f"{base}/{name}", dataset, name, now))
     return sync_log_rows(mart.spark, rows)
 
 
@@ -241,14 +290,15 @@ def read_run_results(spark: SparkSession, path: str, layer: str, captured_at: dt
 # ---------------------------------------------------------------------------
 # Build and publish the mart in one call
 # ---------------------------------------------------------------------------
-def mart_tests_gate(staged: dict[str, DataFrame]) -> DataFrame:
-    """The rule-derived mart tests (G12) over the staged tables: keys unique
-    and not null for dimensions, grain not null and property related for
-    facts. Relationships to dimensions outside this publish are skipped."""
+def mart_tests_gate(staged: dict[str, DataFrame], mart: Mart | None = None) -> DataFrame:
+    """The declared mart tests (G12) of the staged tables. Relationships are
+    checked against the parent that will be live: the staged one, or the
+    published one that this publish leaves."""
     from innspark.operators import dq
-    tests = [t for t in dq.mart_tests({n: df.columns for n, df in staged.items()})
-             if t.kind != dq.RELATIONSHIP or t.arg[0] in staged]
-    return dq.run_mart_tests(staged, tests)
+    frames = staged if mart is None else mart
+    tests = [t for t in dq.mart_tests(staged)
+             if t.kind != dq.RELATIONSHIP or t.arg[0] in staged or mart is not None]
+    return dq.run_mart_tests(frames, tests)
 
 
 def publish_mart(mart: Mart, base: str, select: list[str] | None = None, exclude: list[str] | None = None,

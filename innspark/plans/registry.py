@@ -77,6 +77,16 @@ class Mart:
     def get(self, name: str) -> DataFrame:
         return self[name]
 
+    def with_frame(self, name: str, frame: DataFrame) -> Mart:
+        """A build in which ``name`` is ``frame`` and what derives from it is built
+        on that; the rest that was resolved before is kept."""
+        out = Mart(self.spark, self.sf_dir, self.as_of, published=self.published)
+        kept = getattr(self, "_fixed", {}) | {name: frame}
+        out._fixed = kept
+        out._cache = {k: v for k, v in self._cache.items()
+                      if k not in MODELS or MODELS[k].layer in ("raw", "cleaned")} | kept
+        return out
+
     def persist_shared(self, names=("bookings", "fnb_transactions", "fact_revenue_room_type_daily"),
                        reliable: bool = False):
         """Reuse inputs with several consumers during a full build.

@@ -16,8 +16,10 @@ def test_every_model_has_oracle_sql_except_seeds_and_literals():
     assert missing == []
 
 
-def test_fact_columns_match_the_built_facts(mart):
-    from innspark.operators.mart_columns import FACT_COLUMNS
-    assert set(FACT_COLUMNS) == {n for n, m in models().items() if m.layer == "fact"}
-    for name, cols in FACT_COLUMNS.items():
-        assert mart[name].columns == cols, name
+def test_declared_tests_cover_every_dimension_and_fact(mart):
+    from innspark.operators import dq
+    from innspark.operators import mart_tests as D
+    assert set(D.DIMENSION_KEYS) == {n for n, m in models().items() if m.layer == "dim"}
+    assert set(D.NOT_NULL) == {n for n, m in models().items() if m.layer == "fact"}
+    for t in dq.mart_tests([*D.DIMENSION_KEYS, *D.NOT_NULL]):
+        assert t.column in mart[t.model].columns, t

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from innspark.plans import publish as P
@@ -130,18 +131,55 @@ def test_views_read_published_tables(mart, tmp_base):
     assert a == b
 
 
-def test_rule_derived_mart_tests_gate_facts(mart):
+def test_declared_mart_tests(mart):
     from innspark.operators import dq
-    cols = {n: mart[n].columns for n in ["fact_revenue_room_type_daily", "fact_fnb_outlet_daily"]}
-    tests = dq.mart_tests(cols)
+    tests = dq.mart_tests(["fact_revenue_room_type_daily", "fact_fnb_outlet_daily"])
     kinds = {(t.model, t.kind, t.column) for t in tests}
     assert ("fact_revenue_room_type_daily", "relationships", "property_id") in kinds
-    assert ("fact_fnb_outlet_daily", "not_null", "outlet_id") in kinds
+    assert ("fact_fnb_outlet_daily", "relationships", "outlet_id") in kinds
     res = {(r.model, r.test, r.detail): r.failures for r in dq.run_mart_tests(mart, tests).collect()}
-    assert res[("fact_revenue_room_type_daily", "not_null", "property_id")] == 0
-    # an outlet missing from the outlet master would surface as a null outlet id; the test counts them
     nulls = mart["fact_fnb_outlet_daily"].where(F.col("outlet_id").isNull()).count()
     assert res[("fact_fnb_outlet_daily", "not_null", "outlet_id")] == nulls
+    assert res[("fact_fnb_outlet_daily", "relationships", "outlet_id -> dim_outlet.outlet_id")] == 0
+
+
+def test_a_failed_swap_undoes_the_publish(mart, tmp_base, monkeypatch):
+    names = ["dim_property", "dim_room_type", "fact_revenue_room_type_daily"]
+    P.publish(mart, names, tmp_base)
+    before = {n: sorted(map(str, mart.spark.read.parquet(f"{tmp_base}/live/{n}").collect())) for n in names}
+    real, calls = storage.swap, []
+
+    def failing(*args, **kwargs):
+        calls.append(args)
+        if len(calls) == 3:
+            raise storage.SwapFailed("planted")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(storage, "swap", failing)
+    changed = mart.with_frame("dim_property", mart["dim_property"].limit(2))
+    with pytest.raises(storage.SwapFailed):
+        P.publish(changed, names, tmp_base)
+    monkeypatch.setattr(storage, "swap", real)
+    after = {n: sorted(map(str, mart.spark.read.parquet(f"{tmp_base}/live/{n}").collect())) for n in names}
+    assert after == before
+
+
+def test_a_subset_takes_the_ids_of_live_dimensions(mart, tmp_base):
+    P.publish(mart, ["dim_room_type"], tmp_base)
+    live = mart.spark.read.parquet(f"{tmp_base}/live/dim_room_type")
+    wanted = {r.room_type_id + 100 for r in live.collect()}
+    storage.replace(live.withColumn("room_type_id", F.col("room_type_id") + 100), f"{tmp_base}/live/dim_room_type")
+    P.publish(mart, ["fact_revenue_room_type_daily"], tmp_base)
+    ids = mart.spark.read.parquet(f"{tmp_base}/live/fact_revenue_room_type_daily").select("room_type_id").distinct()
+    assert {r[0] for r in ids.collect()} <= wanted
+
+
+def test_export_by_table_and_domain():
+    assert len(P.export_tables()) == 23 + 27 + 50
+    assert P.export_tables("dim_room") == {"dim_room": "mart_aggregated"}
+    assert set(P.export_tables(domain="fnb")) >= {"fact_fnb_outlet_daily", "fact_fnb_waste_daily"}
+    with pytest.raises(KeyError):
+        P.export_tables("no_such_table")
 
 
 def test_reliable_shared_inputs_cut_lineage(spark):
