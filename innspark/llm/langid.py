@@ -12,6 +12,7 @@ worker remembers the words it has scored.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,14 +22,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innspark.llm.common import written
+from innspark.llm.common import worker_cache, written
 
 LETTERS = regex.compile(r"\p{L}+")
 PART = 40  # letters; a longer word is scored in parts of this size
 PIECE_CHARS = 8  # pieces of the vocabulary with more letters aren't used
 MARK = "▁"  # stands before a word, in vocabularies and here
 UNKNOWN = 1e-7  # probability of a letter that the vocabulary lacks, in any language
-CACHE_WORDS = 600_000  # words of which a worker remembers the scores
+CACHE_WORDS = 300_000  # words of which a worker remembers the scores
 BASE = np.uint64(0x9E3779B97F4A7C15)
 TABLE_BITS = 17
 
@@ -261,9 +262,6 @@ class Scorer:
         return out
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` with lang_pred and score (replaced if there).
 
@@ -273,19 +271,15 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     Repeated rows and rows without doc_id are each returned; only the text is
     read.
     """
-    import uuid
-
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(model)
+        scorer = worker_cache(key, lambda: Scorer(model))
         for texts in batches:
             texts = [t if isinstance(t, str) else None for t in texts]
             names, scores = [], []
             for a in range(0, len(texts), 512):
-                logs = _SCORERS[key].score(texts[a:a + 512]) if model.langs else np.full(
+                logs = scorer.score(texts[a:a + 512]) if model.langs else np.full(
                     (len(texts[a:a + 512]), 1), np.nan)
                 for row in logs:
                     best = int(np.argmax(row)) if not np.isnan(row[0]) else -1

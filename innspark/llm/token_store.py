@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innspark.llm.common import scratch
+from innspark.llm.common import scratch, worker_cache
 
 MAGIC = b"DAC1"
 SEGMENTS = ("shard int, seg int, first long, n_tokens long, doc_ids array<long>, "
@@ -40,7 +40,7 @@ SEGMENT_TOKENS = 1 << 18  # a segment is closed at this size, after a whole docu
 PIECE = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 SPACED = regex.compile(r" (?:\s|$)")
-CACHE_WORDS = 1_000_000  # words of which a worker remembers the ids
+CACHE_WORDS = 600_000  # words of which a worker remembers the ids
 
 
 # --- directly addressable codes -------------------------------------------------
@@ -166,14 +166,9 @@ class WordEncoder:
                 for t, p in zip(texts, parts)]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """One encoder for each vocabulary and Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return worker_cache(("encoder", path), lambda: WordEncoder(path))
 
 
 # --- writing and reading a store --------------------------------------------------
