@@ -19,7 +19,9 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from collections import ChainMap
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -40,7 +42,7 @@ SEGMENT_TOKENS = 1 << 18  # a segment is closed at this size, after a whole docu
 PIECE = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 SPACED = regex.compile(r" (?:\s|$)")
-CACHE_WORDS = 600_000  # words of which a worker remembers the ids
+CACHE_WORDS = 900_000  # words of which a worker remembers the ids
 
 
 # --- directly addressable codes -------------------------------------------------
@@ -127,42 +129,36 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # the ids of a space and this word
 
     def _ids(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _learn(self, missing: list[str], words: dict[str, bytes]) -> None:
+    def _learn(self, missing: list[str]) -> Iterator[tuple[str, bytes]]:
         """Encode words in long texts; the library numbers each text's pieces."""
-        joined = [w for w in missing if w[0] == " "]
-        for w in missing:
-            if w[0] != " ":  # a text's first word
-                words[w] = self._ids(w)
-        for k in range(0, len(joined), 2000):
-            part = joined[k:k + 2000]
-            e = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            ids, piece = np.array(e.ids, dtype="<u4"), np.array(e.word_ids, dtype=np.int64)
-            ends = np.cumsum([w[1:].isalpha() or len(PIECE.findall(w)) for w in part])
+        for k in range(0, len(missing), 2000):
+            part = missing[k:k + 2000]
+            e = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
+            raw, piece = np.array(e.ids, dtype="<u4").tobytes(), np.array(e.word_ids, dtype=np.int64)
+            ends = np.cumsum([w.isalpha() or len(PIECE.findall(" " + w)) for w in part])
             cuts = (4 * np.searchsorted(piece, ends, "left")).tolist()
-            raw = ids.tobytes()
-            words.update((w, raw[a:b]) for w, a, b in zip(part, [0, *cuts], cuts))
+            yield from ((w, raw[a:b]) for w, a, b in zip(part, [0, *cuts], cuts))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        parts = []
-        for t in texts:
-            if SPACED.search(t) or any(a in t for a in self.added):
-                parts.append(None)
-                continue
-            first, *rest = t.split(" ")
-            parts.append([first] * bool(first) + [" " + w for w in rest])
-        missing = set().union(*(p for p in parts if p)) - self.words.keys()
+        parts = [None if SPACED.search(t) or any(a in t for a in self.added) else t.split(" ")
+                 for t in texts]
         words = self.words
-        if len(words) + len(missing) > CACHE_WORDS:  # what is common is known by now
-            words = {w: words[w] for p in parts if p for w in p if w in words}
-        self._learn(list(missing), words)
-        return [self._ids(t) if p is None else b"".join(map(words.__getitem__, p))
+        missing = set().union(*filter(None, parts)) - words.keys() - {""}
+        # a text may begin with white space; its other words don't
+        new = dict(self._learn([w for w in missing if not w[0].isspace()]))
+        if len(words) + len(new) <= CACHE_WORDS:
+            words.update(new)
+        else:  # what is common is known by now
+            words = ChainMap(new, words)
+        return [self._ids(t) if p is None else
+                self._ids(p[0]) + b"".join(map(words.__getitem__, islice(p, 1, None)))
                 for t, p in zip(texts, parts)]
 
 

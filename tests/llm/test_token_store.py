@@ -40,6 +40,12 @@ def test_words_give_the_library_s_ids(texts):
     assert [np.frombuffer(g, "<u4").tolist() + [0] for g in got] == [ids_of(t) for t in texts]
 
 
+def test_texts_that_begin_with_white_space():
+    own = ts.WordEncoder(PATH)
+    texts = ["\thß,, 'll b\n", "x\n\n 'lld", "\r\na b c\t", " a", "\n", "", "b\n c \xa0d"]
+    assert [np.frombuffer(g, "<u4").tolist() + [0] for g in own.encode(texts)] == [ids_of(t) for t in texts]
+
+
 def test_full_cache(monkeypatch):
     monkeypatch.setattr(ts, "CACHE_WORDS", 3)
     own = ts.WordEncoder(PATH)
