@@ -712,17 +712,29 @@ def stage_of_alert():
 
 
 def stage_events(alerts: DataFrame, runs: DataFrame, tests: DataFrame, as_of) -> DataFrame:
-    """today's events per stage: mapped alerts, failed runs, failed tests."""
+    """today's events per stage: mapped alerts, failed runs, failed tests, each
+    with severity, time, detail and whether it was simulated. Logs without these
+    columns give nulls (a failure is critical and not simulated)."""
+    def own(df: DataFrame, column: str, kind: str) -> F.Column:
+        return F.col(column) if column in df.columns else F.lit(None).cast(kind)
+
+    says = F.col("alert_type")
+    if "detail" in alerts.columns:
+        says = F.concat(says, F.lit(": "), F.col("detail"))
     a = alerts.where(F.col("snapshot_date") == F.lit(as_of)).select(
-        stage_of_alert().alias("titik_id"), F.lit("alert").alias("event_source"),
-        F.col("alert_type").alias("detail"))
+        stage_of_alert().alias("titik_id"), F.lit("alert").alias("event_source"), says.alias("detail"),
+        own(alerts, "severity", "string").alias("severity"),
+        own(alerts, "created_at", "timestamp_ntz").alias("event_at"),
+        own(alerts, "is_simulated", "boolean").alias("is_simulated"))
+    failed = [F.lit("critical").alias("severity")]
     r = runs.where((F.to_date("started_at") == F.lit(as_of)) & (F.col("status") == "failure")).select(
         "titik_id", F.lit("pipeline_run").alias("event_source"),
         F.concat(F.lit("stage "), F.col("titik_id").cast("string"), F.lit(" failed: "), F.col("workflow_name"))
-        .alias("detail"))
+        .alias("detail"), *failed, F.col("started_at").alias("event_at"), F.lit(False).alias("is_simulated"))
     t = tests.where((F.to_date("captured_at") == F.lit(as_of)) & F.col("status").isin("fail", "error")).select(
         F.when(F.col("layer") == "mart_cleaned", 3).when(F.col("layer") == "mart_aggregated", 7).alias("titik_id"),
-        F.lit("dbt_test").alias("event_source"), F.col("test_name").alias("detail"))
+        F.lit("dbt_test").alias("event_source"), F.col("test_name").alias("detail"), *failed,
+        F.col("captured_at").alias("event_at"), F.lit(False).alias("is_simulated"))
     return a.unionByName(r).unionByName(t).where(F.col("titik_id").isNotNull())
 
 

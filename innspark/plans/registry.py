@@ -114,7 +114,7 @@ def _load_all():
     # importing the operator modules registers their models
     from innspark.operators import (access, clean, dims, dq, facts_facility, facts_finance,  # noqa: F401
                                     facts_fnb, facts_hr, facts_reservation, facts_spa_event,
-                                    ml, monitor, views)
+                                    ml, monitor, observability, views)
     from innspark.sources import sources  # noqa: F401
     from innspark.streaming import streams  # noqa: F401
 
