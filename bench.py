@@ -49,6 +49,7 @@ def _lookups():
     from innspark.plans.publish import SERVING_LAYOUTS
     out = []
     for tbl, (ent, dcol) in SERVING_LAYOUTS.items():
+        ent = ent if isinstance(ent, str) else ent[0]  # a lookup names the leading entity
         if dcol in LOOKUP_PERIODS:
             period = LOOKUP_PERIODS[dcol]
         elif dcol == "period":
@@ -81,7 +82,7 @@ def _period_filter(F, col, period):
 def main():
     from pyspark.sql import functions as F
 
-    from innspark.plans.publish import serving_layout
+    from innspark.plans.publish import SERVING_LAYOUTS, serving_layout
     from innspark.plans.registry import Mart
     from innspark.session import get_spark, scratch_dir
 
@@ -105,7 +106,7 @@ def main():
     lookups = {}
     for tbl, ent, val, dcol, period in _lookups():
         path = f"{base}/{tbl}"
-        serving_layout(mart[tbl], ent, dcol or ent).write.mode("overwrite").parquet(path)
+        serving_layout(mart[tbl], SERVING_LAYOUTS[tbl][0], dcol or ent).write.mode("overwrite").parquet(path)
         pred = (F.col(ent) == val) & _period_filter(F, dcol, period)
         spark.read.parquet(path).where(pred).write.format("noop").mode("overwrite").save()  # warm
         t0 = time.perf_counter()

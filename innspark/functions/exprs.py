@@ -252,23 +252,6 @@ def shift_values(df: DataFrame, keys: list[str], date_col: str, values: list[str
             .select("__row.*", *out_cols))
 
 
-def shift_join(cur: DataFrame, keys: list[str], date_col: str, values: list[str], months: int,
-               prefix: str) -> DataFrame:
-    """Attach values of the row exactly ``months`` earlier.
-
-    An equi-join on (keys, add_months(date, -months)) against the same rows;
-    month ends clamp (31 Mar -> 29 Feb) and gaps give null, unlike ``lag``.
-    Null keys never match (plain equality, S9).
-    """
-    prev = cur.select(*[F.col(k).alias(f"__p_{k}") for k in keys],
-                      F.col(date_col).alias("__p_date"),
-                      *[F.col(v).alias(f"{prefix}{v}") for v in values])
-    target = F.add_months(F.col(date_col), -months)
-    cond = [cur[k] == prev[f"__p_{k}"] for k in keys] + [target == prev["__p_date"]]
-    out = cur.join(prev, reduce(lambda a, b: a & b, cond), "left")
-    return out.drop(*[f"__p_{k}" for k in keys], "__p_date")
-
-
 def lookup(df: DataFrame, dim: DataFrame, on: str, dim_name: str, dim_id: str) -> DataFrame:
     """Left-join a dimension by its natural name and attach its surrogate id.
 

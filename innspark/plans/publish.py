@@ -27,7 +27,7 @@ def partition_table(df: DataFrame, column: str, path: str, part_col: str = "part
     return storage.replace(df.withColumn(part_col, F.to_date(column)), path, partition_by=[part_col])
 
 
-# Serving access paths, table -> (entity column, period column); the
+# Serving access paths, table -> (entity column or columns, period column); the
 # lookups the serving store answers (one entity, one period).
 SERVING_LAYOUTS = {
     "fact_revenue_room_type_daily": ("property_id", "period_date"),
@@ -62,7 +62,7 @@ SERVING_LAYOUTS = {
     "fact_event_property_daily": ("property_id", "period_date"),
     "fact_event_type_daily": ("property_id", "period_date"),
     "event_bookings": ("property_id", "event_date"),
-    "fact_hr_attendance_daily": ("property_id", "period_date"),
+    "fact_hr_attendance_daily": (("property_id", "department_id"), "period_date"),
     "fact_hr_employee_monthly": ("employee_id", "period_date"),
     "fact_hr_employee_performance_semester": ("employee_id", "review_period"),
     "fact_hr_watchlist_monthly": ("employee_id", "period_date"),
@@ -83,13 +83,15 @@ SERVING_LAYOUTS = {
 }
 
 
-def serving_layout(df: DataFrame, entity: str, date_col: str, partitions: int | None = None) -> DataFrame:
+def serving_layout(df: DataFrame, entity: str | tuple[str, ...], date_col: str,
+                   partitions: int | None = None) -> DataFrame:
     """Range-partition by (entity, date) and sort within partitions, so
     Parquet row-group min/max stats skip everything but the requested
     entity-period (the role the serving indexes play)."""
-    ranged = (df.repartitionByRange(partitions, entity, date_col) if partitions
-              else df.repartitionByRange(entity, date_col))  # as many files as the data's size asks for
-    return ranged.sortWithinPartitions(entity, date_col)
+    columns = list(dict.fromkeys([*([entity] if isinstance(entity, str) else entity), date_col]))
+    ranged = (df.repartitionByRange(partitions, *columns) if partitions
+              else df.repartitionByRange(*columns))  # as many files as the data's size asks for
+    return ranged.sortWithinPartitions(*columns)
 
 
 # ---------------------------------------------------------------------------
@@ -250,7 +252,7 @@ def export_serving(mart: Mart, base: str, now: dt.datetime, tables=None, domain:
         df = mart[name]
         if name in SERVING_LAYOUTS:
             entity, period = SERVING_LAYOUTS[name]
-            df = serving_layout(df, entity, period or entity)
+            df = serving_layout(df, entity, period or (entity if isinstance(entity, str) else entity[0]))
         rows.append(export_with_parity(df, f"{base}/{name}", dataset, name, now))
     return sync_log_rows(mart.spark, rows)
 

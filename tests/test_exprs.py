@@ -38,11 +38,11 @@ def test_minute_diff_and_overtime_midnight_wrap(spark):
     assert ot[0] == 0.5 and ot[1] == 1.5 and ot[2] is None
 
 
-def test_shift_join_month_end_clamps_and_gaps(spark):
+def test_shift_values_month_end_clamps_and_gaps(spark):
     df = spark.createDataFrame([("A", dt.date(2024, 2, 29), 10), ("A", dt.date(2024, 3, 31), 15),
                                 ("A", dt.date(2024, 3, 30), 12), (None, dt.date(2024, 3, 31), 1),
                                 (None, dt.date(2024, 2, 29), 2)], "k string, d date, v int")
-    out = {(r.k, r.d): r.mom_v for r in X.shift_join(df, ["k"], "d", ["v"], 1, "mom_").collect()}
+    out = {(r.k, r.d): r.mom_v for r in X.shift_values(df, ["k"], "d", ["v"], {"mom_": 1}).collect()}
     assert out[("A", dt.date(2024, 3, 31))] == 10     # 31 Mar -> 29 Feb
     assert out[("A", dt.date(2024, 3, 30))] == 10     # 30 Mar -> 29 Feb as well
     assert out[("A", dt.date(2024, 2, 29))] is None   # no January row
@@ -68,3 +68,11 @@ def test_left_join_skip_null_keys(spark):
     right = spark.createDataFrame([("g1", "Gold")], "guest_id string, tier string")
     got = sorted((r.x, r.tier) for r in X.left_join_skip_null_keys(left, right, "guest_id").collect())
     assert got == [(1, "Gold"), (2, None), (3, None)]
+
+
+def test_shift_values_keeps_rows_with_null_keys(spark):
+    rows = [(None, dt.date(2024, 1, 1), 1)] * 3 + [("a", None, 2)] * 2 + [("a", dt.date(2024, 1, 1), 3),
+                                                                         ("a", dt.date(2024, 2, 1), 4)]
+    df = spark.createDataFrame(rows, "k string, d date, v int").repartition(3)
+    out = sorted(((r.k, r.d, r.v, r.mom_v) for r in X.shift_values(df, ["k"], "d", ["v"], {"mom_": 1}).collect()), key=str)
+    assert out == sorted([(*r, 3 if r[2] == 4 else None) for r in rows], key=str)
