@@ -20,7 +20,7 @@ import os
 import struct
 import zlib
 from collections import ChainMap
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from itertools import islice
 
 import numpy as np
@@ -38,9 +38,6 @@ SEGMENTS = ("shard int, seg int, first long, n_tokens long, doc_ids array<long>,
 SHARDS = "shard int, base long, n_tokens long"
 BLOCK = 512  # bits of a rank block
 SEGMENT_TOKENS = 1 << 18  # a segment is closed at this size, after a whole document
-# fixed values: the split of byte-level BPE, as published with the vocabulary
-PIECE = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 SPACED = regex.compile(r" (?:\s|$)")
 CACHE_WORDS = 900_000  # words of which a worker remembers the ids
 
@@ -119,8 +116,9 @@ class WordEncoder:
     A byte-level BPE vocabulary splits a text into pieces before merging, and a
     space before a character that isn't white space always starts one. So a
     text falls into parts that begin with such a space, and the library encodes
-    each part once. Texts in which white space follows a space, and those with
-    an added token's string, go to the library whole.
+    each part once. Which characters aren't white space, and where a part's ids
+    begin, the library itself says. Texts with a part for which it doesn't, and
+    those with an added token's string, go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -130,20 +128,34 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}  # the ids of a space and this word
+        self.opening: dict[str, bool] = {}  # by character: a space before it starts a piece
 
     def _ids(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
+    def _opens(self, char: str) -> bool:
+        """Whether the library starts a piece at a space before ``char``: other white
+        space and the space are two pieces then, and one with more white space."""
+        if char not in self.opening:
+            e = self.tokenizer.encode("\n " + char, add_special_tokens=False)
+            self.opening[char] = len(set(e.word_ids)) == 2
+        return self.opening[char]
+
     def _learn(self, missing: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Encode words in long texts; the library numbers each text's pieces."""
+        """Encode words in long texts, cut where a token begins at a word's place;
+        a word without one at either end is left out."""
         for k in range(0, len(missing), 2000):
             part = missing[k:k + 2000]
             e = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
-            raw, piece = np.array(e.ids, dtype="<u4").tobytes(), np.array(e.word_ids, dtype=np.int64)
-            ends = np.cumsum([w.isalpha() or len(PIECE.findall(" " + w)) for w in part])
-            cuts = (4 * np.searchsorted(piece, ends, "left")).tolist()
-            yield from ((w, raw[a:b]) for w, a, b in zip(part, [0, *cuts], cuts))
+            raw = np.array(e.ids, dtype="<u4").tobytes()
+            begins = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
+            places = np.cumsum([0, *(len(w) + 1 for w in part)])
+            cuts = np.searchsorted(begins, places, "left")
+            sure = np.append(begins, places[-1])[cuts] == places
+            cuts = (4 * cuts).tolist()
+            yield from ((w, raw[a:b]) for w, a, b, x, y in
+                        zip(part, cuts, cuts[1:], sure.tolist(), sure[1:].tolist()) if x and y)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -151,15 +163,20 @@ class WordEncoder:
                  for t in texts]
         words = self.words
         missing = set().union(*filter(None, parts)) - words.keys() - {""}
-        # a text may begin with white space; its other words don't
-        new = dict(self._learn([w for w in missing if not w[0].isspace()]))
+        new = dict(self._learn([w for w in missing if self._opens(w[0])]))
         if len(words) + len(new) <= CACHE_WORDS:
             words.update(new)
         else:  # what is common is known by now
             words = ChainMap(new, words)
-        return [self._ids(t) if p is None else
-                self._ids(p[0]) + b"".join(map(words.__getitem__, islice(p, 1, None)))
-                for t, p in zip(texts, parts)]
+        return [self._joined(t, p, words) for t, p in zip(texts, parts)]
+
+    def _joined(self, text: str, parts: list[str] | None, words: Mapping[str, bytes]) -> bytes:
+        if parts is None:
+            return self._ids(text)
+        try:
+            return self._ids(parts[0]) + b"".join(map(words.__getitem__, islice(parts, 1, None)))
+        except KeyError:  # a part that the library didn't vouch for
+            return self._ids(text)
 
 
 def encoder(path: str) -> WordEncoder:

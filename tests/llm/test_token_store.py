@@ -46,6 +46,15 @@ def test_texts_that_begin_with_white_space():
     assert [np.frombuffer(g, "<u4").tolist() + [0] for g in own.encode(texts)] == [ids_of(t) for t in texts]
 
 
+@pytest.mark.parametrize("odd", ["\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", "\u2028", "\u180e", "\u200b",
+                                 "\u0558", "\u088f", "\u209d", "\ua7ce", "\U0001fae9", "\0"])
+def test_characters_that_unicode_tables_disagree_on(odd):
+    own = ts.WordEncoder(PATH)
+    texts = [f"some {odd}b words", f"a\n {odd} b\t {odd}{odd}c after it", f"x{odd} y{odd}z {odd}1", f"{odd} more {odd}",
+             "words that follow in one batch"]
+    assert [np.frombuffer(g, "<u4").tolist() + [0] for g in own.encode(texts)] == [ids_of(t) for t in texts]
+
+
 def test_full_cache(monkeypatch):
     monkeypatch.setattr(ts, "CACHE_WORDS", 3)
     own = ts.WordEncoder(PATH)
