@@ -38,30 +38,60 @@ CLOSES = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "t
           "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 HOLDS = frozenset("ul ol menu dl table tbody thead tfoot select article section div body".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-DROPPED = frozenset("head nav footer aside form noscript template menu dialog select button "
+DROPPED = frozenset("head nav footer aside noscript template menu dialog select button "
                     "fieldset search optgroup option".split())
-# a class or id with one of these words marks what isn't the article
+# a class or id with one of these words hints at what isn't the article, as a form does;
+# how much text and which containers a block holds decides (see _asides)
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "consent cookie cookies disqus footer gdpr header login masthead menu menus modal nav navbar "
     "navigation newsletter notice notices notification notifications pagination popup promo "
     "promotion related share sharing sidebar signup skip social sponsor sponsored subscribe toolbar "
     "widget widgets".split())
+NEGATED = re.compile(r"(?<![a-z])(?:no|non|not|has|have|with|without)[-_]+[a-z]+")  # "no-sidebar"
+ASIDE_SHARE, NAMED_SHARE = 0.5, 0.8  # of the text outside links; the second for a name that is such a word
 CONTAINERS = frozenset("article main section div body td html".split())
 SMALL_HOSTS = 200_000  # winning paths that are broadcast, some 20 MB; above it they are joined
 
 
 class _Open:
-    __slots__ = ("tag", "path", "dropped", "number")
+    __slots__ = ("tag", "path", "dropped", "number", "hints")
 
-    def __init__(self, tag: str, path: str, dropped: bool, number: int):
-        self.tag, self.path, self.dropped, self.number = tag, path, dropped, number
+    def __init__(self, tag: str, path: str, dropped: bool, number: int, hints: tuple[int, ...] = ()):
+        self.tag, self.path, self.dropped, self.number, self.hints = tag, path, dropped, number, hints
 
 
 def _first(m: re.Match | None) -> str:
     return next((g for g in m.groups() if g), "") if m else ""
 
 
+def _asides(hints: list[tuple[float, int]], holders: set[int], has_article: bool,
+            said: list[tuple[int, tuple[int, ...], int]]) -> set[int]:
+    """The hints whose blocks are dropped. ``said`` has each text's characters outside
+    links, the hints around it and its article's number (-1 without one).
+
+    A block that holds an article or main stays, and one that holds more than its
+    share of its article's text (of the page's, on a page without an article)
+    stays; beside an article, any other block goes. Plainly named ones go first.
+    """
+    gone: set[int] = set()
+    for share in (NAMED_SHARE, ASIDE_SHARE):
+        whole: Counter = Counter()
+        held: Counter = Counter()
+        for own, around, article in said:
+            if gone.isdisjoint(around):
+                whole[article] += own
+                whole[None] += own
+                held.update(dict.fromkeys(around, own))
+        outer = has_article and whole[None] > whole[-1]
+        for k, (limit, article) in enumerate(hints):
+            if limit == share and k not in holders:
+                of = whole[article] if article >= 0 else whole[None]
+                if article < 0 and outer or held[k] <= limit * of:
+                    gone.add(k)
+    return gone
+
+
 def parse(page: str) -> tuple[list[tuple[str, int, tuple[int, ...]]], list[str], list[int]]:
     """Blocks (text, link characters, numbers of the containers around it, outermost
     first) outside dropped parts, and each container's path and parent's number."""
@@ -69,6 +99,13 @@ def parse(page: str) -> tuple[list[tuple[str, int, tuple[int, ...]]], list[str],
     paths, parents, stack = ["html"], [-1], [_Open("html", "html", False, 0)]
     text: list[str] = []
     links = link = 0
+    hints: list[tuple[float, int]] = []  # (share that it may hold, number of its article)
+    holders: set[int] = set()  # hints around an article or main
+    around_hints: list[tuple[int, tuple[int, ...], int]] = []  # for each block
+    has_article = False
+
+    def article() -> int:
+        return next((o.number for o in reversed(stack) if o.tag in ("article", "main")), -1)
 
     def flush() -> None:
         nonlocal links
@@ -77,6 +114,7 @@ def parse(page: str) -> tuple[list[tuple[str, int, tuple[int, ...]]], list[str],
         if said and not stack[-1].dropped:
             around = tuple(dict.fromkeys(o.number for o in stack))
             blocks.append((said, min(links, len(said)), around))
+            around_hints.append((len(said) - blocks[-1][1], stack[-1].hints, article()))
         links = 0
 
     def close(upto: int) -> None:
@@ -129,18 +167,30 @@ def parse(page: str) -> tuple[list[tuple[str, int, tuple[int, ...]]], list[str],
             classes = [re.sub(r"\d+", "", c) for c in _first(CLASS.search(m[3])).lower().split()]
             path = ">".join([up.path, ".".join([tag, *sorted({c for c in classes if c})])])
             named = " ".join(_first(x) for x in CLASSES.finditer(m[3])).lower()
-            inside = any(o.tag in ("article", "main") for o in stack)
-            dropped = (up.dropped or tag in DROPPED or tag == "header" and not inside
-                       or tag not in ("body", "article", "main")
-                       and not ASIDE_WORDS.isdisjoint(re.findall(r"[a-z]+", named)))
+            inside = article()
+            dropped = up.dropped or tag in DROPPED or tag == "header" and inside < 0
+            around = up.hints
+            if tag in ("article", "main"):
+                has_article = has_article or not dropped
+                holders.update(around)
+            elif tag != "body":
+                words = ASIDE_WORDS.intersection(re.findall(r"[a-z]+", NEGATED.sub(" ", named)))
+                if inside >= 0:
+                    words -= {"header"}
+                if words or tag == "form":
+                    around = (*around, len(hints))
+                    hints.append((ASIDE_SHARE if words.isdisjoint(named.split()) else NAMED_SHARE, inside))
             number = up.number
             if tag in CONTAINERS:
                 number = len(paths)
                 paths.append(path)
                 parents.append(up.number)
-            stack.append(_Open(tag, path, dropped, number))
+            stack.append(_Open(tag, path, dropped, number, around))
     add(page[at:])
     flush()
+    if hints:
+        gone = _asides(hints, holders, has_article, around_hints)
+        blocks = [b for b, (_, h, _) in zip(blocks, around_hints) if gone.isdisjoint(h)] or blocks
     return blocks, paths, parents
 
 

@@ -34,6 +34,25 @@ def test_fragments(page, text):
     assert hx.extract(page) == text
 
 
+BODY = "<p>" + "words of the article " * 9 + "</p>"
+SAID = ("words of the article " * 9).strip()
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<body><div class="content no-sidebar">{BODY}</div><p>end</p>', SAID),
+    (f'<div id="page-has-banner"><h1>Head</h1>{BODY}</div>', "Head\n" + SAID),
+    (f'<div class="post with-comments">{BODY}<div class="comments"><p>I say</p></div></div>', SAID),
+    (f'<form id=aspnetForm><nav>menu</nav>{BODY}<form><p>Your mail</p></form></form>', SAID),
+    (f'<article><header class="entry-header"><h1>Head</h1></header>{BODY}</article>', "Head\n" + SAID),
+    (f'<div class="widget"><article>{BODY}</article></div><p>more</p>', SAID),
+    (f'<article>{BODY}</article><div class="comment-list"><p>{"I say " * 99}</p></div>', SAID),
+    (f'<div class="post">{BODY}</div><div class="comments"><p>{"I say " * 60}</p></div>', SAID),
+    (f'<div class="notice">{BODY}</div>', SAID),
+    (f'<article><div class="banner-text">{BODY}</div><div class="share">x</div></article>', SAID)])
+def test_names_drop_no_article(page, text):
+    assert hx.extract(page) == text
+
+
 def test_host_consensus(spark):
     good = '<html><body><div class="a{}"><p>{}</p></div><div class="zz"><p>{}</p></div></body></html>'
     rows = [(k, f"http://Host.example/{k}", good.format(k, "main text " * 9, "box " * 3)) for k in range(5)]
