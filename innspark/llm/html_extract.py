@@ -4,8 +4,8 @@ Each page scores its containers: a block's text outside links counts in full for
 the container around it and half for the one above. The page's best container
 votes, under its generalised path of tags and classes (numbers taken out of the
 classes), with its score. Spark adds up the votes of each host, and all pages of
-the host are extracted again from the containers on the winning path; a page
-without one falls back to its own best. A template that one odd page would get
+the host are extracted again from the containers on the winning path, each widened
+to the article around it; a page without one falls back to its own best. A template that one odd page would get
 wrong is thus settled by its neighbours.
 """
 
@@ -209,18 +209,44 @@ def best_path(page: str) -> tuple[str, float] | None:
     return paths[best], float(scores[best])
 
 
+def _widened(on: set[int], blocks: list[tuple[str, int, tuple[int, ...]]], paths: list[str],
+             parents: list[int]) -> set[int]:
+    """Each container's nearest article or main, or itself without one; then the
+    parents below body whose own text (a headline, a lead) is mostly outside links."""
+    tag = [p.rpartition(">")[2].partition(".")[0] for p in paths]
+    own: Counter = Counter()
+    for said, links, around in blocks:
+        own[around[-1]] += len(said) - 2 * links
+    out = set()
+    for k in on:
+        up = k
+        while up >= 0 and tag[up] not in ("article", "main"):
+            up = parents[up]
+        k = up if up >= 0 else k
+        while parents[k] >= 0 and tag[parents[k]] not in ("html", "body") and own[parents[k]] > 0:
+            k = parents[k]
+        out.add(k)
+    return out
+
+
 def extract(page: str | None, path: str | None = None) -> str:
-    """The text of the containers on ``path``, or on the page's own best path if it
-    has none there: blocks in page order, one to a line."""
+    """The text of the containers on ``path``, widened to their article, or on the
+    page's own best path if it has none there: blocks in page order, one to a line."""
     if not page:
         return ""
-    blocks, paths, _ = parse(page)
-    on = {k for k, p in enumerate(paths) if p == path}
-    found = [said for said, _, around in blocks if not on.isdisjoint(around)]
-    if not found and (own := best_path(page)) and own[0] != path:
-        on = {k for k, p in enumerate(paths) if p == own[0]}
-        found = [said for said, _, around in blocks if not on.isdisjoint(around)]
-    return "\n".join(found)
+    blocks, paths, parents = parse(page)
+
+    def found(path: str | None) -> list[str]:
+        on = {k for k, p in enumerate(paths) if p == path}
+        if on.isdisjoint(k for _, _, around in blocks for k in around):
+            return []
+        on = _widened(on, blocks, paths, parents)
+        return [said for said, _, around in blocks if not on.isdisjoint(around)]
+
+    said = found(path)
+    if not said and (own := best_path(page)) and own[0] != path:
+        said = found(own[0])
+    return "\n".join(said)
 
 
 def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

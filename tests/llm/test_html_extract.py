@@ -53,6 +53,17 @@ def test_names_drop_no_article(page, text):
     assert hx.extract(page) == text
 
 
+@pytest.mark.parametrize("page", [
+    f'<article><h1>Head</h1><p>Lead</p><div class="entry-content">{BODY}</div></article>',
+    f'<main><h1>Head</h1><article><p>Lead</p>{BODY}</article></main>',
+    f'<div class="post"><h1>Head</h1><p>Lead</p><div class="entry-content">{BODY}</div></div>',
+    f'<article><section class="a"><h1>Head</h1><p>Lead</p></section><section class="b">{BODY}</section></article>',
+    f'<article><div class="x"><h1>Head</h1></div><div class="y"><p>Lead</p><div class="z">{BODY}</div></div></article>'])
+def test_nested_and_sectioned_articles(page):
+    page = f'<body><p>Site</p><div class="box"><p>box</p></div>{page}<div class="zz"><p>after</p></div></body>'
+    assert hx.extract(page) == hx.extract(page, hx.best_path(page)[0]) == "Head\nLead\n" + SAID
+
+
 def test_host_consensus(spark):
     good = '<html><body><div class="a{}"><p>{}</p></div><div class="zz"><p>{}</p></div></body></html>'
     rows = [(k, f"http://Host.example/{k}", good.format(k, "main text " * 9, "box " * 3)) for k in range(5)]
