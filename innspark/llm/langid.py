@@ -26,7 +26,7 @@ from innspark.llm.common import worker_cache, written
 
 LETTERS = regex.compile(r"\p{L}+")
 PART = 40  # letters; a longer word is scored in parts of this size
-PIECE_CHARS = 8  # pieces of the vocabulary with more letters aren't used
+LEAST_ROWS = 200  # of each language in the sample; all of a rarer one
 MARK = "▁"  # stands before a word, in vocabularies and here
 UNKNOWN = 1e-7  # probability of a letter that the vocabulary lacks, in any language
 CACHE_WORDS = 300_000  # words of which a worker remembers the scores
@@ -40,8 +40,7 @@ def vocabulary(path: str) -> list[str]:
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (sp.id_to_piece(k) for k in range(sp.get_piece_size()))
-    return [p for p in pieces if p.removeprefix(MARK).isalpha() and p == p.lower()
-            and len(p) <= PIECE_CHARS + 1] + [MARK]
+    return [p for p in pieces if p.removeprefix(MARK).isalpha() and p == p.lower()] + [MARK]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -102,7 +101,7 @@ def _forward(size: int, spans: dict, table: np.ndarray) -> tuple[list[np.ndarray
     probs = {}
     for e in range(1, size + 1):
         total = 0.0
-        for s in range(max(0, e - PIECE_CHARS - 1), e):
+        for s in range(e):
             if (s, e) not in spans:
                 continue
             p = table[spans[s, e]]
@@ -143,7 +142,10 @@ def expected_counts(pieces: Pieces, table: np.ndarray, words: list[str], counts:
     out = np.zeros((pieces.count + 1, table.shape[1]))
     for length, places in _by_length(words).items():
         if length > PART:
-            continue  # a handful of junk words teaches no piece
+            for k in places:  # in the parts that it is scored in
+                parts = [words[k][a:a + PART] for a in range(0, length, PART)]
+                out[:-1] += expected_counts(pieces, table, parts, np.repeat(counts[k:k + 1], len(parts), axis=0))
+            continue
         for a in range(0, len(places), 8192):
             part = places[a:a + 8192]
             size, spans = _spans(pieces, [words[k] for k in part])
@@ -169,15 +171,22 @@ class Model:
 def fit(docs: DataFrame, vocab: str, max_rows: int = 6000, rounds: int = 3) -> Model:
     """Learn from the rows of ``docs`` (doc_id, text, lang) that have text and lang.
 
-    At most about ``max_rows`` of them, chosen by a hash of the doc_id, give the
-    word counts; this bounds the model's work at any size of the corpus. The
-    driver receives sums for each piece and language.
+    About ``max_rows`` of those with a letter, chosen by a hash and shared out by the
+    languages' sizes, give the word counts; a language has at least LEAST_ROWS, or all
+    of its rows. This bounds the model's work at any size of the corpus and loses no
+    language. The driver receives sums for each language and piece.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null")
-    n = rows.count()
-    share = int(min(1.0, max_rows / max(n, 1)) * 1_000_000)
-    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+    rows = (docs.select("doc_id", "text", "lang").where("text is not null and lang is not null")
+            .where(F.col("text").rlike(r"\p{L}")).withColumn("th", F.xxhash64("doc_id", "text")))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("th").alias("least")).collect()
+    n = sum(r["n"] for r in sizes)
+    upto = []
+    for r in sizes:
+        share = min(1.0, max(max_rows / n, LEAST_ROWS / r["n"]))
+        upto.append((r["lang"], max(r["least"], min((1 << 63) - 1, int(share * 2**64) - (1 << 63)))))
+    rows = rows.join(F.broadcast(spark.createDataFrame(upto, "lang string, upto long")), "lang"
+                     ).where("th <= upto")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -82,6 +82,25 @@ def test_prediction_reads_the_text_only(spark, docs_of, odd_rows, monkeypatch):
         sorted(map(str, [(p, s) for *_, p, s in got]))
 
 
+def test_no_language_is_lost_by_size(docs_of):
+    rows = [(k, "the cat and the dog were there", "en", "s") for k in range(600)]
+    rows += [(1000 + k, "der hund und die katze", "de", "s") for k in range(300)]
+    rows += [(None, "el perro y el gato", "es", "s"), (2000, "le chien", "fr", "s"), (2001, "1 2", "xx", "s")]
+    assert langid.fit(docs_of(rows), VOCAB, max_rows=5, rounds=1).langs == ["de", "en", "es", "fr"]
+
+
+def test_long_pieces_and_long_words_count():
+    assert max(map(len, langid.vocabulary(VOCAB))) > 9
+    pieces = langid.Pieces([*PIECES, "abbabbabbabba"])
+    t = np.full((pieces.count + 1, 1), 1e-9)
+    t[-2], t[-1] = 0.5, 0
+    assert langid.score_words(pieces, t, ["abbabbabbabba"])[0, 0] > np.log(1e-10)
+    pieces, t = model()
+    uses = langid.expected_counts(pieces, t, ["ab" * 25], np.array([[1.0, 2.0]]))
+    letters = np.array([len(p) for p in PIECES])[:, None]
+    assert (uses * letters).sum(axis=0) == pytest.approx([52.0, 104.0])
+
+
 def test_small_cache(monkeypatch):
     pieces, t = model()
     m = langid.Model(pieces, ["x", "y"], t)
