@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from innspark.llm import (
-    decontaminate, embedding_dedup, html_extract, langid, line_dedup, minhash, mixing, secret_scan,
-    substring_dedup, token_store)
+    decontaminate, embedding_dedup, html_extract, langid, line_dedup, minhash, mixing,
+    quality_rules, secret_scan, substring_dedup, token_store)
 from innspark.llm.common import ship, table
 from innspark.session import ensure_checkpoint_dir
 
@@ -49,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op8_substrings": _over(substring_dedup.op8_substrings, "documents"),
     "op9_embeddings": _over(embedding_dedup.op9_embeddings, "embeddings"),
     "op10_html": _over(html_extract.op10_html, "pages"),
+    "op13_quality": _over(quality_rules.op13_quality, "documents", "labels"),
 }
 
 ORACLE_SQL: dict[str, str] = {
