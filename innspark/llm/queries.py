@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from innspark.llm import (
-    decontaminate, embedding_dedup, html_extract, langid, line_dedup, minhash, mixing,
+    decontaminate, embedding_dedup, html_extract, langid, lexical_search, line_dedup, minhash, mixing,
     prefix_trie, quality_rules, secret_scan, substring_dedup, token_store)
 from innspark.llm.common import ship, table
 from innspark.session import ensure_checkpoint_dir
@@ -49,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op8_substrings": _over(substring_dedup.op8_substrings, "documents"),
     "op9_embeddings": _over(embedding_dedup.op9_embeddings, "embeddings"),
     "op10_html": _over(html_extract.op10_html, "pages"),
+    "op11_lexical_search": _over(lexical_search.op11_lexical_search, "documents", "benchmark"),
     "op12_prefix_trie": _over(prefix_trie.op12_prefix_trie, "conversations"),
     "op13_quality": _over(quality_rules.op13_quality, "documents", "labels"),
 }
@@ -56,5 +57,6 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op6_decontaminate": decontaminate.ORACLE,
     "op7_line_dedup": line_dedup.ORACLE,
+    "op11_lexical_search": lexical_search.ORACLE,
     "op12_prefix_trie": prefix_trie.ORACLE,
 }
