@@ -31,6 +31,45 @@ def median(c) -> Column:
     return F.percentile_approx(col(c), 0.5)
 
 
+def exact_avg(c, digits: int = 12) -> Column:
+    """Average of doubles summed in 1e-``digits`` fixed point, so that it doesn't depend
+    on the order in which rows are added (engine, partitioning, retries)."""
+    fixed = F.round(col(c).cast("double") * 10.0 ** digits).cast("decimal(38,0)")
+    return F.try_divide(F.sum(fixed).cast("double"), F.count(fixed)) / 10.0 ** digits
+
+
+def exact_avg_sql(c: str, digits: int = 12) -> str:
+    """DuckDB text of ``exact_avg``."""
+    return f"cast(sum(cast(round({c} * 1e{digits}) AS DECIMAL(38,0))) AS double) / nullif(count({c}), 0) / 1e{digits}"
+
+
+def numbered_rows(df: DataFrame, keys: list[str], order: str, position: str = "__pos") -> DataFrame:
+    """``df`` with each row's place (from 0) in its ``keys`` by ``order``, as a table.
+
+    Rows are ranged by key and order, equal ones by a hash of the row; their row ids
+    count up within a range, and a range starts at the sum of the ranges before it. One
+    shuffle of the rows, and no task holds a key. Nulls in ``keys`` are a key."""
+    import uuid
+
+    from innspark.session import scratch_dir
+    spark = df.sparkSession
+    tie = F.xxhash64(*df.columns).alias("__tie")
+    ranged = (df.select("*", tie).repartitionByRange(*keys, order, "__tie")
+              .sortWithinPartitions(*keys, order, "__tie")
+              .withColumn("__id", F.monotonically_increasing_id()).drop("__tie"))
+    path = scratch_dir(spark, f"numbered-{uuid.uuid4().hex}")
+    ranged.write.parquet(path)
+    table = spark.read.schema(ranged.schema).parquet(path).withColumn(
+        "__part", F.shiftright(F.col("__id"), 33))
+    held = table.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
+    # a key has as many rows here as ranges that hold it
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = held.select(*keys, "__part", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    placed = null_safe_join(table, starts, [*keys, "__part"], "inner")
+    return placed.withColumn(position, F.col("__start") + F.col("__id") - F.col("__first")).drop(
+        "__id", "__part", "__first", "__start")
+
+
 def exact_percentiles(values: DataFrame, keys: list[str], value: str, ps: list[float]) -> DataFrame:
     """(keys, n, percentiles): exact interpolated percentiles of ``value`` by
     ``keys``, distributed.

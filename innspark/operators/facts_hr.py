@@ -44,7 +44,8 @@ def fact_hr_attendance_daily(m):
   FROM staff_shifts s LEFT JOIN employees e ON s.employee_id = e.employee_id),
 a AS (SELECT employee_id, department, period_date, sum(overtime_hours) AS overtime_hours,
   count_if(status = 'late') / count(*) AS late_rate FROM s GROUP BY 1, 2, 3),
-d AS (SELECT department, period_date, avg(overtime_hours) AS ot, avg(late_rate) AS lr FROM a GROUP BY 1, 2)
+d AS (SELECT department, period_date, {X.exact_avg_sql('overtime_hours')} AS ot, {X.exact_avg_sql('late_rate')} AS lr
+  FROM a GROUP BY 1, 2)
 SELECT a.employee_id, a.period_date, round(a.overtime_hours, 6) AS overtime_hours,
   round(a.overtime_hours - d.ot, 6) AS overtime_vs_dept_avg, round(a.late_rate, 6) AS late_rate,
   round(a.late_rate - d.lr, 6) AS late_vs_dept_avg
@@ -54,12 +55,14 @@ def fact_hr_employee_monthly(m):
     a = s.groupBy("employee_id", "department", X.month_start("date").alias("period_date")).agg(
         F.sum(X.overtime_hours("clock_in", "clock_out")).alias("overtime_hours"),
         X.safe_div(F.count_if(F.col("status") == "late"), F.count(F.lit(1))).alias("late_rate"))
-    d = a.groupBy("department", "period_date").agg(F.avg("overtime_hours").alias("__ot"),
-                                                   F.avg("late_rate").alias("__lr"))
-    out = a.join(d, ["department", "period_date"], "left")   # null department never matches
+    d = a.groupBy("department", "period_date").agg(X.exact_avg("overtime_hours").alias("__ot"),
+                                                   X.exact_avg("late_rate").alias("__lr"))
+    # a null-safe join asks nothing of the keys, so both sides share one roll-up's shuffle
+    out = X.null_safe_join(a, d, ["department", "period_date"])
+    against = lambda c, mean: F.when(F.col("department").isNotNull(), F.col(c) - F.col(mean))
     return X.finish(out.select("employee_id", "period_date", "overtime_hours",
-                               (F.col("overtime_hours") - F.col("__ot")).alias("overtime_vs_dept_avg"),
-                               "late_rate", (F.col("late_rate") - F.col("__lr")).alias("late_vs_dept_avg")))
+                               against("overtime_hours", "__ot").alias("overtime_vs_dept_avg"),
+                               "late_rate", against("late_rate", "__lr").alias("late_vs_dept_avg")))
 
 
 @model("fact_hr_employee_performance_semester", "fact", """SELECT employee_id, review_period,

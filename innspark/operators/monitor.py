@@ -257,6 +257,27 @@ def rolling_z(df: DataFrame, keys: list[str], order: str, value: str, n: int,
             .drop("__x", "__s1", "__s2", "__mean", "__sd"))
 
 
+BLOCK_ROWS = 50_000
+
+
+def rolling_z_blocks(df: DataFrame, keys: list[str], order: str, value: str, n: int,
+                     block_rows: int = BLOCK_ROWS, **options) -> DataFrame:
+    """``rolling_z`` over raw rows, of which one series may hold any share.
+
+    Rows are numbered within their series (``exprs.numbered_rows``) and windowed in
+    blocks of ``block_rows`` consecutive ones; the last ``n`` of a block are also the
+    halo of the next block, whose frames they complete, and are dropped there. A task's
+    largest group is a block and its halo, however long the series."""
+    rows = X.numbered_rows(df, keys, order)
+    own = F.floor(F.col("__pos") / block_rows)
+    last = F.pmod(F.col("__pos"), F.lit(block_rows)) >= block_rows - n
+    rows = (rows.withColumn("__own", own)
+            .withColumn("__block", F.explode(F.when(last, F.array("__own", F.col("__own") + 1))
+                                             .otherwise(F.array("__own")))))
+    scored = rolling_z(rows, [*keys, "__block"], "__pos", value, min(n, block_rows), **options)
+    return scored.where("__block = __own").drop("__block", "__own", "__pos")
+
+
 def rolling_z_sql(src: str, keys: list[str], order: str, value: str, n: int, cols: str, digits: int = 1,
                   scale: int = 1) -> str:
     part = ", ".join(keys)
@@ -712,8 +733,13 @@ def stage_of_alert():
 
 
 def stage_events(alerts: DataFrame, runs: DataFrame, tests: DataFrame, as_of) -> DataFrame:
-    """today's events per stage: mapped alerts, failed runs, failed tests, each
-    with severity, time, detail and whether it was simulated. Logs without these
+    """The day's events per stage (``daily_stage_events`` of that day)."""
+    return daily_stage_events(alerts, runs, tests).where(F.col("event_date") == F.lit(as_of)).drop("event_date")
+
+
+def daily_stage_events(alerts: DataFrame, runs: DataFrame, tests: DataFrame) -> DataFrame:
+    """Events of every day per stage: mapped alerts, failed runs, failed tests, each
+    with its day, severity, time, detail and whether it was simulated. Logs without these
     columns give nulls (a failure is critical and not simulated)."""
     def own(df: DataFrame, column: str, kind: str) -> F.Column:
         return F.col(column) if column in df.columns else F.lit(None).cast(kind)
@@ -721,45 +747,52 @@ def stage_events(alerts: DataFrame, runs: DataFrame, tests: DataFrame, as_of) ->
     says = F.col("alert_type")
     if "detail" in alerts.columns:
         says = F.concat(says, F.lit(": "), F.col("detail"))
-    a = alerts.where(F.col("snapshot_date") == F.lit(as_of)).select(
+    a = alerts.select(
         stage_of_alert().alias("titik_id"), F.lit("alert").alias("event_source"), says.alias("detail"),
         own(alerts, "severity", "string").alias("severity"),
         own(alerts, "created_at", "timestamp_ntz").alias("event_at"),
-        own(alerts, "is_simulated", "boolean").alias("is_simulated"))
+        own(alerts, "is_simulated", "boolean").alias("is_simulated"),
+        F.col("snapshot_date").cast("date").alias("event_date"))
     failed = [F.lit("critical").alias("severity")]
-    r = runs.where((F.to_date("started_at") == F.lit(as_of)) & (F.col("status") == "failure")).select(
+    r = runs.where(F.col("status") == "failure").select(
         "titik_id", F.lit("pipeline_run").alias("event_source"),
         F.concat(F.lit("stage "), F.col("titik_id").cast("string"), F.lit(" failed: "), F.col("workflow_name"))
-        .alias("detail"), *failed, F.col("started_at").alias("event_at"), F.lit(False).alias("is_simulated"))
-    t = tests.where((F.to_date("captured_at") == F.lit(as_of)) & F.col("status").isin("fail", "error")).select(
+        .alias("detail"), *failed, F.col("started_at").alias("event_at"), F.lit(False).alias("is_simulated"),
+        F.to_date("started_at").alias("event_date"))
+    t = tests.where(F.col("status").isin("fail", "error")).select(
         F.when(F.col("layer") == "mart_cleaned", 3).when(F.col("layer") == "mart_aggregated", 7).alias("titik_id"),
         F.lit("dbt_test").alias("event_source"), F.col("test_name").alias("detail"), *failed,
-        F.col("captured_at").alias("event_at"), F.lit(False).alias("is_simulated"))
+        F.col("captured_at").alias("event_at"), F.lit(False).alias("is_simulated"),
+        F.to_date("captured_at").alias("event_date"))
     return a.unionByName(r).unionByName(t).where(F.col("titik_id").isNotNull())
 
 
-def root_cause(events: DataFrame, edges: DataFrame) -> DataFrame:
+def root_cause(events: DataFrame, edges: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """For every stage with an event, climb to upstream stages that also
-    have an event; the deepest such ancestor is the root (ties: smallest id).
-
-    The climb joins the frontier with the edges until it is empty, however deep
-    the graph. Only stages with an event stay on it, so it is as small as the
-    graph; a frontier that outlives the number of edges is a cycle and raises."""
-    ev = events.select("titik_id").distinct()
-    e = (edges.select(F.col("titik_id").alias("__child"), F.col("depends_on_titik_id").alias("__parent"))
-         .join(ev.select(F.col("titik_id").alias("__parent")), "__parent", "left_semi"))
+    have an event; the deepest such ancestor is the root (ties: smallest id). With ``by``
+    (e.g. the event's day) each of its values is a climb of its own.
+
+    Events are first reduced to the distinct stages of each ``by`` value. The climb joins
+    the frontier with the edges until it is empty, however deep the graph; a frontier
+    that outlives the number of edges is a cycle and raises, naming where."""
+    by = list(by)
+    ev = events.select(*by, "titik_id").distinct().checkpoint()
+    e = (edges.select(F.col("titik_id").alias("cur"), F.col("depends_on_titik_id").alias("__up"))
+         .join(ev.withColumnRenamed("titik_id", "__up"), "__up"))
     longest = edges.count()
-    frontier = ev.select(F.col("titik_id").alias("start"), F.col("titik_id").alias("cur"), F.lit(0).alias("depth"))
+    frontier = ev.select(*by, F.col("titik_id").alias("start"), F.col("titik_id").alias("cur"),
+                         F.lit(0).alias("depth"))
     reach, depth = frontier, 0
-    while not (step := frontier.join(e, frontier.cur == e.__child).select(
-            "start", F.col("__parent").alias("cur"), (F.col("depth") + 1).alias("depth")).distinct()
+    while not (step := X.null_safe_join(frontier, e, [*by, "cur"], "inner").select(
+            *by, "start", F.col("__up").alias("cur"), (F.col("depth") + 1).alias("depth")).distinct()
             .checkpoint()).isEmpty():
         depth += 1
         if depth > longest:
-            raise ValueError("the dependency graph has a cycle")
+            where = [tuple(r) for r in step.select(*by, "start").distinct().limit(5).collect()]
+            raise ValueError(f"the dependency graph has a cycle, met from {where}")
         reach, frontier = reach.unionByName(step), step
-    best = reach.groupBy("start").agg(F.max(F.struct("depth", (-F.col("cur")).alias("neg"))).alias("__b"))
-    return best.select(F.col("start").alias("titik_id"), (-F.col("__b.neg")).alias("root_titik_id"),
+    best = reach.groupBy(*by, "start").agg(F.max(F.struct("depth", (-F.col("cur")).alias("neg"))).alias("__b"))
+    return best.select(*by, F.col("start").alias("titik_id"), (-F.col("__b.neg")).alias("root_titik_id"),
                        F.col("__b.depth").alias("depth"),
                        ((-F.col("__b.neg")) == F.col("start")).alias("is_root"))
 
@@ -1065,14 +1098,14 @@ def sensor_duration_anomaly(run_log: DataFrame, stage: int = 5) -> DataFrame:
     """The ML sensor stage's run duration against its previous 8 runs."""
     runs = run_log.where(F.col("titik_id") == stage).withColumn("duration_seconds",
                                                                F.col("duration_seconds").cast("double"))
-    return rolling_z(runs, ["titik_id"], "started_at", "duration_seconds", VOLUME_WINDOW)
+    return rolling_z_blocks(runs, ["titik_id"], "started_at", "duration_seconds", VOLUME_WINDOW)
 
 
 def swap_duration_anomaly(sync_log: DataFrame) -> DataFrame:
     """Swap duration per (dataset, table) against its previous 8 swaps."""
     s = sync_log.where(F.col("swap_duration_ms").isNotNull())
-    return rolling_z(s, ["dataset_name", "table_name"], "synced_at", "swap_duration_ms", VOLUME_WINDOW,
-                     digits=2, scale=100)
+    return rolling_z_blocks(s, ["dataset_name", "table_name"], "synced_at", "swap_duration_ms", VOLUME_WINDOW,
+                            digits=2, scale=100)
 
 
 def connection_spike(snapshots: DataFrame) -> DataFrame:

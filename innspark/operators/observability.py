@@ -101,34 +101,41 @@ _MAPPED = " ".join(f"WHEN alert_type = '{a}'" + (f" AND schema_name = '{s}'" if
                    for a, s, k in M.ALERT_STAGE)
 
 
-@model("monitor_stage_events", "ops", f"""SELECT * FROM (
+@model("monitor_daily_stage_events", "ops", f"""SELECT * FROM (
   SELECT CASE {_MAPPED} END AS titik_id, 'alert' AS event_source, alert_type || ': ' || detail AS detail, severity,
-    created_at AS event_at, is_simulated FROM log_alerts WHERE snapshot_date = {_DAY}
+    created_at AS event_at, is_simulated, snapshot_date AS event_date FROM log_alerts
   UNION ALL SELECT titik_id, 'pipeline_run', 'stage ' || cast(titik_id AS varchar) || ' failed: ' || workflow_name,
-    'critical', started_at, false FROM log_runs WHERE status = 'failure' AND cast(started_at AS date) = {_DAY}
+    'critical', started_at, false, cast(started_at AS date) FROM log_runs WHERE status = 'failure'
   UNION ALL SELECT CASE layer WHEN 'mart_cleaned' THEN 3 WHEN 'mart_aggregated' THEN 7 END, 'dbt_test', test_name,
-    'critical', captured_at, false FROM log_tests
-    WHERE status IN ('fail', 'error') AND cast(captured_at AS date) = {_DAY}) e WHERE titik_id IS NOT NULL""",
-       tags=("monitor",))
+    'critical', captured_at, false, cast(captured_at AS date) FROM log_tests
+    WHERE status IN ('fail', 'error')) e WHERE titik_id IS NOT NULL""", tags=("monitor",))
+def monitor_daily_stage_events(m):
+    """H17 for every day: alerts, failed runs and failed tests by pipeline stage."""
+    return M.daily_stage_events(m["log_alerts"], m["log_runs"], m["log_tests"])
+
+
+@model("monitor_stage_events", "ops", f"""SELECT * EXCLUDE (event_date) FROM monitor_daily_stage_events
+WHERE event_date = {_DAY}""", tags=("monitor",))
 def monitor_stage_events(m):
-    """The day's alerts, failed runs and failed tests by pipeline stage."""
+    """The events of the log's first day."""
     return M.stage_events(m["log_alerts"], m["log_runs"], m["log_tests"], LOG_DATE)
 
 
-@model("monitor_root_causes", "ops", f"""WITH RECURSIVE hit AS (SELECT DISTINCT titik_id FROM monitor_stage_events
-  WHERE event_source <> 'alert' AND event_at < TIMESTAMP '{LOG_DATE.isoformat()} 00:30:00'),
-climb(start, cur, depth) AS (
-  SELECT titik_id, titik_id, 0 FROM hit
-  UNION SELECT c.start, e.needs, c.depth + 1 FROM climb c JOIN (VALUES {_EDGES}) AS e(stage, needs) ON e.stage = c.cur
-    JOIN hit ON hit.titik_id = e.needs)
-SELECT start AS titik_id, arg_max(cur, depth * 1000 - cur) AS root_titik_id, cast(max(depth) AS int) AS depth,
-  arg_max(cur, depth * 1000 - cur) = start AS is_root FROM climb GROUP BY start""", tags=("monitor",))
+@model("monitor_root_causes", "ops", f"""WITH RECURSIVE edge(stage, needs) AS (VALUES {_EDGES}),
+hit AS (SELECT DISTINCT event_date, titik_id FROM monitor_daily_stage_events),
+paths AS (
+  SELECT event_date, titik_id, [titik_id] AS path FROM hit
+  UNION ALL SELECT p.event_date, p.titik_id, list_append(p.path, edge.needs) FROM paths p
+    JOIN edge ON edge.stage = p.path[-1] JOIN hit ON hit.titik_id = edge.needs AND hit.event_date = p.event_date),
+longest AS (
+  SELECT event_date, titik_id, path[-1] AS root, len(path) - 1 AS depth FROM paths
+  QUALIFY row_number() OVER (PARTITION BY event_date, titik_id ORDER BY len(path) DESC, path[-1]) = 1)
+SELECT event_date, titik_id, root AS root_titik_id, cast(depth AS int) AS depth, root = titik_id AS is_root
+FROM longest""", tags=("monitor",))
 def monitor_root_causes(m):
-    """The deepest upstream stage with an event, for failures of the first half hour."""
-    events = m["monitor_stage_events"].where(
-        (F.col("event_source") != "alert")
-        & (F.col("event_at") < F.lit(dt.datetime.combine(LOG_DATE, dt.time(0, 30))).cast("timestamp_ntz")))
-    return M.root_cause(events, _edges(m))
+    """For each day, the deepest upstream stage with an event of every stage with
+    one; all of the day's events count."""
+    return M.root_cause(m["monitor_daily_stage_events"], _edges(m), by=("event_date",))
 
 
 def _scores(df, *columns: str):
