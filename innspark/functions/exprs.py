@@ -43,12 +43,10 @@ def exact_avg_sql(c: str, digits: int = 12) -> str:
     return f"cast(sum(cast(round({c} * 1e{digits}) AS DECIMAL(38,0))) AS double) / nullif(count({c}), 0) / 1e{digits}"
 
 
-def numbered_rows(df: DataFrame, keys: list[str], order: str, position: str = "__pos") -> DataFrame:
-    """``df`` with each row's place (from 0) in its ``keys`` by ``order``, as a table.
-
-    Rows are ranged by key and order, equal ones by a hash of the row; their row ids
-    count up within a range, and a range starts at the sum of the ranges before it. One
-    shuffle of the rows, and no task holds a key. Nulls in ``keys`` are a key."""
+def ranged_rows(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """``df`` ranged and sorted by key and order, equal ones by a hash of the row, as a
+    table; __part is a row's range, __id counts up within it. No range holds a key that
+    has more rows than others."""
     import uuid
 
     from innspark.session import scratch_dir
@@ -59,8 +57,14 @@ def numbered_rows(df: DataFrame, keys: list[str], order: str, position: str = "_
               .withColumn("__id", F.monotonically_increasing_id()).drop("__tie"))
     path = scratch_dir(spark, f"numbered-{uuid.uuid4().hex}")
     ranged.write.parquet(path)
-    table = spark.read.schema(ranged.schema).parquet(path).withColumn(
-        "__part", F.shiftright(F.col("__id"), 33))
+    return spark.read.schema(ranged.schema).parquet(path).withColumn("__part", F.shiftright(F.col("__id"), 33))
+
+
+def numbered_rows(df: DataFrame, keys: list[str], order: str, position: str = "__pos") -> DataFrame:
+    """``df`` with each row's place (from 0) in its ``keys`` by ``order``: its place in its
+    range after the sum of the ranges before. One shuffle of the rows, and no task holds
+    a key. Nulls in ``keys`` are a key."""
+    table = ranged_rows(df, keys, order)
     held = table.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
     # a key has as many rows here as ranges that hold it
     before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,14 +1,17 @@
 """Publishing (A6, A8-A14): gated builds, parity-checked exports, idempotent
 snapshot appends and the serving layout.
 
-Every write goes to a staging path and is swapped in only after its gate
-passed; a failure at any point leaves the live tables as they were.
+Every write goes to a fresh folder of a ``storage.Store``; a commit makes it live after
+its gate passed. All tables of a publish become live in one commit, readers never
+meet a missing or half-new table, and a failure at any point leaves live as it was.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import fnmatch
+import time
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +25,14 @@ from innspark.plans.registry import Mart, models
 # A6 date-partitioned rewrite, A13 serving layout
 # ---------------------------------------------------------------------------
 def partition_table(df: DataFrame, column: str, path: str, part_col: str = "partition_date") -> dict:
-    """Rewrite a table partitioned by the day of ``column`` (timestamps are
-    truncated to their date), enabling static and dynamic partition pruning."""
-    return storage.replace(df.withColumn(part_col, F.to_date(column)), path, partition_by=[part_col])
+    """Rewrite the table at ``path`` (a store's folder and the table's name)
+    partitioned by the day of ``column`` (timestamps are truncated to their date),
+    enabling static and dynamic partition pruning."""
+    base, name = storage.split(path)
+    day = df.withColumn(part_col, F.to_date(column))
+    # a day's rows go to few tasks, so that a partition has few files
+    return storage.Store(df.sparkSession, base).replace(
+        day.repartitionByRange(part_col, F.xxhash64(*df.columns)), name, partition_by=[part_col])
 
 
 # Serving access paths, table -> (entity column or columns, period column); the
@@ -123,57 +131,39 @@ def select_models(select: list[str] | None = None, exclude: list[str] | None = N
     return out
 
 
-def _restore(spark: SparkSession, live: str, had_live: bool) -> None:
-    """Undo a swap whose old copy was kept."""
-    storage.delete(spark, live)
-    if had_live and not storage.rename(spark, f"{live}__old", live):
-        raise storage.SwapFailed(f"the old copy of {live} is at {live}__old")
-
-
 def publish(mart: Mart, names: list[str], base: str, gate=None) -> dict:
-    """Build ``names`` into ``<base>/staging``, run the gate over the staged
-    tables, and only if every check passes swap all of them into ``<base>/live``.
-    Each table is built once, from the staged tables before it and the live ones
-    that aren't built. If a swap fails, those before it are undone, so live is one
-    whole version or the other. Returns the gate outcome.
+    """Stage ``names``, run the gate over the staged tables, and only if every
+    check passes make all of them live in one commit of the store at ``base``. Each
+    table is built once, from the staged tables before it and the live ones that
+    aren't built. If one of them was published by somebody else meanwhile, nothing
+    changes and ``storage.Conflict`` is raised. Returns the gate outcome.
 
     ``gate(staged: dict[name, DataFrame]) -> DataFrame`` returns check rows
     with a boolean ``success`` column (e.g. the DQ suites)."""
-    spark = mart.spark
+    store = storage.Store(mart.spark, base)
+    live = store.manifest()
     layers = models()
     # what isn't published now stays as it is live: facts take the ids of live dimensions
     for n in layers:
         if n not in names and layers[n].layer in ("dim", "fact"):
-            live = storage.read_or_none(spark, f"{base}/live/{n}")
-            if live is not None:
-                mart = mart.with_frame(n, live)
-    staged = {}
+            frame = store.read(n, live)
+            if frame is not None:
+                mart = mart.with_frame(n, frame)
+    folders, staged = {}, {}
     for n in sorted(names, key=lambda n: layers[n].layer != "dim"):
-        path = f"{base}/staging/{n}"
-        storage.delete(spark, path)
-        mart[n].write.mode("overwrite").parquet(path)
-        staged[n] = spark.read.parquet(path)
+        folders[n] = store.stage(mart[n], n)
+        staged[n] = store.staged(folders[n])
         mart = mart.with_frame(n, staged[n])  # its children read what is staged
     failures = 0
     if gate is not None:
         checks = gate(staged, mart) if gate is mart_tests_gate else gate(staged)
         failures = checks.where(~F.coalesce(F.col("success"), F.lit(False))).count()
     if failures:
-        return {"published": [], "failed_checks": failures}
-    swapped: list[tuple[str, bool]] = []
-    try:
-        for n in names:
-            live = f"{base}/live/{n}"
-            had_live = storage.exists(spark, live)
-            storage.swap(spark, f"{base}/staging/{n}", live, keep_old=True)
-            swapped.append((live, had_live))
-    except Exception:
-        for live, had_live in reversed(swapped):
-            _restore(spark, live, had_live)
-        raise
-    for live, _ in swapped:
-        storage.delete(spark, f"{live}__old")
-    return {"published": names, "failed_checks": 0}
+        for folder in folders.values():
+            store.discard(folder)
+        return {"published": [], "failed_checks": failures, "version": live["version"]}
+    new = store.commit({n: storage.Change([folders[n]]) for n in names}, based=live)
+    return {"published": names, "failed_checks": 0, "version": new["version"]}
 
 
 def not_null_gate(columns: dict[str, list[str]]):
@@ -204,29 +194,33 @@ SYNC_LOG_SCHEMA = ("dataset_name string, table_name string, status string, sourc
 
 def export_with_parity(df: DataFrame, live_path: str, dataset: str, table: str, now: dt.datetime,
                        write=None) -> dict:
-    """A10: copy ``df`` to a staging path, compare row counts of source and
-    staged copy BEFORE the swap; on mismatch drop the staging copy and keep
-    live. ``write`` (path -> None) can replace the plain Parquet writer, e.g.
-    with a JDBC writer for a serving database."""
+    """A10: copy ``df`` beside the table at ``live_path`` (a store's folder and the
+    table's name), compare row counts of source and copy BEFORE the commit that makes it
+    live; on mismatch drop the copy and keep live. ``write`` (path -> None) can replace
+    the plain Parquet writer, e.g. with a JDBC writer for a serving database."""
     spark = df.sparkSession
-    staging = f"{live_path}__staging"
-    storage.delete(spark, staging)
+    base, name = storage.split(live_path)
+    store = storage.Store(spark, base)
+    live = store.manifest()
     if write:
-        write(staging)
+        folder = f"{name}/{uuid.uuid4().hex}"
+        write(f"{base}/data/{folder}")
         src_n = df.count()
     else:  # the rows are counted as they are written: one evaluation
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(staging)
+        folder = store.stage(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
         src_n = seen.get["n"]
-    dst_n = spark.read.schema(df.schema).parquet(staging).count()
+    dst_n = spark.read.schema(df.schema).parquet(f"{base}/data/{folder}").count()
     row = {"dataset_name": dataset, "table_name": table, "source_row_count": src_n, "target_row_count": dst_n,
            "is_simulated": False, "synced_at": now}
     if src_n != dst_n:
-        storage.delete(spark, staging)
+        store.discard(folder)
         row.update(status="mismatch_aborted", old_table_status=None, swap_duration_ms=None)
         return row
-    sw = storage.swap(spark, staging, live_path)
-    row.update(status="synced", **sw)
+    t0 = time.monotonic()
+    store.commit({name: storage.Change([folder])}, based=live)
+    row.update(status="synced", old_table_status="kept" if name in live["tables"] else "n/a",
+               swap_duration_ms=round((time.monotonic() - t0) * 1000, 2))
     return row
 
 
@@ -316,17 +310,24 @@ def publish_mart(mart: Mart, base: str, select: list[str] | None = None, exclude
 
 def register_published(spark: SparkSession, base: str, names: list[str], database: str = "mart",
                        analyze: bool = True) -> list[str]:
-    """Expose published tables in the catalog as external Parquet tables
+    """Expose the newest published tables in the catalog as external Parquet tables
     and compute their statistics, so the cost-based optimiser and the
     broadcast threshold work from measured sizes and row counts (the checked
     size a broadcast decision needs) instead of file-size guesses."""
+    store = storage.Store(spark, base)
+    live = store.manifest()
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     out = []
     for n in names:
-        path = f"{base}/live/{n}"
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{n}")
-        spark.sql(f"CREATE TABLE {database}.{n} USING parquet LOCATION '{path}'")
+        folder, = store.folders(n, live)
+        table = f"{database}.{n}"
+        if spark.catalog.tableExists(table) and spark.table(table).schema == spark.read.parquet(folder).schema:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")  # the name never goes missing
+            spark.catalog.refreshTable(table)
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{folder}'")
         if analyze:
-            spark.sql(f"ANALYZE TABLE {database}.{n} COMPUTE STATISTICS FOR ALL COLUMNS")
-        out.append(f"{database}.{n}")
+            spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+        out.append(table)
     return out

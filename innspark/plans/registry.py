@@ -54,6 +54,7 @@ class Mart:
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.published = published.rstrip("/") if published else None
+        self._version: dict | None = None  # the published version that this build reads
         self._cache: dict[str, DataFrame] = dict(overrides or {})
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -65,14 +66,17 @@ class Mart:
         return self._cache[name]
 
     def _published(self, name: str) -> DataFrame | None:
-        """With ``published`` set, models already published under
-        ``<published>/live/<name>`` are read from storage instead of rebuilt —
-        the serving path: views and governed queries start at the published
-        fact scan, with their filters pushed into it."""
+        """With ``published`` set, models already published in the store there are
+        read from it instead of rebuilt — the serving path: views and governed queries
+        start at the published fact scan, with their filters pushed into it. One build
+        reads one version, whatever is published meanwhile."""
         if not self.published or MODELS[name].layer not in ("dim", "fact", "cleaned"):
             return None
-        from innspark.plans import storage
-        return storage.read_or_none(self.spark, f"{self.published}/live/{name}")
+        from innspark.plans.storage import Store
+        store = Store(self.spark, self.published)
+        if self._version is None:
+            self._version = store.manifest()
+        return store.read(name, self._version)
 
     def get(self, name: str) -> DataFrame:
         return self[name]
@@ -81,6 +85,7 @@ class Mart:
         """A build in which ``name`` is ``frame`` and what derives from it is built
         on that; the rest that was resolved before is kept."""
         out = Mart(self.spark, self.sf_dir, self.as_of, published=self.published)
+        out._version = self._version
         kept = getattr(self, "_fixed", {}) | {name: frame}
         out._fixed = kept
         out._cache = {k: v for k, v in self._cache.items()
@@ -115,7 +120,7 @@ def _load_all():
     from innspark.operators import (access, clean, dims, dq, facts_facility, facts_finance,  # noqa: F401
                                     facts_fnb, facts_hr, facts_reservation, facts_spa_event,
                                     ml, monitor, observability, views)
-    from innspark.sources import sources  # noqa: F401
+    from innspark.sources import extract, sources  # noqa: F401
     from innspark.streaming import streams  # noqa: F401
 
 

@@ -3,21 +3,23 @@
 ``extract`` reads only rows past the stored cursor (a filter Catalyst pushes
 into the source scan), stamps the lineage column and returns the new cursor
 as a typed ``max`` (S2: never a string comparison). A cycle reads the source once,
-into a staged batch: count, cursor and load all come from it, so rows that arrive
-meanwhile wait for the next cycle. The cursor is advanced only after the load
-succeeded (A5); a batch whose load succeeded but whose cursor wasn't stored is
-not loaded twice.
+into a staged folder, and counts its rows and finds its cursor as it writes them; rows
+that arrive meanwhile wait for the next cycle. One commit of the store makes rows, cursor
+(A5) and batch id visible together: a cycle that dies before it has no effect, and a
+batch that is delivered again is known by its id, so every row is loaded exactly once.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from innspark.plans import storage
+from innspark.plans.registry import model
+from innspark.plans.storage import Change, Store
 
 
 @dataclass(frozen=True)
@@ -65,59 +67,79 @@ def write_mode(spec: ExtractSpec, last_cursor) -> str:
 
 
 CURSOR_SCHEMA = "schema_name string, table_name string, last_cursor string, updated_at timestamp"
-
-
-def read_cursor(spark: SparkSession, state_path: str, spec: ExtractSpec):
-    st = storage.read_or_none(spark, state_path)
-    if st is None:
-        return None
-    row = st.where((F.col("schema_name") == spec.schema) & (F.col("table_name") == spec.table)) \
-        .select("last_cursor").limit(1).collect()
-    return row[0][0] if row else None
-
-
-def upsert_cursor(spark: SparkSession, state_path: str, spec: ExtractSpec, new_cursor, now: dt.datetime):
-    """A5: replace this table's cursor row; the state table is one row per
-    source table, rewritten to a fresh version and swapped in."""
-    new = spark.createDataFrame([(spec.schema, spec.table, str(new_cursor), now)], CURSOR_SCHEMA)
-    st = storage.read_or_none(spark, state_path)
-    if st is not None:
-        new = st.where(~((F.col("schema_name") == spec.schema) & (F.col("table_name") == spec.table))) \
-            .unionByName(new)
-    storage.replace(new, state_path)
-
-
-def run_extract(spark: SparkSession, src: DataFrame, spec: ExtractSpec, target_path: str, state_path: str,
-                synced_at: dt.datetime, overlap: bool = False) -> dict:
-    """One extract cycle: read past the cursor, load, then advance the cursor.
-    Nothing is written when there are no new rows."""
-    last = read_cursor(spark, state_path, spec) if spec.strategy != "full_refresh" else None
-    if last is not None and spec.cursor_column:
-        last = src.select(F.lit(last).cast(src.schema[spec.cursor_column].dataType)).first()[0]
-    loaded = storage.read_or_none(spark, target_path)
-    rows = fetch(src, spec, last, synced_at, overlap, loaded if overlap else None)
+MOST_FOLDERS = 32  # of a table, before its batches are written together
+
+
+def _cursor_key(spec: ExtractSpec) -> str:
+    return f"cursor:{spec.schema}.{spec.table}"
+
+
+def read_cursor(manifest: dict, spec: ExtractSpec) -> str | None:
+    """The stored cursor as text."""
+    stored = manifest["state"].get(_cursor_key(spec))
+    return json.loads(stored)["last_cursor"] if stored else None
+
+
+def cursors(store: Store) -> DataFrame:
+    """A5: the cursor state, one row per source table."""
+    rows = []
+    for key, stored in store.manifest()["state"].items():
+        if key.startswith("cursor:"):
+            schema, _, table = key[len("cursor:"):].partition(".")
+            row = json.loads(stored)
+            rows.append((schema, table, row["last_cursor"], dt.datetime.fromisoformat(row["updated_at"])))
+    return store.spark.createDataFrame(rows, CURSOR_SCHEMA)
+
+
+def run_extract(store: Store, src: DataFrame, spec: ExtractSpec, synced_at: dt.datetime, overlap: bool = False,
+                batch: str | None = None) -> dict:
+    """One extract cycle into ``store``: read past the cursor, then one commit of rows
+    and cursor. Nothing is committed when there are no new rows, or when the table has
+    the ``batch`` already. Another extract of the same table that commits first makes this
+    one raise ``storage.Conflict`` without effect."""
+    live = store.manifest()
+    if batch is not None and batch in live["tables"].get(spec.table, {}).get("batches", []):
+        return {"table": spec.table, "rows": 0, "mode": "skipped", "cursor": read_cursor(live, spec)}
+    whole = spec.strategy == "full_refresh" or not spec.cursor_column
+    text = None if whole else read_cursor(live, spec)
+    last = None if text is None else F.lit(text).cast(src.schema[spec.cursor_column].dataType)
+    loaded = store.read(spec.table, live) if overlap and last is not None else None
+    rows = fetch(src, spec, last, synced_at, overlap, loaded)
+    seen = Observation()
+    top = F.lit(None).cast("string") if whole else F.max(spec.cursor_column).cast("string")
+    folder = store.stage(rows.observe(seen, F.count(F.lit(1)).alias("n"), top.alias("top")), spec.table)
+    n, cursor = seen.get["n"], seen.get.get("top") or text
     mode = write_mode(spec, last)
-    staging = f"{target_path}__batch"
-    rows.write.mode("overwrite").parquet(staging)
-    batch = spark.read.schema(rows.schema).parquet(staging)
-    new_cursor, n = None, 0
-    if spec.strategy != "full_refresh" and spec.cursor_column:
-        cursor = F.col(spec.cursor_column)
-        if mode == "append" and loaded is not None and not overlap:
-            # what a cycle has loaded whose cursor wasn't stored any more
-            done = loaded.agg(F.max(cursor)).first()[0]
-            if done is not None and done > last:
-                batch = batch.where(cursor > F.lit(done))
-                new_cursor = done
-        n, top = batch.agg(F.count(F.lit(1)), F.max(cursor)).first()
-        new_cursor = top if top is not None else new_cursor or last
-    else:
-        n = batch.count()
-    if n and mode == "overwrite":
-        storage.replace(batch, target_path)
-    elif n:
-        batch.write.mode("append").parquet(target_path)
-    if new_cursor is not None and new_cursor != last:
-        upsert_cursor(spark, state_path, spec, new_cursor, synced_at)
-    storage.delete(spark, staging)
-    return {"table": spec.table, "rows": n, "mode": mode, "cursor": new_cursor}
+    if not n:
+        store.discard(folder)
+        return {"table": spec.table, "rows": 0, "mode": mode, "cursor": text}
+    state = None if whole else {_cursor_key(spec): json.dumps(
+        {"last_cursor": cursor, "updated_at": synced_at.isoformat()})}
+    store.commit({spec.table: Change([folder], "replace" if mode == "overwrite" else "append", batch)}, state, live)
+    if len(store.folders(spec.table)) > MOST_FOLDERS:
+        store.compact(spec.table)
+    return {"table": spec.table, "rows": n, "mode": mode, "cursor": cursor}
+
+
+_BOOKINGS = ExtractSpec("reservation_revenue", "bookings", "booking_id", key="booking_id")
+
+
+@model("extract_replayed_bookings", "ops", "SELECT * FROM src_bookings", tags=("extract",))
+def extract_replayed_bookings(m):
+    """A1-A5 end to end on the bookings: a first load of the older half, a cycle that dies
+    after it has written its rows, the cycle again, and its batch delivered once more.
+    The loaded table is the source, each row once."""
+    import uuid
+
+    from innspark.session import scratch_dir
+    store = Store(m.spark, scratch_dir(m.spark, f"extract-{uuid.uuid4().hex}"))
+    src = m["src_bookings"]
+    half = src.agg(F.percentile_approx(F.regexp_extract("booking_id", r"(\d+)$", 1).cast("long"), 0.5)).first()[0]
+    older = F.regexp_extract("booking_id", r"(\d+)$", 1).cast("long") <= F.lit(half)
+    at = dt.datetime.combine(m.as_of, dt.time(6, 0))
+    run_extract(store, src.where(older), _BOOKINGS, at, batch="day-1")
+    last = F.lit(read_cursor(store.manifest(), _BOOKINGS))
+    store.stage(fetch(src, _BOOKINGS, last, at), "bookings")  # written, never committed
+    for _ in range(2):
+        run_extract(store, src, _BOOKINGS, at + dt.timedelta(days=1), batch="day-2")
+    return store.read("bookings").drop("_synced_at")

@@ -31,36 +31,3 @@ def test_root_cause_climbs_any_depth_and_finds_cycles(spark):
     ring = edges.union(spark.createDataFrame([(1, n)], edges.schema))
     with pytest.raises(ValueError):
         M.root_cause(events, ring)
-
-
-@pytest.mark.parametrize("fails", [1, 2])
-@pytest.mark.parametrize("how", ["false", "raise", "partial"])
-def test_a_failed_swap_leaves_the_live_table(spark, tmp_base, monkeypatch, fails, how):
-    live = f"{tmp_base}/table"
-    spark.range(3).write.parquet(live)
-    real, calls = storage.rename, []
-
-    def broken(s, src, dst):
-        calls.append(src)
-        if len(calls) == fails:
-            if how == "raise":
-                raise OSError("refused")
-            if how == "partial" and fails == 2:  # a part of the new copy arrived
-                spark.range(1).write.parquet(dst)
-            return False
-        return real(s, src, dst)
-
-    monkeypatch.setattr(storage, "rename", broken)
-    with pytest.raises(storage.SwapFailed):
-        storage.replace(spark.range(10).withColumn("x", F.lit(1)), live)
-    assert sorted(r.id for r in spark.read.parquet(live).collect()) == [0, 1, 2]
-    monkeypatch.setattr(storage, "rename", real)
-    storage.replace(spark.range(10), live)
-    assert spark.read.parquet(live).count() == 10 and not storage.exists(spark, f"{live}__old")
-
-
-def test_an_interrupted_swap_is_mended(spark, tmp_base):
-    live = f"{tmp_base}/table"
-    spark.range(3).write.parquet(f"{live}__old")
-    storage.replace(spark.range(5), live)
-    assert spark.read.parquet(live).count() == 5

@@ -5,16 +5,21 @@ from pyspark.sql import functions as F
 
 from innspark.plans import publish as P
 from innspark.plans import storage
-from innspark.sources.extract import ExtractSpec, run_extract
+from innspark.plans.storage import Store
+from innspark.sources.extract import ExtractSpec, cursors, run_extract
 
 NOW = dt.datetime(2026, 8, 3, 6, 0)
 
 
+def live(spark, base, name):
+    return Store(spark, base).read(name)
+
+
 def test_gated_publish_blocks_planted_failure(mart, tmp_base):
     names = ["dim_room_type", "dim_channel"]
     ok = P.publish(mart, names, tmp_base, gate=P.not_null_gate({"dim_room_type": ["room_type_id"]}))
     assert ok["published"] == names
-    live = mart.spark.read.parquet(f"{tmp_base}/live/dim_room_type").count()
+    rows = live(mart.spark, tmp_base, "dim_room_type").count()
     # plant a failure: a gate column that is null in every staged row
     planted = P.not_null_gate({"dim_channel": ["channel_name"], "dim_room_type": ["room_type_id"]})
 
@@ -24,7 +29,7 @@ def test_gated_publish_blocks_planted_failure(mart, tmp_base):
         return planted(staged)
     res = P.publish(mart, names, tmp_base, gate=bad_gate)
     assert res["published"] == [] and res["failed_checks"] == 1
-    assert mart.spark.read.parquet(f"{tmp_base}/live/dim_room_type").count() == live   # live untouched
+    assert live(mart.spark, tmp_base, "dim_room_type").count() == rows   # live untouched
 
 
 def test_select_exclude_and_ml_isolation():
@@ -40,19 +45,20 @@ def test_select_exclude_and_ml_isolation():
 def test_export_parity_swap_and_abort(mart, tmp_base):
     spark = mart.spark
     df = mart["dim_channel"]
-    live = f"{tmp_base}/serving/dim_channel"
-    r1 = P.export_with_parity(df, live, "mart_aggregated", "dim_channel", NOW)
+    path, served = f"{tmp_base}/serving/dim_channel", lambda: live(spark, f"{tmp_base}/serving", "dim_channel")
+    r1 = P.export_with_parity(df, path, "mart_aggregated", "dim_channel", NOW)
     assert r1["status"] == "synced" and r1["source_row_count"] == r1["target_row_count"]
-    r2 = P.export_with_parity(df, live, "mart_aggregated", "dim_channel", NOW)
-    assert r2["status"] == "synced" and r2["old_table_status"] == "dropped"
-    before = spark.read.parquet(live).count()
+    r2 = P.export_with_parity(df, path, "mart_aggregated", "dim_channel", NOW)
+    assert r2["status"] == "synced" and r2["old_table_status"] == "kept"
+    before = served().count()
 
     def lossy(path):  # a writer that drops a row: parity must abort the swap
         df.limit(max(before - 1, 0)).write.mode("overwrite").parquet(path)
-    r3 = P.export_with_parity(df, live, "mart_aggregated", "dim_channel", NOW, write=lossy)
+    r3 = P.export_with_parity(df, path, "mart_aggregated", "dim_channel", NOW, write=lossy)
     assert r3["status"] == "mismatch_aborted"
-    assert spark.read.parquet(live).count() == before
-    assert not storage.exists(spark, f"{live}__staging")
+    assert served().count() == before
+    # the aborted copy is gone; the first one waits for its readers
+    assert len(Store(spark, f"{tmp_base}/serving").unused()) == 1
     log = P.sync_log_rows(spark, [r1, r2, r3])
     assert log.where(F.col("status") == "mismatch_aborted").count() == 1
 
@@ -70,32 +76,32 @@ def test_snapshot_append_is_idempotent_per_day(mart, tmp_base):
 
 
 def test_incremental_extract_strict_and_overlap(spark, tmp_base):
-    spec = ExtractSpec("reservation_revenue", "bookings", "booking_id", key="booking_id")
+    spec, store = ExtractSpec("reservation_revenue", "bookings", "booking_id", key="booking_id"), Store(spark, tmp_base)
     src1 = spark.createDataFrame([("BK01", 1), ("BK02", 2)], "booking_id string, v int")
-    tgt, st = f"{tmp_base}/raw_bookings", f"{tmp_base}/cursor_state"
-    r = run_extract(spark, src1, spec, tgt, st, NOW)
-    assert r == {"table": "bookings", "rows": 2, "mode": "overwrite", "cursor": "BK02"}
+    assert run_extract(store, src1, spec, NOW) == {"table": "bookings", "rows": 2, "mode": "overwrite", "cursor": "BK02"}
     src2 = spark.createDataFrame([("BK01", 1), ("BK02", 2), ("BK03", 3)], "booking_id string, v int")
-    r = run_extract(spark, src2, spec, tgt, st, NOW)
+    r = run_extract(store, src2, spec, NOW)
     assert r["rows"] == 1 and r["mode"] == "append" and r["cursor"] == "BK03"
-    r = run_extract(spark, src2, spec, tgt, st, NOW)
-    assert r["rows"] == 0                                   # nothing new: nothing written
-    assert spark.read.parquet(tgt).count() == 3
+    version = store.manifest()["version"]
+    assert run_extract(store, src2, spec, NOW)["rows"] == 0
+    assert store.manifest()["version"] == version            # nothing new: nothing committed
+    assert store.read("bookings").count() == 3
     # a late row with an equal cursor value: strict '>' misses it, overlap catches it once
     dspec = ExtractSpec("s", "events", "d", key="id")
-    t2, s2 = f"{tmp_base}/raw_events", f"{tmp_base}/cursor_state2"
     e1 = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))], "id int, d date")
-    run_extract(spark, e1, dspec, t2, s2, NOW)
+    run_extract(store, e1, dspec, NOW)
     e2 = e1.unionByName(spark.createDataFrame([(3, dt.date(2024, 1, 2))], "id int, d date"))
-    assert run_extract(spark, e2, dspec, t2, s2, NOW)["rows"] == 0
-    assert run_extract(spark, e2, dspec, t2, s2, NOW, overlap=True)["rows"] == 1
-    assert run_extract(spark, e2, dspec, t2, s2, NOW, overlap=True)["rows"] == 0
+    assert run_extract(store, e2, dspec, NOW)["rows"] == 0
+    assert run_extract(store, e2, dspec, NOW, overlap=True)["rows"] == 1
+    assert run_extract(store, e2, dspec, NOW, overlap=True)["rows"] == 0
+    got = {(r.schema_name, r.table_name, r.last_cursor) for r in cursors(store).collect()}
+    assert got == {("reservation_revenue", "bookings", "BK03"), ("s", "events", "2024-01-02")}
 
 
 def test_partition_table_and_serving_layout(mart, tmp_base):
     path = f"{tmp_base}/fnb_tx"
     P.partition_table(mart["fnb_transactions"], "transaction_datetime", path)
-    df = mart.spark.read.parquet(path)
+    df = live(mart.spark, tmp_base, "fnb_tx")
     assert "partition_date" in df.columns and df.count() == mart["fnb_transactions"].count()
     lay = P.serving_layout(mart["fact_fnb_outlet_daily"], "outlet_id", "period_date", partitions=4)
     assert lay.rdd.getNumPartitions() <= 4 and lay.count() == mart["fact_fnb_outlet_daily"].count()
@@ -124,7 +130,7 @@ def test_views_read_published_tables(mart, tmp_base):
     assert P.publish(mart, names, tmp_base)["published"] == names
     served = Mart(mart.spark, mart.sf_dir, published=tmp_base)
     files = served["v_revenue_room_type_daily"].inputFiles()
-    assert any("live/fact_revenue_room_type_daily" in f for f in files)
+    assert any("data/fact_revenue_room_type_daily" in f for f in files)
     assert not any(f.endswith("orders.parquet") for f in files)
     a = sorted(tuple(r) for r in served["v_revenue_room_type_daily"].collect())
     b = sorted(tuple(r) for r in mart["v_revenue_room_type_daily"].collect())
@@ -143,34 +149,31 @@ def test_declared_mart_tests(mart):
     assert res[("fact_fnb_outlet_daily", "relationships", "outlet_id -> dim_outlet.outlet_id")] == 0
 
 
-def test_a_failed_swap_undoes_the_publish(mart, tmp_base, monkeypatch):
+def test_a_failed_commit_leaves_the_published_version(mart, tmp_base, monkeypatch):
     names = ["dim_property", "dim_room_type", "fact_revenue_room_type_daily"]
-    P.publish(mart, names, tmp_base)
-    before = {n: sorted(map(str, mart.spark.read.parquet(f"{tmp_base}/live/{n}").collect())) for n in names}
-    real, calls = storage.swap, []
+    assert P.publish(mart, names, tmp_base)["version"] == 1
+    before = {n: sorted(map(str, live(mart.spark, tmp_base, n).collect())) for n in names}
 
-    def failing(*args, **kwargs):
-        calls.append(args)
-        if len(calls) == 3:
-            raise storage.SwapFailed("planted")
-        return real(*args, **kwargs)
+    def failing(*_args):
+        raise OSError("planted")
 
-    monkeypatch.setattr(storage, "swap", failing)
+    real = storage._write_new
+    monkeypatch.setattr(storage, "_write_new", failing)
     changed = mart.with_frame("dim_property", mart["dim_property"].limit(2))
-    with pytest.raises(storage.SwapFailed):
+    with pytest.raises(OSError):
         P.publish(changed, names, tmp_base)
-    monkeypatch.setattr(storage, "swap", real)
-    after = {n: sorted(map(str, mart.spark.read.parquet(f"{tmp_base}/live/{n}").collect())) for n in names}
+    monkeypatch.setattr(storage, "_write_new", real)
+    after = {n: sorted(map(str, live(mart.spark, tmp_base, n).collect())) for n in names}
     assert after == before
 
 
 def test_a_subset_takes_the_ids_of_live_dimensions(mart, tmp_base):
     P.publish(mart, ["dim_room_type"], tmp_base)
-    live = mart.spark.read.parquet(f"{tmp_base}/live/dim_room_type")
-    wanted = {r.room_type_id + 100 for r in live.collect()}
-    storage.replace(live.withColumn("room_type_id", F.col("room_type_id") + 100), f"{tmp_base}/live/dim_room_type")
+    types = live(mart.spark, tmp_base, "dim_room_type")
+    wanted = {r.room_type_id + 100 for r in types.collect()}
+    Store(mart.spark, tmp_base).replace(types.withColumn("room_type_id", F.col("room_type_id") + 100), "dim_room_type")
     P.publish(mart, ["fact_revenue_room_type_daily"], tmp_base)
-    ids = mart.spark.read.parquet(f"{tmp_base}/live/fact_revenue_room_type_daily").select("room_type_id").distinct()
+    ids = live(mart.spark, tmp_base, "fact_revenue_room_type_daily").select("room_type_id").distinct()
     assert {r[0] for r in ids.collect()} <= wanted
 
 
@@ -205,7 +208,7 @@ def test_publish_mart_with_rule_gate(spark, tmp_base):
     res = P.publish_mart(m, tmp_base, select=["dim_property", "dim_event_type", "tag:spa_event"])
     # the spa facts and their dimensions pass the grain and key tests, so all are published
     assert res["failed_checks"] == 0 and "fact_spa_daily" in res["published"]
-    assert spark.read.parquet(f"{tmp_base}/live/fact_spa_daily").count() == m["fact_spa_daily"].count()
+    assert live(spark, tmp_base, "fact_spa_daily").count() == m["fact_spa_daily"].count()
 
 
 def test_export_serving_layout_and_parity(mart, tmp_base):
@@ -213,7 +216,7 @@ def test_export_serving_layout_and_parity(mart, tmp_base):
     rows = {r.table_name: r for r in log.collect()}
     assert {r.status for r in rows.values()} == {"synced"}
     assert rows["staff_shifts"].dataset_name == "mart_cleaned"
-    served = mart.spark.read.parquet(f"{tmp_base}/serving/fact_spa_daily")
+    served = live(mart.spark, f"{tmp_base}/serving", "fact_spa_daily")
     assert served.count() == rows["fact_spa_daily"].source_row_count
 
 
@@ -226,4 +229,7 @@ def test_register_and_analyze_published(mart, tmp_base):
     stats = mart.spark.sql(f"DESCRIBE TABLE EXTENDED {tables[0]}").where("col_name = 'Statistics'").first()
     assert stats is not None and "rows" in stats.data_type
     assert mart.spark.table(tables[0]).count() == mart["dim_room_type"].count()
+    Store(mart.spark, tmp_base).replace(mart["dim_room_type"].limit(1), "dim_room_type")
+    P.register_published(mart.spark, tmp_base, names, database=db)  # moves on to the new version
+    assert mart.spark.table(tables[0]).count() == 1
     mart.spark.sql(f"DROP DATABASE {db} CASCADE")
