@@ -1,9 +1,9 @@
 """Data-quality checks G1-G13.
 
-Every table's suite is evaluated in a single aggregation pass (not-null,
-accepted-values and row predicates are ``count_if`` columns of one ``agg``);
-uniqueness and the rules that need another table run as grouped counts or
-anti/semi joins. Results come back as rows of
+All suites are evaluated together: every table is read once, its rows become a key and
+flags (not-null, accepted values, row predicates), and two groupings give all counts,
+uniqueness included; only the rules that another table decides are joins of their own.
+Results come back as rows of
 (suite, type, detail, success, unexpected count/percent), the schema of the
 reference's result table.
 """
@@ -151,50 +151,80 @@ def _in_set_detail(col, vals):
     return f"{col} in {vals!r}"
 
 
-def _sql_lit(v) -> str:
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _row(suite: Suite, etype: str, detail: str, unexpected: str, denom: str | None) -> str:
-    """One result row as a SQL ``named_struct`` over the aggregate's columns
-    (built as text: one expression per suite instead of dozens of Column calls)."""
-    pct = (f"round(cast({unexpected} AS double) * 100.0 / cast(nullif({denom}, 0) AS double) * 1000000.0) "
-           f"/ 1000000.0" if denom is not None else "cast(NULL AS double)")
-    return (f"named_struct('suite_name', {_sql_lit(suite.name)}, 'schema_name', {_sql_lit(suite.schema)}, "
-            f"'table_name', {_sql_lit(suite.table)}, 'expectation_type', {_sql_lit(etype)}, "
-            f"'expectation_detail', {_sql_lit(detail)}, 'success', {unexpected} = 0, "
-            f"'unexpected_count', cast({unexpected} AS bigint), 'unexpected_percent', {pct})")
-
-
-def _inline(rows: list[str]) -> str:
-    return f"inline(array({', '.join(rows)}))"
-
-
-def single_pass_checks(df: DataFrame, suite: Suite) -> DataFrame | None:
-    """All null / in-set / row-predicate counts in one aggregation."""
-    aggs = ["count(1) AS __n"]
-    rows = []
-    for i, c in enumerate(suite.not_null):
-        aggs.append(f"count_if({c} IS NULL) AS __nn{i}")
-        rows.append(_row(suite, NOT_NULL, c, f"__nn{i}", "__n"))
-    for i, (c, vals) in enumerate(suite.accepted.items()):
-        aggs.append(f"count_if({c} IS NOT NULL AND NOT {c} IN ({_lit_list(vals)})) AS __in{i}")
-        aggs.append(f"count({c}) AS __inn{i}")
-        rows.append(_row(suite, IN_SET, _in_set_detail(c, vals), f"__in{i}", f"__inn{i}"))
-    for i, r in enumerate(suite.custom):
-        aggs.append(f"count_if({r.spark}) AS __cu{i}")
-        rows.append(_row(suite, ROWS, r.name, f"__cu{i}", None))
-    if not rows:
-        return None
-    return df.agg(*[F.expr(a) for a in aggs]).selectExpr(_inline(rows))
-
-
-def unique_check(df: DataFrame, suite: Suite, col: str) -> DataFrame:
-    """Rows whose non-null key occurs more than once (map-side combined count)."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__c"))
-    one = counts.agg(F.coalesce(F.sum(F.when(F.col("__c") > 1, F.col("__c"))), F.lit(0)).alias("__u"),
-                     F.coalesce(F.sum("__c"), F.lit(0)).alias("__nn"))
-    return one.selectExpr(_inline([_row(suite, UNIQUE, col, "__u", "__nn")]))
+@dataclass
+class _Line:
+    """One result row: where its two counts stand among its table's."""
+
+    suite: Suite
+    kind: str
+    detail: str
+    unexpected: int
+    of: int | None  # the count it is a share of
+
+
+def _counted(df: DataFrame, suite: Suite, key: F.Column | None, checks: bool) -> tuple[DataFrame, list[str], list[_Line]]:
+    """(table, key, flags of each row), the flags' names and the lines they give."""
+    flags: list[str] = []
+    lines: list[_Line] = []
+
+    def flag(predicate: str) -> int:
+        flags.append(predicate)
+        return FIRST_FLAG + len(flags) - 1
+
+    if checks:
+        for c in suite.not_null:
+            lines.append(_Line(suite, NOT_NULL, c, flag(f"{c} IS NULL"), ROW_COUNT))
+        for c, vals in suite.accepted.items():
+            odd = flag(f"{c} IS NOT NULL AND NOT {c} IN ({_lit_list(vals)})")
+            lines.append(_Line(suite, IN_SET, _in_set_detail(c, vals), odd, flag(f"{c} IS NOT NULL")))
+        for r in suite.custom:
+            lines.append(_Line(suite, ROWS, r.name, flag(r.spark), None))
+    return df.select(F.lit(suite.table).alias("of_table"), (F.lit(None) if key is None else key).cast("string").alias("key"),
+                     *[F.expr(f"coalesce({f}, false)").cast("long").alias(f"f{i}") for i, f in enumerate(flags)]
+                     ), flags, lines
+
+
+# counts of a table: its rows, those with a key, those whose key repeats, then the flags
+ROW_COUNT, KEYED, REPEATED, FIRST_FLAG = range(4)
+
+
+def fused_checks(t, suites, prefix: str = "src_") -> DataFrame:
+    """G1-G5 of all suites: every table is read once (again for a second unique key), its
+    rows become (table, key, flags), and two groupings of them all, by (table, key) and by
+    table, give every count. Rows without a key collapse before the first shuffle."""
+    parts, lines = [], []
+    for s in suites:
+        keys = [(c, F.col(c).cast("string"), UNIQUE) for c in s.unique]
+        # a null in a composite key equals nothing: no key
+        keys += [(r, F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.to_json(F.struct(x, y))), ROWS)
+                 for r in s.joined if r in PAIR_RULES for x, y in [PAIR_RULES[r]]]
+        for i, (name, key, kind) in enumerate(keys or [(None, None, None)]):
+            place = f"{s.table}/{i}"
+            part, flags, own = _counted(t[f"{prefix}{s.table}"], s, key, checks=i == 0)
+            parts.append((part.withColumn("of_table", F.lit(place)), len(flags)))
+            lines += [(place, x) for x in own]
+            if name is not None:
+                lines.append((place, _Line(s, kind, name, REPEATED, KEYED if kind == UNIQUE else None)))
+    width = max(n for _, n in parts)
+    none = F.lit(None).cast("long")
+    rows = X.union_all([p.select("of_table", "key", *[F.col(f"f{i}") if i < n else none.alias(f"f{i}")
+                                                       for i in range(width)]) for p, n in parts])
+    by_key = rows.groupBy("of_table", "key").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(f"f{i}").alias(f"f{i}") for i in range(width)])
+    keyed = F.col("key").isNotNull()
+    counts = by_key.groupBy("of_table").agg(F.array(
+        F.sum("n"), F.sum(F.when(keyed, F.col("n"))), F.sum(F.when(keyed & (F.col("n") > 1), F.col("n"))),
+        *[F.sum(f"f{i}") for i in range(width)]).alias("counts"))
+    spec = t.spark.createDataFrame(  # as many rows as expectations
+        [(place, x.suite.name, x.suite.schema, x.suite.table, x.kind, x.detail, x.unexpected, x.of) for place, x in lines],
+        "of_table string, suite_name string, schema_name string, table_name string, expectation_type string, "
+        "expectation_detail string, at int, share_of int")
+    odd = F.coalesce(F.get("counts", F.col("at")), F.lit(0))
+    share = F.when(F.col("share_of").isNotNull(), F.get("counts", F.col("share_of")))
+    return spec.join(counts, "of_table", "left").select(
+        "suite_name", "schema_name", "table_name", "expectation_type", "expectation_detail",
+        (odd == 0).alias("success"), odd.alias("unexpected_count"),
+        X.dround(F.try_divide(odd.cast("double") * 100.0, share.cast("double")), 6).alias("unexpected_percent"))
 
 
 # ---- rules that read another table (subqueries in the reference) -----------
@@ -204,22 +234,14 @@ def _role_title_in_rbac(t):
     return e.join(roles, "role_title", "left_anti")
 
 
-def _role_domain_dup(t):
-    rp = t["src_role_permissions"]
-    dup = rp.groupBy("role_title", "data_domain").count().where("count > 1").drop("count")
-    return rp.join(dup, ["role_title", "data_domain"], "left_semi")
-
-
 def _capacity_over_max(t):
     v = t["src_venues"].select("venue_id", "max_capacity")
     return t["src_event_bookings"].join(v, "venue_id").where(F.col("capacity_booked") > F.col("max_capacity"))
 
 
-def _venue_day_dup(t):
-    eb = t["src_event_bookings"]
-    dup = eb.groupBy("venue_id", "event_date").count().where("count > 1").drop("count")
-    return eb.join(dup, ["venue_id", "event_date"], "left_semi")
-
+#: rules that a pair of columns be unique
+PAIR_RULES = {"role_domain_combo_unique": ("role_title", "data_domain"),
+              "no_duplicate_venue_per_day": ("venue_id", "event_date")}
 
 JOIN_RULES = {
     "role_title_exists_in_rbac_when_filled": (
@@ -227,36 +249,31 @@ JOIN_RULES = {
         "role_title IS NOT NULL AND role_title != '' AND role_title NOT IN "
         "(SELECT DISTINCT role_title FROM src_role_permissions)"),
     "role_domain_combo_unique": (
-        _role_domain_dup,
+        None,
         "(role_title, data_domain) IN (SELECT role_title, data_domain FROM src_role_permissions "
         "GROUP BY role_title, data_domain HAVING count(*) > 1)"),
     "capacity_not_exceed_venue_max": (
         _capacity_over_max,
         "capacity_booked > (SELECT max_capacity FROM src_venues v WHERE v.venue_id = x.venue_id)"),
     "no_duplicate_venue_per_day": (
-        _venue_day_dup,
+        None,
         "(venue_id, event_date) IN (SELECT venue_id, event_date FROM src_event_bookings "
         "GROUP BY venue_id, event_date HAVING count(*) > 1)"),
 }
 
 
 def join_rule_check(t, suite: Suite, name: str) -> DataFrame:
-    viol = JOIN_RULES[name][0](t)
-    one = viol.agg(F.count(F.lit(1)).alias("__v"))
-    return one.selectExpr(_inline([_row(suite, ROWS, name, "__v", None)]))
-
-
-def run_suite(t, suite: Suite, prefix: str = "src_") -> DataFrame:
-    df = t[f"{prefix}{suite.table}"]
-    parts = [p for p in [single_pass_checks(df, suite)] if p is not None]
-    parts += [unique_check(df, suite, c) for c in suite.unique]
-    parts += [join_rule_check(t, suite, r) for r in suite.joined]
-    return X.union_all(parts)
+    """A rule that another table decides: the rows that break it."""
+    broken = JOIN_RULES[name][0](t).agg(F.count(F.lit(1)).alias("n"))
+    fixed = (suite.name, suite.schema, suite.table, ROWS, name)
+    return broken.select(*[F.lit(v).alias(c) for v, c in zip(fixed, RESULT_COLS)], (F.col("n") == 0).alias("success"),
+                         F.col("n").alias("unexpected_count"), F.lit(None).cast("double").alias("unexpected_percent"))
 
 
 def run_all(t, suites=SUITES) -> DataFrame:
     """One result row per expectation over all suites."""
-    return X.union_all([run_suite(t, s) for s in suites])
+    return X.union_all([fused_checks(t, suites)] + [
+        join_rule_check(t, s, r) for s in suites for r in s.joined if r not in PAIR_RULES])
 
 
 # ---- oracle text of the same suites ----------------------------------------
@@ -296,43 +313,109 @@ def dq_results(m):
 
 
 # ---- singular tests G7-G10: rows returned are failures ---------------------
+def negative_totals(bookings: DataFrame) -> DataFrame:
+    return bookings.where(F.col("total_amount") < 0)
+
+
+def occupancy_out_of_range(occupancy: DataFrame) -> DataFrame:
+    return occupancy.where((F.col("occupancy_rate") < 0) | (F.col("occupancy_rate") > 1))
+
+
+def salaries_not_positive(payroll: DataFrame) -> DataFrame:
+    return payroll.where(F.col("net_salary") <= 0)
+
+
+def gop_counted_twice(overall: DataFrame, summary: DataFrame) -> DataFrame:
+    """Months whose published margin isn't the source's, within 0.001."""
+    src = (summary.where(F.col("department").isin("Overall", "Corporate Overhead"))
+           .select("property_id", F.to_date("period", "yyyy-MM").alias("period_date"),
+                   F.try_divide(F.col("gop").cast("double"), F.col("departmental_revenue").cast("double"))
+                   .alias("__m")))
+    j = overall.join(src, ["property_id", "period_date"])
+    diff = F.abs(F.col("gop_margin_pct") - F.col("__m"))
+    return j.where(diff > 0.001).select("property_id", "period_date",
+                                        F.col("gop_margin_pct").alias("fact_gop_margin_pct"),
+                                        X.dround("__m", 6).alias("source_gop_margin_pct"),
+                                        X.dround(diff, 6).alias("diff"))
+
+
+_GOP_SQL = """SELECT f.property_id, f.period_date,
+  f.gop_margin_pct AS fact_gop_margin_pct, round(s.m, 6) AS source_gop_margin_pct,
+  round(abs(f.gop_margin_pct - s.m), 6) AS diff
+FROM {overall} f JOIN (
+  SELECT property_id, cast(strptime(period, '%Y-%m') AS date) AS period_date, gop / nullif(departmental_revenue, 0) AS m
+  FROM financial_summary WHERE department IN ('Overall', 'Corporate Overhead')) s
+  ON f.property_id = s.property_id AND f.period_date = s.period_date
+WHERE abs(f.gop_margin_pct - s.m) > 0.001"""
+
+
 @model("dq_assert_bookings_total_amount_non_negative", "ops",
        "SELECT * FROM bookings WHERE total_amount < 0", tags=("dq",))
 def dq_assert_bookings_total_amount_non_negative(m):
-    return m["bookings"].where(F.col("total_amount") < 0)
+    return negative_totals(m["bookings"])
 
 
 @model("dq_assert_daily_occupancy_rate_valid_range", "ops",
        "SELECT * FROM daily_occupancy WHERE occupancy_rate < 0 OR occupancy_rate > 1", tags=("dq",))
 def dq_assert_daily_occupancy_rate_valid_range(m):
-    return m["daily_occupancy"].where((F.col("occupancy_rate") < 0) | (F.col("occupancy_rate") > 1))
+    return occupancy_out_of_range(m["daily_occupancy"])
 
 
 @model("dq_assert_payroll_net_salary_positive", "ops", "SELECT * FROM payroll WHERE net_salary <= 0", tags=("dq",))
 def dq_assert_payroll_net_salary_positive(m):
-    return m["payroll"].where(F.col("net_salary") <= 0)
+    return salaries_not_positive(m["payroll"])
 
 
-@model("dq_assert_gop_no_double_counting", "ops", """SELECT f.property_id, f.period_date,
-  f.gop_margin_pct AS fact_gop_margin_pct, round(s.m, 6) AS source_gop_margin_pct,
-  round(abs(f.gop_margin_pct - s.m), 6) AS diff
-FROM fact_financial_overall_monthly f JOIN (
-  SELECT property_id, cast(strptime(period, '%Y-%m') AS date) AS period_date, gop / nullif(departmental_revenue, 0) AS m
-  FROM financial_summary WHERE department IN ('Overall', 'Corporate Overhead')) s
-  ON f.property_id = s.property_id AND f.period_date = s.period_date
-WHERE abs(f.gop_margin_pct - s.m) > 0.001""", tags=("dq",))
+@model("dq_assert_gop_no_double_counting", "ops", _GOP_SQL.format(overall="fact_financial_overall_monthly"), tags=("dq",))
 def dq_assert_gop_no_double_counting(m):
-    f = m["fact_financial_overall_monthly"]
-    src = (m["financial_summary"].where(F.col("department").isin("Overall", "Corporate Overhead"))
-           .select("property_id", F.to_date("period", "yyyy-MM").alias("period_date"),
-                   F.try_divide(F.col("gop").cast("double"), F.col("departmental_revenue").cast("double"))
-                   .alias("__m")))
-    j = f.join(src, ["property_id", "period_date"])
-    diff = F.abs(F.col("gop_margin_pct") - F.col("__m"))
-    return j.where(diff > 0.001).select("property_id", "period_date",
-                                        F.col("gop_margin_pct").alias("fact_gop_margin_pct"),
-                                        X.dround("__m", 6).alias("source_gop_margin_pct"),
-                                        X.dround(diff, 6).alias("diff"))
+    return gop_counted_twice(m["fact_financial_overall_monthly"], m["financial_summary"])
+
+
+# The clean data fails none of them, so each also runs on tables into which faults are
+# put by a rule on their values: (fault, where it strikes), in SQL of both engines.
+FAULTS = {
+    "bookings": ("total_amount", "-1 - total_amount", "total_amount % 97 = 0"),
+    "daily_occupancy": ("occupancy_rate", "occupancy_rate + 1.5", "rooms_sold % 7 = 0"),
+    "payroll": ("net_salary", "0", "net_salary % 89 = 0"),
+    "fact_financial_overall_monthly": ("gop_margin_pct", "gop_margin_pct + 0.25", "month(period_date) = 3"),
+}
+
+
+def _faulty(m, table: str) -> DataFrame:
+    column, fault, where = FAULTS[table]
+    df = m[table]
+    kind = df.schema[column].dataType.simpleString()
+    return df.withColumn(column, F.expr(f"cast(case when {where} then {fault} else {column} end as {kind})"))
+
+
+def _faulty_sql(table: str) -> str:
+    column, fault, where = FAULTS[table]
+    return f"(SELECT * REPLACE (CASE WHEN {where} THEN {fault} ELSE {column} END AS {column}) FROM {table})"
+
+
+_KEYS = ("bookings", "SELECT booking_id AS id FROM {src} WHERE total_amount < 0"), (
+    "daily_occupancy", "SELECT property_id || ' ' || room_type || ' ' || cast(date AS varchar) AS id FROM {src} "
+                       "WHERE NOT occupancy_rate BETWEEN 0 AND 1"), (
+    "payroll", "SELECT payroll_id AS id FROM {src} WHERE NOT net_salary > 0"), (
+    "fact_financial_overall_monthly", "SELECT property_id || ' ' || cast(period_date AS varchar) AS id FROM ("
+                                      + _GOP_SQL.replace("{overall}", "{src}") + ")")
+
+
+@model("dq_assert_planted_faults", "ops", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, id FROM ({q.format(src=_faulty_sql(t))}) x{i}" for i, (t, q) in enumerate(_KEYS)),
+       tags=("dq",))
+def dq_assert_planted_faults(m):
+    """G7-G10 on tables with planted faults: the keys of the rows that each test returns."""
+    text = lambda c: F.col(c).cast("string")
+    found = [
+        ("bookings", negative_totals(_faulty(m, "bookings")).select(F.col("booking_id").alias("id"))),
+        ("daily_occupancy", occupancy_out_of_range(_faulty(m, "daily_occupancy")).select(
+            F.concat_ws(" ", "property_id", "room_type", text("date")).alias("id"))),
+        ("payroll", salaries_not_positive(_faulty(m, "payroll")).select(F.col("payroll_id").alias("id"))),
+        ("fact_financial_overall_monthly", gop_counted_twice(
+            _faulty(m, "fact_financial_overall_monthly"), m["financial_summary"]).select(
+            F.concat_ws(" ", "property_id", text("period_date")).alias("id")))]
+    return X.union_all([df.select(F.lit(t).alias("table_name"), "id") for t, df in found])
 
 
 def dq_failure_alerts(results: DataFrame, run_date) -> DataFrame:

@@ -827,15 +827,28 @@ SELECT ex.entity_id AS missing_entity_id, 'critical' AS severity FROM ex
 WHERE ex.entity_id NOT IN (SELECT entity_id FROM sc)""", tags=("monitor", "ml"))
 def monitor_ml_completeness(m):
     """Entities present at the latest feature snapshot that were not scored."""
-    f = m["fact_revenue_room_type_daily"]
-    last = f.select(F.max("period_date")).scalar()
-    expected = f.where(F.col("period_date") == last).select(
+    return missing_scores(m["fact_revenue_room_type_daily"], m["ml_predictions"])
+
+
+def missing_scores(features: DataFrame, predictions: DataFrame) -> DataFrame:
+    last = features.select(F.max("period_date")).scalar()
+    expected = features.where(F.col("period_date") == last).select(
         F.concat(F.col("property_id"), F.lit(":"), F.col("room_type_id").cast("string")).alias("entity_id")).distinct()
-    scored = m["ml_predictions"].select("entity_id").distinct()
+    scored = predictions.select("entity_id").distinct()
     return expected.join(scored, "entity_id", "left_anti").select(
         F.col("entity_id").alias("missing_entity_id"), F.lit("critical").alias("severity"))
 
 
+@model("monitor_ml_completeness_with_gap", "ops", """SELECT DISTINCT property_id || ':' || cast(room_type_id AS varchar)
+  AS missing_entity_id, 'critical' AS severity FROM fact_revenue_room_type_daily f
+WHERE NOT EXISTS (SELECT 1 FROM fact_revenue_room_type_daily later WHERE later.period_date > f.period_date)
+  AND NOT EXISTS (SELECT 1 FROM ml_predictions p WHERE p.entity_id NOT LIKE 'P02:%'
+                  AND p.entity_id = f.property_id || ':' || cast(f.room_type_id AS varchar))""", tags=("monitor", "ml"))
+def monitor_ml_completeness_with_gap(m):
+    """H23 where the scores of property P02 didn't arrive."""
+    return missing_scores(m["fact_revenue_room_type_daily"], m["ml_predictions"].where("entity_id not like 'P02:%'"))
+
+
 @model("monitor_ml_model_version", "ops", f"""WITH v AS (
   SELECT model_name, model_version, min(scored_at) AS first_scored_at, max(scored_at) AS last_scored_at,
     count(*) AS prediction_count FROM ml_predictions GROUP BY 1, 2)
