@@ -28,14 +28,15 @@ def _hk_with_rooms(m):
     return m["housekeeping_log"].join(rooms, "room_id", "left")
 
 
-@model("fact_housekeeping_property_daily", "fact", """WITH d AS (
-  SELECT r.property_id, h.date AS period_date, count(*) AS total_count, count_if(h.status = 'delayed') AS delayed_count
-  FROM housekeeping_log h LEFT JOIN rooms r ON h.room_id = r.room_id GROUP BY 1, 2),
-o AS (SELECT property_id, date AS period_date,
-  sum(rooms_sold) / nullif(sum(total_rooms_available), 0) AS occupancy_rate FROM daily_occupancy GROUP BY 1, 2)
-SELECT d.property_id, d.period_date, round(d.delayed_count / nullif(d.total_count, 0), 6) AS delayed_rate,
-  round(o.occupancy_rate, 6) AS occupancy_rate
-FROM d LEFT JOIN o ON d.property_id = o.property_id AND d.period_date = o.period_date""", tags=("facility",))
+@model("fact_housekeeping_property_daily", "fact", """WITH of_room AS (
+  SELECT room_id, date, avg(cast(status = 'delayed' AS int)) AS late, count(*) AS n FROM housekeeping_log GROUP BY ALL),
+cleaned AS (SELECT rooms.property_id, w.date, sum(w.late * w.n) / sum(w.n) AS late FROM of_room w
+  LEFT JOIN rooms USING (room_id) GROUP BY ALL),
+nights AS (SELECT property_id, date, sum(rooms_sold) AS sold, sum(total_rooms_available) AS offered
+  FROM daily_occupancy GROUP BY ALL)
+SELECT c.date AS period_date, c.property_id, round(n.sold / nullif(n.offered, 0), 6) AS occupancy_rate,
+  round(c.late, 6) AS delayed_rate
+FROM cleaned c LEFT JOIN nights n ON n.property_id = c.property_id AND n.date = c.date""", tags=("facility",))
 def fact_housekeeping_property_daily(m):
     d = (_hk_with_rooms(m).groupBy("property_id", F.col("date").alias("period_date"))
          .agg(F.count(F.lit(1)).alias("total_count"), F.count_if(F.col("status") == "delayed").alias("delayed_count")))
@@ -148,9 +149,9 @@ def fact_maintenance_room_recurrence_yearly(m):
                                X.safe_div("ticket_count", "__median").alias("vs_median_ratio")))
 
 
-@model("fact_maintenance_technician_daily", "fact", """SELECT assigned_staff_id, reported_date AS period_date,
-  count(*) AS ticket_count, round(sum(labor_hours), 6) AS labor_hours
-FROM maintenance_tickets WHERE assigned_staff_id IS NOT NULL GROUP BY 1, 2""", tags=("facility",))
+@model("fact_maintenance_technician_daily", "fact", """SELECT reported_date AS period_date, assigned_staff_id,
+  round(list_sum(list(labor_hours)), 6) AS labor_hours, count(ticket_id) AS ticket_count
+FROM maintenance_tickets GROUP BY ALL HAVING assigned_staff_id IS NOT NULL""", tags=("facility",))
 def fact_maintenance_technician_daily(m):
     return X.finish(m["maintenance_tickets"].where(F.col("assigned_staff_id").isNotNull())
                     .groupBy("assigned_staff_id", F.col("reported_date").alias("period_date"))

@@ -71,10 +71,11 @@ def fact_hr_employee_performance_semester(m):
     return X.finish(m["employee_performance"].select("employee_id", "review_period", "score", "notes"))
 
 
-@model("fact_hr_headcount_status_daily", "fact", f"""SELECT e.property_id, d.department_id, st.status_id,
-  {AS_OF_SQL} AS period_date, count(*) AS employee_count
-FROM employees e LEFT JOIN dim_department d ON e.department = d.department_name
-LEFT JOIN dim_employee_status st ON e.status = st.status_name GROUP BY 1, 2, 3, 4""", tags=("hr", "snapshot"))
+@model("fact_hr_headcount_status_daily", "fact", f"""WITH heads AS (
+  SELECT property_id, department, status, count(employee_id) AS employee_count FROM employees GROUP BY ALL)
+SELECT {AS_OF_SQL} AS period_date, h.property_id, (SELECT department_id FROM dim_department WHERE department_name = h.department)
+    AS department_id, (SELECT status_id FROM dim_employee_status WHERE status_name = h.status) AS status_id,
+  h.employee_count FROM heads h""", tags=("hr", "snapshot"))
 def fact_hr_headcount_status_daily(m):
     e = X.lookup(m["employees"], m["dim_department"], "department", "department_name", "department_id")
     e = X.lookup(e, m["dim_employee_status"], "status", "status_name", "status_id")
@@ -87,10 +88,11 @@ def _perf_with_employee(m, cols):
     return m["employee_performance"].join(e, "employee_id", "left")
 
 
-@model("fact_hr_performance_by_status_semester", "fact", """SELECT e.property_id, st.status_id, p.review_period,
-  round(avg(p.score), 6) AS avg_performance_score
-FROM employee_performance p LEFT JOIN employees e ON p.employee_id = e.employee_id
-LEFT JOIN dim_employee_status st ON e.status = st.status_name GROUP BY 1, 2, 3""", tags=("hr",))
+@model("fact_hr_performance_by_status_semester", "fact", """WITH scored AS (
+  SELECT who.property_id, who.status, r.review_period, list(r.score ORDER BY r.score) AS scores
+  FROM employees who RIGHT JOIN employee_performance r USING (employee_id) GROUP BY ALL)
+SELECT s.review_period, s.property_id, d.status_id, round(list_avg(s.scores), 6) AS avg_performance_score
+FROM dim_employee_status d RIGHT JOIN scored s ON s.status = d.status_name""", tags=("hr",))
 def fact_hr_performance_by_status_semester(m):
     p = X.lookup(_perf_with_employee(m, ["property_id", "status"]), m["dim_employee_status"], "status",
                  "status_name", "status_id")
@@ -98,10 +100,11 @@ def fact_hr_performance_by_status_semester(m):
                     .agg(F.avg("score").alias("avg_performance_score")))
 
 
-@model("fact_hr_performance_department_semester", "fact", """SELECT e.property_id, d.department_id, p.review_period,
-  round(avg(p.score), 6) AS avg_performance_score
-FROM employee_performance p LEFT JOIN employees e ON p.employee_id = e.employee_id
-LEFT JOIN dim_department d ON e.department = d.department_name GROUP BY 1, 2, 3""", tags=("hr",))
+@model("fact_hr_performance_department_semester", "fact", """WITH scored AS (
+  SELECT who.property_id, who.department, r.review_period, list(r.score ORDER BY r.score) AS scores
+  FROM employees who RIGHT JOIN employee_performance r USING (employee_id) GROUP BY ALL)
+SELECT s.review_period, s.property_id, d.department_id, round(list_avg(s.scores), 6) AS avg_performance_score
+FROM dim_department d RIGHT JOIN scored s ON s.department = d.department_name""", tags=("hr",))
 def fact_hr_performance_department_semester(m):
     p = X.lookup(_perf_with_employee(m, ["property_id", "department"]), m["dim_department"], "department",
                  "department_name", "department_id")

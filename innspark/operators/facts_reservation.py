@@ -126,11 +126,14 @@ def fact_revenue_property_daily(m):
         "revpar_rank_group", "adr_rank_group", "occupancy_rank_group"))
 
 
-@model("fact_revenue_channel_daily", "fact", f"""SELECT b.property_id, c.channel_id, b.check_in_date AS period_date,
-  cast(sum(CASE WHEN b.status IN ('completed', 'confirmed') THEN b.total_amount ELSE 0 END) AS bigint) AS revenue,
-  count(*) AS bookings_count, cast(count_if(b.status = 'cancelled') AS bigint) AS cancellations_count,
-  cast(count_if(b.status = 'no-show') AS bigint) AS no_shows_count
-FROM bookings b LEFT JOIN dim_channel c ON b.booking_channel = c.channel_name GROUP BY 1, 2, 3""",
+@model("fact_revenue_channel_daily", "fact", """WITH by_status AS (
+  SELECT property_id, check_in_date, booking_channel, status, count(*) AS n, sum(total_amount) AS amount
+  FROM bookings GROUP BY ALL)
+SELECT s.check_in_date AS period_date, s.property_id, d.channel_id, cast(sum(s.n) AS bigint) AS bookings_count,
+  cast(coalesce(sum(s.n) FILTER (WHERE s.status = 'no-show'), 0) AS bigint) AS no_shows_count,
+  cast(coalesce(sum(s.n) FILTER (WHERE s.status = 'cancelled'), 0) AS bigint) AS cancellations_count,
+  cast(coalesce(sum(s.amount) FILTER (WHERE s.status IN ('completed', 'confirmed')), 0) AS bigint) AS revenue
+FROM dim_channel d RIGHT JOIN by_status s ON s.booking_channel = d.channel_name GROUP BY ALL""",
        tags=("reservation",))
 def fact_revenue_channel_daily(m):
     b = X.lookup(m["bookings"], m["dim_channel"], "booking_channel", "channel_name", "channel_id")
@@ -141,13 +144,13 @@ def fact_revenue_channel_daily(m):
         F.count_if(F.col("status") == "no-show").alias("no_shows_count")))
 
 
-@model("fact_revenue_los_daily", "fact", f"""SELECT b.property_id, rt.room_type_id, c.channel_id,
-  b.check_in_date AS period_date, round(avg(b.nights), 6) AS avg_los_nights,
-  cast(quantile_disc(b.nights, 0.5) AS bigint) AS median_los_nights
-FROM bookings b
-LEFT JOIN dim_room_type rt ON b.room_type = rt.room_type_name
-LEFT JOIN dim_channel c ON b.booking_channel = c.channel_name
-WHERE b.{SOLD} GROUP BY 1, 2, 3, 4""", tags=("reservation",))
+@model("fact_revenue_los_daily", "fact", """WITH stays AS (
+  SELECT property_id, check_in_date, room_type, booking_channel, list(nights ORDER BY nights) AS n FROM bookings
+  WHERE status IN ('completed', 'confirmed') GROUP BY ALL)
+SELECT s.check_in_date AS period_date, s.property_id, c.channel_id, t.room_type_id,
+  cast(s.n[(len(s.n) + 1) // 2] AS bigint) AS median_los_nights, round(list_avg(s.n), 6) AS avg_los_nights
+FROM stays s LEFT JOIN dim_channel c ON c.channel_name = s.booking_channel
+LEFT JOIN dim_room_type t ON t.room_type_name = s.room_type""", tags=("reservation",))
 def fact_revenue_los_daily(m):
     b = X.lookup(sold_bookings(m), m["dim_room_type"], "room_type", "room_type_name", "room_type_id")
     b = X.lookup(b, m["dim_channel"], "booking_channel", "channel_name", "channel_id")
@@ -181,11 +184,13 @@ def _bookings_with_guest(m, cols):
     return X.left_join_skip_null_keys(sold_bookings(m), g, "guest_id")
 
 
-@model("fact_revenue_loyalty_daily", "fact", f"""SELECT b.property_id, lt.loyalty_tier_id, b.check_in_date AS period_date,
-  count(*) AS bookings_count, cast(sum(b.total_amount) AS bigint) AS revenue
-FROM bookings b LEFT JOIN guests g ON b.guest_id = g.guest_id
-LEFT JOIN dim_loyalty_tier lt ON g.loyalty_tier = lt.loyalty_tier_name
-WHERE b.{SOLD} GROUP BY 1, 2, 3""", tags=("reservation",))
+@model("fact_revenue_loyalty_daily", "fact", """WITH stays AS (
+  SELECT property_id, check_in_date, guest_id, count(*) AS n, sum(total_amount) AS amount FROM bookings
+  WHERE status IN ('completed', 'confirmed') GROUP BY ALL),
+tier_of AS (SELECT guests.guest_id, t.loyalty_tier_id FROM guests JOIN dim_loyalty_tier t
+  ON t.loyalty_tier_name = guests.loyalty_tier)
+SELECT s.check_in_date AS period_date, s.property_id, tier_of.loyalty_tier_id, cast(sum(s.amount) AS bigint) AS revenue,
+  cast(sum(s.n) AS bigint) AS bookings_count FROM stays s LEFT JOIN tier_of USING (guest_id) GROUP BY ALL""", tags=("reservation",))
 def fact_revenue_loyalty_daily(m):
     b = _bookings_with_guest(m, ["loyalty_tier"])
     b = X.lookup(b, m["dim_loyalty_tier"], "loyalty_tier", "loyalty_tier_name", "loyalty_tier_id")
@@ -193,11 +198,13 @@ def fact_revenue_loyalty_daily(m):
                     .agg(F.count(F.lit(1)).alias("bookings_count"), F.sum("total_amount").alias("revenue")))
 
 
-@model("fact_revenue_nationality_daily", "fact", f"""SELECT b.property_id,
-  cast(CASE WHEN g.nationality = 'Indonesia' THEN 1 ELSE 2 END AS bigint) AS nationality_group_id,
-  b.check_in_date AS period_date, count(*) AS bookings_count, cast(sum(b.total_amount) AS bigint) AS revenue
-FROM bookings b LEFT JOIN guests g ON b.guest_id = g.guest_id
-WHERE b.{SOLD} GROUP BY 1, 2, 3""", tags=("reservation",))
+@model("fact_revenue_nationality_daily", "fact", """WITH stays AS (
+  SELECT property_id, check_in_date, guest_id, count(*) AS n, sum(total_amount) AS amount FROM bookings
+  WHERE status IN ('completed', 'confirmed') GROUP BY ALL),
+domestic AS (SELECT DISTINCT guest_id FROM guests WHERE nationality = 'Indonesia')
+SELECT check_in_date AS period_date, property_id, cast(2 - cast(guest_id IN (SELECT guest_id FROM domestic) AS int) AS bigint)
+    AS nationality_group_id, cast(sum(amount) AS bigint) AS revenue, cast(sum(n) AS bigint) AS bookings_count
+FROM (SELECT property_id, check_in_date, coalesce(guest_id, '') AS guest_id, n, amount FROM stays) s GROUP BY ALL""", tags=("reservation",))
 def fact_revenue_nationality_daily(m):
     b = _bookings_with_guest(m, ["nationality"])
     grp = F.when(F.col("nationality") == "Indonesia", 1).otherwise(2).alias("nationality_group_id")

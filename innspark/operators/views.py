@@ -112,12 +112,12 @@ def J(alias: str, table: str, left: str, right: str) -> Join:
     return Join(alias, table, [(left, right)])
 
 
-def V(name: str, source: str, joins: list[Join], cols: str, extra: tuple[str, ...] = (),
+def V(name: str, source: str, joins: list[Join], cols: list[tuple[str, ...]], extra: tuple[str, ...] = (),
       where: str | None = None, layer: str = "view") -> ViewSpec:
-    """``cols``: whitespace-separated ``alias.col`` or ``alias.col:new_name``;
+    """``cols``: (alias, column), or (alias, column, name) under another name;
     ``extra``: SQL expressions valid in Spark and DuckDB (``<expr> AS name``)."""
-    toks = [t.replace(":", " AS ") for t in cols.split()] + list(extra)
-    spec = ViewSpec(name, source, toks, joins, where=where, layer=layer)
+    toks = [f"{c[0]}.{c[1]}" + (f" AS {c[2]}" if len(c) == 3 else "") for c in cols]
+    spec = ViewSpec(name, source, [*toks, *extra], joins, where=where, layer=layer)
     add(spec)
     return spec
 
@@ -157,180 +157,217 @@ NOT_PL_ROWS = "bl.line_name NOT IN ('Overall', 'Corporate Overhead')"
 EA = {}
 EA["v_revenue_room_type_daily"] = V(
     "v_revenue_room_type_daily", "fact_revenue_room_type_daily", [P, dj("rt")],
-    "f.property_id p.property_name p.region rt.room_type_name f.period_date f.rooms_sold "
-    "f.total_rooms_available f.occupancy_rate f.adr f.revpar f.revenue f.room_type_revenue_share_pct")
+    [("f", "property_id"), ("p", "property_name"), ("p", "region"), ("rt", "room_type_name"), ("f", "period_date"),
+     ("f", "rooms_sold"), ("f", "total_rooms_available"), ("f", "occupancy_rate"), ("f", "adr"), ("f", "revpar"),
+     ("f", "revenue"), ("f", "room_type_revenue_share_pct")])
 EA["v_revenue_channel_daily"] = V(
     "v_revenue_channel_daily", "fact_revenue_channel_daily", [P, dj("c")],
-    "f.property_id p.property_name p.region c.channel_name f.period_date f.revenue f.bookings_count "
-    "f.cancellations_count f.no_shows_count")
+    [("f", "property_id"), ("p", "property_name"), ("p", "region"), ("c", "channel_name"), ("f", "period_date"),
+     ("f", "revenue"), ("f", "bookings_count"), ("f", "cancellations_count"), ("f", "no_shows_count")])
 EA["v_revenue_los_daily"] = V(
     "v_revenue_los_daily", "fact_revenue_los_daily", [P, dj("rt"), dj("c")],
-    "f.property_id p.property_name rt.room_type_name c.channel_name f.period_date f.avg_los_nights "
-    "f.median_los_nights")
+    [("f", "property_id"), ("p", "property_name"), ("rt", "room_type_name"), ("c", "channel_name"),
+     ("f", "period_date"), ("f", "avg_los_nights"), ("f", "median_los_nights")])
 EA["v_revenue_property_daily"] = V(
     "v_revenue_property_daily", "fact_revenue_property_daily", [P],
-    "f.property_id p.property_name p.region f.period_date f.avg_lead_time_days f.median_lead_time_days "
-    "f.mom_occupancy_growth f.yoy_occupancy_growth f.mom_adr_growth f.yoy_adr_growth f.mom_revpar_growth "
-    "f.yoy_revpar_growth f.repeat_guest_rate f.revpar_rank_group f.adr_rank_group f.occupancy_rank_group")
+    [("f", "property_id"), ("p", "property_name"), ("p", "region"), ("f", "period_date"),
+     ("f", "avg_lead_time_days"), ("f", "median_lead_time_days"), ("f", "mom_occupancy_growth"),
+     ("f", "yoy_occupancy_growth"), ("f", "mom_adr_growth"), ("f", "yoy_adr_growth"), ("f", "mom_revpar_growth"),
+     ("f", "yoy_revpar_growth"), ("f", "repeat_guest_rate"), ("f", "revpar_rank_group"), ("f", "adr_rank_group"),
+     ("f", "occupancy_rank_group")])
 EA["v_revenue_gop_impact_monthly"] = V(
     "v_revenue_gop_impact_monthly", "fact_revenue_gop_impact_monthly", [P],
-    "f.property_id p.property_name f.period_date f.avg_pricing_deviation f.gop_margin")
+    [("f", "property_id"), ("p", "property_name"), ("f", "period_date"), ("f", "avg_pricing_deviation"),
+     ("f", "gop_margin")])
 EA["v_revenue_pricing_deviation"] = V(
     "v_revenue_pricing_deviation", "fact_revenue_pricing_deviation", [P, dj("r")],
-    "f.property_id p.property_name r.reason_name f.period_date f.avg_applied_rate f.avg_base_rate "
-    "f.avg_deviation_pct f.day_share_pct")
+    [("f", "property_id"), ("p", "property_name"), ("r", "reason_name"), ("f", "period_date"),
+     ("f", "avg_applied_rate"), ("f", "avg_base_rate"), ("f", "avg_deviation_pct"), ("f", "day_share_pct")])
 EA["v_revenue_loyalty_daily"] = V(
     "v_revenue_loyalty_daily", "fact_revenue_loyalty_daily", [P, dj("lt")],
-    "f.property_id p.property_name lt.loyalty_tier_name f.period_date f.bookings_count f.revenue")
+    [("f", "property_id"), ("p", "property_name"), ("lt", "loyalty_tier_name"), ("f", "period_date"),
+     ("f", "bookings_count"), ("f", "revenue")])
 EA["v_revenue_nationality_daily"] = V(
     "v_revenue_nationality_daily", "fact_revenue_nationality_daily", [P, dj("ng")],
-    "f.property_id p.property_name ng.group_name:nationality_group_name f.period_date f.bookings_count f.revenue")
+    [("f", "property_id"), ("p", "property_name"), ("ng", "group_name", "nationality_group_name"),
+     ("f", "period_date"), ("f", "bookings_count"), ("f", "revenue")])
 
 EA["v_fnb_outlet_daily"] = V(
     "v_fnb_outlet_daily", "fact_fnb_outlet_daily", OUTLET + [J("ot", "dim_outlet_type", "o.outlet_type_id",
                                                                "outlet_type_id")],
-    "o.property_id p.property_name f.outlet_id o.outlet_name ot.outlet_type_name f.period_date f.revenue "
-    "f.transaction_count f.avg_check f.mom_revenue_growth f.yoy_revenue_growth f.capture_rate f.walk_in_ratio "
-    "f.revenue_rank_vs_outlet_type_avg")
+    [("o", "property_id"), ("p", "property_name"), ("f", "outlet_id"), ("o", "outlet_name"),
+     ("ot", "outlet_type_name"), ("f", "period_date"), ("f", "revenue"), ("f", "transaction_count"),
+     ("f", "avg_check"), ("f", "mom_revenue_growth"), ("f", "yoy_revenue_growth"), ("f", "capture_rate"),
+     ("f", "walk_in_ratio"), ("f", "revenue_rank_vs_outlet_type_avg")])
 EA["v_fnb_category_daily"] = V(
     "v_fnb_category_daily", "fact_fnb_category_daily", OUTLET + [dj("cat")],
-    "o.property_id p.property_name f.outlet_id o.outlet_name cat.category_name f.period_date f.revenue")
+    [("o", "property_id"), ("p", "property_name"), ("f", "outlet_id"), ("o", "outlet_name"),
+     ("cat", "category_name"), ("f", "period_date"), ("f", "revenue")])
 EA["v_fnb_hourly"] = V(
     "v_fnb_hourly", "fact_fnb_hourly", OUTLET,
-    "o.property_id p.property_name f.outlet_id o.outlet_name f.period_date f.hour_of_day f.transaction_count")
+    [("o", "property_id"), ("p", "property_name"), ("f", "outlet_id"), ("o", "outlet_name"), ("f", "period_date"),
+     ("f", "hour_of_day"), ("f", "transaction_count")])
 EA["v_fnb_customer_type_daily"] = V(
     "v_fnb_customer_type_daily", "fact_fnb_customer_type_daily", OUTLET + [dj("ct")],
-    "o.property_id p.property_name f.outlet_id o.outlet_name ct.customer_type_name f.period_date f.revenue "
-    "f.visit_count f.revenue_per_visit")
+    [("o", "property_id"), ("p", "property_name"), ("f", "outlet_id"), ("o", "outlet_name"),
+     ("ct", "customer_type_name"), ("f", "period_date"), ("f", "revenue"), ("f", "visit_count"),
+     ("f", "revenue_per_visit")])
 EA["v_fnb_menu_item_daily"] = V(
     "v_fnb_menu_item_daily", "fact_fnb_menu_item_daily", OUTLET,
-    "o.property_id p.property_name f.outlet_id o.outlet_name f.item_name f.period_date f.revenue "
-    "f.quantity_sold f.food_cost_ratio_actual f.food_cost_ratio_target f.food_cost_deviation")
+    [("o", "property_id"), ("p", "property_name"), ("f", "outlet_id"), ("o", "outlet_name"), ("f", "item_name"),
+     ("f", "period_date"), ("f", "revenue"), ("f", "quantity_sold"), ("f", "food_cost_ratio_actual"),
+     ("f", "food_cost_ratio_target"), ("f", "food_cost_deviation")])
 EA["v_fnb_waste_daily"] = V(
     "v_fnb_waste_daily", "fact_fnb_waste_daily", OUTLET + [dj("wr")],
-    "o.property_id p.property_name f.outlet_id o.outlet_name wr.reason_name f.period_date f.waste_value "
-    "f.waste_quantity f.waste_ratio")
+    [("o", "property_id"), ("p", "property_name"), ("f", "outlet_id"), ("o", "outlet_name"), ("wr", "reason_name"),
+     ("f", "period_date"), ("f", "waste_value"), ("f", "waste_quantity"), ("f", "waste_ratio")])
 EA["v_fnb_inventory_status"] = V(
     "v_fnb_inventory_status", "fact_fnb_inventory_status", OUTLET,
-    "o.property_id p.property_name f.outlet_id o.outlet_name f.period_date f.low_stock_item_count")
+    [("o", "property_id"), ("p", "property_name"), ("f", "outlet_id"), ("o", "outlet_name"), ("f", "period_date"),
+     ("f", "low_stock_item_count")])
 EA["v_fnb_ingredient_price_daily"] = V(
     "v_fnb_ingredient_price_daily", "fact_fnb_ingredient_price_daily", [],
-    "f.ingredient_id f.period_date f.avg_unit_cost")
+    [("f", "ingredient_id"), ("f", "period_date"), ("f", "avg_unit_cost")])
 
 EA["v_facility_room_status_daily"] = V(
     "v_facility_room_status_daily", "fact_facility_room_status_daily", ROOM,
-    "r.property_id p.property_name f.room_id rt.room_type_name f.period_date f.status f.is_out_of_order")
+    [("r", "property_id"), ("p", "property_name"), ("f", "room_id"), ("rt", "room_type_name"), ("f", "period_date"),
+     ("f", "status"), ("f", "is_out_of_order")])
 EA["v_housekeeping_room_type_daily"] = V(
     "v_housekeeping_room_type_daily", "fact_housekeeping_room_type_daily", [P, dj("rt")],
-    "f.property_id p.property_name rt.room_type_name f.period_date f.avg_cleaning_duration_minutes "
-    "f.baseline_duration_minutes")
+    [("f", "property_id"), ("p", "property_name"), ("rt", "room_type_name"), ("f", "period_date"),
+     ("f", "avg_cleaning_duration_minutes"), ("f", "baseline_duration_minutes")])
 EA["v_housekeeping_property_daily"] = V(
     "v_housekeeping_property_daily", "fact_housekeeping_property_daily", [P],
-    "f.property_id p.property_name f.period_date f.delayed_rate f.occupancy_rate")
+    [("f", "property_id"), ("p", "property_name"), ("f", "period_date"), ("f", "delayed_rate"),
+     ("f", "occupancy_rate")])
 EA["v_housekeeping_staff_daily"] = V(
     "v_housekeeping_staff_daily", "fact_housekeeping_staff_daily", [dj("e")],
-    "f.staff_id e.full_name:staff_name f.period_date f.avg_cleaning_duration_minutes f.team_avg_duration_minutes")
+    [("f", "staff_id"), ("e", "full_name", "staff_name"), ("f", "period_date"),
+     ("f", "avg_cleaning_duration_minutes"), ("f", "team_avg_duration_minutes")])
 EA["v_maintenance_ticket_daily"] = V(
     "v_maintenance_ticket_daily", "fact_maintenance_ticket_daily", [P, dj("fa"), dj("it"), dj("pr")],
-    "f.property_id p.property_name fa.facility_area_name it.issue_type_name pr.priority_name f.period_date "
-    "f.new_ticket_count f.avg_sla_duration_hours f.pending_count", extra=SLA_COLS)
+    [("f", "property_id"), ("p", "property_name"), ("fa", "facility_area_name"), ("it", "issue_type_name"),
+     ("pr", "priority_name"), ("f", "period_date"), ("f", "new_ticket_count"), ("f", "avg_sla_duration_hours"),
+     ("f", "pending_count")], extra=SLA_COLS)
 EA["v_maintenance_cost_daily"] = V(
     "v_maintenance_cost_daily", "fact_maintenance_cost_daily", [P, dj("it")],
-    "f.property_id p.property_name it.issue_type_name f.period_date f.total_cost f.cost_with_parts "
-    "f.cost_without_parts f.mom_cost_growth f.yoy_cost_growth")
+    [("f", "property_id"), ("p", "property_name"), ("it", "issue_type_name"), ("f", "period_date"),
+     ("f", "total_cost"), ("f", "cost_with_parts"), ("f", "cost_without_parts"), ("f", "mom_cost_growth"),
+     ("f", "yoy_cost_growth")])
 EA["v_maintenance_room_recurrence_yearly"] = V(
     "v_maintenance_room_recurrence_yearly", "fact_maintenance_room_recurrence_yearly", ROOM,
-    "r.property_id p.property_name f.room_id rt.room_type_name f.year f.ticket_count f.vs_median_ratio")
+    [("r", "property_id"), ("p", "property_name"), ("f", "room_id"), ("rt", "room_type_name"), ("f", "year"),
+     ("f", "ticket_count"), ("f", "vs_median_ratio")])
 EA["v_maintenance_property_benchmark_yearly"] = V(
     "v_maintenance_property_benchmark_yearly", "fact_maintenance_property_benchmark_yearly", [P],
-    "f.property_id p.property_name f.year f.tickets_per_room f.building_age_years f.tickets_per_room_normalized")
+    [("f", "property_id"), ("p", "property_name"), ("f", "year"), ("f", "tickets_per_room"),
+     ("f", "building_age_years"), ("f", "tickets_per_room_normalized")])
 EA["v_maintenance_technician_daily"] = V(
     "v_maintenance_technician_daily", "fact_maintenance_technician_daily",
     [J("e", "dim_employee", "f.assigned_staff_id", "employee_id")],
-    "f.assigned_staff_id e.full_name:technician_name f.period_date f.ticket_count f.labor_hours")
+    [("f", "assigned_staff_id"), ("e", "full_name", "technician_name"), ("f", "period_date"), ("f", "ticket_count"),
+     ("f", "labor_hours")])
 
 EA["v_spa_daily"] = V(
     "v_spa_daily", "fact_spa_daily", [P],
-    "f.property_id p.property_name f.period_date f.revenue f.booking_count f.walk_in_ratio f.avg_lead_time_days "
-    "f.median_lead_time_days f.cancellation_rate")
+    [("f", "property_id"), ("p", "property_name"), ("f", "period_date"), ("f", "revenue"), ("f", "booking_count"),
+     ("f", "walk_in_ratio"), ("f", "avg_lead_time_days"), ("f", "median_lead_time_days"),
+     ("f", "cancellation_rate")])
 EA["v_spa_customer_type_daily"] = V(
     "v_spa_customer_type_daily", "fact_spa_customer_type_daily", [P, dj("ct")],
-    "f.property_id p.property_name ct.customer_type_name f.period_date f.revenue f.visit_count f.revenue_per_visit")
+    [("f", "property_id"), ("p", "property_name"), ("ct", "customer_type_name"), ("f", "period_date"),
+     ("f", "revenue"), ("f", "visit_count"), ("f", "revenue_per_visit")])
 EA["v_spa_service_daily"] = V(
     "v_spa_service_daily", "fact_spa_service_daily", [P, dj("sv")],
-    "f.property_id p.property_name sv.service_name f.period_date f.booking_count f.revenue f.revenue_share_pct")
+    [("f", "property_id"), ("p", "property_name"), ("sv", "service_name"), ("f", "period_date"),
+     ("f", "booking_count"), ("f", "revenue"), ("f", "revenue_share_pct")])
 EA["v_event_venue_daily"] = V(
     "v_event_venue_daily", "fact_event_venue_daily", VENUE,
-    "v.property_id p.property_name f.venue_id v.venue_name vt.venue_type_name v.max_capacity f.period_date "
-    "f.bookings_pipeline_count f.revenue_pipeline f.utilization_rate f.mom_revenue_growth f.yoy_revenue_growth "
-    "f.low_utilization_days_last_30")
+    [("v", "property_id"), ("p", "property_name"), ("f", "venue_id"), ("v", "venue_name"),
+     ("vt", "venue_type_name"), ("v", "max_capacity"), ("f", "period_date"), ("f", "bookings_pipeline_count"),
+     ("f", "revenue_pipeline"), ("f", "utilization_rate"), ("f", "mom_revenue_growth"), ("f", "yoy_revenue_growth"),
+     ("f", "low_utilization_days_last_30")])
 EA["v_event_property_daily"] = V(
     "v_event_property_daily", "fact_event_property_daily", [P],
-    "f.property_id p.property_name f.period_date f.cancellation_rate")
+    [("f", "property_id"), ("p", "property_name"), ("f", "period_date"), ("f", "cancellation_rate")])
 EA["v_event_type_daily"] = V(
     "v_event_type_daily", "fact_event_type_daily", [P, dj("et")],
-    "f.property_id p.property_name et.event_type_name f.period_date f.event_count f.revenue")
+    [("f", "property_id"), ("p", "property_name"), ("et", "event_type_name"), ("f", "period_date"),
+     ("f", "event_count"), ("f", "revenue")])
 
 EA["v_hr_attendance_daily"] = V(
     "v_hr_attendance_daily", "fact_hr_attendance_daily", [P, dj("d")],
-    "f.property_id p.property_name d.department_name f.period_date f.present_count f.late_count f.leave_count "
-    "f.absent_count f.overtime_hours_total")
+    [("f", "property_id"), ("p", "property_name"), ("d", "department_name"), ("f", "period_date"),
+     ("f", "present_count"), ("f", "late_count"), ("f", "leave_count"), ("f", "absent_count"),
+     ("f", "overtime_hours_total")])
 EA["v_hr_employee_monthly"] = V(
     "v_hr_employee_monthly", "fact_hr_employee_monthly", EMP,
-    "f.employee_id e.full_name d.department_name f.period_date f.overtime_hours f.overtime_vs_dept_avg "
-    "f.late_rate f.late_vs_dept_avg e.property_id p.property_name")
+    [("f", "employee_id"), ("e", "full_name"), ("d", "department_name"), ("f", "period_date"),
+     ("f", "overtime_hours"), ("f", "overtime_vs_dept_avg"), ("f", "late_rate"), ("f", "late_vs_dept_avg"),
+     ("e", "property_id"), ("p", "property_name")])
 EA["v_hr_employee_performance_semester"] = V(
     "v_hr_employee_performance_semester", "fact_hr_employee_performance_semester", EMP,
-    "f.employee_id e.full_name d.department_name f.review_period f.score f.notes e.property_id p.property_name")
+    [("f", "employee_id"), ("e", "full_name"), ("d", "department_name"), ("f", "review_period"), ("f", "score"),
+     ("f", "notes"), ("e", "property_id"), ("p", "property_name")])
 EA["v_hr_turnover_snapshot"] = V(
     "v_hr_turnover_snapshot", "fact_hr_turnover_snapshot", [P, dj("d")],
-    "f.property_id p.property_name d.department_name f.period_date f.turnover_rate")
+    [("f", "property_id"), ("p", "property_name"), ("d", "department_name"), ("f", "period_date"),
+     ("f", "turnover_rate")])
 EA["v_hr_headcount_status_daily"] = V(
     "v_hr_headcount_status_daily", "fact_hr_headcount_status_daily", [P, dj("d"), dj("st")],
-    "f.property_id p.property_name d.department_name st.status_name f.period_date f.employee_count")
+    [("f", "property_id"), ("p", "property_name"), ("d", "department_name"), ("st", "status_name"),
+     ("f", "period_date"), ("f", "employee_count")])
 EA["v_hr_performance_department_semester"] = V(
     "v_hr_performance_department_semester", "fact_hr_performance_department_semester", [P, dj("d")],
-    "f.property_id p.property_name d.department_name f.review_period f.avg_performance_score")
+    [("f", "property_id"), ("p", "property_name"), ("d", "department_name"), ("f", "review_period"),
+     ("f", "avg_performance_score")])
 EA["v_hr_performance_by_status_semester"] = V(
     "v_hr_performance_by_status_semester", "fact_hr_performance_by_status_semester", [P, dj("st")],
-    "f.property_id p.property_name st.status_name f.review_period f.avg_performance_score")
+    [("f", "property_id"), ("p", "property_name"), ("st", "status_name"), ("f", "review_period"),
+     ("f", "avg_performance_score")])
 EA["v_hr_watchlist_monthly"] = V(
     "v_hr_watchlist_monthly", "fact_hr_watchlist_monthly", EMP,
-    "f.employee_id e.full_name d.department_name f.period_date f.current_absence_rate f.baseline_absence_rate "
-    "f.current_late_rate f.baseline_late_rate f.absence_deviation_ratio f.late_deviation_ratio f.in_watchlist "
-    "e.property_id p.property_name")
+    [("f", "employee_id"), ("e", "full_name"), ("d", "department_name"), ("f", "period_date"),
+     ("f", "current_absence_rate"), ("f", "baseline_absence_rate"), ("f", "current_late_rate"),
+     ("f", "baseline_late_rate"), ("f", "absence_deviation_ratio"), ("f", "late_deviation_ratio"),
+     ("f", "in_watchlist"), ("e", "property_id"), ("p", "property_name")])
 
 EA["v_financial_departmental_margin"] = V(
     "v_financial_departmental_margin", "fact_financial_business_line_monthly", [P, dj("bl")],
-    "f.property_id p.property_name bl.line_name:business_line_name f.period_date f.revenue f.expense f.profit "
-    "f.margin_pct", where=NOT_PL_ROWS)
+    [("f", "property_id"), ("p", "property_name"), ("bl", "line_name", "business_line_name"), ("f", "period_date"),
+     ("f", "revenue"), ("f", "expense"), ("f", "profit"), ("f", "margin_pct")], where=NOT_PL_ROWS)
 EA["v_financial_gop_overhead"] = V(
     "v_financial_gop_overhead", "fact_financial_overall_monthly", [P],
-    "f.property_id p.property_name f.period_date f.gop f.gop_margin_pct f.mom_gop_growth f.yoy_gop_growth "
-    "f.undistributed_expense_total f.overhead_ratio")
+    [("f", "property_id"), ("p", "property_name"), ("f", "period_date"), ("f", "gop"), ("f", "gop_margin_pct"),
+     ("f", "mom_gop_growth"), ("f", "yoy_gop_growth"), ("f", "undistributed_expense_total"),
+     ("f", "overhead_ratio")])
 EA["v_financial_revenue_runrate_daily"] = V(
     "v_financial_revenue_runrate_daily", "fact_financial_revenue_runrate_daily", [P],
-    "f.property_id p.property_name f.period_date f.revenue_runrate")
+    [("f", "property_id"), ("p", "property_name"), ("f", "period_date"), ("f", "revenue_runrate")])
 EA["v_payroll_department_monthly"] = V(
     "v_payroll_department_monthly", "fact_payroll_department_monthly", [P, dj("d")],
-    "f.property_id p.property_name d.department_name f.period_date f.base_salary_total f.service_charge_total "
-    "f.overtime_pay_total f.thr_total f.deduction_total f.net_salary_total f.mom_growth")
+    [("f", "property_id"), ("p", "property_name"), ("d", "department_name"), ("f", "period_date"),
+     ("f", "base_salary_total"), ("f", "service_charge_total"), ("f", "overtime_pay_total"), ("f", "thr_total"),
+     ("f", "deduction_total"), ("f", "net_salary_total"), ("f", "mom_growth")])
 EA["v_financial_service_charge_monthly"] = V(
     "v_financial_service_charge_monthly", "fact_financial_service_charge_monthly", [P],
-    "f.property_id p.property_name f.period_date f.service_charge_pool f.occupancy_rate")
+    [("f", "property_id"), ("p", "property_name"), ("f", "period_date"), ("f", "service_charge_pool"),
+     ("f", "occupancy_rate")])
 EA["v_financial_labor_cost_monthly"] = V(
     "v_financial_labor_cost_monthly", "fact_financial_labor_cost_monthly", [P],
-    "f.property_id p.property_name f.period_date f.labor_cost_pct_revenue")
+    [("f", "property_id"), ("p", "property_name"), ("f", "period_date"), ("f", "labor_cost_pct_revenue")])
 EA["v_payroll_access_level_monthly"] = V(
     "v_payroll_access_level_monthly", "fact_payroll_access_level_monthly", [P, dj("al")],
-    "f.property_id p.property_name al.access_level_name f.period_date f.service_charge_total f.base_salary_total "
-    "f.service_charge_to_base_ratio")
+    [("f", "property_id"), ("p", "property_name"), ("al", "access_level_name"), ("f", "period_date"),
+     ("f", "service_charge_total"), ("f", "base_salary_total"), ("f", "service_charge_to_base_ratio")])
 EA["v_financial_business_line_group_monthly"] = V(
     "v_financial_business_line_group_monthly", "fact_financial_business_line_group_monthly", [dj("bl")],
-    "bl.line_name:business_line_name f.period_date f.group_revenue f.revenue_share_pct")
+    [("bl", "line_name", "business_line_name"), ("f", "period_date"), ("f", "group_revenue"),
+     ("f", "revenue_share_pct")])
 EA["v_financial_property_benchmark_monthly"] = V(
     "v_financial_property_benchmark_monthly", "fact_financial_property_benchmark_monthly", [P],
-    "f.property_id p.property_name f.period_date f.gop_margin_rank")
+    [("f", "property_id"), ("p", "property_name"), ("f", "period_date"), ("f", "gop_margin_rank")])
 
 # ---------------------------------------------------------------------------
 # Governed views EG1-EG67: aggregate twins, row-level lookups, directories
@@ -357,59 +394,70 @@ for _n in ("v_fnb_outlet_daily", "v_fnb_category_daily", "v_fnb_hourly", "v_fnb_
 
 # staff-level facility views also expose the employee's property for scoping
 V("gov_v_housekeeping_staff_daily", "fact_housekeeping_staff_daily", [dj("e")],
-  "f.staff_id e.full_name:staff_name f.period_date f.avg_cleaning_duration_minutes f.team_avg_duration_minutes "
-  "e.property_id", layer="governed")
+  [("f", "staff_id"), ("e", "full_name", "staff_name"), ("f", "period_date"),
+     ("f", "avg_cleaning_duration_minutes"), ("f", "team_avg_duration_minutes"), ("e", "property_id")], layer="governed")
 V("gov_v_maintenance_technician_daily", "fact_maintenance_technician_daily",
   [J("e", "dim_employee", "f.assigned_staff_id", "employee_id")],
-  "f.assigned_staff_id e.full_name:technician_name f.period_date f.ticket_count f.labor_hours e.property_id",
+  [("f", "assigned_staff_id"), ("e", "full_name", "technician_name"), ("f", "period_date"), ("f", "ticket_count"),
+     ("f", "labor_hours"), ("e", "property_id")],
   layer="governed")
 
 # row-level lookups over cleaned tables
 V("gov_v_lookup_bookings", "bookings", [],
-  "f.booking_id f.property_id f.guest_id f.room_type f.booking_channel f.check_in_date f.check_out_date "
-  "f.booking_date f.nights f.room_rate f.total_amount f.status", layer="governed")
+  [("f", "booking_id"), ("f", "property_id"), ("f", "guest_id"), ("f", "room_type"), ("f", "booking_channel"),
+     ("f", "check_in_date"), ("f", "check_out_date"), ("f", "booking_date"), ("f", "nights"), ("f", "room_rate"),
+     ("f", "total_amount"), ("f", "status")], layer="governed")
 V("gov_v_lookup_daily_occupancy", "daily_occupancy", [],
-  "f.property_id f.room_type f.date f.rooms_sold f.adr f.total_rooms_available f.occupancy_rate f.revpar",
+  [("f", "property_id"), ("f", "room_type"), ("f", "date"), ("f", "rooms_sold"), ("f", "adr"),
+     ("f", "total_rooms_available"), ("f", "occupancy_rate"), ("f", "revpar")],
   layer="governed")
 V("gov_v_lookup_fnb_inventory", "fnb_inventory", [J("o", "fnb_outlets", "f.outlet_id", "outlet_id")],
-  "f.outlet_id f.ingredient_id f.ingredient_name f.unit f.stock_current f.stock_min_threshold f.unit_cost "
-  "o.property_id", layer="governed")
+  [("f", "outlet_id"), ("f", "ingredient_id"), ("f", "ingredient_name"), ("f", "unit"), ("f", "stock_current"),
+     ("f", "stock_min_threshold"), ("f", "unit_cost"), ("o", "property_id")], layer="governed")
 V("gov_v_lookup_fnb_transactions", "fnb_transactions", [J("o", "fnb_outlets", "f.outlet_id", "outlet_id")],
-  "f.transaction_id f.outlet_id f.guest_id f.customer_type f.transaction_datetime f.item_name f.category "
-  "f.quantity f.unit_price f.total_price o.property_id", layer="governed")
-V("gov_v_lookup_recipe_bom", "recipe_bom", [], "f.item_name f.ingredient_id f.qty_per_portion", layer="governed")
-V("gov_v_lookup_rooms", "rooms", [], "f.room_id f.property_id f.room_number f.room_type f.floor f.status",
+  [("f", "transaction_id"), ("f", "outlet_id"), ("f", "guest_id"), ("f", "customer_type"),
+     ("f", "transaction_datetime"), ("f", "item_name"), ("f", "category"), ("f", "quantity"), ("f", "unit_price"),
+     ("f", "total_price"), ("o", "property_id")], layer="governed")
+V("gov_v_lookup_recipe_bom", "recipe_bom", [], [("f", "item_name"), ("f", "ingredient_id"), ("f", "qty_per_portion")], layer="governed")
+V("gov_v_lookup_rooms", "rooms", [], [("f", "room_id"), ("f", "property_id"), ("f", "room_number"), ("f", "room_type"), ("f", "floor"),
+     ("f", "status")],
   layer="governed")
 V("gov_v_lookup_housekeeping_log", "housekeeping_log", [J("r", "rooms", "f.room_id", "room_id")],
-  "f.log_id f.room_id f.date f.cleaning_start_time f.cleaning_end_time f.staff_id f.status r.property_id",
+  [("f", "log_id"), ("f", "room_id"), ("f", "date"), ("f", "cleaning_start_time"), ("f", "cleaning_end_time"),
+     ("f", "staff_id"), ("f", "status"), ("r", "property_id")],
   layer="governed")
 V("gov_v_lookup_maintenance_tickets", "maintenance_tickets", [],
-  "f.ticket_id f.property_id f.room_id f.facility_area f.issue_type f.reported_date f.resolved_date f.status "
-  "f.priority f.assigned_staff_id f.labor_hours f.parts_replaced f.cost", layer="governed")
+  [("f", "ticket_id"), ("f", "property_id"), ("f", "room_id"), ("f", "facility_area"), ("f", "issue_type"),
+     ("f", "reported_date"), ("f", "resolved_date"), ("f", "status"), ("f", "priority"), ("f", "assigned_staff_id"),
+     ("f", "labor_hours"), ("f", "parts_replaced"), ("f", "cost")], layer="governed")
 V("gov_v_lookup_spa_bookings", "spa_bookings", [],
-  "f.spa_booking_id f.property_id f.guest_id f.customer_type f.service_name f.booking_date f.service_date "
-  "f.duration_minutes f.price f.status", layer="governed")
+  [("f", "spa_booking_id"), ("f", "property_id"), ("f", "guest_id"), ("f", "customer_type"),
+     ("f", "service_name"), ("f", "booking_date"), ("f", "service_date"), ("f", "duration_minutes"), ("f", "price"),
+     ("f", "status")], layer="governed")
 V("gov_v_lookup_event_bookings", "event_bookings", [],
-  "f.event_id f.property_id f.venue_id f.client_name f.event_type f.event_date f.venue_name f.capacity_booked "
-  "f.total_revenue f.status", layer="governed")
-V("gov_v_lookup_venues", "venues", [], "f.venue_id f.property_id f.venue_name f.venue_type f.max_capacity",
+  [("f", "event_id"), ("f", "property_id"), ("f", "venue_id"), ("f", "client_name"), ("f", "event_type"),
+     ("f", "event_date"), ("f", "venue_name"), ("f", "capacity_booked"), ("f", "total_revenue"), ("f", "status")], layer="governed")
+V("gov_v_lookup_venues", "venues", [], [("f", "venue_id"), ("f", "property_id"), ("f", "venue_name"), ("f", "venue_type"), ("f", "max_capacity")],
   layer="governed")
 V("gov_v_lookup_staff_shifts", "staff_shifts", [J("e", "employees", "f.employee_id", "employee_id")],
-  "f.shift_id f.employee_id e.property_id f.date f.shift_type f.clock_in f.clock_out f.status", layer="governed")
+  [("f", "shift_id"), ("f", "employee_id"), ("e", "property_id"), ("f", "date"), ("f", "shift_type"),
+     ("f", "clock_in"), ("f", "clock_out"), ("f", "status")], layer="governed")
 V("gov_v_lookup_employee_performance", "employee_performance", [J("e", "employees", "f.employee_id", "employee_id")],
-  "f.review_id f.employee_id e.property_id f.review_period f.score f.notes", layer="governed")
+  [("f", "review_id"), ("f", "employee_id"), ("e", "property_id"), ("f", "review_period"), ("f", "score"),
+     ("f", "notes")], layer="governed")
 V("gov_v_lookup_financial_summary", "financial_summary", [],
-  "f.property_id f.period f.department f.departmental_revenue f.departmental_expense f.departmental_profit "
-  "f.undistributed_expense f.gop", layer="governed")
+  [("f", "property_id"), ("f", "period"), ("f", "department"), ("f", "departmental_revenue"),
+     ("f", "departmental_expense"), ("f", "departmental_profit"), ("f", "undistributed_expense"), ("f", "gop")], layer="governed")
 V("gov_v_lookup_payroll", "payroll", [J("e", "employees", "f.employee_id", "employee_id")],
-  "f.payroll_id f.employee_id f.period f.base_salary f.service_charge f.overtime_pay f.thr f.deduction "
-  "f.net_salary e.property_id", layer="governed")
-V("gov_v_properties_ref", "dim_property", [], "f.property_id f.property_name f.region f.opening_date",
+  [("f", "payroll_id"), ("f", "employee_id"), ("f", "period"), ("f", "base_salary"), ("f", "service_charge"),
+     ("f", "overtime_pay"), ("f", "thr"), ("f", "deduction"), ("f", "net_salary"), ("e", "property_id")], layer="governed")
+V("gov_v_properties_ref", "dim_property", [], [("f", "property_id"), ("f", "property_name"), ("f", "region"), ("f", "opening_date")],
   layer="governed")
 V("gov_v_employees_directory", "dim_employee",
   [J("p", "dim_property", "f.property_id", "property_id"), J("d", "dim_department", "f.department_id", "department_id"),
    J("al", "dim_access_level", "f.access_level_id", "access_level_id")],
-  "f.employee_id f.full_name f.property_id p.property_name d.department_name al.access_level_name",
+  [("f", "employee_id"), ("f", "full_name"), ("f", "property_id"), ("p", "property_name"),
+     ("d", "department_name"), ("al", "access_level_name")],
   layer="governed")
 
 
