@@ -64,6 +64,45 @@ def test_nested_and_sectioned_articles(page):
     assert hx.extract(page) == hx.extract(page, hx.best_path(page)[0]) == "Head\nLead\n" + SAID
 
 
+@pytest.mark.parametrize("page, text", [
+    (f'<div class="post">{BODY}</div><div class="replies"><p>{"I say " * 60}</p></div>', SAID),
+    (f'<article>{BODY}<section id="responses"><p>I say</p></section></article>', SAID),
+    (f'<article>{BODY}<p hidden>not seen</p><div style="display: none"><p>nor this</p></div></article>', SAID),
+    (f'<article>{BODY}<svg><title>t</title><text>shape</text></svg><video>no video</video></article>', SAID),
+    (f'<article>{BODY}<span style="display:none">x</span><p hiddenish=1>seen</p></article>', SAID + "\nseen")])
+def test_what_a_reader_does_not_see(page, text):
+    assert hx.extract(page) == text
+
+
+SIZE = 1_000_000  # 5 MB were tried too: 10 to 25 s for both passes
+SHAPES = {
+    "nested": lambda n: "<div>x" * (n // 6), "nested classes": lambda n: '<div class="a b c">x' * (n // 20),
+    "nested asides": lambda n: '<div class="ad">x' * (n // 17), "blockquotes": lambda n: "<blockquote>x" * (n // 13),
+    "unclosed quotes": lambda n: '<a "' * (n // 4), "declarations": lambda n: "<!" * (n // 2),
+    "open tags": lambda n: "<p " * (n // 3), "wrong ends": lambda n: "<div>" * (n // 10) + "</li></p>" * (n // 18),
+    "siblings": lambda n: "<div>" * 2000 + '<div class="s"><p>x</p></div>' * (n // 29),
+    "paragraphs in depth": lambda n: "<section>" * (n // 20) + "<p>y" * (n // 8), "entities": lambda n: "&amp;" * (n // 5),
+    "comments": lambda n: "<!-- x -->y" * (n // 11), "attributes": lambda n: "<p " + 'a="b" ' * (n // 6) + ">z",
+    "mixed quotes": lambda n: "<b title='\"'>" * (n // 13) + "<i '", "plain": lambda n: "word " * (n // 5)}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_long_pages_of_any_shape_take_seconds(shape):
+    import time
+    import tracemalloc
+
+    page = SHAPES[shape](SIZE)
+    t0 = time.process_time()
+    path = hx.best_path(page)
+    hx.extract(page, path[0] if path else None)
+    assert time.process_time() - t0 < 20
+    small = SHAPES[shape](SIZE // 20)
+    tracemalloc.start()
+    hx.extract(small)
+    assert tracemalloc.get_traced_memory()[1] < 200 * len(small) + 10_000_000
+    tracemalloc.stop()
+
+
 def test_host_consensus(spark):
     good = '<html><body><div class="a{}"><p>{}</p></div><div class="zz"><p>{}</p></div></body></html>'
     rows = [(k, f"http://Host.example/{k}", good.format(k, "main text " * 9, "box " * 3)) for k in range(5)]
