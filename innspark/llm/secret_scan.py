@@ -8,16 +8,19 @@ correlation. Fisher's method combines their p-values; random strings have large
 ones, structured text has tiny ones, the more so the longer it is.
 
 Which p-value is large enough is decided for each encoding and length class by
-false-discovery control: each tested run has a decoy of its length, cut from the
-ordinary words of its own document in the same alphabet, and the lowest cutoff
-is taken at which decoys above it are at most ``fdr`` of the runs above it.
-Those counts come from all documents; what reaches the driver is one cutoff for
-each of a fixed number of classes.
+false-discovery control: each tested run has up to DECOYS decoys of its length in the
+same alphabet, cut from the ordinary words around it, or drawn from the letter counts of
+the corpus's words where it has too few, and the lowest cutoff is taken at which the
+decoys above it, weighed down to the number of runs, are at most ``fdr`` of the runs above
+it. A class with few runs is pooled with neighbouring lengths, then encodings. Those
+counts come from all documents; what reaches the driver is a histogram of each of a fixed
+number of classes.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,8 +53,21 @@ PLACES = [np.full(128, -1, dtype=np.int16) for _ in NAMES]
 for _place, _alphabet in zip(PLACES, ENCODINGS.values()):
     _place[np.frombuffer(_alphabet.encode(), np.uint8)] = np.arange(len(_alphabet))
 LETTERS = [frozenset(a) for a in ENCODINGS.values()]
+MIXED = NAMES.index("base62")  # this and the further ones have both cases
+NAMED = re.compile(r"[A-Z]?[a-z]{3,}|[A-Z]{3,}")
+WORDY = 0.6
 P_BINS = 120  # tenths of decades of the combined p-value
 LENGTHS = 24  # classes of length: half powers of two from 16 characters
+DECOYS = 20  # of a short run; of a longer one as many as DECOY_CHARS hold, at least one
+DECOY_CHARS = 1280
+LONGEST_DECOY = 4096  # a structured text's p-value is nil long before
+LEAST_RUNS = 20  # of a class that stands alone
+LEAST_P = 1e-3  # one random run in a thousand is below
+CHUNK = 1 << 20  # characters that the battery looks at together
+PIECE = re.compile(r"[A-Za-z0-9+/]{16,}|[A-Za-z0-9_-]{16,}")
+#: letters of plain text by frequency, per thousand; stands in where a corpus has no words
+ENGLISH = dict(zip(LOWER, (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2,
+                           20, 1)))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -73,11 +89,16 @@ LONG_HEX = re.compile(HEX.pattern[:-1] + "{16,}")
 
 
 def infer_encoding(run: str) -> int:
-    """Place of the smallest alphabet that holds ``run``; -1 if none does."""
+    """Place of the smallest alphabet that holds ``run``; -1 if none does, or if the run is
+    made of words: letters alone in one case, or, in an alphabet of both cases, mostly
+    pieces like names in programs and paths have (random text has them by a fifth)."""
     if PLAIN.match(run):
         return -1
     letters = set(run)
-    return next((k for k, a in enumerate(LETTERS) if letters <= a), -1)
+    enc = next((k for k, a in enumerate(LETTERS) if letters <= a), -1)
+    if enc >= MIXED and sum(map(len, NAMED.findall(run))) >= WORDY * len(run):
+        return -1
+    return enc
 
 
 def _normal_tail(z: np.ndarray) -> np.ndarray:
@@ -92,17 +113,37 @@ def _normal_tail(z: np.ndarray) -> np.ndarray:
 
 def battery(ranks: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Combined p-value of each run being random: ``ranks`` are the places of all
-    runs' characters one after another, ``sizes`` their alphabets' sizes."""
+    runs' characters one after another, ``sizes`` their alphabets' sizes. The
+    characters are read in chunks; the tests need sums over them alone."""
     if not len(lengths):
         return np.zeros(0)
+    many, width = len(lengths), 64
     starts = np.cumsum(lengths) - lengths
-    of = np.repeat(np.arange(len(lengths)), lengths)
     n, a = lengths.astype(float), sizes.astype(float)
-    # chi-squared uniformity over 4 to 16 bins, about five characters in each
-    bins = np.clip(lengths // 5, 4, np.minimum(16, sizes))
-    where = ranks * bins[of] // sizes[of]
-    width = 16
-    seen = np.bincount(of * width + where, minlength=len(n) * width).reshape(-1, width)
+    # chi-squared uniformity over as many bins as the alphabet and the length allow: where
+    # decoys set the cutoff, seeing single letters' shares counts more than an exact tail
+    bins = np.clip(lengths, 4, np.minimum(width, sizes))
+    seen = np.zeros((many, width))
+    upper, turns, total, squares, pairs = (np.zeros(many) for _ in range(5))
+    for at in range(0, len(ranks), CHUNK):
+        x = ranks[at:at + CHUNK].astype(np.int64)
+        of = np.searchsorted(starts, np.arange(at, at + len(x)), side="right") - 1
+        cells = of * width + x * bins[of] // sizes[of]
+        low, high = of[0], of[-1] + 1
+        seen[low:high] += np.bincount(cells - low * width, minlength=(high - low) * width).reshape(-1, width)
+        over = x * 2 >= sizes[of]
+        # each character with the one before it, if that is of the same run
+        back = int(at > 0)
+        whole = np.concatenate([ranks[at - back:at].astype(np.int64), x])
+        was, own = whole[:-1], of[len(of) - len(whole) + 1:]
+        same = np.flatnonzero(starts[own] < np.arange(at + 1 - back, at + len(x)))
+        now, was, own = whole[1:][same], was[same], own[same]
+        sums = lambda w, k: np.bincount(k - low, w, high - low)
+        upper[low:high] += sums(over, of)
+        total[low:high] += sums(x, of)
+        squares[low:high] += sums(x * x, of)
+        turns[low:high] += sums((now * 2 >= sizes[own]) != (was * 2 >= sizes[own]), own)
+        pairs[low:high] += sums(now * was, own)
     edges = -(-np.arange(width + 1)[None, :] * sizes[:, None] // bins[:, None])
     share = np.diff(np.minimum(edges, sizes[:, None]), axis=1) / a[:, None]
     want = share * n[:, None]
@@ -111,98 +152,216 @@ def battery(ranks: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> np.nda
     z = ((chi / free) ** (1 / 3) - (1 - 2 / (9 * free))) / np.sqrt(2 / (9 * free))
     p_chi = _normal_tail(z)
     # runs above and below the middle of the alphabet
-    high = ranks * 2 >= sizes[of]
-    n1 = np.add.reduceat(high, starts, dtype=np.int64).astype(float)
-    n2 = n - n1
-    turn = np.zeros(len(ranks), dtype=np.int64)
-    turn[1:] = (high[1:] != high[:-1]) & (of[1:] == of[:-1])
-    runs = np.add.reduceat(turn, starts) + 1.0
+    n1, n2 = upper, n - upper
     mean = 2 * n1 * n2 / n + 1
     var = np.maximum((mean - 1) * (mean - 2) / (n - 1), 1e-9)
-    p_runs = np.where((n1 == 0) | (n2 == 0), 0.0, 2 * _normal_tail(np.abs(runs - mean) / np.sqrt(var)))
-    # correlation of neighbours
-    x = ranks - (np.add.reduceat(ranks, starts) / n)[of]
-    both = np.zeros(len(ranks))
-    both[1:] = np.where(of[1:] == of[:-1], x[1:] * x[:-1], 0)
-    power = np.add.reduceat(x * x, starts)
-    corr = np.add.reduceat(both, starts) / np.where(power > 0, power, 1)
-    p_corr = np.where(power > 0, 2 * _normal_tail(np.abs(corr + 1 / n) * np.sqrt(n)), 0.0)
+    p_runs = np.where((n1 == 0) | (n2 == 0), 0.0, 2 * _normal_tail(np.abs(turns + 1.0 - mean) / np.sqrt(var)))
+    # correlation of neighbours, from sums about the mean
+    middle = total / n
+    ends = ranks[starts].astype(float) + ranks[starts + lengths - 1]
+    both = pairs - middle * (2 * total - ends) + (n - 1) * middle * middle
+    power = squares - n * middle * middle
+    corr = both / np.where(power > 1e-9, power, 1)
+    p_corr = np.where(power > 1e-9, 2 * _normal_tail(np.abs(corr + 1 / n) * np.sqrt(n)), 0.0)
     # Fisher: the tail of chi-squared with six degrees, in closed form
     half = -np.log(np.maximum([p_chi, p_runs, p_corr], 1e-30)).sum(axis=0)
     return np.exp(-half) * (1 + half + half * half / 2)
 
 
-def _classes(texts: list[str], encs: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(class, p bin) of runs with their encodings."""
-    lengths = np.array([len(t) for t in texts], dtype=np.int64)
-    enc = np.array(encs, dtype=np.int64)
-    sizes = np.array([len(a) for a in ENCODINGS.values()])[enc]
-    flat = np.frombuffer("".join(texts).encode("ascii"), np.uint8)
-    ranks = np.stack(PLACES)[np.repeat(enc, lengths), flat].astype(np.int64)
-    p = battery(ranks, lengths, sizes)
-    size = np.clip((2 * np.log2(lengths / 16)).astype(int), 0, LENGTHS - 1)
+def _classes(texts: list[str], encs: list[int], like: list[int] | None = None) -> tuple[list[int], list[int]]:
+    """(class, p bin) of runs with their encodings; ``like`` are the lengths of the runs
+    that decoys stand for. Runs are taken together up to CHUNK characters."""
+    alphabets = np.array([len(a) for a in ENCODINGS.values()])
+    values, part, size = [], [], 0
+    for k, t in enumerate(texts):
+        part.append(k)
+        size += len(t)
+        if size >= CHUNK or k == len(texts) - 1:
+            lengths = np.array([len(texts[j]) for j in part], dtype=np.int64)
+            enc = np.array([encs[j] for j in part], dtype=np.int64)
+            ranks = np.concatenate([PLACES[e][np.frombuffer(texts[j].encode("ascii"), np.uint8)]
+                                    for j, e in zip(part, enc)])
+            values.append(battery(ranks, lengths, alphabets[enc]))
+            part, size = [], 0
+    p = np.concatenate([*values, np.zeros(0)])
+    lengths = np.array(like if like is not None else [len(t) for t in texts], dtype=np.int64)
+    length = np.clip((2 * np.log2(np.maximum(lengths, 16) / 16)).astype(int), 0, LENGTHS - 1)
     bins = np.clip((-10 * np.log10(np.maximum(p, 1e-30))).astype(int), 0, P_BINS - 1)
-    return enc * LENGTHS + size, bins
+    return (np.array(encs, dtype=np.int64) * LENGTHS + length).tolist(), bins.tolist()
+
+
+def runs_of(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, end, encoding) of the runs to test. One that mixes alphabets, as a key
+    glued to a path does, is tested in its longest piece of one alphabet."""
+    for m in RUN.finditer(text):
+        enc = infer_encoding(m[0])
+        if enc >= 0:
+            yield m.start(), m.end(), enc
+        elif not PLAIN.match(m[0]):
+            pieces = ((x.start(), x.end(), infer_encoding(x[0])) for x in PIECE.finditer(m[0]))
+            a, b, enc = max((x for x in pieces if x[2] >= 0), key=lambda x: x[1] - x[0], default=(0, 0, -1))
+            if enc >= 0:
+                yield m.start() + a, m.start() + b, enc
+
+
+def _wanted(length: int) -> tuple[int, int]:
+    """(how many decoys, of which length) a run of ``length`` has."""
+    size = min(length, LONGEST_DECOY)
+    return max(1, min(DECOYS, DECOY_CHARS // size)), size
 
 
-def _decoy(text: str, enc: int, length: int, at: int) -> str | None:
-    """``length`` characters of the alphabet from ordinary words around ``at``."""
-    reach = 12 * length + 200
-    near = text[max(0, at - reach):at] + " " + text[at + length:at + length + reach]
-    words = [w for w in re.findall(r"[A-Za-z]+", near) if len(w) < 16]
+def _plain(words: str, enc: int) -> str:
     held = LETTERS[enc]
-    plain = "".join(c for w in words for c in (w.upper() if NAMES[enc] in
-                    ("HEX", "base32", "upper36") else w) if c in held)
-    return plain[:length] if len(plain) >= length else None
+    words = words.upper() if NAMES[enc] in ("HEX", "base32", "upper36") else words
+    return "".join(c for c in words if c in held)
+
+
+def _cut(text: str, enc: int, start: int, end: int) -> list[str]:
+    """Decoys from the ordinary words around a run, as many as they give."""
+    many, size = _wanted(end - start)
+    reach = min(12 * size, 40_000) + 200
+    near = text[max(0, start - reach):start] + " " + text[end:end + reach]
+    words = "".join(w for w in WORD.findall(near) if len(w) < 16)
+    plain = _plain(words, enc)
+    return [plain[a:a + size] for a in range(0, len(plain) - size + 1, size)][:many]
+
+
+WORD = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]+(?![A-Za-z0-9])")
 
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found, runs, encs, home, decoys, d_encs, d_home = [], [], [], [], [], [], []
-        for i, text in enumerate(batch["text"]):
-            found.append(base_spans(text))
-            for m in RUN.finditer(text):
-                enc = infer_encoding(m[0])
-                if enc < 0:
-                    continue
-                runs.append(m[0])
-                encs.append(enc)
-                home.append((i, m.start(), m.end()))
-                if decoy := _decoy(text, enc, len(m[0]), m.start()):
-                    decoys.append(decoy)
-                    d_encs.append(enc)
-                    d_home.append(i)
-        tested = [[] for _ in found]
-        shams = [[] for _ in found]
-        if runs:
-            for (i, a, b), k, p in zip(home, *map(np.ndarray.tolist, _classes(runs, encs))):
+        n = len(batch)
+        tested, shams, bare = ([[] for _ in range(n)] for _ in range(3))
+        runs, encs, home, decoys, d_encs, d_home, d_like = [], [], [], [], [], [], []
+        held = 0
+
+        def test() -> None:
+            for (i, a, b), k, p in zip(home, *_classes(runs, encs)):
                 tested[i].append({"start": a, "end": b, "class": k, "bin": p})
-        if decoys:
-            for i, k, p in zip(d_home, *map(np.ndarray.tolist, _classes(decoys, d_encs))):
+            for i, k, p in zip(d_home, *_classes(decoys, d_encs, d_like)):
                 shams[i].append({"class": k, "bin": p})
-        yield pd.DataFrame({
-            "doc_id": batch["doc_id"],
-            "base": [[{"start": a, "kind": k, "end": b} for a, k, b in s] for s in found],
-            "runs": tested, "decoys": shams})
+            for x in (runs, encs, home, decoys, d_encs, d_home, d_like):
+                x.clear()
+
+        base = []
+        for i, text in enumerate(batch["text"]):
+            base.append([{"start": a, "kind": k, "end": b} for a, k, b in base_spans(text)])
+            for start, end, enc in runs_of(text):
+                runs.append(text[start:end])
+                encs.append(enc)
+                home.append((i, start, end))
+                cut = _cut(text, enc, start, end)
+                decoys += cut
+                d_encs += [enc] * len(cut)
+                d_home += [i] * len(cut)
+                d_like += [end - start] * len(cut)
+                if missing := _wanted(end - start)[0] - len(cut):
+                    bare[i].append({"enc": enc, "length": end - start, "many": missing, "seed": zlib.crc32(
+                        text[start:start + LONGEST_DECOY].encode())})
+                held += end - start + sum(map(len, cut))
+                if held >= CHUNK:
+                    test()
+                    held = 0
+        test()
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "base": base, "runs": tested, "decoys": shams, "bare": bare})
+
+
+def letter_counts(docs: DataFrame) -> np.ndarray:
+    """How often each letter stands in the corpus's words; 26 numbers reach the driver."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(256, dtype=np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                words = text.encode().lower().translate(SPACED).split()
+                flat = b"".join(w for w in words if len(w) < 16 and w.isalpha())
+                for a in range(0, len(flat), CHUNK):
+                    total += np.bincount(np.frombuffer(flat[a:a + CHUNK], np.uint8), minlength=256)
+        yield pd.DataFrame({"letter": range(26), "n": total[97:123]})
+
+    sums = docs.select("text").mapInPandas(count, "letter int, n long").groupBy("letter").agg(F.sum("n").alias("n"))
+    out = np.zeros(26)
+    for r in sums.collect():
+        out[r["letter"]] = r["n"]
+    return out
+
+
+SPACED = bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256))
+
+
+def _drawn(letters: np.ndarray):
+    """Decoys from letter counts, for the runs that had too few words around them."""
+    weight = letters + np.array(list(ENGLISH.values())) / 1000  # a corpus without words has these alone
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            decoys, encs, like = [], [], []
+
+            def out() -> pd.DataFrame:
+                k, b = _classes(decoys, encs, like)
+                return pd.DataFrame({"class": k, "bin": b})
+
+            for asked in batch["bare"]:
+                for x in asked:
+                    held = [c in LETTERS[x["enc"]] for c in _plain_case(x["enc"])]
+                    p = np.where(held, weight, 0)
+                    size = _wanted(x["length"])[1]
+                    rng = np.random.default_rng(x["seed"])
+                    drawn = rng.choice(26, size=(x["many"], size), p=p / p.sum())
+                    names = np.array(list(_plain_case(x["enc"])))
+                    decoys += ["".join(row) for row in names[drawn]]
+                    encs += [x["enc"]] * x["many"]
+                    like += [x["length"]] * x["many"]
+                if sum(map(len, decoys[-50:])) * len(decoys) // 50 >= CHUNK:
+                    yield out()
+                    decoys, encs, like = [], [], []
+            if decoys:
+                yield out()
+
+    return run
+
+
+def _plain_case(enc: int) -> str:
+    return UPPER if NAMES[enc] in ("HEX", "base32", "upper36") else LOWER
 
 
 SPAN = "struct<start:long,kind:int,end:long>"
 
 
-def cutoffs(scanned: DataFrame, fdr: float) -> DataFrame:
-    """(class, bin): the widest accepted bin of each class of encoding and length."""
-    counts = (scanned.select(F.explode("runs").alias("x"), F.lit(1).alias("run"), F.lit(0).alias("decoy"))
-              .select("x.class", "x.bin", "run", "decoy")
-              .union(scanned.select(F.explode("decoys").alias("x"), F.lit(0), F.lit(1))
-                     .select("x.class", "x.bin", "`0`", "`1`"))
-              .groupBy("class", "bin").agg(F.sum("run").alias("run"), F.sum("decoy").alias("decoy")))
-    total = F.expr("sum(run) over (partition by class) / greatest(1, sum(decoy) over (partition by class))")
-    upto = "over (partition by class order by bin)"
-    return (counts.withColumn("ratio", total)
-            .withColumn("found", F.expr(f"sum(run) {upto}"))
-            .withColumn("false", F.expr(f"(1 + sum(decoy) {upto}) * greatest(1, ratio)"))
-            .where(F.col("false") <= fdr * F.col("found"))
-            .groupBy("class").agg(F.max("bin").alias("bin")))
+def cutoffs(runs: dict[int, np.ndarray], decoys: dict[int, np.ndarray], fdr: float) -> dict[int, int]:
+    """class -> the widest accepted bin, from the classes' histograms over bins.
+
+    False finds among the runs up to a bin are estimated by one more than the decoys up to
+    it, times runs for each decoy. A class with fewer than LEAST_RUNS runs is judged with
+    its neighbours: further lengths of its encoding, then of all encodings."""
+    none = np.zeros(P_BINS, dtype=np.int64)
+
+    def pooled(hist: dict[int, np.ndarray], encs: list[int], low: int, high: int) -> np.ndarray:
+        return sum((hist.get(e * LENGTHS + k, none) for e in encs for k in range(low, high + 1)), none)
+
+    out = {}
+    for place in runs:
+        enc, length = divmod(place, LENGTHS)
+        for encs, reach in [([enc], r) for r in range(LENGTHS)] + [(list(range(len(NAMES))), r) for r in range(LENGTHS)]:
+            low, high = max(0, length - reach), min(LENGTHS - 1, length + reach)
+            own = pooled(runs, encs, low, high)
+            if own.sum() >= LEAST_RUNS:
+                break
+        sham = pooled(decoys, encs, low, high)
+        if not sham.sum():
+            continue
+        false = (1 + np.cumsum(sham)) * own.sum() / sham.sum()
+        good = np.flatnonzero((false <= fdr * np.cumsum(own)) & (own > 0))
+        if len(good):
+            out[place] = min(int(good[-1]), int(-10 * np.log10(LEAST_P)))
+    return out
+
+
+def _histograms(found: DataFrame) -> dict[int, np.ndarray]:
+    out: dict[int, np.ndarray] = {}  # 192 classes of 120 bins at most
+    for r in found.groupBy("class", "bin").agg(F.count(F.lit(1)).alias("n")).collect():
+        out.setdefault(r["class"], np.zeros(P_BINS, dtype=np.int64))[r["bin"]] = r["n"]
+    return out
 
 
 def find_secrets(docs: DataFrame, fdr: float = 0.05) -> DataFrame:
@@ -217,9 +376,13 @@ def find_secrets(docs: DataFrame, fdr: float = 0.05) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     scanned = written(docs.mapInPandas(
         _scan, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, base array<{SPAN}>, "
-        "runs array<struct<start:long,end:long,class:int,bin:int>>, "
-        "decoys array<struct<class:int,bin:int>>"), "secrets")
-    cut = {r["class"]: r["bin"] for r in cutoffs(scanned, fdr).collect()}  # 192 classes at most
+        "runs array<struct<start:long,end:long,class:int,bin:int>>, decoys array<struct<class:int,bin:int>>, "
+        "bare array<struct<enc:int,length:long,many:int,seed:long>>"), "secrets")
+    of = lambda c: scanned.select(F.explode(c).alias("x")).select("x.class", "x.bin")
+    shams, bare = of("decoys"), scanned.where(F.size("bare") > 0)
+    if not bare.isEmpty():
+        shams = shams.union(bare.select("bare").mapInPandas(_drawn(letter_counts(docs)), "class int, bin int"))
+    cut = cutoffs(_histograms(of("runs")), _histograms(shams), fdr)
     limit = F.create_map(*(F.lit(int(x)) for kv in [(-1, -1), *cut.items()] for x in kv))
     inside = lambda r: F.exists("base", lambda b: (b["start"] < r["end"])
                                 & (r["start"] < b["end"]))

@@ -4,6 +4,7 @@ import re
 import string
 
 import numpy as np
+import pytest
 
 from innspark.llm import secret_scan as sc
 from innspark.llm.common import table
@@ -89,6 +90,74 @@ def test_random_runs_are_found(docs_of):
     assert np.mean([got[k] != [""] for k, _ in rows if k % 2 == 0]) < 0.1
 
 
+def key_of(rng, name):
+    size = {"hex": 64, "HEX": 48}.get(name, 40)
+    alphabet = sc.ENCODINGS[name]
+    while True:
+        made = "".join(rng.choice(alphabet) for _ in range(size))
+        if sc.infer_encoding(made) == sc.NAMES.index(name):
+            return made
+
+
+@pytest.mark.parametrize("plants", (5, 20, 200))
+def test_few_secrets_among_prose(docs_of, plants):
+    """Each encoding but hex, whose runs the fixed pattern has already."""
+    rng = random.Random(plants)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    rows, planted = [], {}
+    for name in sc.NAMES[1:]:
+        for _ in range(plants):
+            text = " ".join(rng.choice(words) for _ in range(rng.choice((0, 8, 90))))
+            planted[len(rows)] = name, f"random:{len(text) + 1}:{len(text) + 1 + len(key := key_of(rng, name))}"
+            rows.append((len(rows), f"{text} {key}"))
+    rows += [(len(rows) + k, " ".join(rng.choice(words) for _ in range(90)) + " camelCaseNameOfSomeMethod2"
+              + " path/to/some_long-file-name") for k in range(60)]
+    got = {r.doc_id: r.spans.split(",") for r in sc.op5_secrets(docs_of(rows)).collect()}
+    for name in sc.NAMES[1:]:
+        assert np.mean([s in got[k] for k, (n, s) in planted.items() if n == name]) >= (0.9 if plants > 5 else 0.8), name
+    assert np.mean([s in got[k] for k, (_, s) in planted.items()]) >= 0.9
+    assert np.mean([got[k] != [""] for k, _ in rows if k not in planted]) < 0.05
+
+
+def test_bare_keys(docs_of):
+    rng = random.Random(3)
+    rows = [(k, key_of(rng, "base62")) for k in range(200)]
+    got = [r.spans for r in sc.op5_secrets(docs_of(rows)).collect()]
+    assert np.mean([s == "random:0:40" for s in got]) >= 0.9
+
+
+def test_mixed_alphabets_and_long_runs():
+    key = "".join(random.Random(1).choices(sc.ENCODINGS["base62"], k=40))
+    (a, b, enc), = sc.runs_of(f"+a/b_{key}-x")  # the plus makes it two alphabets
+    assert key in f"+a/b_{key}-x"[a:b] and b - a <= 44 and sc.NAMES[enc] == "base64url"
+    assert not list(sc.runs_of("camelCaseNameOfSomeMethod2 path/to/some_long-file-name MAX_RETRY_COUNT_LIMIT_9"))
+    long = "".join(random.Random(2).choices(sc.ENCODINGS["base64"], k=3_000_000))
+    enc = sc.NAMES.index("base64")
+    whole, = sc.battery(sc.PLACES[enc][np.frombuffer(long.encode(), np.uint8)], np.array([len(long)]), np.array([64]))
+    was, sc.CHUNK = sc.CHUNK, 1000
+    try:
+        parts = sc.battery(sc.PLACES[enc][np.frombuffer((long[:99_000] + long[:4321]).encode(), np.uint8)],
+                           np.array([99_000, 4321]), np.array([64, 64]))
+    finally:
+        sc.CHUNK = was
+    at_once = sc.battery(sc.PLACES[enc][np.frombuffer((long[:99_000] + long[:4321]).encode(), np.uint8)],
+                         np.array([99_000, 4321]), np.array([64, 64]))
+    assert np.allclose(parts, at_once) and whole > 1e-4
+
+
+def test_memory_of_much_base64():
+    import tracemalloc
+
+    import pandas as pd
+    text = "".join(random.Random(5).choices(sc.ENCODINGS["base64"], k=50_000))
+    batch = pd.DataFrame({"doc_id": range(400), "text": [text] * 400})  # 20 MB in one batch
+    tracemalloc.start()
+    out, = sc._scan(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 400 and all(len(r) == 1 for r in out["runs"]) and peak < 400_000_000
+
+
 def test_odd_rows(docs_of, odd_rows):
     assert sc.op5_secrets(docs_of(odd_rows)).count() == len(odd_rows)
     assert sc.op5_secrets(docs_of([])).count() == 0
