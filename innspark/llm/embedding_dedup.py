@@ -42,9 +42,11 @@ def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             unit = None
             if v is not None and len(v):
                 x = np.array([np.nan if e is None else e for e in v], dtype=np.float64)
-                norm = np.sqrt((x * x).sum()) if np.isfinite(x).all() else 0.0
-                if norm > 0 and np.isfinite(norm):
-                    unit = (x / norm).tobytes()
+                if np.isfinite(x).all() and x.any():
+                    # a power of two takes the largest component near one, exactly:
+                    # squares of any finite vector neither over- nor underflow
+                    x = np.ldexp(x, -int(np.frexp(np.abs(x).max())[1]))
+                    unit = (x / np.sqrt((x * x).sum())).tobytes()
             units.append(unit)
         yield pd.DataFrame({"vec_id": batch["vec_id"], "label": batch["label"], "unit": units})
 

@@ -83,3 +83,13 @@ def test_odd_rows(spark):
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute(rows)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
     assert op9_embeddings(frame(spark, [])).count() == 0
+
+
+def test_extreme_norms_link(spark):
+    base = np.array([3.0, -1.0, 2.0, 0.5])
+    rows = [(k, [float(c) for c in np.ldexp(base, e)], 1) for k, e in enumerate((0, 900, -900, 1020, -1070))]
+    rows += [(9, [5e-324, 0.0, 0.0, 0.0], 1), (10, [1e300, 0.0, 0.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in op9_embeddings(df).collect()}
+    assert got[0] == got[1] == got[2] == got[3] == (4, 0)
+    assert got[9] == got[10] == (1, 9)
