@@ -175,3 +175,59 @@ def monitor_connection_spike(m):
     samples = m["log_runs"].groupBy(F.date_trunc("hour", "started_at").cast("timestamp_ntz").alias("snapshot_time")
                                     ).agg(F.count(F.lit(1)).alias("active_connection_count"))
     return _scores(M.connection_spike(samples), "snapshot_time", "active_connection_count")
+
+
+# ---------------------------------------------------------------------------
+# Dashboard panels over the logs (a panel's limit is its feature)
+# ---------------------------------------------------------------------------
+def _alerts(m):
+    """The alert log in its own schema (H32): the series is the alert's table."""
+    return m["log_alerts"].select("schema_name", F.col("alert_type").alias("table_name"), "alert_type", "severity",
+                                  "detail", "snapshot_date", F.col("created_at").alias("triggered_at"), "is_simulated")
+
+
+@model("monitor_panel_active_alerts", "ops", f"""SELECT schema_name, alert_type AS table_name, alert_type, severity, detail,
+  snapshot_date, created_at AS triggered_at, is_simulated,
+  cast(CASE severity WHEN 'critical' THEN 1 WHEN 'warning' THEN 2 ELSE 3 END AS bigint) AS priority
+FROM log_alerts WHERE snapshot_date = {_DAY} ORDER BY priority, triggered_at DESC, table_name LIMIT 50""",
+       tags=("monitor",))
+def monitor_panel_active_alerts(m):
+    return X.finish(M.panel_active_alerts(_alerts(m), LOG_DATE))
+
+
+@model("monitor_panel_alerts_by_root", "ops", """SELECT c.root_titik_id, count(*) AS event_count
+FROM monitor_daily_stage_events e JOIN monitor_root_causes c USING (event_date, titik_id) GROUP BY c.root_titik_id""",
+       tags=("monitor",))
+def monitor_panel_alerts_by_root(m):
+    """Events of all days by the root cause of their stage on that day."""
+    roots = m["monitor_root_causes"].select("event_date", "titik_id", "root_titik_id")
+    return X.finish(M.panel_alerts_by_root(m["monitor_daily_stage_events"].join(roots, ["event_date", "titik_id"])))
+
+
+@model("monitor_panel_stage_status", "ops", """SELECT titik_id, status, started_at, ran_today FROM monitor_latest_runs""",
+       tags=("monitor",))
+def monitor_panel_stage_status(m):
+    return M.panel_stage_status(m["log_runs"], LOG_DATE)
+
+
+@model("monitor_panel_gate_last_run", "ops", """SELECT t.layer, t.captured_at,
+  cast(count_if(t.status = 'pass') AS bigint) AS passed, cast(count_if(t.status <> 'pass') AS bigint) AS failed
+FROM log_tests t WHERE NOT EXISTS (SELECT 1 FROM log_tests n WHERE n.layer = t.layer AND n.captured_at > t.captured_at)
+GROUP BY ALL""", tags=("monitor",))
+def monitor_panel_gate_last_run(m):
+    return M.panel_gate_last_run(m["log_tests"])
+
+
+@model("monitor_panel_swap_top", "ops", """SELECT dataset_name, table_name, swap_duration_ms FROM log_syncs
+ORDER BY swap_duration_ms DESC NULLS LAST, table_name, dataset_name LIMIT 30""", tags=("monitor",))
+def monitor_panel_swap_top(m):
+    """The slowest swaps."""
+    return M.panel_swap_top(m["log_syncs"]).select("dataset_name", "table_name", "swap_duration_ms")
+
+
+@model("monitor_alert_rule_counts", "ops", f"""SELECT
+  (SELECT count(*) FROM log_alerts WHERE snapshot_date = {_DAY}) AS alerts_last_day,
+  (SELECT count(*) FROM monitor_schema_drift WHERE status = 'pending') AS pending_drift""", tags=("monitor",))
+def monitor_alert_rule_counts(m):
+    """What the two alert rules count."""
+    return M.alert_rule_counts(_alerts(m), m["monitor_schema_drift"], LOG_DATE)

@@ -119,7 +119,7 @@ def _load_all():
     # importing the operator modules registers their models
     from innspark.operators import (access, audits, clean, dims, dq, facts_facility, facts_finance,  # noqa: F401
                                     facts_fnb, facts_hr, facts_reservation, facts_spa_event,
-                                    ml, monitor, observability, profiles, views)
+                                    ml, monitor, observability, profiles, published, views)
     from innspark.sources import extract, sources  # noqa: F401
     from innspark.streaming import streams  # noqa: F401
 
