@@ -35,11 +35,41 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only; every other letter keeps its case."""
     return F.translate(col, UPPER, LOWER)
 
 
+HUBS = 1000  # a key with more than its share of this many of all rows is a hub
+HUB_ROWS = 512  # a key with fewer rows never is
+
+
+def join_hubs(rows: DataFrame, per_key: DataFrame, key: str, n: str, total: int, spread: str
+              ) -> DataFrame:
+    """``rows`` with the other columns of ``per_key``, which has one row for each value
+    of ``key``, and in ``n`` how many of the ``total`` rows have it. ``key`` isn't null.
+
+    Hubs can't be more than HUBS: their values are broadcast, and their rows are spread
+    by ``spread``. All other keys meet in a shuffle, none with over total / HUBS rows."""
+    few = max(HUB_ROWS, total // HUBS)
+    values = [c for c in per_key.columns if c not in (key, n)]
+    hubs = per_key.where(F.col(n) > few).select(
+        key, *[F.col(c).alias(f"hub_{c}") for c in values], F.lit(True).alias("is_hub"))
+    others = per_key.where(F.col(n) <= few).select(key, F.lit(0).alias("salt"), *values)
+    salt = F.when(F.col("is_hub"), F.pmod(F.xxhash64(spread), F.lit(65_536)).cast("int") + 1).otherwise(0)
+    met = (rows.join(F.broadcast(hubs), key, "left").withColumn("salt", salt)
+           .join(others, [key, "salt"], "left"))
+    return met.select(*rows.columns, *[
+        F.when(F.col("is_hub"), F.col(f"hub_{c}")).otherwise(F.col(c)).alias(c) for c in values])
+
+
 EDGES_A_FILE = 250_000
 _CACHE: dict = {}
 
@@ -63,16 +93,17 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     Returns (node, component): one row for every node that has an edge to
     another node; ``component`` is the smallest node reachable. Large-star and
     small-star steps alternate until the edges are stars; each step is one
-    grouped minimum (combined before its shuffle) and one join back, and the
-    result of each round is written, so a lost executor costs one round.
+    grouped minimum (combined before its shuffle) and one join back that spreads a
+    hub's neighbours, and the result of each round is written, so a lost executor
+    costs one round.
     """
-    def stars(e: DataFrame, large: bool) -> DataFrame:
+    def stars(e: DataFrame, large: bool, n: int) -> DataFrame:
         both = e.union(e.select(F.col("b"), F.col("a"))).toDF("u", "v")
         if not large:
             both = both.where("v < u")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            "u", F.least("u", "m").alias("m"))
-        out = both.join(low, "u")
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(
+            "u", F.least("u", "m").alias("m"), "n")
+        out = join_hubs(both, low, "u", "n", 2 * n, "v")
         if large:
             return out.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         return out.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").union(
@@ -82,10 +113,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = written(edges, "edges")
     # there are never more edges than now; files for few rows only cost time
-    files = 1 + edges.count() // EDGES_A_FILE
+    many = edges.count()
+    files = 1 + many // EDGES_A_FILE
     state = None
     while True:
-        edges = written(stars(stars(edges, True), False).distinct().coalesce(files), "edges")
+        edges = written(stars(stars(edges, True, many), False, many).distinct().coalesce(files), "edges")
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")
                                                        ).alias("h")).first()
         if state == now:

@@ -13,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innspark.llm.common import ascii_lower
+from innspark.llm.common import ascii_lower, fresh, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BROADCAST_WORDS = 2_000_000  # words in the benchmark's windows; some 30 MB
+BROADCAST_WORDS = 2_000_000  # words and item ids of the benchmark's windows; some 30 MB
 
 
 def words(text: Column) -> Column:
@@ -46,11 +46,11 @@ def _hash(w: Column, pos: Column, length: Column, lens) -> Column:
 def _matches(docs: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:
     """(doc_id, th, n_words, copies, at, items): distinct rows with their count."""
     docs = docs.select(F.col("doc_id"), F.col("text"))
-    bench = _windows(benchmark.select(F.col("item_id"), F.col("text")), n).persist()
-    sizes = [(r["len"], r["n"]) for r in
-             bench.groupBy("len").agg(F.count("*").alias("n")).collect()]  # n rows at most
-    lens = sorted(k for k, _ in sizes)
-    small = sum(k * c for k, c in sizes) <= BROADCAST_WORDS
+    bench = written(_windows(benchmark.select(F.col("item_id"), F.col("text")), n), "windows")
+    sizes = bench.groupBy("len").agg(F.count("*").alias("n"),
+                                     F.sum(F.size("items")).alias("ids")).collect()  # n rows at most
+    lens = sorted(r["len"] for r in sizes)
+    small = sum(r["len"] * r["n"] + r["ids"] for r in sizes) <= BROADCAST_WORDS
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("w"))
     # -1 stands for the document itself, pos * (n + 1) + len for a window
     marks = [f"if(size(w) >= {k}, sequence({k}, (size(w) - {k}) * {n + 1} + {k}, {n + 1}), array())"
@@ -117,31 +117,36 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFra
                     F.array_sort(F.transform("items", lambda x: x.cast("string"))).alias("items")))
 
 
-def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark window."""
+def _bad(docs: DataFrame, benchmark: DataFrame, n: int) -> tuple[DataFrame, Column, str]:
+    """The documents with hits, how a row of ``docs`` meets them, the column of the hits."""
+    doc, text, at = (fresh(docs, c) for c in ("bad_id", "bad_text", "bad_at"))
     bad = (_matches(docs, benchmark, n).where(F.size("at") > 0)
-           .select(F.col("doc_id").alias("_bad_id"), F.col("th").alias("_bad_text")))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id"))
-                     & (F.xxhash64("text") == F.col("_bad_text")), "left_anti")
+           .select(F.col("doc_id").alias(doc), F.col("th").alias(text), F.col("at").alias(at)))
+    return bad, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(text)), at
+
+
+def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
+    """``docs`` without the documents that hold a benchmark window. Null and empty
+    texts hold none; a row goes by its own text, also where others share its doc_id
+    (or have none); all columns stay, whatever their names."""
+    bad, same, _ = _bad(docs, benchmark, n)
+    return docs.join(bad, same, "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """``docs`` whose texts lose the words of benchmark windows, together with
-    what stands between two of them."""
-    bad = (_matches(docs, benchmark, n).where(F.size("at") > 0)
-           .select(F.col("doc_id").alias("_bad_id"), F.col("th").alias("_bad_text"),
-                   F.col("at").alias("_at")))
-    out = docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id"))
-                    & (F.xxhash64("text") == F.col("_bad_text")), "left")
+    what stands between two of them. Null and empty texts stay as they are; repeated
+    rows are each returned; all other columns stay, whatever their names."""
+    bad, same, at = _bad(docs, benchmark, n)
     whole = WORD.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")  # words before lower-casing
     word, gap = F.regexp_extract_all("text", F.lit(whole), 0), F.split("text", whole, -1)
-    hit = lambda i: F.exists("_at", lambda x: (x["start"] <= i) & (i < x["end"]))
+    hit = lambda i: F.exists(at, lambda x: (x["start"] <= i) & (i < x["end"]))
     kept = F.transform(gap, lambda g, i: F.concat(
         F.when((i > 0) & hit(i) & hit(i - 1), F.lit("")).otherwise(g),
         F.when(hit(i), F.lit("")).otherwise(F.coalesce(F.get(word, i), F.lit("")))))
-    return (out.withColumn("text", F.when(F.col("_at").isNull(), F.col("text"))
-                           .otherwise(F.array_join(kept, "")))
-            .drop("_bad_id", "_bad_text", "_at"))
+    return (docs.join(bad, same, "left")
+            .withColumn("text", F.when(F.col(at).isNull(), F.col("text")).otherwise(F.array_join(kept, "")))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def op6_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innspark.llm.common import worker_cache, written
+from innspark.llm.common import fresh, worker_cache, written
 
 LETTERS = regex.compile(r"\p{L}+")
 PART = 40  # letters; a longer word is scored in parts of this size
@@ -298,8 +298,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     guess = F.pandas_udf(run, "lang_pred string, score double")  # type: ignore[call-overload]
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*keep, guess("text").alias("_guess")).select(
-        *keep, F.col("_guess.lang_pred"), F.col("_guess.score"))
+    name = fresh(docs, "guess")
+    return docs.select(*keep, guess("text").alias(name)).select(
+        *keep, F.col(f"{name}.lang_pred"), F.col(f"{name}.score"))
 
 
 def held_out(docs: DataFrame) -> DataFrame:

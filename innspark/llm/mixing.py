@@ -25,33 +25,44 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from innspark.llm.common import written
+from innspark.functions.exprs import numbered_rows
+from innspark.llm.common import fresh, join_hubs, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)  # by code point order of the sources, repeating
 SHARE = 1.5  # of all sizes
 MOST = 2.0  # copies of a source
 BLOCK = 4096  # documents of a block
-MAX_SOURCES = 100_000  # sources are a catalogue; their totals go to the driver
+RUN = 10_000  # equal rows that a task numbers
 LAND = 12  # documents of a source that land together with the last undecided two
 EPS = 1e-9
 
 
-def targets(sizes: dict[str | None, int], weights: tuple = WEIGHTS, share: float = SHARE,
-            most: float = MOST) -> dict[str | None, float]:
-    """Target of each source: its weight's part of ``share`` of all sizes, at most
-    ``most`` times its size; what is above goes to the others by weight."""
-    names = sorted(sizes, key=lambda s: (s is None, s or ""))  # str order is code point order
-    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
-    total, out, free = share * sum(sizes.values()), {}, list(names)
-    while free:
-        unit = max(0.0, total - sum(out.values())) / sum(weight[s] for s in free)
-        above = [s for s in free if unit * weight[s] > most * sizes[s]]
-        if not above:
-            return out | {s: unit * weight[s] for s in free}
-        out |= {s: most * sizes[s] for s in above}
-        free = [s for s in free if s not in out]
-    return out
+def targets(by_source: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
+            most: float = MOST) -> DataFrame:
+    """``by_source`` (source, size long, one row a source) with the column target, as a
+    table: the source's weight's part of ``share`` of all sizes, at most ``most`` times
+    its size; what is above goes to the others by weight. Weights go by code point
+    order, the null source last.
+
+    Sources are ranked by a distributed sort. The level per unit of weight rises until
+    no further source is above its bound; a round needs the sums of both kinds only."""
+    ranked = numbered_rows(by_source.withColumn("name", _name()), [], "name", "place")
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    table = written(ranked.withColumn("weight", weight).drop("place", "name"), "sources")
+    level, bounded, known = 0.0, F.lit(False), -1
+    while True:
+        now = table.agg(F.sum("size").alias("size"), F.count_if(bounded).alias("n"),
+                        F.sum(F.when(bounded, F.col("size"))).alias("bounded"),
+                        F.sum(F.when(~bounded, F.col("weight"))).alias("weight")).first()
+        if now["n"] == known or not now["weight"]:
+            break
+        known = now["n"]
+        left = share * now["size"] - most * (now["bounded"] or 0)
+        level = max(level, left / now["weight"])
+        bounded = F.lit(level) * F.col("weight") > most * F.col("size")
+    return table.withColumn("target", F.when(bounded, most * F.col("size")).otherwise(
+        F.lit(level) * F.col("weight"))).drop("weight")
 
 
 def flight(p: list[float], size: list[float], rng: random.Random, land: bool) -> list[float]:
@@ -110,33 +121,33 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
 
     ``size`` counts the words of the text (null: 0). The null source is a source
     of its own, the last in order. A source without words has target 0. Rows that
-    repeat a doc_id are documents of their own. Other columns are ignored. The same
+    repeat a doc_id are documents of their own; equal rows are told apart by number, so
+    any number of them spreads over the blocks. Other columns are ignored. The same
     input gives the same mix: blocks, their order and their random numbers come
     from hashes.
     """
-    sized = written(docs.select(
+    counted = docs.select(
         F.col("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        _row().alias("row"), F.xxhash64(_row(), F.lit(seed)).alias("h")), "sizes")
+        _row().alias("row"))
+    sized = written(_numbered(counted).withColumn(
+        "h", F.when(F.col("nth") == 0, F.xxhash64("row", F.lit(seed)))
+        .otherwise(F.xxhash64("row", F.lit(seed), "nth"))).drop("nth"), "sizes")
     by_source = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-    sources = by_source.limit(MAX_SOURCES + 1).collect()
-    if len(sources) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    goal = targets({r["source"]: r["size"] for r in sources}, weights, share, most)
-    table = docs.sparkSession.createDataFrame(
-        [(r["source"], r["size"], r["n"], float(goal[r["source"]]),
-          goal[r["source"]] / r["size"] if r["size"] else 0.0) for r in sources],
-        "g string, source_size long, n long, target double, rate double")
-    state = (sized.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("g")), "left").drop("g")
-             .withColumn("whole", F.floor("rate").cast("int"))
-             .withColumn("p", F.col("rate") - F.col("whole"))
-             .withColumn("blocks", F.ceil(F.col("n") / block)).drop("n", "rate")
+    rate = F.when(F.col("size") > 0, F.col("target") / F.col("size")).otherwise(0.0)
+    table = written(targets(by_source, weights, share, most).select(
+        _name().alias("name"), "n", F.col("size").alias("source_size"), "target", rate.alias("rate"),
+        F.ceil(F.col("n") / block).alias("blocks")), "targets")
+    totals = table.agg(F.sum("n").alias("n"), F.max("blocks").alias("blocks")).first()
+    state = (join_hubs(sized.withColumn("name", _name()), table, "name", "n", totals["n"] or 0, "h")
+             .drop("name").withColumn("whole", F.floor("rate").cast("int"))
+             .withColumn("p", F.col("rate") - F.col("whole")).drop("rate")
              .withColumn("block", F.lit(0).cast("long")))
     done, turn = [], 0
     fraction = (F.col("p") > EPS) & (F.col("p") < 1 - EPS)
     done.append(state.where(~fraction).withColumn("p", F.round("p")))
     state = state.where(fraction)
-    most_blocks = max((-(-r["n"] // block) for r in sources), default=0)
+    most_blocks = totals["blocks"] or 0
     while most_blocks:
         cut = state.withColumn("block", F.pmod(F.xxhash64("h", F.lit(turn)), F.col("blocks")))
         flown = written(cut.groupBy("source", "block").applyInPandas(_fly(seed, turn), cut.schema),
@@ -159,16 +170,38 @@ def _row() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
+def _name() -> Column:
+    """The source as a join key that isn't null."""
+    return F.when(F.col("source").isNull(), "b").otherwise(F.concat(F.lit("a"), F.col("source")))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with nth, which counts equal rows from 0. They are counted first, and
+    a task gives RUN of them at most."""
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("same"))
+    few = counted.where(F.col("same") <= RUN).select(
+        *rows.columns, F.explode(F.expr("sequence(0, same - 1)")).alias("nth"))
+    runs = (counted.where(F.col("same") > RUN)
+            .withColumn("run", F.explode(F.expr(f"sequence(0, (same - 1) div {RUN})")))
+            .repartition(*rows.columns, "run"))
+    many = runs.select(*rows.columns, F.explode(F.expr(
+        f"sequence(run * {RUN}, least(same, (run + 1) * {RUN}) - 1)")).alias("nth"))
+    return few.union(many)
+
+
 def take(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as often as ``mixed`` (from ``mix``) takes it."""
-    copies = (mixed.where("copies > 0")
-              .select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "copies")
-              .groupBy("_id", "_row").agg(F.sort_array(F.collect_list("copies"), False).alias("_copies")))
-    same = Window.partitionBy("_id", "_row").orderBy("_row")  # rows that repeat a document
-    return (docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (_row() == F.col("_row")))
-            .withColumn("_n", F.get("_copies", F.row_number().over(same) - 1)).where("_n > 0")
-            .withColumn("_copy", F.explode(F.expr("sequence(1, cast(_n as int))")))
-            .select(*docs.columns))
+    """The rows of ``docs``, each as often as ``mixed`` (from ``mix``) takes it. Rows
+    that repeat a doc_id and text take their numbers in any order; no row of ``mixed``,
+    no copy. All columns stay, whatever their names."""
+    doc, row, copies, nth, copy = (fresh(docs, c) for c in ("doc", "row", "copies", "nth", "copy"))
+    lists = (mixed.where("copies > 0")
+             .select(F.col("doc_id").alias(doc), F.col("row").alias(row), F.col("copies").alias("x"))
+             .groupBy(doc, row).agg(F.sort_array(F.collect_list("x"), False).alias(copies)))
+    same = Window.partitionBy(doc, row).orderBy(row)  # rows that repeat a document
+    return (docs.join(lists, F.col("doc_id").eqNullSafe(F.col(doc)) & (_row() == F.col(row)))
+            .withColumn(nth, F.get(copies, F.row_number().over(same) - 1)).where(F.col(nth) > 0)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(nth).cast("int"))))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def op2_mixing(docs: DataFrame) -> DataFrame:

@@ -61,3 +61,29 @@ def test_empty(spark, docs_of):
     assert op6_decontaminate(docs_of([]), none).count() == 0
     rows = op6_decontaminate(docs_of(DOCS), none).collect()
     assert len(rows) == len(DOCS) and not any(r.contaminated for r in rows)
+
+
+def test_removal_keeps_columns_with_its_own_names(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, "x " + text, 5, 6, 7), (1, "clean", 5, 6, 7), (None, None, 5, 6, 7)],
+                                 "doc_id long, text string, bad_id int, bad_text int, bad_at int")
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    left = remove_documents(docs, items)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect()), key=str) == [(1, "clean", 5, 6, 7), (None, None, 5, 6, 7)]
+    cut = remove_spans(docs, items)
+    assert cut.columns == docs.columns
+    assert sorted(map(tuple, cut.collect()), key=str) == [
+        (1, "clean", 5, 6, 7), (1, "x ", 5, 6, 7), (None, None, 5, 6, 7)]
+
+
+def test_ids_of_a_shared_window_count_in_the_broadcast(docs_of, spark, monkeypatch):
+    """A window of many items: beyond the bound the join is a shuffle, with equal rows."""
+    text = "one two three four five six seven eight nine ten"
+    docs = docs_of([(1, text), (2, "nothing of it")])
+    items = spark.createDataFrame([(k, text) for k in range(40)], "item_id long, text string")
+    want = sorted(map(tuple, op6_decontaminate(docs, items).collect()))
+    assert [r[3] for r in want] == [40, 0]
+    monkeypatch.setattr(decontaminate, "BROADCAST_WORDS", 30)
+    plan = op6_decontaminate(docs, items)
+    assert sorted(map(tuple, plan.collect())) == want

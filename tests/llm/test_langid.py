@@ -116,3 +116,11 @@ def test_no_labels_and_empty(docs_of):
     rows = [(k, "some words", None, None) for k in range(4)]
     assert {r.lang_pred for r in langid.op4_language(docs_of(rows), VOCAB).collect()} == {"und"}
     assert langid.op4_language(docs_of([]), VOCAB).count() == 0
+
+
+def test_columns_with_its_own_names(spark):
+    docs = spark.createDataFrame([("ab ba", 1, 2)], "text string, guess int, Guess_ int")
+    pieces, t = model()
+    out = langid.predict(docs, langid.Model(pieces, ["x", "y"], t))
+    assert out.columns == ["text", "guess", "Guess_", "lang_pred", "score"]
+    assert tuple(out.first())[:3] == ("ab ba", 1, 2)

@@ -22,13 +22,50 @@ def brute_targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
     return {s: min(most * sizes[s], high * w[s]) for s in names}
 
 
-def test_targets():
-    for seed in range(20):
+def targets_of(spark, sizes):
+    rows = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    return {r.source: r.target for r in mixing.targets(rows).collect()}
+
+
+def test_targets(spark):
+    for seed in range(6):
         rng = random.Random(seed)
-        sizes = {s: rng.randrange(0, 5000) for s in ["b", "a", "é", "Z", "z1", None][:rng.randrange(1, 7)]}
-        want, got = brute_targets(sizes), mixing.targets(sizes)
-        assert got == pytest.approx(want, abs=1e-3)
-    assert mixing.targets({}) == {} and mixing.targets({"a": 0}) == {"a": 0.0}
+        sizes = {s: rng.randrange(0, 5000) for s in ["b", "a", "é", "Z", "z1", "\U0001f600", "\uffee", None]
+                 [:rng.randrange(1, 9)]}
+        assert targets_of(spark, sizes) == pytest.approx(brute_targets(sizes), abs=1e-3)
+    assert targets_of(spark, {}) == {} and targets_of(spark, {"a": 0}) == {"a": 0.0}
+
+
+def test_targets_of_many_sources(spark):
+    rng = random.Random(9)
+    sizes = {f"host{k}": int(rng.paretovariate(0.8)) for k in range(20_000)}
+    got, want = targets_of(spark, sizes), brute_targets(sizes)
+    assert got.keys() == want.keys()
+    assert max(abs(got[s] - want[s]) / max(1, want[s]) for s in want) < 1e-6
+
+
+def test_equal_rows_spread_over_blocks(docs_of, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN", 50)
+    rows = [(7, "same words here", "en", "a")] * 900 + [(k, "w " * (k % 9), "en", "b") for k in range(300)]
+    got = mixing.mix(docs_of(rows), block=32)
+    again = mixing.mix(docs_of(rows).repartition(5), block=32)
+    order = lambda f: sorted((r.doc_id, r.size, r.taken) for r in f.collect())
+    assert order(got) == order(again) and got.count() == len(rows)
+    of_a = [r for r in got.collect() if r.doc_id == 7 and r.size == 3]
+    assert len(of_a) >= 900 and abs(sum(r.taken for r in of_a) - of_a[0].target) <= 30
+    numbered = mixing._numbered(docs_of(rows).select("doc_id", "text"))
+    assert numbered.where("doc_id = 7 and text = 'same words here'").select("nth").distinct().count() == 900
+
+
+def test_take_keeps_columns_with_its_own_names(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b c", "s", 7, 8, 9, 10), (1, "a b c", "s", 7, 8, 9, 10), (2, "d e", "t", 7, 8, 9, 10)],
+        "doc_id long, text string, source string, doc int, row int, nth int, copy int")
+    mixed = mixing.mix(docs)
+    out = mixing.take(docs, mixed)
+    assert out.columns == docs.columns
+    assert {tuple(r)[3:] for r in out.collect()} <= {(7, 8, 9, 10)}
+    assert out.count() == sum(r.copies for r in mixed.collect()) > 0
 
 
 def test_flight_keeps_totals():
@@ -67,7 +104,7 @@ def test_mix(docs_of, block):
         sizes[of[r.doc_id]] += r.size
         taken[of[r.doc_id]] += r.taken
         target[of[r.doc_id]] = r.target
-    assert target == pytest.approx(mixing.targets(sizes))
+    assert target == pytest.approx(brute_targets(sizes), abs=1e-3)
     assert all(abs(taken[s] - target[s]) <= 30 for s in target)
 
 
