@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innspark.llm.common import components, release_cache, written
@@ -33,6 +33,7 @@ BANDS, ROWS = 32, 4  # a pair at 0.8 shares no band with a probability of 5e-8
 AGREE = 0.6
 BATCH_BYTES = 1 << 21
 BLOCK = 512  # documents on each side of a task that compares two blocks
+BLOCK_SHINGLES = 1 << 20  # shingles of a block, in the mean over a component's blocks
 
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -237,12 +238,16 @@ def _hub_links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, words: int,
 
 def _split_links(left: DataFrame, texts: DataFrame, words: int, percent: int, block: int
                  ) -> DataFrame:
-    """Edges that join components of buckets with several: ``left`` (rep, c, hc) has
-    their members with their own component and that of the bucket's hub."""
+    """Edges that join components of buckets with several: ``left`` (rep, n, c, hc) has
+    their members with their own component and that of the bucket's hub. Blocks are
+    cut by members and by shingles: long texts share a task with few others."""
     rows = left.withColumn("outer", F.col("c") != F.col("hc")).distinct()
-    sizes = rows.groupBy("hc").agg(
-        F.ceil(F.sum(F.col("outer").cast("int")) / block).cast("int").alias("nx"),
-        F.ceil(F.count("*") / block).cast("int").alias("ny"))
+
+    def blocks(which: Column) -> Column:
+        members, shingles = F.sum(which.cast("int")), F.sum(F.when(which, F.col("n")).otherwise(0))
+        return F.greatest(F.ceil(members / block), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+    sizes = rows.groupBy("hc").agg(blocks(F.col("outer")).alias("nx"), blocks(F.lit(True)).alias("ny"))
     own = F.xxhash64("rep")
     # each member is on the right side; the outer ones also on the left
     sides = F.when(F.col("outer"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
@@ -276,7 +281,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     reps = written(described.where(~alone).groupBy("f1", "f2", "n").agg(
         F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"),
         F.min_by("coords", "doc_id").alias("coords")), "representatives")
-    posted = reps.select("rep", F.explode("bands").alias("key"))
+    posted = reps.select("rep", "n", F.explode("bands").alias("key"))
     hubs = posted.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where(
         "size > 1").drop("size")
     members = written(posted.join(hubs, "key"), "buckets")
@@ -291,9 +296,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     placed = written(
         members.join(found.select(F.col("node").alias("rep"), F.col("component").alias("c")), "rep", "left")
         .join(found.select(F.col("node").alias("hub"), F.col("component").alias("hc")), "hub", "left")
-        .select("key", "rep", own("rep", "c").alias("c"), own("hub", "hc").alias("hc")), "placed")
+        .select("key", "rep", "n", own("rep", "c").alias("c"), own("hub", "hc").alias("hc")), "placed")
     split = placed.where("c != hc").select("key").distinct()
-    left = placed.join(split, "key", "left_semi").select("rep", "c", "hc")
+    left = placed.join(split, "key", "left_semi").select("rep", "n", "c", "hc")
     more = _split_links(left, texts, words, percent, block)
     found = components(spark, links.union(more))
     by_set = reps.select("f1", "f2", "n", "rep")

@@ -1,10 +1,11 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from innspark.llm import minhash
+from innspark.llm import common, minhash
 from innspark.llm.common import components
 from innspark.llm.minhash import near_duplicates, op3_near_duplicates
 
@@ -106,3 +107,31 @@ def test_components(spark):
         spark, spark.createDataFrame([rng.sample(e, 2) for e in edges], "a long, b long")).collect()}
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: root[x] for x in linked}
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    monkeypatch.setattr(common, "HUB_ROWS", 3)
+    test_components(spark)
+    star = [(5, k) for k in range(6, 4000)] + [(k, k + 1) for k in range(5000, 5040)]
+    got = {r.node: r.component for r in components(
+        spark, spark.createDataFrame(star, "a long, b long")).collect()}
+    assert got == {k: 5 for k in range(5, 4000)} | {k: 5000 for k in range(5000, 5041)}
+
+
+def test_join_hubs(spark):
+    rows = [(str(k % 7) if k % 3 else "hot", k) for k in range(3000)]
+    counts = Counter(key for key, _ in rows)
+    left = spark.createDataFrame(rows, "key string, v long")
+    right = spark.createDataFrame([(key, n, f"x{key}", None) for key, n in counts.items()],
+                                  "key string, n long, a string, b string")
+    got = common.join_hubs(left, right, "key", "n", len(rows), "v")
+    assert got.columns == ["key", "v", "a", "b"]
+    assert sorted(map(tuple, got.collect())) == sorted((key, v, f"x{key}", None) for key, v in rows)
+
+
+def test_blocks_cut_by_shingles(docs_of, monkeypatch):
+    """Blocks of few long texts give the components of all pairs."""
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 400)
+    rows = chains(random.Random(4))
+    got = near_duplicates(docs_of(rows)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute(rows))
