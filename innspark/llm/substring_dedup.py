@@ -6,8 +6,10 @@ the one with the least hash is the string's anchor, so equal strings have equal
 anchors at equal offsets and only strings with one anchor gram need comparing.
 The strings of one anchor occurrence are neighbours; they form its context.
 
-1. One pass hashes each anchor gram and its context. Sorted by both, equal
-   contexts stand together: all strings of the later ones are repeats.
+1. One pass hashes each anchor gram and its context. Equal contexts of one chunk
+   of texts are combined at once: only the earliest goes on, all strings of the
+   later ones are repeats. So a passage of very many documents sends one row a
+   chunk. Sorted by gram and context, equal contexts of all chunks stand together.
 2. Anchor grams with more than one context have strings that agree in part. The
    first occurrence of each such context is cut from its text, and the contexts
    of one gram are compared string by string.
@@ -120,25 +122,68 @@ def _describe(length: int, gram: int):
     def out(docs: list[int], starts: list[int], pieces: list[bytes]) -> pd.DataFrame:
         with np.errstate(over="ignore"):
             piece, first, count, key, context = _anchors(pieces, length, gram)
-        return pd.DataFrame({"gram": key, "context": context, "doc_id": np.array(docs)[piece],
-                             "first": np.array(starts)[piece] + first,
-                             "strings": count.astype(np.int32)})
+        doc, first = np.array(docs)[piece], np.array(starts)[piece] + first
+        order, new, gone = _later(key, context, doc, first)
+        keep, spans = order[new], _spans(doc[gone], first[gone], (first + count - 1 + length)[gone])
+        none = np.zeros(len(spans[0]), dtype=np.int64)
+        return pd.DataFrame({
+            "gone": np.arange(len(keep) + len(none)) >= len(keep),
+            "gram": np.concatenate([key[keep], none]), "context": np.concatenate([context[keep], none]),
+            "doc_id": np.concatenate([doc[keep], spans[0]]),
+            "first": np.concatenate([first[keep], spans[1]]),
+            "end": np.concatenate([(first + count - 1 + length)[keep], spans[2]])})
 
     return run
 
 
-def _judge(length: int):
-    """Rows sorted by gram, context and place: an interval for each occurrence of a
-    context after its first (no gram), and the first ones of grams with several."""
+def _later(gram: np.ndarray, context: np.ndarray, doc: np.ndarray, first: np.ndarray
+           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order by context, gram and place; which rows in it are the earliest of their
+    context; and the rows, unordered, that stand at another place than the earliest."""
+    order = np.lexsort((first, doc, gram, context))
+    gram, context, doc, first = gram[order], context[order], doc[order], first[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (context[1:] != context[:-1]) | (gram[1:] != gram[:-1])
+    at = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    return order, new, order[(doc != doc[at]) | (first != first[at])]
+
+
+def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Intervals of one document that touch, joined."""
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order], end[order]
+    other = np.ones(len(doc), dtype=bool)
+    other[1:] = doc[1:] != doc[:-1]
+    # the furthest end so far in the document: its texts may differ, if its id repeats
+    shift = np.cumsum(other) * (end.max(initial=0) + 1)
+    end = np.maximum.accumulate(end + shift) - shift
+    new = other.copy()
+    new[1:] |= start[1:] > end[:-1]
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], len(doc))[:len(begin)] - 1
+    return doc[begin], start[begin], end[last]
+
+
+def _judge():
+    """Intervals found before, then rows sorted by gram, context and place: an interval for
+    each occurrence of a context after its first (no gram), and the first ones of grams
+    with several."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last = (None, None)  # gram and context of the row before
         place = (0, 0)  # its context's first occurrence
         seen, held = 0, None  # contexts of its gram; the only one so far
         for batch in batches:
+            found = batch["gone"].to_numpy()
+            if found.any():
+                yield pd.DataFrame({
+                    "gram": pd.array(np.zeros(found.sum(), np.int64), dtype="Int64"), "ask": False,
+                    "doc_id": batch["doc_id"].to_numpy()[found],
+                    "start": batch["first"].to_numpy()[found], "end": batch["end"].to_numpy()[found]})
+                batch = batch[~found]
             if not len(batch):
                 continue
-            gram, context, doc, first, count = (batch[c].to_numpy() for c in (
-                "gram", "context", "doc_id", "first", "strings"))
+            gram, context, doc, first, end = (batch[c].to_numpy() for c in (
+                "gram", "context", "doc_id", "first", "end"))
             new_gram = np.ones(len(gram), dtype=bool)
             new_gram[1:] = gram[1:] != gram[:-1]
             new_gram[0] = last[0] is None or gram[0] != last[0]
@@ -162,13 +207,13 @@ def _judge(length: int):
                 yield pd.DataFrame({
                     "gram": pd.array(np.where(ask, gram, 0)[rows], dtype="Int64"),
                     "ask": ask[rows], "doc_id": doc[rows], "start": first[rows],
-                    "end": (first + count - 1 + length)[rows]})
+                    "end": end[rows]})
             seen = int(contexts[-1])
             k = int(at[-1])
             if seen == 1 and k >= 0:
                 held = pd.DataFrame({"gram": pd.array(gram[k:k + 1], dtype="Int64"), "ask": [True],
                                      "doc_id": doc[k:k + 1], "start": first[k:k + 1],
-                                     "end": first[k:k + 1] + count[k:k + 1] - 1 + length})
+                                     "end": end[k:k + 1]})
             last, place = (gram[-1], context[-1]), (int(doc0[-1]), int(first0[-1]))
 
     return run
@@ -304,11 +349,13 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     of ``length`` bytes that start earlier too: in a document with a smaller doc_id, or
     before in the same one. They can overlap. Rows without doc_id take no part."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    anchors = docs.mapInPandas(
-        _describe(length, gram), "gram long, context long, doc_id long, first long, strings int")
-    judged = written(anchors.repartition("gram")
-                     .sortWithinPartitions("gram", "context", "doc_id", "first")
-                     .mapInPandas(_judge(length), "gram long, ask boolean, doc_id long, start long, end long"),
+    anchors = docs.mapInPandas(_describe(length, gram), "gone boolean, gram long, context long, "
+                               "doc_id long, first long, end long")
+    # intervals that are found already have no gram: they are spread by their place
+    key = F.when(F.col("gone"), F.xxhash64("doc_id", "first")).otherwise(F.col("gram"))
+    judged = written(anchors.repartition(key)
+                     .sortWithinPartitions(F.col("gone").desc(), "gram", "context", "doc_id", "first")
+                     .mapInPandas(_judge(), "gram long, ask boolean, doc_id long, start long, end long"),
                      "judged")
     asks = judged.where("ask").select("gram", "doc_id", "start", "end")
     busy = asks.groupBy("gram").count().where(F.col("count") > hot).select("gram", F.lit(True).alias("hot"))
