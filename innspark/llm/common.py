@@ -117,7 +117,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     files = 1 + many // EDGES_A_FILE
     state = None
     while True:
-        edges = written(stars(stars(edges, True, many), False, many).distinct().coalesce(files), "edges")
+        # each step reads its edges several times: the first one's are written, too
+        edges = written(stars(edges, True, many).coalesce(files), "edges")
+        edges = written(stars(edges, False, many).distinct().coalesce(files), "edges")
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")
                                                        ).alias("h")).first()
         if state == now:

@@ -300,7 +300,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     split = placed.where("c != hc").select("key").distinct()
     left = placed.join(split, "key", "left_semi").select("rep", "n", "c", "hc")
     more = _split_links(left, texts, words, percent, block)
-    found = components(spark, links.union(more))
+    # the components found so far stand for their links
+    found = components(spark, found.toDF("a", "b").union(more))
     by_set = reps.select("f1", "f2", "n", "rep")
     return (described.select("doc_id", "n", "f1", "f2").join(by_set, ["f1", "f2", "n"], "left")
             .join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
