@@ -48,3 +48,51 @@ def test_configure_bounds_splits_and_partitions(spark):
         configure(spark)
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
         assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_counted_key_carries_no_flags(spark, mart):
+    from innspark.operators import dq
+    lines = [x for x in plan(dq.fused_checks(mart, dq.SUITES)).splitlines() if "Aggregate [of_table" in x and "key" in x]
+    assert lines and not any("sum(f" in x for x in lines)
+
+
+def test_profile_of_a_table_groups_narrow_rows(spark):
+    from innspark.operators.monitor import profile
+    df = spark.createDataFrame([("a", 1.5), ("A ", -0.0), ("a", 0.0), (None, None), (None, None), ("a", 1.5)],
+                               "name string, v double")
+    out = profile(df, "t")
+    assert "Expand" not in plan(out)
+    got = {r.column_name: (r.row_count, r.distinct_count, r.case_variant_groups, r.duplicate_rows) for r in out.collect()}
+    assert got == {"name": (6, 2, 1, 2), "v": (6, 2, None, 2)}
+
+
+def test_payroll_is_dealt_out(spark, mart):
+    assert "RepartitionByExpression" in plan(mart["src_payroll"])
+
+
+def test_folds_carry_text_only(spark):
+    from innspark.operators.profiles import profile_tables
+    df = spark.createDataFrame([("Ab", 1, 2.0), (" ab", 1, -2.0), (None, 7, None), (None, 7, None)],
+                               "name string, n int, v double")
+    out = profile_tables({"t": df, "u": df.where("n = 1")})
+    folds = [x for x in plan(out).splitlines() if "Aggregate [place" in x and "_groupingexpression" in x]
+    assert folds and not any("min(" in x for x in folds)
+    got = {(r.table_name, r.column_name): tuple(r)[1:2] + tuple(r)[3:] for r in out.collect()}
+    assert got == {
+        ("t", "name"): (4, 50.0, 2, 2, " ab", "Ab", None, 1, 1), ("t", "n"): (4, 0.0, 2, None, "1.0000", "7.0000", 0, None, 1),
+        ("t", "v"): (4, 50.0, 2, None, "-2.0000", "2.0000", 1, None, 1),
+        ("u", "name"): (2, 0.0, 2, 2, " ab", "Ab", None, 1, 0), ("u", "n"): (2, 0.0, 1, None, "1.0000", "1.0000", 0, None, 0),
+        ("u", "v"): (2, 0.0, 2, None, "-2.0000", "2.0000", 1, None, 0)}
+
+
+def test_outlier_series_are_numbers(spark, mart, monkeypatch):
+    from innspark.operators import profiles
+    seen = []
+    counted = X.counted_values
+    monkeypatch.setattr(X, "counted_values", lambda df, keys, v: seen.append(dict(df.dtypes)) or counted(df, keys, v))
+    assert profiles.outlier_history(mart).columns[:4] == [*profiles.SERIES, "snapshot_date"]
+    assert "string" not in seen[0].values()
