@@ -83,9 +83,9 @@ def test_folds_carry_text_only(spark):
     assert folds and not any("min(" in x for x in folds)
     got = {(r.table_name, r.column_name): tuple(r)[1:2] + tuple(r)[3:] for r in out.collect()}
     assert got == {
-        ("t", "name"): (4, 50.0, 2, 2, " ab", "Ab", None, 1, 1), ("t", "n"): (4, 0.0, 2, None, "1.0000", "7.0000", 0, None, 1),
+        ("t", "name"): (4, 50.0, 2, 1, " ab", "Ab", None, 1, 1), ("t", "n"): (4, 0.0, 2, None, "1.0000", "7.0000", 0, None, 1),
         ("t", "v"): (4, 50.0, 2, None, "-2.0000", "2.0000", 1, None, 1),
-        ("u", "name"): (2, 0.0, 2, 2, " ab", "Ab", None, 1, 0), ("u", "n"): (2, 0.0, 1, None, "1.0000", "1.0000", 0, None, 0),
+        ("u", "name"): (2, 0.0, 2, 1, " ab", "Ab", None, 1, 0), ("u", "n"): (2, 0.0, 1, None, "1.0000", "1.0000", 0, None, 0),
         ("u", "v"): (2, 0.0, 2, None, "-2.0000", "2.0000", 1, None, 0)}
 
 
