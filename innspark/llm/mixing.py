@@ -22,7 +22,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from innspark.functions.exprs import numbered_rows
@@ -38,15 +38,18 @@ LAND = 12  # documents of a source that land together with the last undecided tw
 EPS = 1e-9
 
 
-def targets(by_source: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
-            most: float = MOST) -> DataFrame:
+def targets(by_source: DataFrame | dict, weights: tuple = WEIGHTS, share: float = SHARE,
+            most: float = MOST) -> DataFrame | dict:
     """``by_source`` (source, size long, one row a source) with the column target, as a
     table: the source's weight's part of ``share`` of all sizes, at most ``most`` times
     its size; what is above goes to the others by weight. Weights go by code point
-    order, the null source last.
+    order, the null source last. A dict of a few sources' sizes gives one of targets.
 
     Sources are ranked by a distributed sort. The level per unit of weight rises until
     no further source is above its bound; a round needs the sums of both kinds only."""
+    if isinstance(by_source, dict):
+        rows = SparkSession.active().createDataFrame(list(by_source.items()), "source string, size long")
+        return {r["source"]: r["target"] for r in targets(rows, weights, share, most).collect()}
     ranked = numbered_rows(by_source.withColumn("name", _name()), [], "name", "place")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
     table = written(ranked.withColumn("weight", weight).drop("place", "name"), "sources")
