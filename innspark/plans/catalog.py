@@ -16,8 +16,10 @@ SKIP = {"dim_nationality_group"}
 
 def _model_query(name: str):
     def run(spark, sf_dir):
-        from innspark.session import configure
+        from innspark.session import configure, spread_shuffles
+        from innspark.sources.fixtures import MART_TABLES
         configure(spark)
+        spread_shuffles(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in MART_TABLES])
         return Mart(spark, sf_dir)[name]
     run.__name__ = f"q_{name}"
     return run

@@ -96,3 +96,24 @@ def test_outlier_series_are_numbers(spark, mart, monkeypatch):
     monkeypatch.setattr(X, "counted_values", lambda df, keys, v: seen.append(dict(df.dtypes)) or counted(df, keys, v))
     assert profiles.outlier_history(mart).columns[:4] == [*profiles.SERIES, "snapshot_date"]
     assert "string" not in seen[0].values()
+
+
+def test_partitions_grow_with_the_tables(spark, monkeypatch):
+    from innspark import session
+    from innspark.plans.catalog import query_callables
+    monkeypatch.setattr(session, "SHUFFLED_BYTES", 2048)
+    with settings(spark, **{"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}):
+        for name in ("fact_fnb_menu_item_daily", "fact_fnb_waste_daily", "v_fnb_waste_daily"):
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            query_callables()[name](spark, "/root/testdata/sf0.001")
+            assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 50  # 8 before, whatever the size
+            assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "2048"
+
+
+def test_spread_shuffles_never_lowers(spark, tmp_base):
+    from innspark.session import SHUFFLED_BYTES, spread_shuffles
+    spark.range(1000).write.parquet(f"{tmp_base}/some.parquet")
+    with settings(spark, **{"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}):
+        assert spread_shuffles(spark, [f"{tmp_base}/some.parquet", f"{tmp_base}/none.parquet"]) == 211
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        assert spread_shuffles(spark, [f"{tmp_base}/some.parquet"]) == 1 and SHUFFLED_BYTES > 1 << 20
