@@ -16,16 +16,16 @@ range bounds, order and ids don't depend on which attempt wrote them.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
-from collections import ChainMap
-from collections.abc import Callable, Iterator, Mapping
-from itertools import islice
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +38,10 @@ SEGMENTS = ("shard int, seg int, first long, n_tokens long, doc_ids array<long>,
 SHARDS = "shard int, base long, n_tokens long"
 BLOCK = 512  # bits of a rank block
 SEGMENT_TOKENS = 1 << 18  # a segment is closed at this size, after a whole document
-SPACED = regex.compile(r" (?:\s|$)")
-CACHE_WORDS = 900_000  # words of which a worker remembers the ids
+CACHE_WORDS = 600_000  # words of which a worker remembers the ids
+PART_CHARS = 6 << 20  # of texts that are encoded together
+TAILS = ",."  # cut off behind letters: the word with and without one is learnt once
+LEARNT = 300  # words that the library encodes in one text
 
 
 # --- directly addressable codes -------------------------------------------------
@@ -116,9 +118,13 @@ class WordEncoder:
     A byte-level BPE vocabulary splits a text into pieces before merging, and a
     space before a character that isn't white space always starts one. So a
     text falls into parts that begin with such a space, and the library encodes
-    each part once. Which characters aren't white space, and where a part's ids
-    begin, the library itself says. Texts with a part for which it doesn't, and
-    those with an added token's string, go to the library whole.
+    each part once. Which characters are white space or letters the library itself
+    says, and a line feed between two parts shows where a part's ids begin. Texts
+    with a part that can't be told apart so, and those with an added token's
+    string, go to the library whole.
+
+    Arrow numbers the parts of many texts and looks up those met before; numpy puts
+    the ids together. Only a new part passes through Python.
     """
 
     def __init__(self, path: str):
@@ -127,12 +133,23 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}  # the ids of a space and this word
+        self.words = pa.array([], pa.large_string())  # met before
+        self.ids = np.zeros(0, np.uint32)  # those of a space and each word, one after another
+        self.sizes = np.zeros(0, np.int64)  # ids of each word; -1: not to be told apart
         self.opening: dict[str, bool] = {}  # by character: a space before it starts a piece
-
-    def _ids(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        self.letters: dict[str, bool] = {}  # by character: it continues a piece of letters
+        feed = self._ids("\n")
+        self.feed = feed[0] if len(feed) == 1 else -1
+        plan = json.loads(self.tokenizer.to_str())
+        split = plan["pre_tokenizer"] or {}
+        # whether letters and what stands behind them are different pieces
+        self.pieces = (plan["normalizer"] is None and split.get("type") == "ByteLevel"
+                       and split.get("use_regex", True))
+        tails = [self._ids(c) for c in TAILS]
+        self.tails = [int(t[0]) if len(t) == 1 else -1 for t in tails]
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _opens(self, char: str) -> bool:
         """Whether the library starts a piece at a space before ``char``: other white
@@ -142,41 +159,145 @@ class WordEncoder:
             self.opening[char] = len(set(e.word_ids)) == 2
         return self.opening[char]
 
-    def _learn(self, missing: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Encode words in long texts, cut where a token begins at a word's place;
-        a word without one at either end is left out."""
-        for k in range(0, len(missing), 2000):
-            part = missing[k:k + 2000]
-            e = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
-            raw = np.array(e.ids, dtype="<u4").tobytes()
-            begins = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
-            places = np.cumsum([0, *(len(w) + 1 for w in part)])
-            cuts = np.searchsorted(begins, places, "left")
-            sure = np.append(begins, places[-1])[cuts] == places
-            cuts = (4 * cuts).tolist()
-            yield from ((w, raw[a:b]) for w, a, b, x, y in
-                        zip(part, cuts, cuts[1:], sure.tolist(), sure[1:].tolist()) if x and y)
+    def _letter(self, char: str) -> bool:
+        """Whether the library has ``char`` and letters around it as one piece, and
+        starts another behind it at each of TAILS."""
+        if char not in self.letters:
+            one = self.tokenizer.encode(f" a{char}a", add_special_tokens=False)
+            more = [self.tokenizer.encode(f" {char}{c}", add_special_tokens=False) for c in TAILS]
+            self.letters[char] = len(set(one.word_ids)) == 1 and all(len(set(e.word_ids)) == 2 for e in more)
+        return self.letters[char]
+
+    def _stems(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Each word without the one of TAILS that stands behind letters, and that one's
+        place in TAILS or -1."""
+        tail = np.full(len(words), -1, np.int64)
+        if not self.pieces or not len(words):
+            return words, tail
+        stems = pc.utf8_rtrim(words, TAILS)
+        cut = pc.and_(pc.equal(pc.subtract(pc.binary_length(words), pc.binary_length(stems)), 1),
+                      pc.utf8_is_alpha(stems))
+        for c in set("".join(stems.filter(cut).to_pylist())):
+            if not self._letter(c):
+                cut = pc.and_(cut, pc.invert(pc.match_substring(stems, c)))
+        for k, c in enumerate(TAILS):
+            if self.tails[k] >= 0:
+                tail[pc.and_(cut, pc.ends_with(words, c)).to_numpy(zero_copy_only=False)] = k
+        return pc.if_else(pa.array(tail >= 0), stems, words), tail
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a space and each word, one word after another, and how many each
+        has: -1 for a word whose beginning the library doesn't vouch for."""
+        sure, alone = [], []
+        for k, w in enumerate(words):
+            if all(x and self._opens(x[0]) and self._opens(x[-1]) for x in (w.split("\n") if "\n" in w else (w,))):
+                sure.append(k)
+            elif w and self._opens(w[0]):
+                alone.append(k)
+        sizes = np.full(len(words), -1, np.int64)
+        found = []
+        for at in range(0, len(sure), LEARNT):
+            ids, sizes[sure[at:at + LEARNT]] = self._between([" " + words[k] for k in sure[at:at + LEARNT]])
+            found.append(ids)
+        for k in alone:
+            found.append(self._ids(" " + words[k]))
+            sizes[k] = len(found[-1])
+        ids = np.concatenate(found) if found else self.ids[:0]
+        order = np.array(sure + alone, np.int64)
+        own = sizes[order]
+        begins = np.zeros(len(words), np.int64)
+        begins[order] = np.cumsum(own) - own
+        return _gathered(ids, begins, np.maximum(sizes, 0)), sizes
+
+    def _between(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the strings, and how many each has. All begin with a space and
+        something else, and no line in them begins or ends in white space, so a line feed
+        between two is a piece."""
+        ids = self._ids("\n".join(strings))
+        feeds = np.cumsum([s.count("\n") + 1 for s in strings])
+        at = np.flatnonzero(ids == self.feed)
+        if len(at) != feeds[-1] - 1:
+            found = [self._ids(s) for s in strings]
+            return np.concatenate(found), np.array([len(x) for x in found])
+        cuts = at[feeds[:-1] - 1]
+        return np.delete(ids, cuts), np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+
+    def _known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a space and each of the (different) words, and how many each has."""
+        stems, tail = self._stems(words)
+        coded = stems.dictionary_encode()
+        stems, which = coded.dictionary, coded.indices.to_numpy()
+        at = pc.index_in(stems, self.words)
+        new = stems.filter(pc.is_null(at))
+        at = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        at[at < 0] = len(self.words) + np.arange(len(new))
+        ids, sizes = self._learn(new.to_pylist())
+        ids, sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        taken = np.maximum(sizes, 0)
+        begins = np.cumsum(taken) - taken
+        if len(sizes) <= CACHE_WORDS:
+            self.words, self.ids, self.sizes = pa.concat_arrays([self.words, new]), ids, sizes
+        elif len(stems) <= CACHE_WORDS:  # those in use now
+            self.words, self.sizes = stems, sizes[at]
+            self.ids = _gathered(ids, begins[at], taken[at])
+        at = at[which]
+        own = np.where(sizes[at] < 0, -1, sizes[at] + (tail >= 0))
+        # with a tail, one id more is taken, which the tail's replaces
+        out = _gathered(ids, begins[at], np.maximum(own, 0))
+        ends = np.cumsum(np.maximum(own, 0)) - 1
+        tailed = (tail >= 0) & (own > 0)
+        out[ends[tailed]] = np.array(self.tails, np.int64)[tail[tailed]]
+        return out, own
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and how many each has."""
+        column = pa.array(texts, pa.large_string())
+        split = pc.split_pattern(column, " ")
+        offsets = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        codes, firsts = coded.indices.to_numpy().astype(np.int64), offsets[:-1]
+        heads = coded.dictionary.take(pa.array(codes[firsts])).to_pylist()
+        # a word that stands only at a text's beginning has no space before it
+        behind = np.ones(len(codes), bool)
+        behind[firsts] = False
+        used = np.flatnonzero(np.bincount(codes[behind], minlength=len(coded.dictionary)))
+        place = np.zeros(len(coded.dictionary), np.int64)
+        place[used] = np.arange(len(used))
+        codes = place[codes]
+        ids, sizes = self._known(coded.dictionary.take(pa.array(used)))
+        owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
+        whole = np.zeros(len(texts), bool)
+        for a in self.added:
+            whole |= pc.match_substring(column, a).to_numpy(zero_copy_only=False)
+        whole[owner[np.append(sizes < 0, False)[codes] & behind]] = True
+        own = [self._ids(t if w else h) for t, h, w in zip(texts, heads, whole.tolist())]
+        n = len(sizes)
+        sizes = np.concatenate([np.maximum(sizes, 0), [0], [len(x) for x in own]]).astype(np.int64)
+        ids = np.concatenate([ids, *own]).astype(np.uint32)
+        codes[whole[owner]] = n
+        codes[firsts] = n + 1 + np.arange(len(texts))
+        counts = sizes[codes]
+        return (_gathered(ids, (np.cumsum(sizes) - sizes)[codes], counts),
+                np.diff(np.concatenate([[0], np.cumsum(counts)])[offsets]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        parts = [None if SPACED.search(t) or any(a in t for a in self.added) else t.split(" ")
-                 for t in texts]
-        words = self.words
-        missing = set().union(*filter(None, parts)) - words.keys() - {""}
-        new = dict(self._learn([w for w in missing if self._opens(w[0])]))
-        if len(words) + len(new) <= CACHE_WORDS:
-            words.update(new)
-        else:  # what is common is known by now
-            words = ChainMap(new, words)
-        return [self._joined(t, p, words) for t, p in zip(texts, parts)]
-
-    def _joined(self, text: str, parts: list[str] | None, words: Mapping[str, bytes]) -> bytes:
-        if parts is None:
-            return self._ids(text)
-        try:
-            return self._ids(parts[0]) + b"".join(map(words.__getitem__, islice(parts, 1, None)))
-        except KeyError:  # a part that the library didn't vouch for
-            return self._ids(text)
+        if not texts:
+            return []
+        ids, sizes = self.encode_all(texts)
+        return [ids[b - n:b].astype("<u4").tobytes() for b, n in zip(np.cumsum(sizes), sizes)]
+
+
+def _gathered(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``ids`` that begin at ``begins``, one after another; an end beyond the
+    last id takes the last."""
+    total = int(sizes.sum())
+    if not total:
+        return ids[:0]
+    shift = (begins - (np.cumsum(sizes) - sizes)).astype(np.int32 if len(ids) + total < 1 << 31 else np.int64)
+    at = np.repeat(shift, sizes)
+    at += np.arange(total, dtype=at.dtype)
+    return ids.take(at, mode="clip")
 
 
 def encoder(path: str) -> WordEncoder:
@@ -186,28 +307,40 @@ def encoder(path: str) -> WordEncoder:
 
 # --- writing and reading a store --------------------------------------------------
 
+def _parts(texts: list[str], most: int = PART_CHARS) -> Iterator[slice]:
+    """Cuts ``texts`` into runs of ``most`` characters or less; a longer text is one of its own."""
+    at, size = 0, 0
+    for k, t in enumerate(texts):
+        if k > at and size + len(t) > most:
+            yield slice(at, k)
+            at, size = k, 0
+        size += len(t)
+    if at < len(texts):
+        yield slice(at, len(texts))
+
+
 def _segments(path: str, end_id: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard, seg, first = TaskContext.get().partitionId(), 0, 0
         doc_ids, lengths, held = [], [], []
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = np.array([end_id], dtype="<u4")
 
         def close() -> pd.DataFrame:
-            n = sum(lengths)
-            ids = np.frombuffer(b"".join(held), dtype="<u4")
-            return pd.DataFrame({"shard": [shard], "seg": [seg], "first": [first], "n_tokens": [n],
+            return pd.DataFrame({"shard": [shard], "seg": [seg], "first": [first], "n_tokens": [sum(lengths)],
                                  "doc_ids": [list(doc_ids)], "lengths": [list(lengths)],
-                                 "codes": [encode_codes(ids)]})
+                                 "codes": [encode_codes(np.concatenate(held))]})
 
         size = 0
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at:at + 256]
-                for doc, ids in zip(part["doc_id"], encoder(path).encode(part["text"].tolist())):
+            texts, docs = batch["text"].tolist(), batch["doc_id"].tolist()
+            for part in _parts(texts):
+                ids, counts = encoder(path).encode_all(texts[part])
+                ends = np.cumsum(counts)
+                for doc, b, n in zip(docs[part], ends.tolist(), counts.tolist()):
                     doc_ids.append(None if pd.isna(doc) else int(doc))
-                    lengths.append(len(ids) // 4 + 1)
-                    held += [ids, end]
-                    size += lengths[-1]
+                    lengths.append(n + 1)
+                    held += [ids[b - n:b], end]
+                    size += n + 1
                     if size >= SEGMENT_TOKENS:
                         yield close()
                         seg, first, size = seg + 1, first + size, 0

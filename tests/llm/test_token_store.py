@@ -1,7 +1,10 @@
+import gc
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -83,3 +86,64 @@ def test_store(spark, docs_of, odd_rows, monkeypatch):
 
 def test_empty(spark, docs_of):
     assert ts.op1_token_store(docs_of([]), PATH).count() == 0
+
+
+def made_up(n, seed):
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzé"))
+    return ["".join(letters[rng.integers(0, 27, 8)]) for _ in range(n)]
+
+
+def test_words_are_remembered_in_little_memory():
+    words = made_up(60_000, 1)
+    ts.WordEncoder(PATH).encode(["some words, before measuring"])
+    own = ts.WordEncoder(PATH)
+    tracemalloc.start()
+    before = pa.total_allocated_bytes() + tracemalloc.get_traced_memory()[0]
+    for k in range(0, len(words), 1000):
+        own.encode([" ".join(words[k:k + 1000])])
+    gc.collect()
+    held = pa.total_allocated_bytes() + tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert len(own.words) > 50_000
+    assert held / len(own.words) < 100
+
+
+def test_words_that_end_in_a_comma_or_full_stop_are_learnt_once(monkeypatch):
+    sent = []
+    plain = ts.WordEncoder._ids
+    monkeypatch.setattr(ts.WordEncoder, "_ids", lambda self, text: sent.append(text) or plain(self, text))
+    own = ts.WordEncoder(PATH)
+    words = made_up(500, 2)
+    texts = ["so " + " ".join(words), "so " + " ".join(w + "," for w in words), "so " + " ".join(w + "." for w in words)]
+    del sent[:]
+    assert [np.frombuffer(g, "<u4").tolist() + [0] for g in own.encode(texts)] == [ids_of(t) for t in texts]
+    assert sum(map(len, sent)) < 1.2 * len(texts[0])
+
+
+def test_parts_of_texts():
+    for sizes in ([], [0], [5, 5, 5], [40, 1, 1], [1, 40, 1], [10, 10, 1], [0, 0, 0]):
+        texts = ["x" * n for n in sizes]
+        parts = [texts[s] for s in ts._parts(texts, 20)]
+        assert sum(parts, []) == texts
+        assert all(p and (len(p) == 1 or sum(map(len, p)) <= 20) for p in parts)
+
+
+LINES = st.sampled_from([" ", "a", "was", "é", ",", ".", "\n", "\t", "\x85", "\xa0", "1", "'s", "ⅷ", "ª", "ǅ", "𝒜",
+                         "the", "word,", "end.", "end.,", "́"])
+
+
+@given(st.lists(st.lists(LINES, max_size=20).map("".join), min_size=1, max_size=8))
+@settings(max_examples=200, deadline=None)
+def test_lines_and_tails(texts):
+    own = ts.encoder(PATH)
+    assert [np.frombuffer(g, "<u4").tolist() + [0] for g in own.encode(texts)] == [ids_of(t) for t in texts]
+
+
+def test_cache_that_overflows_between_texts(monkeypatch):
+    monkeypatch.setattr(ts, "CACHE_WORDS", 400)
+    own = ts.WordEncoder(PATH)
+    for seed in range(6):
+        texts = ["so it is " + ", ".join(made_up(150, seed // 2 + k)) for k in range(2)]
+        assert [np.frombuffer(g, "<u4").tolist() + [0] for g in own.encode(texts)] == [ids_of(t) for t in texts]
+        assert len(own.words) <= 400
