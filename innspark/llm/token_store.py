@@ -41,7 +41,7 @@ SEGMENT_TOKENS = 1 << 18  # a segment is closed at this size, after a whole docu
 CACHE_WORDS = 600_000  # words of which a worker remembers the ids
 PART_CHARS = 6 << 20  # of texts that are encoded together
 TAILS = ",."  # cut off behind letters: the word with and without one is learnt once
-LEARNT = 300  # words that the library encodes in one text
+LEARNT = 100  # words that the library encodes in one text
 
 
 # --- directly addressable codes -------------------------------------------------
@@ -133,9 +133,9 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words = pa.array([], pa.large_string())  # met before
+        self.words = pa.array([], pa.large_string())  # met before, and lines behind a line feed
         self.ids = np.zeros(0, np.uint32)  # those of a space and each word, one after another
-        self.sizes = np.zeros(0, np.int64)  # ids of each word; -1: not to be told apart
+        self.sizes = np.zeros(0, np.int64)  # ids of each word
         self.opening: dict[str, bool] = {}  # by character: a space before it starts a piece
         self.letters: dict[str, bool] = {}  # by character: it continues a piece of letters
         feed = self._ids("\n")
@@ -164,7 +164,7 @@ class WordEncoder:
         starts another behind it at each of TAILS."""
         if char not in self.letters:
             one = self.tokenizer.encode(f" a{char}a", add_special_tokens=False)
-            more = [self.tokenizer.encode(f" {char}{c}", add_special_tokens=False) for c in TAILS]
+            more = [self.tokenizer.encode(f"{s}{char}{c}", add_special_tokens=False) for c in TAILS for s in (" ", "")]
             self.letters[char] = len(set(one.word_ids)) == 1 and all(len(set(e.word_ids)) == 2 for e in more)
         return self.letters[char]
 
@@ -185,69 +185,108 @@ class WordEncoder:
                 tail[pc.and_(cut, pc.ends_with(words, c)).to_numpy(zero_copy_only=False)] = k
         return pc.if_else(pa.array(tail >= 0), stems, words), tail
 
-    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of a space and each word, one word after another, and how many each
-        has: -1 for a word whose beginning the library doesn't vouch for."""
-        sure, alone = [], []
-        for k, w in enumerate(words):
-            if all(x and self._opens(x[0]) and self._opens(x[-1]) for x in (w.split("\n") if "\n" in w else (w,))):
-                sure.append(k)
-            elif w and self._opens(w[0]):
-                alone.append(k)
-        sizes = np.full(len(words), -1, np.int64)
+    def _sure(self, lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each line begins with what the library starts a piece at behind a space,
+        and whether it ends so, too. An empty line doesn't."""
+        first, last = (pc.utf8_slice_codeunits(lines, *at).dictionary_encode() for at in ((0, 1), (-1,)))
+        first, last = (np.array([c != "" and self._opens(c) for c in x.dictionary.to_pylist()], bool)[
+            x.indices.to_numpy()] for x in (first, last))
+        return first, first & last
+
+    def _learn(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each key, one key after another, and how many each has. A key is a word,
+        with a space before it, or a line feed and the line behind it."""
+        later = pc.starts_with(keys, "\n").to_numpy(zero_copy_only=False)
+        _, sure = self._sure(keys)
+        sure &= ~pc.match_substring(keys, "\n").to_numpy(zero_copy_only=False)
+        sure |= later
+        # each after a line feed, the words after a space
+        lines = pc.if_else(pa.array(later), keys, _joined("\n ", keys))
+        sizes = np.zeros(len(keys), np.int64)
         found = []
-        for at in range(0, len(sure), LEARNT):
-            ids, sizes[sure[at:at + LEARNT]] = self._between([" " + words[k] for k in sure[at:at + LEARNT]])
+        places, alone = np.flatnonzero(sure), np.flatnonzero(~sure)
+        plain = lines.take(pa.array(places))
+        cuts = np.append(np.arange(0, len(places), LEARNT), len(places))
+        texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cuts), plain), pa.scalar("", plain.type)).to_pylist()
+        for a, b, text in zip(cuts.tolist(), cuts[1:].tolist(), texts):
+            ids, sizes[places[a:b]] = self._between(text[1:], plain[a:b])
             found.append(ids)
-        for k in alone:
-            found.append(self._ids(" " + words[k]))
+        for k, line in zip(alone.tolist(), lines.take(pa.array(alone)).to_pylist()):
+            found.append(self._ids(line[1:]))
             sizes[k] = len(found[-1])
         ids = np.concatenate(found) if found else self.ids[:0]
-        order = np.array(sure + alone, np.int64)
+        order = np.concatenate([places, alone])
         own = sizes[order]
-        begins = np.zeros(len(words), np.int64)
+        begins = np.zeros(len(keys), np.int64)
         begins[order] = np.cumsum(own) - own
-        return _gathered(ids, begins, np.maximum(sizes, 0)), sizes
-
-    def _between(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the strings, and how many each has. All begin with a space and
-        something else, and no line in them begins or ends in white space, so a line feed
-        between two is a piece."""
-        ids = self._ids("\n".join(strings))
-        feeds = np.cumsum([s.count("\n") + 1 for s in strings])
+        # a line feed's id goes before its line's
+        at = np.cumsum(sizes) - sizes
+        return np.insert(_gathered(ids, begins, sizes), at[later], self.feed), sizes + later
+
+    def _between(self, text: str, lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each of the ``lines`` that ``text`` joins, without their line feeds, and
+        how many each has. No line ends in white space or begins with more than a space, so a
+        line feed between two is a piece."""
+        ids = self._ids(text)
         at = np.flatnonzero(ids == self.feed)
-        if len(at) != feeds[-1] - 1:
-            found = [self._ids(s) for s in strings]
+        if len(at) != len(lines) - 1:
+            found = [self._ids(s[1:]) for s in lines.to_pylist()]
             return np.concatenate(found), np.array([len(x) for x in found])
-        cuts = at[feeds[:-1] - 1]
-        return np.delete(ids, cuts), np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+        return np.delete(ids, at), np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1
 
     def _known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of a space and each of the (different) words, and how many each has."""
-        stems, tail = self._stems(words)
+        """The ids of a space and each of the (different) words, and how many each has: -1 for
+        a word whose beginning the library doesn't vouch for.
+
+        Lines that neither begin nor end in white space are learnt one by one; a word with
+        others is learnt whole."""
+        if not len(words):
+            return self.ids[:0], np.zeros(0, np.int64)
+        lines = pc.split_pattern(words, "\n")
+        offsets = lines.offsets.to_numpy()
+        lines = lines.flatten()
+        opens, closes = self._sure(lines)
+        firsts = offsets[:-1]
+        sure = np.logical_and.reduceat(closes, firsts)
+        if self.feed < 0:
+            sure &= np.diff(offsets) == 1
+        alone = opens[firsts] & ~sure
+        counts = np.where(sure, np.diff(offsets), alone)  # keys of each word
+        later = np.ones(len(lines), bool)
+        later[firsts] = False
+        owner = np.repeat(np.arange(len(words)), np.diff(offsets))
+        take = sure[owner] | alone[owner] & ~later
+        stems, tail = self._stems(lines)
+        stems = pc.if_else(pa.array(later), _joined("\n", stems), stems)
+        whole = alone[owner] & ~later
+        stems = pc.if_else(pa.array(whole), words.take(pa.array(owner)), stems).filter(pa.array(take))
+        tail = np.where(whole, -1, tail)[take]
+
         coded = stems.dictionary_encode()
         stems, which = coded.dictionary, coded.indices.to_numpy()
         at = pc.index_in(stems, self.words)
         new = stems.filter(pc.is_null(at))
         at = pc.fill_null(at, -1).to_numpy().astype(np.int64)
         at[at < 0] = len(self.words) + np.arange(len(new))
-        ids, sizes = self._learn(new.to_pylist())
+        ids, sizes = self._learn(new)
         ids, sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
-        taken = np.maximum(sizes, 0)
-        begins = np.cumsum(taken) - taken
-        if len(sizes) <= CACHE_WORDS:
-            self.words, self.ids, self.sizes = pa.concat_arrays([self.words, new]), ids, sizes
-        elif len(stems) <= CACHE_WORDS:  # those in use now
-            self.words, self.sizes = stems, sizes[at]
-            self.ids = _gathered(ids, begins[at], taken[at])
+        begins = np.cumsum(sizes) - sizes
+        known = pa.concat_arrays([self.words, new])
+        if len(known) <= CACHE_WORDS:
+            self.words, self.ids, self.sizes = known, ids, sizes
+        else:  # those in use now, and half of the room for those met first
+            kept = np.union1d(np.arange(min(CACHE_WORDS // 2, len(known))), at)
+            if len(kept) <= CACHE_WORDS:
+                self.words, self.sizes = known.take(pa.array(kept)), sizes[kept]
+                self.ids = _gathered(ids, begins[kept], sizes[kept])
         at = at[which]
-        own = np.where(sizes[at] < 0, -1, sizes[at] + (tail >= 0))
+        own = sizes[at] + (tail >= 0)
         # with a tail, one id more is taken, which the tail's replaces
-        out = _gathered(ids, begins[at], np.maximum(own, 0))
-        ends = np.cumsum(np.maximum(own, 0)) - 1
-        tailed = (tail >= 0) & (own > 0)
-        out[ends[tailed]] = np.array(self.tails, np.int64)[tail[tailed]]
-        return out, own
+        out = _gathered(ids, begins[at], own)
+        tailed = tail >= 0
+        out[(np.cumsum(own) - 1)[tailed]] = np.array(self.tails, np.int64)[tail[tailed]]
+        total = np.concatenate([[0], np.cumsum(own)])[np.concatenate([[0], np.cumsum(counts)])]
+        return out, np.where(sure | alone, np.diff(total), -1)
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each has."""
@@ -270,7 +309,8 @@ class WordEncoder:
         for a in self.added:
             whole |= pc.match_substring(column, a).to_numpy(zero_copy_only=False)
         whole[owner[np.append(sizes < 0, False)[codes] & behind]] = True
-        own = [self._ids(t if w else h) for t, h, w in zip(texts, heads, whole.tolist())]
+        own = [t if w else h for t, h, w in zip(texts, heads, whole.tolist())]
+        own = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)]
         n = len(sizes)
         sizes = np.concatenate([np.maximum(sizes, 0), [0], [len(x) for x in own]]).astype(np.int64)
         ids = np.concatenate([ids, *own]).astype(np.uint32)
@@ -288,6 +328,12 @@ class WordEncoder:
         return [ids[b - n:b].astype("<u4").tobytes() for b, n in zip(np.cumsum(sizes), sizes)]
 
 
+def _joined(before: str, words: pa.Array) -> pa.Array:
+    """``words`` with ``before`` in front of each."""
+    kind = words.type
+    return pc.binary_join_element_wise(pa.scalar(before, kind), words, pa.scalar("", kind))
+
+
 def _gathered(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The runs of ``ids`` that begin at ``begins``, one after another; an end beyond the
     last id takes the last."""

@@ -147,3 +147,26 @@ def test_cache_that_overflows_between_texts(monkeypatch):
         texts = ["so it is " + ", ".join(made_up(150, seed // 2 + k)) for k in range(2)]
         assert [np.frombuffer(g, "<u4").tolist() + [0] for g in own.encode(texts)] == [ids_of(t) for t in texts]
         assert len(own.words) <= 400
+
+
+def test_lines_within_a_word_are_learnt_once():
+    """A line feed between two words doesn't make each pair of them a new word."""
+    encoder = ts.WordEncoder(PATH)
+    words = ["thesher", "Vorbieg", "año", "x1", "don't", "...", "ab,", "日本"]
+    texts = ["start " + " ".join(f"{a}\n{b}" for a in words for b in words),
+             "\nfeed first a\n\nb c\n d\te\nf", " ab\r\ncd ab\n", "ab.\nab. ab.\nab.\nab,\n", "\n", " \n ", "a \nb"]
+    for text, got in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == PLAIN.encode(text, add_special_tokens=False).ids, text
+    # each word once behind a space and once behind a line feed; 64 pairs were learnt before
+    assert len(encoder.words) <= 2 * len(words) + 12
+
+
+def test_words_met_first_stay_when_the_cache_overflows(monkeypatch):
+    monkeypatch.setattr(ts, "CACHE_WORDS", 8)
+    encoder = ts.WordEncoder(PATH)
+    texts = ["x alpha beta gamma delta epsilon zeta", "x one two three four", "x alpha one\nbeta five"]
+    for text in texts:
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == PLAIN.encode(
+            text, add_special_tokens=False).ids
+        assert len(encoder.words) <= 8
+    assert {"alpha", "beta", "gamma", "delta"} <= set(encoder.words.to_pylist())
