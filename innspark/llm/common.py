@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,13 +81,24 @@ def worker_cache(key, make):
     """What a Python worker keeps between tasks: one operator's cache at a time, as
     the workers of an executor live on and their memory adds up."""
     if key not in _CACHE:
-        _CACHE.clear()
+        release_cache()
         _CACHE[key] = make()
     return _CACHE[key]
 
 
 def release_cache() -> None:
     _CACHE.clear()
+    trim_memory()
+
+
+def trim_memory() -> None:
+    """Give the system back what a Python worker has freed: idle workers live on beside the
+    executor, and the allocators keep the most that any of their tasks took."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:

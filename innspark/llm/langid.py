@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innspark.llm.common import fresh, worker_cache, written
+from innspark.llm.common import fresh, trim_memory, worker_cache, written
 
 LETTERS = regex.compile(r"\p{L}+")
 PART = 40  # letters; a longer word is scored in parts of this size
@@ -95,8 +95,10 @@ def _spans(pieces: Pieces, words: list[str]) -> tuple[int, dict[tuple[int, int],
     return size, out
 
 
-def _forward(size: int, spans: dict, table: np.ndarray) -> tuple[list[np.ndarray], dict]:
-    """alpha[i]: probability of the first i characters over all segmentations."""
+def _forward(size: int, spans: dict, table: np.ndarray, keep: bool = True
+             ) -> tuple[list[np.ndarray], dict]:
+    """alpha[i]: probability of the first i characters over all segmentations. With
+    ``keep``, also the pieces' probabilities, which take most of the memory."""
     alpha = [np.ones((len(spans[0, 1]), table.shape[1]))]
     probs = {}
     for e in range(1, size + 1):
@@ -107,7 +109,8 @@ def _forward(size: int, spans: dict, table: np.ndarray) -> tuple[list[np.ndarray
             p = table[spans[s, e]]
             if e == s + 1:  # a letter without a piece is still a segment
                 p = np.maximum(p, UNKNOWN)
-            probs[s, e] = p
+            if keep:
+                probs[s, e] = p
             total = total + alpha[s] * p
         alpha.append(total)
     return alpha, probs
@@ -129,10 +132,10 @@ def score_words(pieces: Pieces, table: np.ndarray, words: list[str]) -> np.ndarr
                 parts = [words[k][a:a + PART] for a in range(0, length, PART)]
                 out[k] = score_words(pieces, table, parts).sum(axis=0)
             continue
-        for a in range(0, len(places), 8192):
-            part = places[a:a + 8192]
+        for a in range(0, len(places), 2048):
+            part = places[a:a + 2048]
             size, spans = _spans(pieces, [words[k] for k in part])
-            out[part] = np.log(_forward(size, spans, table)[0][size])
+            out[part] = np.log(_forward(size, spans, table, keep=False)[0][size])
     return out
 
 
@@ -295,6 +298,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     names.append(model.langs[best] if best >= 0 else "und")
                     scores.append(1 / np.exp(row - row[best]).sum() if best >= 0 else 0.0)
             yield pd.DataFrame({"lang_pred": names, "score": scores})
+        trim_memory()
 
     guess = F.pandas_udf(run, "lang_pred string, score double")  # type: ignore[call-overload]
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]

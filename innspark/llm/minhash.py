@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innspark.llm.common import components, release_cache, written
+from innspark.llm.common import components, release_cache, trim_memory, written
 
 WORDS = 4  # of a shingle
 PERCENT = 80  # 100 * intersection >= PERCENT * union
@@ -31,7 +31,7 @@ BANDS, ROWS = 32, 4  # a pair at 0.8 shares no band with a probability of 5e-8
 # A pair is read whole if at least this share of coordinates agrees; at a similarity
 # of 0.8 fewer than 0.6 of 128 agree with a probability below 1e-7.
 AGREE = 0.6
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 19  # of texts that are cut together; the arrays over them take some fifty times that
 BLOCK = 512  # documents on each side of a task that compares two blocks
 BLOCK_SHINGLES = 1 << 20  # shingles of a block, in the mean over a component's blocks
 
@@ -47,8 +47,11 @@ def _base_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0 .. n of an odd base modulo 2^64, and of its inverse."""
     if not _powers or len(_powers[0]) <= n:
         size = max(n + 1, BATCH_BYTES + 1)
-        _powers[:] = [np.concatenate([np.ones(1, _U), np.multiply.accumulate(
+        made = [np.concatenate([np.ones(1, _U), np.multiply.accumulate(
             np.full(size, b, dtype=_U))]) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+        if size > BATCH_BYTES + 1:  # for one long text only
+            return made[0], made[1]
+        _powers[:] = made
     return _powers[0], _powers[1]
 
 
@@ -148,6 +151,7 @@ def _describe(words: int):
                     "doc_id": batch["doc_id"], "n": [len(s) for s in sets],
                     "f1": [p[0] for p in prints], "f2": [p[1] for p in prints],
                     "bands": keys, "coords": coords})
+        trim_memory()
 
     return run
 
@@ -170,6 +174,7 @@ def _confirm(words: int, percent: int):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
                 yield batch.loc[keep, ["a", "b"]]
+        trim_memory()
 
     return run
 

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -124,3 +126,17 @@ def test_columns_with_its_own_names(spark):
     out = langid.predict(docs, langid.Model(pieces, ["x", "y"], t))
     assert out.columns == ["text", "guess", "Guess_", "lang_pred", "score"]
     assert tuple(out.first())[:3] == ("ab ba", 1, 2)
+
+
+def test_scoring_holds_no_pieces_probabilities():
+    pieces = langid.Pieces(["a", "b", "ab", "abababababab", langid.MARK])
+    table = np.full((6, 8), 0.2)
+    table[-1] = 0
+    words = [f"{k:030b}".replace("0", "a").replace("1", "b") for k in range(8192)]
+    tracemalloc.start()
+    scores = langid.score_words(pieces, table, words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.isfinite(scores).all()
+    assert np.allclose(scores[[5]], langid.score_words(pieces, table, words[5:6]))
+    assert peak < 40e6

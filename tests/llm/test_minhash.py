@@ -1,6 +1,8 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -135,3 +137,25 @@ def test_blocks_cut_by_shingles(docs_of, monkeypatch):
     rows = chains(random.Random(4))
     got = near_duplicates(docs_of(rows)).collect()
     assert sorted(tuple(r) for r in got) == sorted(brute(rows))
+
+
+def test_worker_memory_is_small_and_given_back():
+    """What a Python worker takes for 4 MB of texts, and what it keeps afterwards."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefgh", k=500)) for _ in range(4200)]
+    texts.append("x " * 1_500_000)
+    minhash._powers.clear()
+    tracemalloc.start()
+    with np.errstate(over="ignore"):
+        minhash.shingle_sets(texts[:-1])
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+        minhash.shingle_sets(texts)
+    assert sum(p.nbytes for p in minhash._powers) < 10e6
+    tracemalloc.stop()
+    resident = lambda: int(Path("/proc/self/statm").read_text().split()[1]) * 4096
+    held = [np.ones(1 << 13) for _ in range(4000)]  # 256 MB in pieces that malloc keeps
+    last = np.ones(1 << 13)
+    full = resident()
+    del held
+    common.release_cache()
+    assert resident() < full - 200e6 and len(last)
