@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from innspark.functions import exprs as X
-from innspark.operators import dq
+from innspark.operators import dq, profiles
 from innspark.session import DROP_SHUFFLES, shuffles_dropped
 
 
@@ -77,6 +77,20 @@ def test_mart_tests_evaluate_a_fact_once(spark):
     assert {(r.test, r.failures) for r in out.collect()} == {("not_null", 0), (dq.RELATIONSHIP, 4)}
 
 
+def test_profile_takes_one_table_after_another(spark, parts):
+    a = spark.createDataFrame([("x", 1), ("x", 1), (" X", None), (None, None)], "name string, n int")
+    frames = {"a": a, "b": a.select("n", "name").distinct(), "e": a.where("false")}
+    apart = sorted(map(repr, profiles.profile_tables(frames, X.union_apart).collect()))
+    assert len(parts) == 6 and all(p.count() <= 2 for p in parts)  # a table's columns, and its rows
+    assert apart == sorted(map(repr, profiles.profile_tables(frames).collect()))
+    assert [r for r in apart if "table_name='a'" in r and "duplicate_rows=1" not in r] == []
+
+
+def test_profile_shuffles_no_text_of_rows(spark):
+    df = spark.createDataFrame([("x", 1)], "name string, n int")
+    assert "base64" not in profiles.profile_tables({"a": df})._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_shifted_rows_are_not_shuffled_for_their_keys(spark):
     day = dt.date
     rows = [("a", day(2024, 2, 29), 1, "p"), ("a", day(2024, 3, 31), 2, None), ("a", day(2025, 3, 31), 3, "q"),
