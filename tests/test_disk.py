@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from innspark.functions import exprs as X
 from innspark.operators import dq, profiles
+from innspark.operators import monitor as M
 from innspark.session import DROP_SHUFFLES, shuffles_dropped
 
 
@@ -77,6 +78,15 @@ def test_mart_tests_evaluate_a_fact_once(spark):
     assert {(r.test, r.failures) for r in out.collect()} == {("not_null", 0), (dq.RELATIONSHIP, 4)}
 
 
+def test_volume_takes_one_table_after_another(spark, parts):
+    a = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    out = M.layer_volume({"src_a": a, "a": a, "b": a.where("k > 5")}, {"raw": ["src_a"], "clean": ["a"], "mart": ["b"]},
+                         dt.date(2026, 8, 2))
+    assert sorted((r.dataset_name, r.table_name, r.row_count) for r in out.collect()) == [
+        ("clean", "a", 3), ("mart", "b", 0), ("raw", "src_a", 3)]
+    assert len(parts) == 2  # a's two layers at once
+
+
 def test_profile_takes_one_table_after_another(spark, parts):
     a = spark.createDataFrame([("x", 1), ("x", 1), (" X", None), (None, None)], "name string, n int")
     frames = {"a": a, "b": a.select("n", "name").distinct(), "e": a.where("false")}
